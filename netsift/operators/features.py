@@ -26,7 +26,7 @@ from ..functions.net import is_high_port, is_private_ip, is_privileged_port, is_
 from ..functions.numeric import as_flag, finite_or_zero, log1p0, safe_div
 from ..functions.timefn import any_timestamp, is_night
 from ..schema import FEATURE_COLUMNS, LOG_COLUMNS
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, attach_lookup, attach_scalars
+from .joins import DEFAULT_MAX_BROADCAST_ROWS, attach_lookup, attach_scalars, materialize
 
 _NUMERIC = {"src_port": "int", "dst_port": "int", "bytes_sent": "bigint", "bytes_rcvd": "bigint",
             "pkts_sent": "bigint", "pkts_rcvd": "bigint", "duration": "double", "protocol_num": "int"}
@@ -82,8 +82,16 @@ def protocol_index(df: DataFrame) -> DataFrame:
 
 
 def engineer_features(sessions: DataFrame, year: int, approx_distinct: bool = False,
-                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Closed sessions → sessions plus all engineered columns (see ``schema.FEATURE_COLUMNS``)."""
+                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      materialize_input: bool = True) -> DataFrame:
+    """Closed sessions → sessions plus all engineered columns (see ``schema.FEATURE_COLUMNS``).
+
+    With ``materialize_input`` the sessions are checkpointed once (shared folder), so the
+    three lookup aggregates and the main projection read the stage instead of re-running
+    parsing and pairing.
+    """
+    if materialize_input:
+        sessions = materialize(sessions)
     df = _coerce(sessions)
     bs, br = F.coalesce(F.col("bytes_sent"), F.lit(0)), F.coalesce(F.col("bytes_rcvd"), F.lit(0))
     ps, pr = F.coalesce(F.col("pkts_sent"), F.lit(0)), F.coalesce(F.col("pkts_rcvd"), F.lit(0))

@@ -62,14 +62,15 @@ def _events_cte() -> str:
   SELECT {syslog_text('ts_create')} AS timestamp, 'FW1' AS hostname, 'RT_FLOW_SESSION_CREATE' AS event_type,
       'session created' AS reason_text, {core},
       CAST(0 AS BIGINT) AS pkts_sent, CAST(0 AS BIGINT) AS bytes_sent, CAST(0 AS BIGINT) AS pkts_rcvd,
-      CAST(0 AS BIGINT) AS bytes_rcvd, {PROTO} AS protocol, 'create' AS action, CAST(0 AS DOUBLE) AS duration
+      CAST(0 AS BIGINT) AS bytes_rcvd, {PROTO} AS protocol, 'create' AS action, CAST(0 AS DOUBLE) AS duration,
+      ts_create AS ts
   FROM flows WHERE has_create = 1
   UNION ALL
   SELECT {syslog_text('ts_create + to_seconds(dur_s)')} AS timestamp, 'FW1' AS hostname, close_event AS event_type,
       'session closed TCP FIN:' AS reason_text, {core},
       pkts_sent, bytes_sent, pkts_rcvd, bytes_rcvd, {PROTO} AS protocol,
       CASE close_event WHEN 'RT_FLOW_SESSION_CLOSE' THEN 'close' ELSE 'deny' END AS action,
-      CAST(0 AS DOUBLE) AS duration
+      CAST(0 AS DOUBLE) AS duration, ts_create + to_seconds(dur_s) AS ts
   FROM flows
 )"""
 
