@@ -1,8 +1,15 @@
 """Anomaly detectors as Spark estimators: ``fit(df) → model``, ``model.transform(df)``
 adds ``anomaly_score`` (higher = more anomalous) and ``is_anomaly`` (0/1)."""
 
+from .autoencoder import Autoencoder, AutoencoderModel
 from .base import DetectorModel
+from .dbscan import DBSCAN
 from .iforest import IsolationForest, IsolationForestModel
+from .lof import LocalOutlierFactor, LOFModel
+from .ocsvm import OneClassSVM, OneClassSVMModel
 from .pca import pca_2d
+from .registry import all_detectors
 
-__all__ = ["DetectorModel", "IsolationForest", "IsolationForestModel", "pca_2d"]
+__all__ = ["Autoencoder", "AutoencoderModel", "DetectorModel", "DBSCAN", "IsolationForest",
+           "IsolationForestModel", "LocalOutlierFactor", "LOFModel", "OneClassSVM", "OneClassSVMModel",
+           "pca_2d", "all_detectors"]

@@ -1,4 +1,4 @@
 """Import every query module so that the registry is complete."""
 
-from . import q_analysis  # noqa: F401
+from . import q_analysis, q_detectors  # noqa: F401
 from .registry import REGISTRY  # noqa: F401
