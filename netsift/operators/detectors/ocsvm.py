@@ -3,8 +3,9 @@
 z(x) = √(2/D)·cos(Wx + b), W ~ N(0, 2γ), b ~ U(0, 2π), γ = 1 / (d · Var(X)) (the
 "scale" rule; one aggregate pass). In feature space the linear one-class objective
 ½‖w‖² − ρ + 1/(νn) Σ max(0, ρ − w·z) is minimised by data-parallel subgradient
-rounds (``training.run_round``), so every row is used — no 50 000-row cap. Score =
-−w·z(x) (higher = more anomalous); anomaly when w·z(x) < ρ.
+rounds (``training.run_round``), so every row is used — no 50 000-row cap. ρ is then
+set to the ν-quantile of the training margins (the ν-property of the exact solution).
+Score = −w·z(x) (higher = more anomalous); anomaly when w·z(x) < ρ.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ...schema import DEFAULT_CONTAMINATION, SEED
-from .base import DetectorModel, as_array
+from .base import DetectorModel, as_array, fit_threshold
 from .training import run_round, split_validation
 
 
@@ -28,9 +29,10 @@ def rff(X, W, b):
 
 class OneClassSVM:
     def __init__(self, nu: float = DEFAULT_CONTAMINATION, n_components: int = 300, gamma: float | None = None,
-                 rounds: int = 30, batch: int = 256, lr: float = 0.05, seed: int = SEED,
+                 rounds: int = 30, batch: int = 256, lr: float = 0.05, min_steps: int = 50, seed: int = SEED,
                  features_col: str = "features"):
         self.nu, self.D, self.gamma, self.rounds, self.batch, self.lr = nu, n_components, gamma, rounds, batch, lr
+        self.min_steps = min_steps
         self.seed, self.features_col = seed, features_col
 
     def fit(self, df: DataFrame) -> "OneClassSVMModel":
@@ -44,20 +46,22 @@ class OneClassSVM:
         rng = np.random.default_rng(self.seed)
         W = rng.normal(0.0, np.sqrt(2.0 * gamma), (d, self.D))
         b = rng.uniform(0.0, 2 * np.pi, self.D)
-        nu, batch, lr0, seed = self.nu, self.batch, self.lr, self.seed
+        nu, batch, lr0, seed, min_steps = self.nu, self.batch, self.lr, self.seed, self.min_steps
 
         def local(wr, X, rnd):  # wr = [w..., rho]
             r = np.random.default_rng([seed, rnd, len(X)])
             w, rho = wr[:-1], wr[-1]
             Z = rff(X, W, b)
-            order = r.permutation(len(Z))
             lr = lr0 / np.sqrt(1.0 + rnd)
-            for s in range(0, len(Z), batch):
-                zb = Z[order[s:s + batch]]
-                viol = (zb @ w) < rho
-                gw = w - (zb[viol].sum(axis=0) / (nu * len(zb)))
-                grho = -1.0 + viol.sum() / (nu * len(zb))
-                w, rho = w - lr * gw, rho - lr * grho
+            passes = max(1, -(-min_steps // max(1, -(-len(Z) // batch))))  # ≥ min_steps updates per round
+            for _ in range(passes):
+                order = r.permutation(len(Z))
+                for s in range(0, len(Z), batch):
+                    zb = Z[order[s:s + batch]]
+                    viol = (zb @ w) < rho
+                    gw = w - (zb[viol].sum(axis=0) / (nu * len(zb)))
+                    grho = -1.0 + viol.sum() / (nu * len(zb))
+                    w, rho = w - lr * gw, rho - lr * grho
             return np.concatenate([w, [rho]])
 
         def loss(wr, X):
@@ -70,7 +74,11 @@ class OneClassSVM:
         for rnd in range(self.rounds):
             wr, _, _ = run_round(data, wr, local, loss, rnd)
         params = {"nu": nu, "gamma": gamma, "n_components": self.D}
-        return OneClassSVMModel(params, W, b, wr[:-1], float(wr[-1]), features_col=self.features_col)
+        model = OneClassSVMModel(params, W, b, wr[:-1], float(wr[-1]), features_col=self.features_col)
+        # ν-property: ρ is the ν-quantile of the training margins w·z (exact, distributed)
+        thr = fit_threshold(model.score(df), "anomaly_score", 100.0 * (1.0 - nu))
+        model.rho, model.threshold = -thr, thr
+        return model
 
 
 class OneClassSVMModel(DetectorModel):
@@ -93,8 +101,8 @@ class OneClassSVMModel(DetectorModel):
         return src.mapInPandas(run, schema).drop("__x")
 
     def _tables(self):
-        pdf = pd.DataFrame({"W": [self.W.ravel().tolist()], "b": [self.b.tolist()], "w": [self.w.tolist()],
-                            "d": [self.W.shape[0]], "rho": [self.rho]})
+        pdf = pd.DataFrame({"proj": [self.W.ravel().tolist()], "phase": [self.b.tolist()],
+                            "weights": [self.w.tolist()], "d": [self.W.shape[0]], "rho": [self.rho]})
         return {"state": self._spark().createDataFrame(pdf)}
 
     @classmethod
@@ -102,5 +110,7 @@ class OneClassSVMModel(DetectorModel):
         meta = DetectorModel.read_meta(spark, path)
         r = spark.read.parquet(os.path.join(path, "state")).first()
         d = int(r["d"])
-        W = np.array(r["W"]).reshape(d, -1)
-        return cls(meta["params"], W, np.array(r["b"]), np.array(r["w"]), float(r["rho"]), meta["features_col"])
+        W = np.array(r["proj"]).reshape(d, -1)
+        m = cls(meta["params"], W, np.array(r["phase"]), np.array(r["weights"]), float(r["rho"]), meta["features_col"])
+        m.threshold = meta["threshold"]
+        return m
