@@ -55,7 +55,7 @@ class LocalOutlierFactor:
         train = materialize(pts.join(kd, "id").join(lrd, "id"))
         lof_train = _lof_from_edges(edges, train)
         thr = fit_threshold(lof_train, "lof", 100.0 * (1.0 - self.contamination))
-        return LOFModel({"n_neighbors": k, "contamination": self.contamination,
+        return LOFModel({"n_neighbors": k, "contamination": self.contamination, "id_col": self.id_col,
                          "mean": proj.mean.tolist(), "comps": proj.comps.tolist()}, train, thr,
                         self.features_col, self.id_col)
 

@@ -523,3 +523,30 @@ def q_threat_vote(spark, sf):
     s = scored(spark, sf).withColumnRenamed("is_anomaly", "exfil")
     v = TH.vote(s, ["exfil", "is_rare_dst_port", "is_night"], out="vote_anomaly")
     return v.select("session_id", F.col("votes").cast("int"), F.col("vote_anomaly").cast("int"))
+
+
+# ---------------------------------------------------------------------------
+# Sources without an SQL oracle
+# ---------------------------------------------------------------------------
+
+
+@register("labelled_flows_profile", None)
+def q_labelled_flows_profile(spark, sf):
+    """Labelled synthetic flows (one per ``events`` row) profiled per class:
+    rows, mean log bytes sent, share of deny, share of well-known ports."""
+    from ..functions.net import is_well_known_port
+    from ..sources.fixtures import labelled_flows
+    lf = labelled_flows(C.table(spark, sf, "events"))
+    return lf.groupBy("is_anomaly").agg(
+        F.count(F.lit(1)).alias("n"), r6(F.avg(F.log1p("bytes_sent")), "mean_log_bytes_sent"),
+        r6(F.avg((F.col("action") == "deny").cast("double")), "deny_share"),
+        r6(F.avg(is_well_known_port("dst_port").cast("double")), "well_known_share"))
+
+
+@register("parse_rejects", None)
+def q_parse_rejects(spark, sf):
+    """The RT_FLOW log mixed with other text lines (the HTML of ``pages``):
+    rejected lines grouped by the first diagnostic step that fails."""
+    from ..sources.syslog import reject_diagnostics
+    other = C.table(spark, sf, "pages").select(F.explode(F.split("html", "\n")).alias("value"))
+    return reject_diagnostics(C.log_lines(spark, sf).select("value").unionByName(other))
