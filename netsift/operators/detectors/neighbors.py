@@ -1,15 +1,20 @@
 """Exact neighbour joins without all-pairs: a grid on a 2-D orthonormal projection.
 
 An orthonormal projection never lengthens a distance, so
-* **ε-join**: two points within ε lie in the same or adjacent projected cells of
-  side ε → equi-join each point with the 3×3 cells around it, verify the full
-  distance (JVM higher-order functions, no Python);
-* **k nearest neighbours**: rings of cells around each query are joined one ring at a
-  time; after ring r every unseen point is farther than r·s in projection, so a query
-  whose current k-th distance is ≤ r·s is final. Rings continue until every query is
-  final (the grid extent bounds the rounds) — there is no cap on candidates.
-
-Each round's state is a reliable checkpoint (shared folder), not a local one.
+
+* **ε-join**: two points within ε lie in the same or adjacent projected cells of side
+  ε — every query cell is paired with its 3×3 block of data cells;
+* **k nearest neighbours**: square annuli of cells around each query cell are visited
+  round by round (covered Chebyshev radius R = 1, 3, 7, 15, …); every unseen point is
+  farther than R·s in projection, so a query whose current k-th distance is ≤ R·s is
+  final. Rounds continue until every query is final (the grid extent bounds them) —
+  no cap on candidates.
+
+Work is done per **cell block**: the queries of one cell are co-grouped with the data
+points of the requested cells (``cogroup(...).applyInPandas``) and NumPy computes the
+distance block. Queries of a crowded cell are split by a hashed salt into sub-groups
+of at most ``block`` queries, so a hot cell spreads over many tasks instead of one.
+Round state is a reliable checkpoint (shared folder), never a local one.
 """
 
 from __future__ import annotations
@@ -17,18 +22,16 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..joins import materialize
 
-
-def distance(a: Column, b: Column) -> Column:
-    sq = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.sqrt(F.aggregate(sq, F.lit(0.0), lambda acc, v: acc + v))
+QUERY_BLOCK = 256
+_CHUNK = 4_000_000  # doubles per distance chunk inside a task
 
 
 class Projection:
@@ -50,9 +53,9 @@ class Projection:
 
     def columns(self, xcol: str = "x") -> list[Column]:
         out = []
+        m = F.array(*[F.lit(float(c)) for c in self.mean])
         for j in range(2):
             w = F.array(*[F.lit(float(c)) for c in self.comps[:, j]])
-            m = F.array(*[F.lit(float(c)) for c in self.mean])
             centred = F.zip_with(F.col(xcol), m, lambda a, b: a - b)
             out.append(F.aggregate(F.zip_with(centred, w, lambda a, b: a * b), F.lit(0.0),
                                    lambda acc, v: acc + v).alias(f"p{j}"))
@@ -63,71 +66,112 @@ def with_cells(df: DataFrame, proj: Projection, side: float, xcol: str = "x") ->
     p0, p1 = proj.columns(xcol)
     d = df.select("*", p0, p1)
     return d.withColumn("cx", F.floor(F.col("p0") / side).cast("long")) \
-            .withColumn("cy", F.floor(F.col("p1") / side).cast("long"))
+            .withColumn("cy", F.floor(F.col("p1") / side).cast("long")).drop("p0", "p1")
 
 
-def eps_pairs(points: DataFrame, eps: float, proj: Projection | None = None, xcol: str = "x",
-              idcol: str = "id") -> DataFrame:
-    """All (a, b, dist) with dist ≤ eps, both directions, self pairs included."""
-    proj = proj or Projection.fit(points, xcol)
-    g = with_cells(points.select(idcol, xcol), proj, eps, xcol)
-    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    probe = g.select(F.col(idcol).alias("a"), F.col(xcol).alias("xa"), F.explode(offs).alias("o"),
-                     "cx", "cy").select("a", "xa", (F.col("cx") + F.col("o.dx")).alias("cx"),
-                                        (F.col("cy") + F.col("o.dy")).alias("cy"))
-    data = g.select(F.col(idcol).alias("b"), F.col(xcol).alias("xb"), "cx", "cy")
-    j = probe.join(data, ["cx", "cy"]).select("a", "b", distance(F.col("xa"), F.col("xb")).alias("dist"))
-    return j.where(F.col("dist") <= eps)
-
-
-def _ring_offsets(r: int) -> Column:
-    if r == 0:
-        return F.array(F.struct(F.lit(0).alias("dx"), F.lit(0).alias("dy")))
-    top = F.transform(F.sequence(F.lit(-r), F.lit(r)), lambda t: F.struct(t.alias("dx"), F.lit(r).alias("dy")))
-    bot = F.transform(F.sequence(F.lit(-r), F.lit(r)), lambda t: F.struct(t.alias("dx"), F.lit(-r).alias("dy")))
-    lft = F.transform(F.sequence(F.lit(-r + 1), F.lit(r - 1)), lambda t: F.struct(F.lit(-r).alias("dx"), t.alias("dy")))
-    rgt = F.transform(F.sequence(F.lit(-r + 1), F.lit(r - 1)), lambda t: F.struct(F.lit(r).alias("dx"), t.alias("dy")))
-    return F.concat(top, bot, lft, rgt)
+def _radius(r: int) -> int:
+    """Chebyshev radius covered after round r: 1, 3, 7, 15, … (geometric growth keeps
+    the number of rounds logarithmic in the grid extent; the own cell alone can never
+    finish a query, so the first round already covers the 3×3 block)."""
+    return (1 << (r + 1)) - 1
+
+
+def _ring(r: int) -> list[tuple[int, int]]:
+    """Cells with Chebyshev distance in (radius(r-1), radius(r)]."""
+    lo, hi = (_radius(r - 1) if r > 0 else -1), _radius(r)
+    return [(dx, dy) for dx in range(-hi, hi + 1) for dy in range(-hi, hi + 1) if lo < max(abs(dx), abs(dy))]
+
+
+def _offsets_col(offs: list[tuple[int, int]]) -> Column:
+    return F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in offs]))
+
+
+def _salted(queries: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Adds ``salt`` to queries; returns (queries, per-(cell, salt) request keys)."""
+    counts = queries.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_s", F.greatest(F.lit(1), F.ceil(F.col("_n") / block)).cast("int"))
+    q = queries.join(counts.select("cx", "cy", "_s"), ["cx", "cy"])
+    q = q.withColumn("salt", F.pmod(F.xxhash64(F.col("qid")), F.col("_s")).cast("int")).drop("_s")
+    keys = counts.select("cx", "cy", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("salt"))
+    return q, keys
+
+
+def _candidates(keys: DataFrame, cells: DataFrame, offs: list[tuple[int, int]]) -> DataFrame:
+    """Data points of the requested cells, tagged with the requesting (cell, salt)."""
+    req = keys.select("cx", "cy", "salt", _offsets_col(offs).alias("o")).select(
+        F.col("cx").alias("qcx"), F.col("cy").alias("qcy"), "salt",
+        (F.col("cx") + F.col("o.dx")).alias("cx"), (F.col("cy") + F.col("o.dy")).alias("cy"))
+    return req.join(cells, ["cx", "cy"]).select(F.col("qcx").alias("cx"), F.col("qcy").alias("cy"), "salt",
+                                                 "id", "x")
+
+
+def _block_distances(Q: np.ndarray, Cx: np.ndarray):
+    """Yields (row slice, distance block) for the queries × candidates matrix in chunks."""
+    step = max(1, _CHUNK // max(1, Cx.shape[0] * max(1, Cx.shape[1])))
+    for s in range(0, len(Q), step):
+        diff = Q[s:s + step, None, :] - Cx[None, :, :]
+        yield s, np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+
+
+KNN_STATE = "qid long, qx array<double>, cx long, cy long, nd array<double>, ni array<long>"
 
 
 def knn(queries: DataFrame, data: DataFrame, k: int, proj: Projection | None = None, side: float | None = None,
-        xcol: str = "x", idcol: str = "id") -> DataFrame:
+        xcol: str = "x", idcol: str = "id", block: int = QUERY_BLOCK) -> DataFrame:
     """Exact k nearest ``data`` points for every query: (qid, nbrs array<struct<dist,id>>)
     sorted by (dist, id). A query that is also a data point finds itself at distance 0."""
     proj = proj or Projection.fit(data, xcol)
-    dp = data.select(F.col(idcol).alias("id"), F.col(xcol).alias("x"))
+    dp = data.select(F.col(idcol).cast("long").alias("id"), F.col(xcol).cast("array<double>").alias("x"))
+    # one pass: projected extent → cell side (≈ k points per cell) and grid span
+    ext = dp.select(*proj.columns("x")).agg(F.count(F.lit(1)), F.min("p0"), F.max("p0"),
+                                            F.min("p1"), F.max("p1")).first()
     if side is None:
-        ext = with_cells(dp, proj, 1.0).agg(F.count(F.lit(1)).alias("n"), F.min("p0"), F.max("p0"),
-                                             F.min("p1"), F.max("p1")).first()
         area = max((ext[2] - ext[1]) * (ext[4] - ext[3]), 1e-12)
         side = math.sqrt(area * k / max(ext[0], 1)) or 1.0
-    cells = materialize(with_cells(dp, proj, side).select("id", "x", "cx", "cy"))
-    span = cells.agg(F.min("cx"), F.max("cx"), F.min("cy"), F.max("cy")).first()
-    max_r = int(max(span[1] - span[0], span[3] - span[2])) + 1
-    q = with_cells(queries.select(F.col(idcol).alias("qid"), F.col(xcol).alias("qx")).withColumnRenamed("qx", "x"),
-                   proj, side).select("qid", F.col("x").alias("qx"), "cx", "cy")
-    state = q.withColumn("nbrs", F.array().cast("array<struct<dist:double,id:bigint>>"))
+    cells = materialize(with_cells(dp, proj, side))
+    max_r = int(max(math.floor(ext[2] / side) - math.floor(ext[1] / side),
+                    math.floor(ext[4] / side) - math.floor(ext[3] / side))) + 1
+    q = with_cells(queries.select(F.col(idcol).cast("long").alias("qid"),
+                                  F.col(xcol).cast("array<double>").alias("x")), proj, side)
+    active = materialize(q.select("qid", F.col("x").alias("qx"), "cx", "cy",
+                                  F.array().cast("array<double>").alias("nd"),
+                                  F.array().cast("array<long>").alias("ni")))
+
+    def merge(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
+        if len(qpdf) == 0:
+            return pd.DataFrame(columns=["qid", "qx", "cx", "cy", "nd", "ni"])
+        Q = np.array(qpdf["qx"].tolist(), dtype=float)
+        nd_out, ni_out = [], []
+        if len(cpdf):
+            Cx = np.array(cpdf["x"].tolist(), dtype=float)
+            cid = cpdf["id"].to_numpy(dtype=np.int64)
+            for s, D in _block_distances(Q, Cx):
+                for i in range(D.shape[0]):
+                    old_d = np.asarray(qpdf["nd"].iloc[s + i], dtype=float)
+                    old_i = np.asarray(qpdf["ni"].iloc[s + i], dtype=np.int64)
+                    dd = np.concatenate([old_d, D[i]])
+                    ii = np.concatenate([old_i, cid])
+                    o = np.lexsort((ii, dd))[:k]
+                    nd_out.append(dd[o])
+                    ni_out.append(ii[o])
+        else:
+            nd_out = [np.asarray(v, dtype=float) for v in qpdf["nd"]]
+            ni_out = [np.asarray(v, dtype=np.int64) for v in qpdf["ni"]]
+        return pd.DataFrame({"qid": qpdf["qid"], "qx": qpdf["qx"], "cx": qpdf["cx"], "cy": qpdf["cy"],
+                             "nd": nd_out, "ni": ni_out})
+
     done_parts = []
     r = 0
-    active = materialize(state)
     while True:
-        probe = active.select("qid", "qx", F.explode(_ring_offsets(r)).alias("o"), "cx", "cy").select(
-            "qid", "qx", (F.col("cx") + F.col("o.dx")).alias("cx"), (F.col("cy") + F.col("o.dy")).alias("cy"))
-        cand = probe.join(cells, ["cx", "cy"]).select(
-            "qid", F.struct(distance(F.col("qx"), F.col("x")).alias("dist"), F.col("id").cast("bigint").alias("id"))
-            .alias("c"))
-        # keep at most k candidates per query before gathering them into an array
-        rk = F.row_number().over(Window.partitionBy("qid").orderBy(F.col("c.dist"), F.col("c.id")))
-        found = cand.withColumn("_rk", rk).where(F.col("_rk") <= k).groupBy("qid") \
-            .agg(F.collect_list("c").alias("new"))
-        merged = active.join(found, "qid", "left").withColumn(
-            "nbrs", F.slice(F.array_sort(F.concat("nbrs", F.coalesce("new", F.array().cast(
-                "array<struct<dist:double,id:bigint>>")))), 1, k)).drop("new")
-        fin = (F.size("nbrs") >= k) & (F.element_at("nbrs", k)["dist"] <= F.lit(r * side))
-        if r >= max_r:
+        qs, keys = _salted(active, block)
+        cand = _candidates(keys, cells, _ring(r))
+        merged = qs.groupBy("cx", "cy", "salt").cogroup(cand.groupBy("cx", "cy", "salt")) \
+            .applyInPandas(merge, KNN_STATE)
+        fin = (F.size("nd") >= k) & (F.element_at("nd", k) <= F.lit(_radius(r) * side))
+        if _radius(r) >= max_r:
             fin = F.lit(True)
         merged = materialize(merged.withColumn("_fin", fin))
-        done_parts.append(merged.where("_fin").select("qid", "nbrs"))
+        done_parts.append(merged.where("_fin").select("qid", "nd", "ni"))
         active = merged.where(~F.col("_fin")).drop("_fin")
         if active.isEmpty():
             break
@@ -135,4 +179,34 @@ def knn(queries: DataFrame, data: DataFrame, k: int, proj: Projection | None = N
     out = done_parts[0]
     for p in done_parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.select("qid", F.arrays_zip(F.col("nd").alias("dist"), F.col("ni").alias("id")).alias("nbrs"))
+
+
+def eps_pairs(points: DataFrame, eps: float, proj: Projection | None = None, xcol: str = "x",
+              idcol: str = "id", block: int = QUERY_BLOCK) -> DataFrame:
+    """All (a, b, dist) with dist ≤ eps, both directions, self pairs included."""
+    proj = proj or Projection.fit(points, xcol)
+    g = materialize(with_cells(points.select(F.col(idcol).cast("long").alias("id"),
+                                             F.col(xcol).cast("array<double>").alias("x")), proj, eps))
+    q = g.select(F.col("id").alias("qid"), F.col("x").alias("qx"), "cx", "cy")
+    qs, keys = _salted(q, block)
+    cand = _candidates(keys, g, [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+
+    def pairs(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
+        if len(qpdf) == 0 or len(cpdf) == 0:
+            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64"),
+                                 "dist": pd.Series(dtype=float)})
+        Q = np.array(qpdf["qx"].tolist(), dtype=float)
+        Cx = np.array(cpdf["x"].tolist(), dtype=float)
+        qid = qpdf["qid"].to_numpy(dtype=np.int64)
+        cid = cpdf["id"].to_numpy(dtype=np.int64)
+        out_a, out_b, out_d = [], [], []
+        for s, D in _block_distances(Q, Cx):
+            ii, jj = np.nonzero(D <= eps)
+            out_a.append(qid[s + ii])
+            out_b.append(cid[jj])
+            out_d.append(D[ii, jj])
+        return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b), "dist": np.concatenate(out_d)})
+
+    return qs.groupBy("cx", "cy", "salt").cogroup(cand.groupBy("cx", "cy", "salt")) \
+        .applyInPandas(pairs, "a long, b long, dist double")
