@@ -172,22 +172,21 @@ def top_values(df: DataFrame, cols=("src_ip", "dst_ip", "dst_port", "application
                where=None) -> DataFrame:
     """Top-k values by sessions for several columns: (dimension, rank, value, n).
 
-    Counts come from one exploded aggregate; each dimension's top-k is a
-    ``TakeOrderedAndProject`` (per-partition top-k, then a k-row merge), so no
-    dimension's distinct values are gathered into a single task.
+    Each column is aggregated on its own (the scan reads that one column), and its
+    top-k is a ``TakeOrderedAndProject`` (per-partition top-k, then a k-row merge), so
+    no column's distinct values are gathered into a single task.
     """
+    from pyspark.sql.window import Window
     cols = _present(df, cols)
     src = df if where is None else df.where(where)
-    long = src.select(F.explode(F.array(*[F.struct(F.lit(c).alias("dimension"),
-                                                   F.col(c).cast("string").alias("value")) for c in cols]))
-                      .alias("e")).select("e.*").where(F.col("value").isNotNull())
-    counts = long.groupBy("dimension", "value").agg(F.count(F.lit(1)).alias("n"))
     parts = []
     for c in cols:
-        top = counts.where(F.col("dimension") == c).orderBy(F.desc("n"), F.asc("value")).limit(k)
-        parts.append(top)
+        counts = src.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("value")) \
+            .agg(F.count(F.lit(1)).alias("n"))
+        parts.append(counts.orderBy(F.desc("n"), F.asc("value")).limit(k)
+                     .select(F.lit(c).alias("dimension"), "value", "n"))
     allk = reduce(DataFrame.unionByName, parts)
-    from pyspark.sql.window import Window  # k·dims rows: bounded window
+    # k·dims rows: a bounded window
     return allk.withColumn("rank", F.row_number().over(Window.partitionBy("dimension")
                                                         .orderBy(F.desc("n"), F.asc("value"))).cast("int")) \
         .select("dimension", "rank", "value", "n")

@@ -9,7 +9,8 @@ Plan shape (one shuffle per side, skew-safe):
   skewed CLOSE partitions AQE splits.
 * Median of paired durations: one exact ``percentile`` (a value→count map, bounded by
   the number of distinct 0.1 s durations, merged partially), attached to every row by a
-  one-row broadcast — no driver round trip.
+  one-row broadcast — no driver round trip. The joined rows are checkpointed first so
+  the median pass and the output pass share one parse and one join.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefn import syslog_timestamp
+from .joins import materialize
 from ..schema import CLOSE_EVENT, CREATE_EVENT
 
 SECONDS_PER_DAY = 86400.0
@@ -38,7 +40,7 @@ def _ord_col(df: DataFrame) -> Column:
 
 
 def pair_sessions(events: DataFrame, year: int, median: str = "exact",
-                  with_flags: bool = False) -> DataFrame:
+                  with_flags: bool = False, materialize_join: bool = True) -> DataFrame:
     """CLOSE rows with ``duration`` (seconds, 0.1 s) from the first CREATE of the same session.
 
     * negative duration (CREATE after CLOSE in the log) gets +86400 s once;
@@ -61,6 +63,10 @@ def pair_sessions(events: DataFrame, year: int, median: str = "exact",
     j = j.withColumn("_d0", raw)
     j = j.withColumn("_neg", F.coalesce(F.col("_d0") < 0, F.lit(False)))
     j = j.withColumn("_d1", F.when(F.col("_neg"), F.col("_d0") + SECONDS_PER_DAY).otherwise(F.col("_d0")))
+    if materialize_join:
+        # the median needs a second pass over the paired rows: checkpoint the join once so
+        # the log is parsed and joined a single time (shared folder, survives executor loss)
+        j = materialize(j)
     med_fn = F.median("_d1") if median == "exact" else F.percentile_approx("_d1", 0.5, 10000).cast("double")
     med = j.agg(med_fn.alias("_median"))
     j = j.crossJoin(F.broadcast(med))
