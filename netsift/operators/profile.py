@@ -148,24 +148,62 @@ def numeric_columns(df: DataFrame, exclude=ID_COLUMNS) -> list[str]:
 
 
 def corr_matrix(df: DataFrame, cols=None) -> DataFrame:
-    """Pearson correlation, pairwise deletion, strict lower triangle (i > j) as
-    (col_a, col_b, corr). Zero variance → NULL (no ANSI divide error). One pass."""
+    """Pearson correlation with pairwise deletion, strict lower triangle (i > j) as
+    (col_a, col_b, corr); zero variance → NULL.
+
+    One pass of Arrow batches: each partition turns its block into moment matrices with
+    BLAS products over the non-null masks (pair counts, sums, cross-products of values
+    shifted by the column means, which avoids cancellation); a distributed sum merges
+    them. Output and state are bounded by columns², not rows.
+    """
+    import numpy as np
+    import pandas as pd
+
     cols = cols or numeric_columns(df)
-    aggs, pairs = [], []
-    for i in range(len(cols)):
+    c = len(cols)
+    x = df.select(*[F.col(k).cast("double").alias(f"c{i}") for i, k in enumerate(cols)])
+    means = x.agg(*[F.avg(f"c{i}").alias(f"c{i}") for i in range(c)]).first()
+    shift = np.array([means[i] if means[i] is not None else 0.0 for i in range(c)])
+    names = [f"c{i}" for i in range(c)]
+
+    def moments(batches):
+        acc = None
+        for pdf in batches:
+            X = pdf[names].to_numpy(dtype=float) - shift
+            M = (~np.isnan(X)).astype(float)
+            X0 = np.where(M > 0, X, 0.0)
+            part = np.concatenate([(M.T @ M).ravel(), (X0.T @ M).ravel(), (X0.T @ X0).ravel(),
+                                   ((X0 * X0).T @ M).ravel()])
+            acc = part if acc is None else acc + part
+        if acc is not None:
+            yield pd.DataFrame({"m": [acc.tolist()]})
+
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+    parts = x.mapInPandas(moments, "m array<double>")
+    tot = parts.select(array_to_vector("m").alias("m")).agg(Summarizer.sum(F.col("m")).alias("m")).first()
+    spark = df.sparkSession
+    if tot is None or tot["m"] is None:
+        return spark.createDataFrame([], "col_a string, col_b string, corr double")
+    m = tot["m"].toArray().reshape(4, c, c)
+    n, sa, sab, saa = m[0], m[1], m[2], m[3]   # sa[i, j] = Σ x_i over rows where x_i, x_j present
+    rows = []
+    for i in range(c):
         for j in range(i):
-            a, b = F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")
-            both = a.isNotNull() & b.isNotNull()
-            k = len(pairs)
-            aggs += [F.covar_pop(F.when(both, a), F.when(both, b)).alias(f"cv{k}"),
-                     F.stddev_pop(F.when(both, a)).alias(f"sa{k}"),
-                     F.stddev_pop(F.when(both, b)).alias(f"sb{k}")]
-            pairs.append((cols[i], cols[j]))
-    r = df.agg(*aggs)
-    items = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                               F.round(F.try_divide(F.col(f"cv{k}"), F.col(f"sa{k}") * F.col(f"sb{k}")), 6)
-                               .alias("corr")) for k, (a, b) in enumerate(pairs)])
-    return r.select(F.inline(items))
+            nn = n[i, j]
+            if nn <= 0:
+                rows.append((cols[i], cols[j], None))
+                continue
+            ma, mb = sa[i, j] / nn, sa[j, i] / nn
+            cov = sab[i, j] / nn - ma * mb
+            va = saa[i, j] / nn - ma * ma
+            vb = saa[j, i] / nn - mb * mb
+            den = np.sqrt(va * vb) if va > 0 and vb > 0 else 0.0
+            val = None if den <= 0 or abs(va) < 1e-300 else float(round(cov / den, 6))
+            if val is not None and (va <= 1e-12 * max(1.0, abs(ma) ** 2) or vb <= 1e-12 * max(1.0, abs(mb) ** 2)):
+                val = None
+            rows.append((cols[i], cols[j], val))
+    return spark.createDataFrame(rows, "col_a string, col_b string, corr double")
 
 
 def top_values(df: DataFrame, cols=("src_ip", "dst_ip", "dst_port", "application"), k: int = TOP_PROFILE,

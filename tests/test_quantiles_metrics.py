@@ -42,3 +42,21 @@ def test_confusion_one_class(spark):
     df = spark.createDataFrame([(0, 0), (0, 0)], "y int, pred int")
     r = M.prf(df).first()
     assert (r.tn, r.fp, r.fn, r.tp) == (2, 0, 0, 0) and r.f1 == 0.0
+
+
+def test_corr_matrix_pairwise_deletion(spark):
+    from netsift.operators.profile import corr_matrix
+    rng = np.random.default_rng(7)
+    a = rng.normal(1e6, 5e3, 500)
+    b = a * 0.5 + rng.normal(0, 1e3, 500)
+    c = rng.normal(0, 1, 500)
+    a[::7] = np.nan
+    c[::5] = np.nan
+    pdf = pd.DataFrame({"a": a, "b": b, "c": c, "k": np.full(500, 3.0)})
+    got = {(r.col_a, r.col_b): r.corr for r in corr_matrix(spark.createDataFrame(pdf), ["a", "b", "c", "k"]).collect()}
+    want = pdf.corr()
+    for (x, y), v in got.items():
+        if y == "k" or x == "k":
+            assert v is None
+        else:
+            assert abs(v - want.loc[x, y]) < 1e-6
