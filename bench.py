@@ -91,7 +91,8 @@ def main() -> None:
                                                     .select("doc_id", "n_chars"), "doc_id")
         lab = M.flag_above(lab.select(F.col("toxic").alias("y"), F.col("n_chars").cast("double").alias("score")),
                            "score", 95.0, out="pred")
-        return [d.collect() for d in (M.prf(lab), M.roc_auc(lab), M.average_precision(lab), M.roc_points(lab),
+        lab = lab.checkpoint()
+        return [d.collect() for d in (M.prf(lab), M.ranking_metrics(lab), M.roc_points(lab),
                                       M.class_report(lab), M.score_density(lab, "score", "y"))]
     timed("metrics", metrics)
 

@@ -83,6 +83,18 @@ def average_precision(df: DataFrame, y: str = "y", score: str = "score") -> Data
     return t.agg(F.round(F.sum(term), 6).alias("avg_precision"))
 
 
+def ranking_metrics(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
+    """ROC-AUC and average precision from one score table in one aggregate."""
+    t = score_table(df, y, score)
+    tp = F.col("pos_above") + F.col("pos")
+    fp = F.col("neg_above") + F.col("neg")
+    ap = F.when(F.col("pos") > 0, (F.col("pos") / F.col("P")) * (tp / (tp + fp)))
+    return t.agg(
+        F.round(F.try_divide(F.sum(F.col("neg") * (F.col("pos_above") + F.col("pos") / 2.0)),
+                             F.first("P") * F.first("N")), 6).alias("roc_auc"),
+        F.round(F.sum(ap), 6).alias("avg_precision"))
+
+
 def roc_points(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
     """(threshold, fpr, tpr) for every distinct score, highest threshold first."""
     t = score_table(df, y, score)

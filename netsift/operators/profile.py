@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..schema import ID_COLUMNS, TOP_PROFILE, TRAFFIC_COLUMNS, WEEKDAY_NAMES
 from .joins import attach_scalars
-from .quantiles import exact_quantiles
+from .quantiles import grouped_quantiles
 
 GB = float(1024 ** 3)
 
@@ -232,28 +232,32 @@ def top_values(df: DataFrame, cols=("src_ip", "dst_ip", "dst_port", "application
 
 def iqr_outliers(df: DataFrame, cols=None) -> DataFrame:
     """Quartiles (linear), IQR, 1.5·IQR fences, whiskers, outlier count and percent of
-    all rows, per column. Quartiles come from the distributed exact quantile."""
+    all rows, per column. Two passes for all columns together: one grouped exact
+    quantile over the long (feature, value) form, one outlier count against the
+    broadcast fences."""
     cols = _present(df, cols or TRAFFIC_COLUMNS)
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"))
+                                         for c in cols])).alias("e")).select("e.*")
+    q = grouped_quantiles(long, "feature", "x", [0.25, 0.5, 0.75])
+    q = q.select("feature", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
+    q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
+         .withColumn("lower_fence", F.col("q1") - 1.5 * F.col("iqr")) \
+         .withColumn("upper_fence", F.col("q3") + 1.5 * F.col("iqr"))
+    x = F.col("x")
+    # fences: one row per profiled column, broadcast
+    stats = long.join(F.broadcast(q.select("feature", "lower_fence", "upper_fence")), "feature").groupBy(
+        "feature").agg(
+        F.count_if((x < F.col("lower_fence")) | (x > F.col("upper_fence"))).alias("n_outliers"),
+        F.min(F.when(x >= F.col("lower_fence"), x)).alias("whisker_low"),
+        F.max(F.when(x <= F.col("upper_fence"), x)).alias("whisker_high"))
     total = df.agg(F.count(F.lit(1)).alias("n_rows"))
-    out = []
-    for c in cols:
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75])
-        q = q.select(F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
-        q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
-             .withColumn("lower_fence", F.col("q1") - 1.5 * F.col("iqr")) \
-             .withColumn("upper_fence", F.col("q3") + 1.5 * F.col("iqr"))
-        x = F.col(c).cast("double")
-        stats = attach_scalars(df.select(c), q).agg(
-            F.count_if((x < F.col("lower_fence")) | (x > F.col("upper_fence"))).alias("n_outliers"),
-            F.min(F.when(x >= F.col("lower_fence"), x)).alias("whisker_low"),
-            F.max(F.when(x <= F.col("upper_fence"), x)).alias("whisker_high"))
-        row = attach_scalars(attach_scalars(q, stats), total).select(
-            F.lit(c).alias("feature"), *[F.round(F.col(k), 6).alias(k) for k in
-                                         ["q1", "median", "q3", "iqr", "lower_fence", "upper_fence",
-                                          "whisker_low", "whisker_high"]],
-            "n_outliers", F.round(F.try_divide(F.col("n_outliers") * 100.0, F.col("n_rows")), 6).alias("pct_outliers"))
-        out.append(row)
-    return reduce(DataFrame.unionByName, out)
+    out = attach_scalars(q.join(stats, "feature", "left"), total)
+    return out.select(
+        "feature", *[F.round(F.col(k), 6).alias(k) for k in
+                     ["q1", "median", "q3", "iqr", "lower_fence", "upper_fence", "whisker_low", "whisker_high"]],
+        F.coalesce(F.col("n_outliers"), F.lit(0)).alias("n_outliers"),
+        F.round(F.try_divide(F.coalesce(F.col("n_outliers"), F.lit(0)) * 100.0, F.col("n_rows")), 6)
+        .alias("pct_outliers"))
 
 
 def class_distribution(df: DataFrame, label: str = "is_anomaly") -> DataFrame:

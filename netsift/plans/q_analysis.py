@@ -437,9 +437,7 @@ def q_model_comparison(spark, sf):
     """Supervised comparison table (model, metric, value)."""
     lab = labelled(spark, sf)
     p = M.prf(lab).select("precision", "recall", "f1")
-    a = M.roc_auc(lab)
-    ap = M.average_precision(lab)
-    row = p.crossJoin(a).crossJoin(ap).withColumn("model", F.lit("n_chars"))
+    row = p.crossJoin(M.ranking_metrics(lab)).withColumn("model", F.lit("n_chars"))
     return M.supervised_comparison([row])
 
 
