@@ -109,7 +109,7 @@ def main() -> None:
 
     emb = C.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"),
                                                      F.col("embedding").cast("array<double>").alias("features"))
-    timed("lof_embeddings", lambda: LocalOutlierFactor(20, 0.05).fit(emb).transform(emb)
+    timed("lof_embeddings", lambda: LocalOutlierFactor(20, 0.05).fit_transform(emb)[1]
           .agg(F.sum("is_anomaly")).collect())
     timed("dbscan_embeddings", lambda: DBSCAN(1.2, 10).fit_predict(emb).agg(F.sum("is_anomaly")).collect())
 

@@ -55,9 +55,23 @@ class LocalOutlierFactor:
         train = materialize(pts.join(kd, "id").join(lrd, "id"))
         lof_train = _lof_from_edges(edges, train)
         thr = fit_threshold(lof_train, "lof", 100.0 * (1.0 - self.contamination))
-        return LOFModel({"n_neighbors": k, "contamination": self.contamination, "id_col": self.id_col,
-                         "mean": proj.mean.tolist(), "comps": proj.comps.tolist()}, train, thr,
-                        self.features_col, self.id_col)
+        model = LOFModel({"n_neighbors": k, "contamination": self.contamination, "id_col": self.id_col,
+                          "mean": proj.mean.tolist(), "comps": proj.comps.tolist()}, train, thr,
+                         self.features_col, self.id_col)
+        model._train_nbrs = nn
+        return model
+
+    def fit_transform(self, df: DataFrame) -> tuple["LOFModel", DataFrame]:
+        """Fit, then score the training rows as new points without a second neighbour
+        search: the first k of each row's k+1 neighbours (itself included) are exactly
+        its novelty-scoring neighbours."""
+        model = self.fit(df)
+        edges = model._train_nbrs.select("qid", F.inline(F.slice("nbrs", 1, self.k)))
+        lof = _lof_from_edges(edges, model.train).select(F.col("qid").alias("__qid"),
+                                                          F.col("lof").alias("anomaly_score"))
+        scored = df.join(lof, F.col(self.id_col).cast("bigint") == F.col("__qid"), "left").drop("__qid")
+        flag = F.coalesce((F.col("anomaly_score") > F.lit(model.threshold)).cast("int"), F.lit(0))
+        return model, scored.withColumn("is_anomaly", flag)
 
 
 class LOFModel(DetectorModel):

@@ -38,8 +38,7 @@ def _embeddings(spark, sf):
 def q_lof_embeddings(spark, sf):
     """Exact local outlier factor (k = 20, novelty scoring of the training rows)."""
     e = _embeddings(spark, sf)
-    m = LocalOutlierFactor(n_neighbors=20, contamination=0.05).fit(e)
-    s = m.transform(e)
+    _, s = LocalOutlierFactor(n_neighbors=20, contamination=0.05).fit_transform(e)
     return s.select(F.col("id").alias("vec_id"), r6("anomaly_score", "lof"), F.col("is_anomaly").cast("int"))
 
 

@@ -45,6 +45,11 @@ def test_lof_exact_against_brute_force(spark):
     got = {r.id: r.anomaly_score for r in m.transform(df).collect()}
     want = _lof_brute(X, 10)
     assert np.allclose([got[i] for i in range(len(X))], want, rtol=1e-9, atol=1e-9)
+    _, s2 = LocalOutlierFactor(n_neighbors=10, contamination=0.05).fit_transform(df)
+    got2 = {r.id: (r.anomaly_score, r.is_anomaly) for r in s2.collect()}
+    assert np.allclose([got2[i][0] for i in range(len(X))], want, rtol=1e-9, atol=1e-9)
+    flags = {r.id: r.is_anomaly for r in m.transform(df).collect()}
+    assert all(flags[i] == got2[i][1] for i in range(len(X)))
 
 
 def test_dbscan_core_and_noise_against_brute_force(spark):
