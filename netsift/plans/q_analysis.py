@@ -12,7 +12,7 @@ from ..operators.sessions import prepare_events
 from ..functions.timefn import syslog_timestamp
 from ..schema import FEATURE_COLUMNS, SESSION_SCHEMA, TRAFFIC_COLUMNS
 from . import catalog as C
-from .oracle_sql import WELL_KNOWN  # noqa: F401
+from .oracle_sql import is_private
 from .registry import r6, register
 
 GBD = "1073741824.0"
@@ -500,14 +500,12 @@ def q_threat_brute_force(spark, sf):
     return TH.brute_force(ev, "1 day", min_denies=2)
 
 
-@register("threat_beaconing", """
+@register("threat_beaconing", f"""
 , g AS (SELECT src_ip, dst_ip, epoch_us(ts) / 1e6 - lag(epoch_us(ts) / 1e6) OVER (PARTITION BY src_ip, dst_ip ORDER BY ts) AS g
-        FROM feat WHERE ts IS NOT NULL AND src_ip IS NOT NULL AND dst_ip IS NOT NULL AND NOT (""" + """
-        {priv})),
+        FROM feat WHERE ts IS NOT NULL AND src_ip IS NOT NULL AND dst_ip IS NOT NULL AND {is_private('dst_ip')} = 0),
 a AS (SELECT src_ip, dst_ip, count(*) AS connections, count(g) AS k, avg(g) AS m, stddev_pop(g) AS sd FROM g GROUP BY ALL)
 SELECT src_ip, dst_ip, connections, round(m, 6) AS mean_gap_s, round(sd, 6) AS std_gap_s, round(sd / m, 6) AS cv
-FROM a WHERE k > 0 AND connections >= 2 AND sd / m <= 1.0 AND m <= 2592000""".replace(
-    "{priv}", "CAST(" + "dst_ip" + " AS VARCHAR) IS NULL OR " + __import__("netsift.plans.oracle_sql", fromlist=["x"]).is_private("dst_ip") + " = 1"))
+FROM a WHERE k > 0 AND connections >= 2 AND sd / m <= 1.0 AND m <= 2592000""")
 def q_threat_beaconing(spark, sf):
     """Regular connections to external destinations (gap coefficient of variation)."""
     return TH.beaconing(C.features_df(spark, sf), min_connections=2, max_cv=1.0, max_mean_gap_s=2592000.0)
