@@ -81,9 +81,45 @@ def protocol_index(df: DataFrame) -> DataFrame:
     return names.withColumn("protocol_enc", (F.dense_rank().over(Window.orderBy("_proto")) - 1).cast("int"))
 
 
+class FeatureLookups:
+    """Data-wide lookups fitted once on training sessions and reused for new data:
+    per-port session counts, the rare-port threshold, the protocol index.
+
+    (Per-source behaviour counts stay per dataset by design.) Saved as parquet + a
+    one-row threshold table, so scoring a new log uses the training definitions.
+    """
+
+    def __init__(self, ports: DataFrame, rare_threshold: float | None, protocols: DataFrame):
+        self.ports, self.rare_threshold, self.protocols = ports, rare_threshold, protocols
+
+    @classmethod
+    def fit(cls, sessions: DataFrame) -> "FeatureLookups":
+        df = _coerce(sessions)
+        ports = materialize(port_counts(df))
+        thr = rare_port_threshold(ports).first()[0]
+        protos = materialize(protocol_index(df.withColumn("protocol", F.col("protocol"))))
+        return cls(ports, thr, protos)
+
+    def save(self, path: str) -> str:
+        import os
+        self.ports.write.mode("overwrite").parquet(os.path.join(path, "ports"))
+        self.protocols.write.mode("overwrite").parquet(os.path.join(path, "protocols"))
+        spark = self.ports.sparkSession
+        spark.createDataFrame([(self.rare_threshold,)], "rare_threshold double").write.mode("overwrite") \
+            .parquet(os.path.join(path, "threshold"))
+        return path
+
+    @classmethod
+    def load(cls, spark, path: str) -> "FeatureLookups":
+        import os
+        thr = spark.read.parquet(os.path.join(path, "threshold")).first()[0]
+        return cls(spark.read.parquet(os.path.join(path, "ports")), thr,
+                   spark.read.parquet(os.path.join(path, "protocols")))
+
+
 def engineer_features(sessions: DataFrame, year: int, approx_distinct: bool = False,
                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      materialize_input: bool = True) -> DataFrame:
+                      materialize_input: bool = True, lookups: FeatureLookups | None = None) -> DataFrame:
     """Closed sessions → sessions plus all engineered columns (see ``schema.FEATURE_COLUMNS``).
 
     With ``materialize_input`` the sessions are checkpointed once (shared folder), so the
@@ -108,9 +144,13 @@ def engineer_features(sessions: DataFrame, year: int, approx_distinct: bool = Fa
           .withColumn("is_privileged_port", is_privileged_port("dst_port")))
 
     # rare destination port: per-port count vs the 10 % quantile of counts
-    counts = port_counts(df)
-    df = attach_lookup(df, counts, "dst_port", max_broadcast_rows=max_broadcast_rows)
-    df = attach_scalars(df, rare_port_threshold(counts))
+    if lookups is None:
+        counts = port_counts(df)
+        df = attach_lookup(df, counts, "dst_port", max_broadcast_rows=max_broadcast_rows)
+        df = attach_scalars(df, rare_port_threshold(counts))
+    else:  # training definitions; an unseen port counts 0
+        df = attach_lookup(df, lookups.ports, "dst_port", max_broadcast_rows=max_broadcast_rows)
+        df = df.withColumn("_rare_q", F.lit(lookups.rare_threshold).cast("double"))
     df = df.withColumn("is_rare_dst_port", as_flag(F.coalesce(F.col("_port_n"), F.lit(0)) <= F.col("_rare_q")))
 
     sp, dp = is_private_ip("src_ip"), is_private_ip("dst_ip")
@@ -122,7 +162,13 @@ def engineer_features(sessions: DataFrame, year: int, approx_distinct: bool = Fa
     df = attach_lookup(df, source_stats(df, approx_distinct), "src_ip", max_broadcast_rows=max_broadcast_rows)
 
     df = df.withColumn("_proto", F.coalesce(F.col("protocol"), F.lit("UNKNOWN")))
-    df = attach_lookup(df, protocol_index(df), "_proto", max_broadcast_rows=max_broadcast_rows)
+    if lookups is None:
+        df = attach_lookup(df, protocol_index(df), "_proto", max_broadcast_rows=max_broadcast_rows)
+    else:  # an unseen protocol gets the next free code
+        known = lookups.protocols.agg(F.count(F.lit(1)).cast("int").alias("_n_known"))
+        df = attach_lookup(df, lookups.protocols, "_proto", max_broadcast_rows=max_broadcast_rows)
+        df = attach_scalars(df, known).withColumn(
+            "protocol_enc", F.coalesce(F.col("protocol_enc"), F.col("_n_known"))).drop("_n_known")
     df = df.withColumn("is_denied", as_flag(F.lower(F.col("action")) == "deny") if "action" in df.columns
                        else F.lit(0))
 

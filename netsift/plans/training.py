@@ -5,8 +5,9 @@ drop zero durations → stage → features → stage → standardiser → detect
 top-N review exports + comparison table. Everything is written under ``out_dir``
 (a shared folder on a cluster); models are saved under ``out_dir/models``.
 
-``apply`` mirrors the prediction run, but with the *saved* standardiser (the
-training constants), not one re-fitted on the new data.
+``apply`` mirrors the prediction run, but with the *saved* standardiser and feature
+lookups (rare-port table, protocol codes) from training, not ones re-fitted on the new
+data.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from ..operators import export as X
 from ..operators import metrics as M
 from ..operators.detectors import (DBSCAN, Autoencoder, AutoencoderModel, IsolationForest, IsolationForestModel,
                                    LocalOutlierFactor, LOFModel, OneClassSVM, OneClassSVMModel)
-from ..operators.features import engineer_features, fit_scaler
+from ..operators.features import FeatureLookups, engineer_features, fit_scaler
 from ..operators.sessions import drop_zero_duration, pair_sessions, prepare_events
 from ..schema import DEFAULT_CONTAMINATION, TOP_EXPORT
 from ..sources.files import write_csv
@@ -46,7 +47,9 @@ def train(spark: SparkSession, log_path: str, out_dir: str, year: int,
     """Train every detector on the log; returns the unsupervised comparison table."""
     detectors = detectors or ["isolation_forest", "one_class_svm", "lof", "dbscan", "autoencoder"]
     sessions = _stage(sessions_from_log(spark, log_path, year), os.path.join(out_dir, "stages", "sessions"))
-    feats = _stage(engineer_features(sessions, year, materialize_input=False),
+    lookups = FeatureLookups.fit(sessions)
+    lookups.save(os.path.join(out_dir, "models", "lookups"))
+    feats = _stage(engineer_features(sessions, year, materialize_input=False, lookups=lookups),
                    os.path.join(out_dir, "stages", "features"))
     scaler = fit_scaler(feats)
     scaler.write().overwrite().save(os.path.join(out_dir, "models", "scaler"))
@@ -78,7 +81,8 @@ def apply(spark: SparkSession, log_path: str, model_dir: str, out_dir: str, year
     """Score a new log with the saved standardiser and detectors; returns export paths."""
     detectors = detectors or [d for d in LOADERS if os.path.exists(os.path.join(model_dir, d))]
     sessions = _stage(sessions_from_log(spark, log_path, year), os.path.join(out_dir, "stages", "sessions"))
-    feats = engineer_features(sessions, year, materialize_input=False)
+    lookups = FeatureLookups.load(spark, os.path.join(model_dir, "lookups"))
+    feats = engineer_features(sessions, year, materialize_input=False, lookups=lookups)
     scaler = PipelineModel.load(os.path.join(model_dir, "scaler"))
     matrix = _stage(scaler.transform(feats), os.path.join(out_dir, "stages", "matrix"))
     paths = {}

@@ -80,3 +80,20 @@ def test_foreach_batch_alerts(spark, scratch):
     q.stop()
     alerts = spark.read.parquet(os.path.join(scratch, "alerts"))
     assert alerts.count() > 0 and "anomaly_score" in alerts.columns
+
+
+def test_feature_lookups_reproduce_training_features(spark, scratch):
+    from netsift.operators.features import FeatureLookups, engineer_features
+    s = C.sessions_df(spark, SF)
+    base = engineer_features(s, C.FIXTURE_YEAR)
+    lk = FeatureLookups.fit(s)
+    lk.save(os.path.join(scratch, "lk"))
+    lk2 = FeatureLookups.load(spark, os.path.join(scratch, "lk"))
+    again = engineer_features(s, C.FIXTURE_YEAR, lookups=lk2)
+    cols = ["session_id", "is_rare_dst_port", "protocol_enc", "src_connection_count"]
+    assert base.select(*cols).exceptAll(again.select(*cols)).count() == 0
+    # new data with an unseen protocol and an unseen port
+    new = s.limit(3).withColumn("protocol", F.lit("GRE")).withColumn("dst_port", F.lit(4242))
+    r = engineer_features(new, C.FIXTURE_YEAR, lookups=lk2).select("protocol_enc", "is_rare_dst_port").collect()
+    n_known = lk2.protocols.count()
+    assert all(x.protocol_enc == n_known and x.is_rare_dst_port == 1 for x in r)
