@@ -10,8 +10,6 @@ error is above the ``threshold_percentile`` of the training errors.
 
 from __future__ import annotations
 
-import json
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame

@@ -17,13 +17,13 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.net import is_high_port, is_private_ip, is_privileged_port, is_well_known_port
-from ..functions.numeric import as_flag, finite_or_zero, log1p0, safe_div
+from ..functions.numeric import as_flag, log1p0, safe_div
 from ..functions.timefn import any_timestamp, is_night
 from ..schema import FEATURE_COLUMNS, LOG_COLUMNS
 from .joins import DEFAULT_MAX_BROADCAST_ROWS, attach_lookup, attach_scalars, materialize

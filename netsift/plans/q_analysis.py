@@ -8,7 +8,6 @@ from ..operators import export as X
 from ..operators import metrics as M
 from ..operators import profile as P
 from ..operators import threats as TH
-from ..operators.sessions import prepare_events
 from ..functions.timefn import syslog_timestamp
 from ..schema import FEATURE_COLUMNS, SESSION_SCHEMA, TRAFFIC_COLUMNS
 from . import catalog as C

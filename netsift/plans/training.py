@@ -16,7 +16,6 @@ import os
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import export as X
 from ..operators import metrics as M

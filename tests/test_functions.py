@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from netsift.functions import (action_of, ip_to_int, is_high_port, is_night, is_private_ip, is_privileged_port,
                                is_well_known_port, protocol_name, syslog_timestamp)
 
