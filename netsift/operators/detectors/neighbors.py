@@ -10,11 +10,12 @@ An orthonormal projection never lengthens a distance, so
   final. Rounds continue until every query is final (the grid extent bounds them) —
   no cap on candidates.
 
-Work is done per **cell block**: the queries of one cell are co-grouped with the data
-points of the requested cells (``cogroup(...).applyInPandas``) and NumPy computes the
-distance block. Queries of a crowded cell are split by a hashed salt into sub-groups
-of at most ``block`` queries, so a hot cell spreads over many tasks instead of one.
-Round state is a reliable checkpoint (shared folder), never a local one.
+Work is done per **block pair**: queries of a cell are split by a hashed salt into
+blocks of ≤ ``block`` rows, data points of a cell likewise; each (query block, data
+block) pair is one ``cogroup(...).applyInPandas`` group where NumPy computes the
+distance block, so no group exceeds block × block whatever the cell occupancy. kNN
+keeps ≤ k rows per query per block and merges them with the best-so-far by a window
+per query. Round state is a reliable checkpoint (shared folder), never a local one.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..joins import materialize
 
@@ -96,13 +98,35 @@ def _salted(queries: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
     return q, keys
 
 
-def _candidates(keys: DataFrame, cells: DataFrame, offs: list[tuple[int, int]]) -> DataFrame:
-    """Data points of the requested cells, tagged with the requesting (cell, salt)."""
+def salt_cells(cells: DataFrame, block: int) -> DataFrame:
+    """Data points get ``dsalt`` so that one (cell, dsalt) block holds ≤ ``block`` points;
+    ``ns`` = number of data salts of the cell."""
+    n = cells.groupBy("cx", "cy").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block)).cast("int")
+                                      .alias("ns"))
+    c = cells.join(n, ["cx", "cy"])
+    return c.withColumn("dsalt", F.pmod(F.xxhash64(F.col("id")), F.col("ns")).cast("int"))
+
+
+GROUP = ["qcx", "qcy", "salt", "dcx", "dcy", "dsalt"]
+
+
+def _block_pairs(active: DataFrame, cells: DataFrame, offs: list[tuple[int, int]], block: int):
+    """Co-groupable sides: each group = ≤ block queries × ≤ block data points.
+
+    ``active``: (qid, qx, cx, cy); ``cells``: salted data (id, x, cx, cy, dsalt, ns).
+    """
+    qs, keys = _salted(active, block)
+    occupied = cells.select("cx", "cy", "ns").distinct()
     req = keys.select("cx", "cy", "salt", _offsets_col(offs).alias("o")).select(
         F.col("cx").alias("qcx"), F.col("cy").alias("qcy"), "salt",
-        (F.col("cx") + F.col("o.dx")).alias("cx"), (F.col("cy") + F.col("o.dy")).alias("cy"))
-    return req.join(cells, ["cx", "cy"]).select(F.col("qcx").alias("cx"), F.col("qcy").alias("cy"), "salt",
-                                                 "id", "x")
+        (F.col("cx") + F.col("o.dx")).alias("dcx"), (F.col("cy") + F.col("o.dy")).alias("dcy"))
+    req = req.join(occupied.withColumnRenamed("cx", "dcx").withColumnRenamed("cy", "dcy"), ["dcx", "dcy"]) \
+        .select(*GROUP[:5], F.explode(F.sequence(F.lit(0), F.col("ns") - 1)).alias("dsalt"))
+    left = qs.withColumnRenamed("cx", "qcx").withColumnRenamed("cy", "qcy").join(req, ["qcx", "qcy", "salt"]) \
+        .select(*GROUP, "qid", "qx")
+    right = cells.withColumnRenamed("cx", "dcx").withColumnRenamed("cy", "dcy") \
+        .join(req, ["dcx", "dcy", "dsalt"]).select(*GROUP, "id", "x")
+    return left, right
 
 
 def _block_distances(Q: np.ndarray, Cx: np.ndarray):
@@ -113,7 +137,7 @@ def _block_distances(Q: np.ndarray, Cx: np.ndarray):
         yield s, np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
 
 
-KNN_STATE = "qid long, qx array<double>, cx long, cy long, nd array<double>, ni array<long>"
+NBR_ROWS = "qid long, dist double, id long"
 
 
 def knn(queries: DataFrame, data: DataFrame, k: int, proj: Projection | None = None, side: float | None = None,
@@ -128,69 +152,71 @@ def knn(queries: DataFrame, data: DataFrame, k: int, proj: Projection | None = N
     if side is None:
         area = max((ext[2] - ext[1]) * (ext[4] - ext[3]), 1e-12)
         side = math.sqrt(area * k / max(ext[0], 1)) or 1.0
-    cells = materialize(with_cells(dp, proj, side))
+    cells = materialize(salt_cells(with_cells(dp, proj, side), block))
     max_r = int(max(math.floor(ext[2] / side) - math.floor(ext[1] / side),
                     math.floor(ext[4] / side) - math.floor(ext[3] / side))) + 1
     q = with_cells(queries.select(F.col(idcol).cast("long").alias("qid"),
                                   F.col(xcol).cast("array<double>").alias("x")), proj, side)
-    active = materialize(q.select("qid", F.col("x").alias("qx"), "cx", "cy",
-                                  F.array().cast("array<double>").alias("nd"),
-                                  F.array().cast("array<long>").alias("ni")))
+    active = materialize(q.select("qid", F.col("x").alias("qx"), "cx", "cy"))
+    state = None  # (qid, dist, id) rows: the best k found so far per query
 
-    def merge(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        if len(qpdf) == 0:
-            return pd.DataFrame(columns=["qid", "qx", "cx", "cy", "nd", "ni"])
+    def topk_block(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
+        if len(qpdf) == 0 or len(cpdf) == 0:
+            return pd.DataFrame({"qid": pd.Series(dtype="int64"), "dist": pd.Series(dtype=float),
+                                 "id": pd.Series(dtype="int64")})
         Q = np.array(qpdf["qx"].tolist(), dtype=float)
-        nd_out, ni_out = [], []
-        if len(cpdf):
-            Cx = np.array(cpdf["x"].tolist(), dtype=float)
-            cid = cpdf["id"].to_numpy(dtype=np.int64)
-            for s, D in _block_distances(Q, Cx):
-                for i in range(D.shape[0]):
-                    old_d = np.asarray(qpdf["nd"].iloc[s + i], dtype=float)
-                    old_i = np.asarray(qpdf["ni"].iloc[s + i], dtype=np.int64)
-                    dd = np.concatenate([old_d, D[i]])
-                    ii = np.concatenate([old_i, cid])
-                    o = np.lexsort((ii, dd))[:k]
-                    nd_out.append(dd[o])
-                    ni_out.append(ii[o])
-        else:
-            nd_out = [np.asarray(v, dtype=float) for v in qpdf["nd"]]
-            ni_out = [np.asarray(v, dtype=np.int64) for v in qpdf["ni"]]
-        return pd.DataFrame({"qid": qpdf["qid"], "qx": qpdf["qx"], "cx": qpdf["cx"], "cy": qpdf["cy"],
-                             "nd": nd_out, "ni": ni_out})
+        Cx = np.array(cpdf["x"].tolist(), dtype=float)
+        qid = qpdf["qid"].to_numpy(dtype=np.int64)
+        cid = cpdf["id"].to_numpy(dtype=np.int64)
+        out_q, out_d, out_i = [], [], []
+        for s, D in _block_distances(Q, Cx):
+            for i in range(D.shape[0]):
+                o = np.lexsort((cid, D[i]))[:k]
+                out_q.append(np.full(len(o), qid[s + i]))
+                out_d.append(D[i, o])
+                out_i.append(cid[o])
+        return pd.DataFrame({"qid": np.concatenate(out_q), "dist": np.concatenate(out_d),
+                             "id": np.concatenate(out_i)})
 
     done_parts = []
     r = 0
     while True:
-        qs, keys = _salted(active, block)
-        cand = _candidates(keys, cells, _ring(r))
-        merged = qs.groupBy("cx", "cy", "salt").cogroup(cand.groupBy("cx", "cy", "salt")) \
-            .applyInPandas(merge, KNN_STATE)
-        fin = (F.size("nd") >= k) & (F.element_at("nd", k) <= F.lit(_radius(r) * side))
-        if _radius(r) >= max_r:
-            fin = F.lit(True)
-        merged = materialize(merged.withColumn("_fin", fin))
-        done_parts.append(merged.where("_fin").select("qid", "nd", "ni"))
-        active = merged.where(~F.col("_fin")).drop("_fin")
+        left, right = _block_pairs(active, cells, _ring(r), block)
+        found = left.groupBy(*GROUP).cogroup(right.groupBy(*GROUP)).applyInPandas(topk_block, NBR_ROWS)
+        rows = found if state is None else state.unionByName(found)
+        # per query: the k smallest (dist, id) among ≤ k per block plus the previous best k
+        rk = F.row_number().over(Window.partitionBy("qid").orderBy("dist", "id"))
+        best = rows.withColumn("_rk", rk).where(F.col("_rk") <= k).drop("_rk")
+        summary = best.groupBy("qid").agg(F.count(F.lit(1)).alias("_m"), F.max("dist").alias("_kd"))
+        fin_q = active.select("qid").join(summary, "qid", "left").select(
+            "qid", (F.lit(_radius(r) >= max_r) | ((F.coalesce("_m", F.lit(0)) >= k)
+                                                   & (F.col("_kd") <= F.lit(_radius(r) * side)))).alias("_fin"))
+        best = materialize(best.join(fin_q, "qid", "right").select("qid", "dist", "id", "_fin"))
+        done_parts.append(best.where("_fin AND dist IS NOT NULL").select("qid", "dist", "id"))
+        unfinished = best.where(~F.col("_fin")).select("qid").distinct()
+        state = best.where(~F.col("_fin") & F.col("dist").isNotNull()).select("qid", "dist", "id")
+        active = active.join(unfinished, "qid")  # lineage: a few rounds over checkpointed state
         if active.isEmpty():
             break
         r += 1
-    out = done_parts[0]
+    rows = done_parts[0]
     for p in done_parts[1:]:
-        out = out.unionByName(p)
-    return out.select("qid", F.arrays_zip(F.col("nd").alias("dist"), F.col("ni").alias("id")).alias("nbrs"))
+        rows = rows.unionByName(p)
+    nb = rows.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("dist", "id"))).alias("nbrs"))
+    # queries that found nothing (empty data) still get a row
+    return q.select("qid").join(nb, "qid", "left").select(
+        "qid", F.coalesce("nbrs", F.array().cast("array<struct<dist:double,id:bigint>>")).alias("nbrs"))
 
 
 def eps_pairs(points: DataFrame, eps: float, proj: Projection | None = None, xcol: str = "x",
               idcol: str = "id", block: int = QUERY_BLOCK) -> DataFrame:
     """All (a, b, dist) with dist ≤ eps, both directions, self pairs included."""
     proj = proj or Projection.fit(points, xcol)
-    g = materialize(with_cells(points.select(F.col(idcol).cast("long").alias("id"),
-                                             F.col(xcol).cast("array<double>").alias("x")), proj, eps))
+    g = materialize(salt_cells(with_cells(points.select(F.col(idcol).cast("long").alias("id"),
+                                                        F.col(xcol).cast("array<double>").alias("x")), proj, eps),
+                               block))
     q = g.select(F.col("id").alias("qid"), F.col("x").alias("qx"), "cx", "cy")
-    qs, keys = _salted(q, block)
-    cand = _candidates(keys, g, [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+    left, right = _block_pairs(q, g, [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)], block)
 
     def pairs(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
         if len(qpdf) == 0 or len(cpdf) == 0:
@@ -208,5 +234,4 @@ def eps_pairs(points: DataFrame, eps: float, proj: Projection | None = None, xco
             out_d.append(D[ii, jj])
         return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b), "dist": np.concatenate(out_d)})
 
-    return qs.groupBy("cx", "cy", "salt").cogroup(cand.groupBy("cx", "cy", "salt")) \
-        .applyInPandas(pairs, "a long, b long, dist double")
+    return left.groupBy(*GROUP).cogroup(right.groupBy(*GROUP)).applyInPandas(pairs, "a long, b long, dist double")
