@@ -21,3 +21,14 @@ def persisted(df: DataFrame) -> DataFrame:
 def fold_of(doc_id: str, k: int) -> Column:
     """crc32 of the id as text, modulo k; a null id counts as the id text ''."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % k
+
+
+def bucket_filter(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str | None = None,
+                  buckets: int = 1 << 20) -> DataFrame:
+    """Rows of ``df`` whose hashed long ``key`` may be among the wanted ones, before an exact join.
+
+    Only the distinct key remainders are broadcast: at most ``buckets`` integers, whatever
+    the size of ``wanted``. No wanted row is lost; the join that follows drops the rest.
+    """
+    b = wanted.select(F.pmod(F.col(wanted_key or key), F.lit(buckets)).cast("long").alias("__bucket")).distinct()
+    return df.join(F.broadcast(b), F.pmod(F.col(key), F.lit(buckets)).cast("long") == F.col("__bucket"), "left_semi")

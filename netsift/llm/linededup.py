@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import persisted
+from .common import bucket_filter, persisted
 from .textops import byte_class, mix64, powers, prefix_hash, span_hash, text_chunks
 
 MIN_CHARS = 40
@@ -122,7 +122,8 @@ def _may_pair(classes: DataFrame) -> DataFrame:
     met = (halves.groupBy("key").agg(n0.alias("n0"), n1.alias("n1"))
            .select("key", (F.col("n0") > 1).alias("subst"), ((F.col("n0") > 0) & (F.col("n1") > 0)).alias("indel"))
            .filter(F.col("subst") | F.col("indel")))
-    return halves.join(persisted(met), "key").drop("key")
+    met = persisted(met)
+    return bucket_filter(halves, "key", met).join(met, "key").drop("key")
 
 
 def _earliest_partner(variants: DataFrame) -> DataFrame:
@@ -145,7 +146,8 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_ch
                         .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n_lines"),
                              *(F.max(k).alias(k) for k in keys)))
     wanted = persisted(_may_pair(classes))
-    texts = persisted(lines.select("lh", "line", "n").join(wanted.select("lh").distinct(), "lh", "left_semi")
+    need = persisted(wanted.select("lh").distinct())
+    texts = persisted(bucket_filter(lines.select("lh", "line", "n"), "lh", need).join(need, "lh", "left_semi")
                       .dropDuplicates(["lh"]))
     cols = ["lh", "first", "line", "n", "d", "kind", "subst", "indel"]
     src = wanted.join(texts, "lh").select(*cols)
@@ -158,7 +160,7 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_ch
     drop = persisted(classes.select("lh", "first", "n_lines").join(near, "lh", "left")
                      .withColumn("near", F.coalesce("near", F.lit(False)))
                      .filter((F.col("n_lines") > 1) | F.col("near")).select("lh", "first", "near"))
-    return (lines.select("lh", "doc_id", "th", "pos").join(drop, "lh")
+    return (bucket_filter(lines.select("lh", "doc_id", "th", "pos"), "lh", drop).join(drop, "lh")
             .filter(F.col("near") | ~place.eqNullSafe(F.col("first"))).select("doc_id", "th", "pos", "near"))
 
 
