@@ -24,7 +24,7 @@ def fold_of(doc_id: str, k: int) -> Column:
 
 
 def bucket_filter(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str | None = None,
-                  buckets: int = 1 << 20) -> DataFrame:
+                  buckets: int = 1 << 19) -> DataFrame:
     """Rows of ``df`` whose hashed long ``key`` may be among the wanted ones, before an exact join.
 
     Only the distinct key remainders are broadcast: at most ``buckets`` integers, whatever

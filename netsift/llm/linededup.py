@@ -152,7 +152,10 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_ch
     cols = ["lh", "first", "line", "n", "d", "kind", "subst", "indel"]
     src = wanted.join(texts, "lh").select(*cols)
     first_type = src.schema["first"].dataType.simpleString()
-    variants = persisted(src.mapInArrow(_variants, f"key long, lh long, first {first_type}, role int"))
+    # few variants meet another: only these are stored, the others are counted and made again
+    variants = src.mapInArrow(_variants, f"key long, lh long, first {first_type}, role int")
+    met = persisted(variants.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("key"))
+    variants = persisted(bucket_filter(variants, "key", met).join(met, "key"))
     near = (_earliest_partner(variants)
             .join(texts.select("lh", F.col("line").alias("a")), "lh")
             .join(texts.select(F.col("lh").alias("plh"), F.col("line").alias("b")), "plh")
