@@ -8,12 +8,22 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 
+# Arrow batches end at so many bytes, so that a worker's memory does not hang on the rows' length.
+BATCH_BYTES = "8m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def persisted(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: cuts lineage and survives lost executors."""
+    bound_batches(df.sparkSession)
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 

@@ -40,7 +40,7 @@ from .textops import FOLD, byte_class, prefix_hash, runs, span_hash, text_chunks
 
 WORD = byte_class([(0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)])
 WINDOW = 13
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 2 << 20
 BLOCK_PHRASES = 100_000
 
 _ITEM = "item string, terms array<long>"

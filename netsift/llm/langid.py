@@ -199,14 +199,18 @@ def fit(docs: DataFrame, trainable: Column, doc_id: str = "doc_id", text: str =
     got = picked.select("t", "y").mapInArrow(_sparse, "y string, ids array<int>, ns array<float>").toArrow()
     if not len(got):
         return None
-    langs = sorted(set(got["y"].to_pylist()))
-    key = list(zip(got["y"].to_pylist(), (np.asarray(i) for i in got["ids"].to_pylist()),
-                   (np.asarray(n, np.float32) for n in got["ns"].to_pylist())))
-    key.sort(key=lambda r: (int(r[1].sum()), len(r[1]), float(r[2].sum()), r[0]))  # whatever the partitioning
-    x = np.zeros((len(key), BUCKETS), np.float32)
-    for r, (_, i, n) in enumerate(key):
-        x[r, i] = n
-    y = np.array([langs.index(r[0]) for r in key])
+    got = got.combine_chunks()
+    names = got["y"].to_numpy(zero_copy_only=False)
+    langs = sorted(set(names))
+    ids, ns = (got[c].combine_chunks() for c in ("ids", "ns"))
+    cut = np.asarray(ids.offsets)
+    ids, ns = np.asarray(ids.values), np.asarray(ns.values)
+    key = [(int(ids[a:b].sum()), int(b - a), float(ns[a:b].sum()), names[r], r) for r, (a, b) in enumerate(zip(cut, cut[1:]))]
+    order = [k[-1] for k in sorted(key)]  # the same whatever the partitioning
+    x = np.zeros((len(order), BUCKETS), np.float32)
+    for at, r in enumerate(order):
+        x[at, ids[cut[r]:cut[r + 1]]] = ns[cut[r]:cut[r + 1]]
+    y = np.array([langs.index(names[r]) for r in order])
     return train(x, y, langs)
 
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _P = 0x9E3779B97F4A7C15  # odd multiplier of the polynomial hash
 _M = (1 << 64) - 1
