@@ -1,7 +1,6 @@
 """DBSCAN, exact: ε-pairs from the projected grid join, core = |N_ε| ≥ min_samples
 (self included), clusters = connected components of core–core edges by iterative
-minimum-label propagation (one join + aggregate per round, reliable checkpoint per
-round), border points take the smallest label among their core neighbours, the rest
+minimum-label propagation with pointer jumping, run to convergence (reliable checkpoints), border points take the smallest label among their core neighbours, the rest
 is noise (label −1 → anomaly). The cluster label is the smallest member id.
 Transductive like the original: it labels the rows it was fitted on.
 """
@@ -19,9 +18,8 @@ from .neighbors import eps_pairs
 
 class DBSCAN:
     def __init__(self, eps: float = DBSCAN_EPS, min_samples: int = DBSCAN_MIN_SAMPLES,
-                 features_col: str = "features", id_col: str = "id", max_rounds: int = 1000):
+                 features_col: str = "features", id_col: str = "id"):
         self.eps, self.min_samples, self.features_col, self.id_col = eps, min_samples, features_col, id_col
-        self.max_rounds = max_rounds
 
     def fit_predict(self, df: DataFrame) -> DataFrame:
         """Rows of ``df`` + degree, is_core, cluster (−1 noise), is_anomaly, anomaly_score."""
@@ -34,12 +32,14 @@ class DBSCAN:
             .where(F.col("a") != F.col("b")).select("a", "b")
         cc = materialize(cc)
         labels = core.select("id", F.col("id").alias("label"))
-        for _ in range(self.max_rounds):
+        while True:  # to convergence: pointer jumping makes rounds logarithmic in a chain's length
             nb = cc.join(labels.withColumnRenamed("id", "b").withColumnRenamed("label", "lb"), "b") \
                 .groupBy(F.col("a").alias("id")).agg(F.min("lb").alias("lb"))
             new = labels.join(nb, "id", "left").select(
                 "id", F.least(F.col("label"), F.coalesce(F.col("lb"), F.col("label"))).alias("label"))
             new = materialize(new)
+            up = new.select(F.col("id").alias("label"), F.col("label").alias("up"))
+            new = materialize(new.join(up, "label").select("id", F.col("up").alias("label")))
             changed = new.join(labels.withColumnRenamed("label", "old"), "id").where(
                 F.col("label") != F.col("old")).limit(1).count()
             labels = new

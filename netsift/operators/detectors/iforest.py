@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 from pyspark.sql import types as T
 
 from ...schema import DEFAULT_CONTAMINATION, IFOREST_MAX_SAMPLES, IFOREST_TREES, SEED
@@ -76,6 +77,11 @@ def _grow(pdf: pd.DataFrame, psi: int, max_depth: int, seed: int) -> pd.DataFram
                        "size": "int64"})
 
 
+def _uniform(*cols):
+    """A number in [0, 1) from a hash of the columns."""
+    return F.pmod(F.xxhash64(*cols), F.lit(1 << 40)).cast("double") / float(1 << 40)
+
+
 class IsolationForest:
     def __init__(self, n_trees: int = IFOREST_TREES, max_samples: int = IFOREST_MAX_SAMPLES,
                  contamination: float = DEFAULT_CONTAMINATION, seed: int = SEED, features_col: str = "features"):
@@ -83,15 +89,18 @@ class IsolationForest:
         self.seed, self.features_col = seed, features_col
 
     def fit(self, df: DataFrame) -> "IsolationForestModel":
-        x = df.select(as_array(df, self.features_col).alias("x"))
+        key = [c.name for c in df.schema.fields if isinstance(c.dataType, (T_.NumericType, T_.StringType)) and c.name != "x"]
+        x = df.select(as_array(df, self.features_col).alias("x"), *key)
+        key = [*key, "x"]
         n = x.count()
         psi = max(1, min(self.max_samples, n))
         T, seed = self.n_trees, self.seed
         p = min(1.0, 2.0 * psi / max(n, 1))          # per (row, tree)
         f = min(1.0, p * T)                            # per row, any tree
-        kept = x.where(F.rand(seed) < f)
-        pairs = kept.select("x", F.explode(F.sequence(F.lit(0), F.lit(T - 1))).alias("tree")) \
-            .withColumn("u", F.rand(seed + 1)).where(F.col("u") < p / f)
+        # draws are hashes of the row and the tree, so the forest does not hang on partitioning or retries
+        kept = x.where(_uniform(F.lit(seed), *key) < f)
+        pairs = kept.select("x", *key, F.explode(F.sequence(F.lit(0), F.lit(T - 1))).alias("tree")) \
+            .where(_uniform(F.lit(seed + 1), F.col("tree"), *key) < p / f).select("x", "tree")
         max_depth = int(math.ceil(math.log2(max(psi, 2))))
         nodes = pairs.groupBy("tree").applyInPandas(lambda g: _grow(g, psi, max_depth, seed), NODE_SCHEMA)
         forest = nodes.toPandas()

@@ -39,7 +39,10 @@ class OneClassSVM:
         x = df.select(as_array(df, self.features_col).alias("x")).where(F.col("x").isNotNull())
         d = len(x.first()["x"])
         if self.gamma is None:
-            var = x.select(F.explode("x").alias("v")).agg(F.var_pop("v")).first()[0] or 1.0
+            per = [(F.sum(F.get("x", i)), F.sum(F.get("x", i) * F.get("x", i))) for i in range(d)]
+            row = x.agg(F.count(F.lit(1)), *(c for pair in per for c in pair)).first()
+            n = row[0] * d
+            var = max(sum(row[2::2]) / n - (sum(row[1::2]) / n) ** 2, 0.0) or 1.0
             gamma = 1.0 / (d * var) if var > 0 else 1.0
         else:
             gamma = self.gamma

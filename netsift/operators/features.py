@@ -26,7 +26,7 @@ from ..functions.net import is_high_port, is_private_ip, is_privileged_port, is_
 from ..functions.numeric import as_flag, log1p0, safe_div
 from ..functions.timefn import any_timestamp, is_night
 from ..schema import FEATURE_COLUMNS, LOG_COLUMNS
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, attach_lookup, attach_scalars, materialize
+from .joins import attach_lookup, attach_scalars, materialize
 
 _NUMERIC = {"src_port": "int", "dst_port": "int", "bytes_sent": "bigint", "bytes_rcvd": "bigint",
             "pkts_sent": "bigint", "pkts_rcvd": "bigint", "duration": "double", "protocol_num": "int"}
@@ -118,7 +118,6 @@ class FeatureLookups:
 
 
 def engineer_features(sessions: DataFrame, year: int, approx_distinct: bool = False,
-                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                       materialize_input: bool = True, lookups: FeatureLookups | None = None) -> DataFrame:
     """Closed sessions → sessions plus all engineered columns (see ``schema.FEATURE_COLUMNS``).
 
@@ -146,10 +145,10 @@ def engineer_features(sessions: DataFrame, year: int, approx_distinct: bool = Fa
     # rare destination port: per-port count vs the 10 % quantile of counts
     if lookups is None:
         counts = port_counts(df)
-        df = attach_lookup(df, counts, "dst_port", max_broadcast_rows=max_broadcast_rows)
+        df = attach_lookup(df, counts, "dst_port")
         df = attach_scalars(df, rare_port_threshold(counts))
     else:  # training definitions; an unseen port counts 0
-        df = attach_lookup(df, lookups.ports, "dst_port", max_broadcast_rows=max_broadcast_rows)
+        df = attach_lookup(df, lookups.ports, "dst_port")
         df = df.withColumn("_rare_q", F.lit(lookups.rare_threshold).cast("double"))
     df = df.withColumn("is_rare_dst_port", as_flag(F.coalesce(F.col("_port_n"), F.lit(0)) <= F.col("_rare_q")))
 
@@ -159,14 +158,14 @@ def engineer_features(sessions: DataFrame, year: int, approx_distinct: bool = Fa
           .withColumn("is_inbound", ((F.col("src_is_private") == 0) & (F.col("dst_is_private") == 1)).cast("int"))
           .withColumn("is_internal", ((F.col("src_is_private") == 1) & (F.col("dst_is_private") == 1)).cast("int")))
 
-    df = attach_lookup(df, source_stats(df, approx_distinct), "src_ip", max_broadcast_rows=max_broadcast_rows)
+    df = attach_lookup(df, source_stats(df, approx_distinct), "src_ip")
 
     df = df.withColumn("_proto", F.coalesce(F.col("protocol"), F.lit("UNKNOWN")))
     if lookups is None:
-        df = attach_lookup(df, protocol_index(df), "_proto", max_broadcast_rows=max_broadcast_rows)
+        df = attach_lookup(df, protocol_index(df), "_proto")
     else:  # an unseen protocol gets the next free code
         known = lookups.protocols.agg(F.count(F.lit(1)).cast("int").alias("_n_known"))
-        df = attach_lookup(df, lookups.protocols, "_proto", max_broadcast_rows=max_broadcast_rows)
+        df = attach_lookup(df, lookups.protocols, "_proto")
         df = attach_scalars(df, known).withColumn(
             "protocol_enc", F.coalesce(F.col("protocol_enc"), F.col("_n_known"))).drop("_n_known")
     df = df.withColumn("is_denied", as_flag(F.lower(F.col("action")) == "deny") if "action" in df.columns

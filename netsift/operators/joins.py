@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
-# A lookup table is broadcast only when its checked row count is at most this.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
 
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never a local checkpoint)."""
@@ -17,18 +14,26 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def attach_lookup(big: DataFrame, small: DataFrame, on, how: str = "left",
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def _bytes_of(df: DataFrame) -> int:
+    """Bytes of the rows of a checkpointed table: 8 a field, and the lengths of its strings."""
+    strings = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
+    row = F.lit(8 * (len(df.columns) + 1))
+    for c in strings:
+        row = row + F.coalesce(F.octet_length(c), F.lit(0))
+    return df.agg(F.sum(row)).first()[0] or 0
+
+
+def attach_lookup(big: DataFrame, small: DataFrame, on, how: str = "left") -> DataFrame:
     """Join a derived lookup table onto ``big``.
 
-    The lookup (an aggregate of ``big``) is checkpointed, and its row count is
-    checked: within ``max_broadcast_rows`` it is broadcast, so ``big`` is not
-    shuffled at all. Beyond that, a plain shuffle join is planned and AQE handles
-    skewed keys on the big side.
+    The lookup (an aggregate of ``big``) is checkpointed and its bytes are summed: within
+    ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast, so ``big`` is not shuffled at
+    all. Beyond that a shuffle join is planned, whose hot keys AQE can split; the rows are
+    the same either way.
     """
     small = materialize(small)
-    n = small.count()
-    side = F.broadcast(small) if n <= max_broadcast_rows else small
+    conf = small.sparkSession._jsparkSession.sessionState().conf()
+    side = F.broadcast(small) if _bytes_of(small) <= conf.autoBroadcastJoinThreshold() else small
     return big.join(side, on, how)
 
 

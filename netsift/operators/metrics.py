@@ -71,7 +71,7 @@ def roc_auc(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
     """Exact ROC-AUC with ties counted as one half."""
     t = score_table(df, y, score)
     return t.agg(F.round(F.try_divide(F.sum(F.col("neg") * (F.col("pos_above") + F.col("pos") / 2.0)),
-                                      F.first("P") * F.first("N")), 6).alias("roc_auc"))
+                                      F.first("P").cast("double") * F.first("N").cast("double")), 6).alias("roc_auc"))
 
 
 def average_precision(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
@@ -91,7 +91,7 @@ def ranking_metrics(df: DataFrame, y: str = "y", score: str = "score") -> DataFr
     ap = F.when(F.col("pos") > 0, (F.col("pos") / F.col("P")) * (tp / (tp + fp)))
     return t.agg(
         F.round(F.try_divide(F.sum(F.col("neg") * (F.col("pos_above") + F.col("pos") / 2.0)),
-                             F.first("P") * F.first("N")), 6).alias("roc_auc"),
+                             F.first("P").cast("double") * F.first("N").cast("double")), 6).alias("roc_auc"),
         F.round(F.sum(ap), 6).alias("avg_precision"))
 
 

@@ -4,13 +4,13 @@ Plan shape (one shuffle per side, skew-safe):
 
 * CREATE side: ``groupBy(session_id).agg(min_by(ts, ord))`` — the first CREATE per
   session in log order. Partial aggregation collapses a hot session id map-side.
-* CLOSE side: left outer equi-join on ``session_id``. If the CREATE table is small AQE
-  turns the join into a broadcast at run time; otherwise a sort-merge join whose
-  skewed CLOSE partitions AQE splits.
-* Median of paired durations: one exact ``percentile`` (a value→count map, bounded by
-  the number of distinct 0.1 s durations, merged partially), attached to every row by a
-  one-row broadcast — no driver round trip. The joined rows are checkpointed first so
-  the median pass and the output pass share one parse and one join.
+* CLOSE side: left outer equi-join on ``session_id``. The CREATE table is checkpointed, so
+  both sides of the join are exchanges of their own: AQE broadcasts a small CREATE table
+  and otherwise splits the CLOSE partitions of a hot session id (an aggregate directly
+  below the join would keep it from splitting).
+* Median of paired durations: ``exact_quantiles`` (range partitions of value counts, no
+  task holds all values), attached to every row by a one-row broadcast. The joined rows
+  are checkpointed first so the median and the output share one parse and one join.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timefn import syslog_timestamp
 from .joins import materialize
+from .quantiles import exact_quantiles
 from ..schema import CLOSE_EVENT, CREATE_EVENT
 
 SECONDS_PER_DAY = 86400.0
@@ -55,6 +56,7 @@ def pair_sessions(events: DataFrame, year: int, median: str = "exact",
                .select("session_id", ts.alias("_ts"), ordc.alias("_ord"))
                .groupBy("session_id")
                .agg(F.min_by("_ts", "_ord").alias("ts_create")))
+    creates = materialize(creates)
     closes = events.where(F.col("event_type") == CLOSE_EVENT)
     keep = [c for c in closes.columns if c not in ("ord", "duration")]
     closes = closes.select(*keep, ts.alias("ts_close"))
@@ -67,8 +69,10 @@ def pair_sessions(events: DataFrame, year: int, median: str = "exact",
         # the median needs a second pass over the paired rows: checkpoint the join once so
         # the log is parsed and joined a single time (shared folder, survives executor loss)
         j = materialize(j)
-    med_fn = F.median("_d1") if median == "exact" else F.percentile_approx("_d1", 0.5, 10000).cast("double")
-    med = j.agg(med_fn.alias("_median"))
+    if median == "exact":
+        med = exact_quantiles(j, "_d1", [0.5], prefix="_m").select(F.col("_m0").alias("_median"))
+    else:
+        med = j.agg(F.percentile_approx("_d1", 0.5, 10000).cast("double").alias("_median"))
     j = j.crossJoin(F.broadcast(med))
     dur = F.coalesce(F.col("_d1"), F.col("_median"))
     out = j.withColumn("duration", dur)

@@ -120,23 +120,23 @@ def q_hist_log_50(spark, sf):
     return P.histograms(C.features_df(spark, sf), log1p=True)
 
 
-CORR_COLUMNS = ["src_port", "dst_port", "pkts_sent", "bytes_sent", "pkts_rcvd", "bytes_rcvd", "duration",
-                "bytes_total", "pkts_total", "bytes_ratio", "pkts_ratio", "bytes_per_sec", "pkts_per_sec",
-                "avg_pkt_size", "is_well_known_port", "is_high_port", "is_rare_dst_port", "src_is_private",
-                "dst_is_private", "src_connection_count", "src_unique_dst_ports", "src_unique_dst_ips",
-                "protocol_enc", "is_denied", "hour", "day_of_week", "is_night"]
+# Every numeric column of the feature table (``P.numeric_columns``; a test holds the two equal).
+CORR_COLUMNS = ["dst_port", "src_port", "nat_src_port", "nat_dst_port", "pkts_sent", "bytes_sent", "pkts_rcvd", "bytes_rcvd",
+                "duration", "bytes_total", "pkts_total", "bytes_ratio", "pkts_ratio", "bytes_per_sec", "pkts_per_sec",
+                "avg_pkt_size", "is_well_known_port", "is_high_port", "is_privileged_port", "is_rare_dst_port",
+                "src_is_private", "dst_is_private", "is_outbound", "is_inbound", "is_internal", "src_connection_count",
+                "src_unique_dst_ports", "src_unique_dst_ips", "protocol_enc", "is_denied", "hour", "day_of_week", "is_night",
+                "log_bytes_sent", "log_bytes_rcvd", "log_pkts_sent", "log_pkts_rcvd", "log_bytes_total", "log_duration",
+                "log_bytes_per_sec", "log_pkts_per_sec"]
 
 
 def _corr_sql() -> str:
-    parts = []
-    for i in range(len(CORR_COLUMNS)):
-        for j in range(i):
-            a, b = f"CAST({CORR_COLUMNS[i]} AS DOUBLE)", f"CAST({CORR_COLUMNS[j]} AS DOUBLE)"
-            both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
-            parts.append(f"SELECT '{CORR_COLUMNS[i]}' AS col_a, '{CORR_COLUMNS[j]}' AS col_b, "
-                         f"round(covar_pop({a}, {b}) FILTER (WHERE {both}) / nullif(stddev_pop({a}) FILTER (WHERE {both})"
-                         f" * stddev_pop({b}) FILTER (WHERE {both}), 0), 6) AS corr FROM feat")
-    return "\nUNION ALL ".join(parts)
+    cols = ", ".join(f"{{'i': {i}, 'name': '{c}', 'v': CAST({c} AS DOUBLE)}}" for i, c in enumerate(CORR_COLUMNS))
+    return f""", numbered AS (SELECT row_number() OVER () AS r, [{cols}] AS l FROM feat),
+long AS (SELECT r, c.i AS i, c.name AS name, c.v AS v FROM (SELECT r, unnest(l) AS c FROM numbered) WHERE c.v IS NOT NULL)
+SELECT a.name AS col_a, b.name AS col_b,
+       round(covar_pop(a.v, b.v) / nullif(stddev_pop(a.v) * stddev_pop(b.v), 0), 6) AS corr
+FROM long a JOIN long b ON a.r = b.r AND b.i < a.i GROUP BY a.name, b.name"""
 
 
 @register("corr_matrix", _corr_sql())
@@ -525,23 +525,27 @@ def q_threat_vote(spark, sf):
 # ---------------------------------------------------------------------------
 
 
-@register("labelled_flows_profile", None)
-def q_labelled_flows_profile(spark, sf):
-    """Labelled synthetic flows (one per ``events`` row) profiled per class:
-    rows, mean log bytes sent, share of deny, share of well-known ports."""
-    from ..functions.net import is_well_known_port
-    from ..sources.fixtures import labelled_flows
-    lf = labelled_flows(C.table(spark, sf, "events"))
-    return lf.groupBy("is_anomaly").agg(
-        F.count(F.lit(1)).alias("n"), r6(F.avg(F.log1p("bytes_sent")), "mean_log_bytes_sent"),
-        r6(F.avg((F.col("action") == "deny").cast("double")), "deny_share"),
-        r6(F.avg(is_well_known_port("dst_port").cast("double")), "well_known_share"))
-
-
-@register("parse_rejects", None)
+# The share of each line that is left, by event id modulo 6: whole; without its time; with a broken
+# tag; cut before its flow; two words; cut before its traffic.
+@register("parse_rejects", """
+, v AS (SELECT CAST(session_id AS BIGINT) % 6 AS k, 1 + has_create AS n FROM flows),
+t AS (SELECT k, sum(n) AS n FROM v WHERE k > 0 GROUP BY k)
+SELECT CASE k WHEN 1 THEN 'timestamp' WHEN 4 THEN 'timestamp' WHEN 2 THEN 'RT_FLOW' WHEN 3 THEN 'orig flow' ELSE 'pkts(bytes)' END
+         AS first_failed_step, sum(n)::BIGINT AS n_lines,
+       sum(CASE WHEN k IN (1, 4) THEN n ELSE 0 END)::BIGINT AS fail_timestamp,
+       sum(CASE WHEN k IN (2, 4) THEN n ELSE 0 END)::BIGINT AS fail_rt_flow,
+       sum(CASE WHEN k IN (3, 4) THEN n ELSE 0 END)::BIGINT AS fail_orig_flow,
+       sum(CASE WHEN k = 4 THEN n ELSE 0 END)::BIGINT AS fail_policy_zone,
+       sum(CASE WHEN k IN (3, 4, 5) THEN n ELSE 0 END)::BIGINT AS fail_pkts_bytes
+FROM t GROUP BY 1""")
 def q_parse_rejects(spark, sf):
-    """The RT_FLOW log mixed with other text lines (the HTML of ``pages``):
-    rejected lines grouped by the first diagnostic step that fails."""
+    """Lines of the log cut so that each diagnostic step fails: rejected lines by
+    the first step that fails, with the failures of every step."""
     from ..sources.syslog import reject_diagnostics
-    other = C.table(spark, sf, "pages").select(F.explode(F.split("html", "\n")).alias("value"))
-    return reject_diagnostics(C.log_lines(spark, sf).select("value").unionByName(other))
+    k, v = F.pmod(F.col("ord.sid"), F.lit(6)), F.col("value")
+    cut = (F.when(k == 1, F.substring(v, F.lit(16), F.length(v)))
+           .when(k == 2, F.replace(v, F.lit("RT_FLOW_SESSION"), F.lit("RT_FLOW_X")))
+           .when(k == 3, F.concat(F.regexp_extract(v, "^(.*?: session \\w+)", 1), F.lit(" RT_FLOW")))
+           .when(k == 4, F.lit("RT_FLOW: short"))
+           .when(k == 5, F.regexp_extract(v, "^(.*?pol untrust SGi \\S+)", 1)).otherwise(v))
+    return reject_diagnostics(C.log_lines(spark, sf).select(cut.alias("value")))

@@ -117,18 +117,18 @@ PARSED_FIELDS = [
     ("event_type", T.StringType()),
     ("reason_text", T.StringType()),
     ("src_ip", T.StringType()),
-    ("src_port", T.IntegerType()),
+    ("src_port", T.LongType()),
     ("dst_ip", T.StringType()),
-    ("dst_port", T.IntegerType()),
+    ("dst_port", T.LongType()),
     ("application", T.StringType()),
     ("nat_src_ip", T.StringType()),
-    ("nat_src_port", T.IntegerType()),
+    ("nat_src_port", T.LongType()),
     ("nat_dst_ip", T.StringType()),
-    ("nat_dst_port", T.IntegerType()),
+    ("nat_dst_port", T.LongType()),
     ("policy", T.StringType()),
     ("src_zone", T.StringType()),
     ("dst_zone", T.StringType()),
-    ("protocol_num", T.IntegerType()),
+    ("protocol_num", T.LongType()),
     ("src_interface", T.StringType()),
     ("dst_interface", T.StringType()),
     ("session_id", T.StringType()),

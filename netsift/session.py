@@ -45,7 +45,8 @@ def pin_sql_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local tests) is a private folder created.
+    Only a local session without the setting gets a private folder; on a cluster a
+    machine-local folder would be lost with its machine, so the setting is required.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -53,6 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="netsift-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

@@ -42,3 +42,9 @@ def test_exact_quantile_has_no_single_partition_value_map(spark):
     df = C.table(spark, SF, "lineitem")
     plan = _plan(exact_quantiles(df, "l_extendedprice", [0.5]))
     assert "percentile(" not in plan and "rangepartitioning" in plan.lower()
+
+
+def test_correlation_covers_every_numeric_column(spark):
+    from netsift.operators.profile import numeric_columns
+    from netsift.plans.q_analysis import CORR_COLUMNS
+    assert set(numeric_columns(C.features_df(spark, SF))) == set(CORR_COLUMNS)
