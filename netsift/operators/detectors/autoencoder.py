@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ...schema import (AE_BATCH, AE_DROPOUT, AE_ENCODING, AE_EPOCHS, AE_HIDDEN, AE_PATIENCE, AE_VALIDATION,
                        DEFAULT_CONTAMINATION, SEED)
 from .base import DetectorModel, as_array, fit_threshold
-from .training import run_round, split_validation
+from .training import run_round, shards
 
 
 def layer_sizes(d: int, hidden=AE_HIDDEN, enc=AE_ENCODING) -> list[int]:
@@ -75,9 +75,11 @@ def recon_error(w, sizes, X):
 
 
 def local_epoch_fn(sizes, batch, p, seed, lr=1e-3):
-    def run(w, X, round_no):
+    def run(state, X, round_no):
         rng = np.random.default_rng([seed, round_no, len(X)])
-        m, v, t = np.zeros_like(w), np.zeros_like(w), 0
+        # one optimiser over all rounds: its moments travel with the weights
+        w, m, v = np.split(state, 3)
+        t = round_no * -(-len(X) // batch)
         order = rng.permutation(len(X))
         layers_n = len(sizes) - 1
         for s in range(0, len(X), batch):
@@ -99,7 +101,7 @@ def local_epoch_fn(sizes, batch, p, seed, lr=1e-3):
             m = 0.9 * m + 0.1 * g
             v = 0.999 * v + 0.001 * g * g
             w = w - lr * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-7)
-        return w
+        return np.concatenate([w, m, v])
     return run
 
 
@@ -118,10 +120,12 @@ class Autoencoder:
         x = df.select(as_array(df, self.features_col).alias("x")).where(F.col("x").isNotNull())
         d = len(x.first()["x"])
         sizes = layer_sizes(d, AE_HIDDEN, self.encoding_dim)
-        data = split_validation(x, self.val, self.seed)
+        data = shards(x, self.val, self.seed)
         w = init_weights(sizes, self.seed)
+        k = len(w)
+        w = np.concatenate([w, np.zeros(2 * k)])
         step = local_epoch_fn(sizes, self.batch, self.dropout, self.seed)
-        loss = lambda ww, X: recon_error(ww, sizes, X)
+        loss = lambda ww, X: recon_error(ww[:k], sizes, X)
         best, best_loss, bad, history = w, float("inf"), 0, []
         for epoch in range(self.epochs + 1):
             new, vl, _ = run_round(data, w, step, loss, epoch)  # vl = validation loss of `w`
@@ -137,7 +141,7 @@ class Autoencoder:
                 break
             w = new
         model = AutoencoderModel({"sizes": sizes, "threshold_percentile": self.threshold_percentile,
-                                  "epochs_run": len(history), "val_loss": history}, best,
+                                  "epochs_run": len(history), "val_loss": history}, best[:k],
                                  features_col=self.features_col)
         model.threshold = fit_threshold(model.score(df), "anomaly_score", self.threshold_percentile)
         return model

@@ -100,7 +100,8 @@ class IsolationForest:
         # draws are hashes of the row and the tree, so the forest does not hang on partitioning or retries
         kept = x.where(_uniform(F.lit(seed), *key) < f)
         pairs = kept.select("x", *key, F.explode(F.sequence(F.lit(0), F.lit(T - 1))).alias("tree")) \
-            .where(_uniform(F.lit(seed + 1), F.col("tree"), *key) < p / f).select("x", "tree")
+            .withColumn("u", _uniform(F.lit(seed + 1), F.col("tree"), *key)).where(F.col("u") < p / f) \
+            .select("x", "tree", "u")
         max_depth = int(math.ceil(math.log2(max(psi, 2))))
         nodes = pairs.groupBy("tree").applyInPandas(lambda g: _grow(g, psi, max_depth, seed), NODE_SCHEMA)
         forest = nodes.toPandas()

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ...schema import DEFAULT_CONTAMINATION, SEED
 from .base import DetectorModel, as_array, fit_threshold
-from .training import run_round, split_validation
+from .training import run_round, shards
 
 
 def rff(X, W, b):
@@ -72,7 +72,7 @@ class OneClassSVM:
                 return np.zeros(0)
             return np.maximum(0.0, wr[-1] - rff(X, W, b) @ wr[:-1]) / nu - wr[-1]
 
-        data = split_validation(x, 0.0, self.seed)
+        data = shards(x, 0.0, self.seed)
         wr = np.concatenate([np.full(self.D, 1.0 / np.sqrt(self.D)), [0.0]])
         for rnd in range(self.rounds):
             wr, _, _ = run_round(data, wr, local, loss, rnd)

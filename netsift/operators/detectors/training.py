@@ -1,12 +1,12 @@
 """Data-parallel training rounds for small dense models (autoencoder, one-class SVM).
 
-One round = one Spark job: the current weights travel in the task closure (a few
-thousand doubles), every partition runs one local epoch of mini-batch updates on its
-own rows and emits ``(n, n·weights)`` plus the validation loss of the *incoming*
-weights on its held-out rows. The weighted sum is a distributed ``Summarizer`` sum
-(tree-aggregated), so the driver receives one vector per round, never per-partition
-state. Validation rows are chosen by a hash of the row, so the split does not depend
-on partitioning.
+Rows are dealt to shards by a hash of their values; the number of shards follows from the
+number of rows (about ``SHARD_ROWS`` each), and rows are ordered within a shard. The
+sharded table is checkpointed once. One round = one Spark job: the current state (weights,
+and the optimiser's moments) travels in the task closure, every shard runs one local
+epoch of mini-batch updates, and the states are averaged, weighted by rows. A fitted model so depends on
+the rows only, not on how the input was split. A task holds one shard at a time; the
+driver receives one vector per round. Validation rows are chosen by the same hash.
 """
 
 from __future__ import annotations
@@ -20,41 +20,57 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..joins import materialize
+
 ROUND_SCHEMA = "n long, wsum array<double>, vloss double, vn long"
 
 
-def split_validation(x: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Adds ``is_val`` from a hash of the feature values and the seed."""
+SHARD_ROWS = 20_000
+
+
+def shards(x: DataFrame, validation: float, seed: int) -> DataFrame:
+    """(shard, is_val, x): rows of array column ``x`` dealt and ordered by a hash of their values."""
     h = F.xxhash64(F.lit(seed), F.col("x"))
-    return x.withColumn("is_val", (F.pmod(h, F.lit(1_000_000)) < int(fraction * 1_000_000)))
+    x = materialize(x.select("x"))
+    k = max(1, -(-x.count() // SHARD_ROWS))
+    rows = x.select(F.pmod(F.xxhash64(h), F.lit(k)).cast("int").alias("shard"), h.alias("h"),
+                    (F.pmod(h, F.lit(1_000_000)) < int(validation * 1_000_000)).alias("is_val"), "x")
+    n = min(k, int(x.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return materialize(rows.repartition(n, "shard").sortWithinPartitions("shard", "h", "x").drop("h"))
 
 
-def run_round(data: DataFrame, weights: np.ndarray,
+def run_round(data: DataFrame, state: np.ndarray,
               local_epoch: Callable[[np.ndarray, np.ndarray, int], np.ndarray],
               loss: Callable[[np.ndarray, np.ndarray], np.ndarray], round_no: int) -> tuple[np.ndarray, float, int]:
-    """One synchronous round; returns (averaged weights, validation loss of ``weights``, train rows)."""
-    w0 = weights.copy()
+    """One synchronous round; returns (averaged state, validation loss of ``state``, train rows)."""
+    s0 = state.copy()
+
+    def shard(rows: list[pd.DataFrame]) -> pd.DataFrame:
+        pdf = pd.concat(rows)
+        X = np.array(pdf["x"].tolist(), dtype=float)
+        val = pdf["is_val"].to_numpy(dtype=bool)
+        tr, va = X[~val], X[val]
+        w = local_epoch(s0.copy(), tr, round_no) if len(tr) else s0
+        vl = float(loss(s0, va).sum()) if len(va) else 0.0
+        return pd.DataFrame({"n": [len(tr)], "wsum": [(w * len(tr)).tolist()], "vloss": [vl], "vn": [len(va)]})
 
     def part(batches):
-        xs, vs = [], []
+        held, at = [], None  # the rows of one shard; shards follow one another
         for pdf in batches:
-            if len(pdf):
-                X = np.array(pdf["x"].tolist(), dtype=float)
-                val = pdf["is_val"].to_numpy(dtype=bool)
-                xs.append(X[~val])
-                vs.append(X[val])
-        tr = np.vstack(xs) if xs else np.zeros((0, 0))
-        va = np.vstack(vs) if vs else np.zeros((0, 0))
-        n = len(tr)
-        w = local_epoch(w0.copy(), tr, round_no) if n else w0
-        vl = float(loss(w0, va).sum()) if len(va) else 0.0
-        yield pd.DataFrame({"n": [n], "wsum": [(w * n).tolist()], "vloss": [vl], "vn": [len(va)]})
-
-    r = data.mapInPandas(part, ROUND_SCHEMA).where(F.col("n") + F.col("vn") > 0)
+            for key, rows in pdf.groupby("shard", sort=True):
+                if held and key != at:
+                    yield shard(held)
+                    held = []
+                at = key
+                held.append(rows)
+        if held:
+            yield shard(held)
+
+    r = data.mapInPandas(part, ROUND_SCHEMA)
     agg = r.select(array_to_vector("wsum").alias("w"), "n", "vloss", "vn").agg(
         Summarizer.sum(F.col("w")).alias("w"), F.sum("n").alias("n"), F.sum("vloss").alias("vl"),
         F.sum("vn").alias("vn")).first()
     n = int(agg["n"] or 0)
-    new = (agg["w"].toArray() / n) if n else weights
+    new = (agg["w"].toArray() / n) if n else state
     vl = (agg["vl"] / agg["vn"]) if agg["vn"] else float("nan")
     return new, vl, n

@@ -59,7 +59,20 @@ def q_dbscan_embeddings(spark, sf):
                     F.col("is_anomaly").cast("int").alias("is_noise"))
 
 
-@register("dbscan_clusters", None)
+DBSCAN_CLUSTERS_SQL = EMB_CTE + """,
+core AS (SELECT a AS id FROM d WHERE dist <= 1.2 GROUP BY a HAVING count(*) >= 10),
+edge AS (SELECT d.a, d.b FROM d JOIN core x ON x.id = d.a JOIN core y ON y.id = d.b WHERE d.dist <= 1.2),
+label AS (SELECT id, min(l) AS label FROM (
+            WITH RECURSIVE reach AS (SELECT id, id AS l FROM core
+                                     UNION SELECT edge.b, reach.l FROM reach JOIN edge ON edge.a = reach.id)
+            SELECT id, l FROM reach) GROUP BY id),
+near AS (SELECT d.a AS id, min(label.label) AS label FROM d JOIN label ON label.id = d.b WHERE d.dist <= 1.2 GROUP BY d.a),
+every AS (SELECT emb.vec_id AS id, coalesce(label.label, near.label, -1) AS cluster, label.id IS NOT NULL AS is_core
+          FROM emb LEFT JOIN label ON label.id = emb.vec_id LEFT JOIN near ON near.id = emb.vec_id)
+SELECT cluster, count(*) AS n, sum(is_core::INTEGER)::BIGINT AS n_core FROM every GROUP BY cluster"""
+
+
+@register("dbscan_clusters", DBSCAN_CLUSTERS_SQL)
 def q_dbscan_clusters(spark, sf):
     """Cluster sizes (label = smallest member id; −1 = noise)."""
     d = DBSCAN(eps=1.2, min_samples=10).fit_predict(_embeddings(spark, sf))
@@ -100,3 +113,77 @@ def q_pca_2d(spark, sf):
     """M9: centred 2-D PCA projection of the scaled session features."""
     p, _ = pca_2d(_session_matrix(spark, sf), keep=["session_id"])
     return p.select("session_id", r6("pc1"), r6("pc2"))
+
+
+# Laws that a fitted detector must obey, whatever its random draws.
+
+
+def _detectors(contamination: float = 0.05) -> dict:
+    return {"autoencoder": Autoencoder(contamination=contamination), "isolation_forest": IsolationForest(contamination=contamination),
+            "one_class_svm": OneClassSVM(nu=contamination)}
+
+
+def _planted(spark, sf):
+    """The embeddings with every hundredth vector moved far out, each to a place of its own."""
+    x = _embeddings(spark, sf)
+    far = F.transform("features", lambda v: v * (20.0 + F.pmod(F.col("id"), F.lit(13))))
+    return x.withColumn("features", F.when(F.col("id") % 100 == 7, far).otherwise(F.col("features")))
+
+
+@register("detector_flag_counts", """
+SELECT m.model, count(*) AS n, (count(*) - 1 - floor((count(*) - 1) * 0.95))::BIGINT AS n_flagged
+FROM embeddings, (VALUES ('autoencoder'), ('isolation_forest'), ('one_class_svm')) AS m(model) GROUP BY m.model""")
+def q_detector_flag_counts(spark, sf):
+    """Rows flagged at contamination 0.05 are those above the exact 95th percentile."""
+    x, out = _embeddings(spark, sf), None
+    for name, d in _detectors().items():
+        part = d.fit(x).transform(x).select(F.lit(name).alias("model"), "is_anomaly")
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.sum("is_anomaly").cast("long").alias("n_flagged"))
+
+
+def _planted_first(spark, sf, name: str):
+    x = _planted(spark, sf)
+    scored = _detectors()[name].fit(x).transform(x)
+    k = x.filter(F.col("id") % 100 == 7).count()
+    return scored.orderBy(F.desc("anomaly_score"), "id").limit(k).select(F.col("id").alias("vec_id"), F.col("is_anomaly").cast("int"))
+
+
+PLANTED_SQL = "SELECT vec_id, 1 AS is_anomaly FROM embeddings WHERE vec_id % 100 = 7"
+
+
+@register("iforest_planted", PLANTED_SQL)
+def q_iforest_planted(spark, sf):
+    """M3: vectors moved far out of the embeddings rank first and are flagged."""
+    return _planted_first(spark, sf, "isolation_forest")
+
+
+@register("autoencoder_planted", PLANTED_SQL)
+def q_autoencoder_planted(spark, sf):
+    """Vectors moved far out of the embeddings are reconstructed worst and flagged."""
+    return _planted_first(spark, sf, "autoencoder")
+
+
+@register("ocsvm_planted", PLANTED_SQL)
+def q_ocsvm_planted(spark, sf):
+    """M5: vectors moved far out of the embeddings lie farthest outside and are flagged."""
+    return _planted_first(spark, sf, "one_class_svm")
+
+
+@register("pca_variances", """
+, p AS (SELECT log_bytes_sent AS x, log_pkts_rcvd AS y FROM feat),
+c AS (SELECT var_samp(x) AS a, var_samp(y) AS b, covar_samp(x, y) AS c FROM p)
+SELECT round((a + b) / 2 + sqrt(((a - b) / 2) ** 2 + c ** 2), 6) AS var_1,
+       round((a + b) / 2 - sqrt(((a - b) / 2) ** 2 + c ** 2), 6) AS var_2,
+       0.0::DOUBLE AS covariance,
+       round(((a + b) / 2 + sqrt(((a - b) / 2) ** 2 + c ** 2)) / (a + b), 6) AS explained_1 FROM c""")
+def q_pca_variances(spark, sf):
+    """M9: variances of the principal components of two features are the eigenvalues of their
+    covariance matrix, and the components do not covary."""
+    from pyspark.ml.feature import VectorAssembler
+    f = VectorAssembler(inputCols=["log_bytes_sent", "log_pkts_rcvd"], outputCol="features").transform(
+        C.features_df(spark, sf).select("log_bytes_sent", "log_pkts_rcvd"))
+    p, ratios = pca_2d(f, keep=[])
+    return p.agg(r6(F.var_samp("pc1"), "var_1"), r6(F.var_samp("pc2"), "var_2"),
+                 F.abs(r6(F.covar_samp("pc1", "pc2"), "x")).alias("covariance"),
+                 F.round(F.lit(ratios[0]), 6).alias("explained_1"))
