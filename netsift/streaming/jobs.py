@@ -1,26 +1,32 @@
 """Streaming jobs.
 
 * ``parse_stream`` — ``readStream.text`` + the batch parser (stateless projection).
-* ``pair_stream`` — CLOSE ⟕ CREATE stream-stream left outer join on ``session_id``
-  with watermarks on both sides and ``ts_close ∈ [ts_create, ts_create + max_session]``;
-  unmatched CLOSE rows are emitted once the watermark passes, with a static default
-  duration (a global median is not defined on an unbounded stream).
+* ``pair_stream`` — stateful pairing by ``session_id``: a CLOSE takes the session's first
+  CREATE, as in the batch rule (also when the CREATE is stamped later: one day is added
+  to a negative duration). A CLOSE that comes before its CREATE waits for it; when
+  event time passes ``max_session`` without one it is emitted with a static default
+  (a global median is not defined on an unbounded stream).
+* ``closed_stream`` — CLOSE events with their time, without pairing (for counts).
 * ``counts_stream`` — sessions / bytes per tumbling window with a watermark (append).
 * ``port_scan_stream`` — distinct destination ports per source in sliding windows
   (``approx_count_distinct``: bounded state per window).
 * ``score_batches`` — ``foreachBatch``: features on the micro-batch, a fitted model's
-  ``transform``, anomalies appended to an alert sink.
+  ``transform``; a batch id's alerts replace that batch id's partition (idempotent).
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.timefn import syslog_timestamp
-from ..operators.sessions import prepare_events
+from ..operators.sessions import SECONDS_PER_DAY, prepare_events
 from ..schema import CLOSE_EVENT, CREATE_EVENT
 from ..sources.syslog import parse_lines
 
@@ -32,27 +38,78 @@ def parse_stream(spark: SparkSession, path: str, max_files_per_trigger: int | No
     return parse_lines(r.load(path).select("value"))
 
 
+def _timed(events: DataFrame, year: int, drop_dns: bool, drop_icmp: bool) -> DataFrame:
+    return prepare_events(events, drop_dns, drop_icmp).withColumn(
+        "ts", syslog_timestamp("timestamp", year).cast("timestamp"))
+
+
+def closed_stream(events: DataFrame, year: int, watermark: str = "10 minutes", drop_dns: bool = True,
+                  drop_icmp: bool = True) -> DataFrame:
+    """CLOSE events with ``ts_close`` under a watermark."""
+    ev = _timed(events, year, drop_dns, drop_icmp).where(F.col("event_type") == CLOSE_EVENT)
+    return ev.withColumnRenamed("ts", "ts_close").withWatermark("ts_close", watermark)
+
+
+def _pairing(schema: T.StructType, keep: list[str], max_session_s: float, default: float | None):
+    """State handler of one session: its first CREATE, and CLOSE rows that wait for one."""
+
+    def rows(closes: pd.DataFrame, created: float | None) -> pd.DataFrame:
+        out = closes[keep].copy()
+        at = closes["ts"].astype("datetime64[us]").astype("int64") / 1e6
+        if created is None:
+            out["duration"] = default
+        else:
+            d = (at - created).round(1)
+            out["duration"] = d.where(d >= 0, d + SECONDS_PER_DAY)
+        out["duration"] = out["duration"].astype("float64")
+        out["ts_close"] = closes["ts"]
+        return out[[f.name for f in schema.fields]]
+
+    def handle(key, frames, state):
+        created, held = (state.get[0], pickle.loads(bytes(state.get[1]))) if state.exists else (None, None)
+        if state.hasTimedOut:
+            state.remove()
+            if held is not None:
+                yield rows(held, None)
+            return
+        pdf = pd.concat(list(frames))
+        starts = pdf.loc[pdf["event_type"] == CREATE_EVENT, "ts"]
+        if created is None and len(starts):
+            created = starts.min().timestamp() if starts.dt.tz is not None else starts.min().value / 1e9
+        closes = pdf[pdf["event_type"] == CLOSE_EVENT]
+        if held is not None:
+            closes = pd.concat([held, closes]) if len(closes) else held
+        last = pdf["ts"].astype("datetime64[us]").astype("int64").max() / 1e3
+        if created is not None:
+            if len(closes):
+                yield rows(closes, created)
+            closes = None
+        elif not len(closes):
+            closes = None
+        state.update((created, pickle.dumps(closes)))
+        state.setTimeoutTimestamp(int(max(last, state.getCurrentWatermarkMs()) + 1000 * max_session_s))
+
+    return handle
+
+
 def pair_stream(events: DataFrame, year: int, watermark: str = "10 minutes", max_session: str = "1 hour",
                 default_duration: float | None = None, drop_dns: bool = True, drop_icmp: bool = True) -> DataFrame:
-    """Streaming CREATE/CLOSE pairing → closed sessions with ``duration``."""
-    ev = prepare_events(events, drop_dns, drop_icmp).withColumn("ts", syslog_timestamp("timestamp", year)
-                                                                   .cast("timestamp"))
-    creates = ev.where(F.col("event_type") == CREATE_EVENT).select(
-        F.col("session_id").alias("c_sid"), F.col("ts").alias("ts_create")).withWatermark("ts_create", watermark)
-    closes = ev.where(F.col("event_type") == CLOSE_EVENT).withWatermark("ts", watermark)
-    cond = (F.col("session_id") == F.col("c_sid")) & (F.col("ts") >= F.col("ts_create")) & \
-           (F.col("ts") <= F.col("ts_create") + F.expr(f"INTERVAL {max_session}"))
-    j = closes.join(creates, cond, "leftOuter")
-    d = F.round(F.timestamp_diff("SECOND", F.col("ts_create"), F.col("ts")).cast("double"), 1)
-    dur = F.coalesce(d, F.lit(default_duration).cast("double"))
-    keep = [c for c in closes.columns if c not in ("duration", "ts", "ord")]
-    return j.select(*keep, dur.alias("duration"), F.col("ts").alias("ts_close"))
+    """Streaming CREATE/CLOSE pairing → closed sessions with ``duration`` and ``ts_close``."""
+    ev = _timed(events, year, drop_dns, drop_icmp)
+    ev = ev.where(F.col("event_type").isin(CREATE_EVENT, CLOSE_EVENT) & F.col("ts").isNotNull()
+                  & F.col("session_id").isNotNull()).withWatermark("ts", watermark)
+    keep = [c for c in ev.columns if c not in ("duration", "ts", "ord")]
+    schema = T.StructType([*(ev.schema[c] for c in keep), T.StructField("duration", T.DoubleType()),
+                           T.StructField("ts_close", T.TimestampType())])
+    seconds = pd.Timedelta(max_session).total_seconds()
+    return ev.groupBy("session_id").applyInPandasWithState(
+        _pairing(schema, keep, seconds, default_duration), schema, "created double, held binary", "append",
+        GroupStateTimeout.EventTimeTimeout)
 
 
 def counts_stream(sessions: DataFrame, ts: str = "ts_close", window: str = "1 minute",
                   watermark: str | None = None) -> DataFrame:
-    """``watermark`` only for a source without one (the pairing join already carries the
-    CLOSE-time watermark on ``ts_close``; Spark forbids redefining it)."""
+    """``watermark`` only for a source without one."""
     src = sessions.withWatermark(ts, watermark) if watermark else sessions
     return (src
             .groupBy(F.window(ts, window).alias("w"))
@@ -83,12 +140,20 @@ def score_batches(featurize: Callable[[DataFrame], DataFrame], model, alert_path
         alerts = scored.where(F.col("is_anomaly") == 1)
         if columns:
             alerts = alerts.select(*[c for c in columns if c in alerts.columns])
-        alerts.withColumn("batch_id", F.lit(batch_id)).write.mode("append") \
-            .partitionBy("batch_id").parquet(alert_path)
+        # a replayed batch id overwrites its own partition and no other
+        alerts.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(alert_path)
 
     return handle
 
 
+def run_available(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], mode: str = "append") -> None:
+    """Process what the source holds now, batch by batch, with ``handle``; then stop."""
+    q = (df.writeStream.foreachBatch(handle).outputMode(mode).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def start_memory_query(df: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None):
     """Start a query into the in-memory sink (tests / notebooks)."""
     w = df.writeStream.format("memory").queryName(name).outputMode(mode)
