@@ -3,13 +3,13 @@ adds ``anomaly_score`` (higher = more anomalous) and ``is_anomaly`` (0/1)."""
 
 from .autoencoder import Autoencoder, AutoencoderModel
 from .base import DetectorModel
-from .dbscan import DBSCAN
+from .dbscan import DBSCAN, DBSCANModel
 from .iforest import IsolationForest, IsolationForestModel
 from .lof import LocalOutlierFactor, LOFModel
 from .ocsvm import OneClassSVM, OneClassSVMModel
 from .pca import pca_2d
 from .registry import all_detectors
 
-__all__ = ["Autoencoder", "AutoencoderModel", "DetectorModel", "DBSCAN", "IsolationForest",
+__all__ = ["Autoencoder", "AutoencoderModel", "DetectorModel", "DBSCAN", "DBSCANModel", "IsolationForest",
            "IsolationForestModel", "LocalOutlierFactor", "LOFModel", "OneClassSVM", "OneClassSVMModel",
            "pca_2d", "all_detectors"]

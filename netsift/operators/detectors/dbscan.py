@@ -1,7 +1,8 @@
-"""DBSCAN, exact: ε-pairs from the projected grid join, core = |N_ε| ≥ min_samples
-(self included), clusters = connected components of core–core edges by iterative
-minimum-label propagation with pointer jumping, run to convergence (reliable checkpoints), border points take the smallest label among their core neighbours, the rest
-is noise (label −1 → anomaly). The cluster label is the smallest member id.
+"""DBSCAN, exact: degrees by range searches over pivot partitions, core = |N_ε| ≥
+min_samples (self included), clusters = connected components of the links that span
+core vectors block by block (minimum-label propagation with pointer jumping, run to
+convergence), border points take the smallest label among their core neighbours, the
+rest is noise (label −1 → anomaly). The cluster label is the smallest core member id.
 Transductive like the original: it labels the rows it was fitted on.
 """
 
@@ -12,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ...schema import DBSCAN_EPS, DBSCAN_MIN_SAMPLES
 from ..joins import materialize
-from .base import as_array
-from .neighbors import eps_pairs
+from .base import DetectorModel, as_array
+from .neighbors import RangeIndex
 
 
 class DBSCAN:
@@ -23,35 +24,51 @@ class DBSCAN:
 
     def fit_predict(self, df: DataFrame) -> DataFrame:
         """Rows of ``df`` + degree, is_core, cluster (−1 noise), is_anomaly, anomaly_score."""
-        pts = materialize(df.select(F.col(self.id_col).cast("bigint").alias("id"),
-                                    as_array(df, self.features_col).alias("x")))
-        pairs = materialize(eps_pairs(pts, self.eps))
-        deg = pairs.groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
-        core = materialize(deg.where(F.col("degree") >= self.min_samples).select("id"))
-        cc = pairs.join(core.withColumnRenamed("id", "a"), "a").join(core.withColumnRenamed("id", "b"), "b") \
-            .where(F.col("a") != F.col("b")).select("a", "b")
-        cc = materialize(cc)
-        labels = core.select("id", F.col("id").alias("label"))
+        pts = df.select(F.col(self.id_col).cast("bigint").alias("id"), as_array(df, self.features_col).alias("x"))
+        index = RangeIndex(pts, self.eps)
+        if index.points is None:
+            return df.select("*", *(F.lit(0).cast(t).alias(n) for n, t in (
+                ("degree", "long"), ("is_core", "int"), ("cluster", "long"), ("is_anomaly", "int"), ("anomaly_score", "double"))))
+        deg = materialize(index.degrees())
+        core = deg.where(F.col("degree") >= self.min_samples).select("id")
+        links = index.links(core)
+        both = materialize(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+        labels = materialize(core.select("id", F.col("id").alias("label")))
         while True:  # to convergence: pointer jumping makes rounds logarithmic in a chain's length
-            nb = cc.join(labels.withColumnRenamed("id", "b").withColumnRenamed("label", "lb"), "b") \
+            nb = both.join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b") \
                 .groupBy(F.col("a").alias("id")).agg(F.min("lb").alias("lb"))
-            new = labels.join(nb, "id", "left").select(
-                "id", F.least(F.col("label"), F.coalesce(F.col("lb"), F.col("label"))).alias("label"))
-            new = materialize(new)
+            new = materialize(labels.join(nb, "id", "left").select("id", F.least("label", F.coalesce("lb", "label")).alias("label")))
             up = new.select(F.col("id").alias("label"), F.col("label").alias("up"))
             new = materialize(new.join(up, "label").select("id", F.col("up").alias("label")))
-            changed = new.join(labels.withColumnRenamed("label", "old"), "id").where(
-                F.col("label") != F.col("old")).limit(1).count()
+            changed = not new.join(labels.select("id", F.col("label").alias("old")), "id").where("label <> old").isEmpty()
             labels = new
-            if changed == 0:
+            if not changed:
                 break
-        border = pairs.join(labels.withColumnRenamed("id", "b").withColumnRenamed("label", "lb"), "b") \
-            .groupBy(F.col("a").alias("id")).agg(F.min("lb").alias("border_label"))
-        out = pts.select("id").join(deg, "id", "left").join(labels, "id", "left").join(border, "id", "left")
-        out = out.select("id", F.coalesce("degree", F.lit(0)).alias("degree"),
-                         F.col("label").isNotNull().cast("int").alias("is_core"),
+        rest = deg.where(F.col("degree") < self.min_samples).select("id")
+        border = index.least_label(rest, labels).select("id", F.col("label").alias("border_label"))
+        out = index.points.select("id", "vh").join(deg, "id").join(labels, "id", "left").join(border, "id", "left")
+        out = out.select("vh", F.col("degree"), F.col("label").isNotNull().cast("int").alias("is_core"),
                          F.coalesce("label", "border_label", F.lit(-1)).alias("cluster"))
         out = out.withColumn("is_anomaly", (F.col("cluster") == -1).cast("int")) \
                  .withColumn("anomaly_score", F.col("is_anomaly").cast("double"))
-        return df.join(out.withColumnRenamed("id", "__id"), F.col(self.id_col).cast("bigint") == F.col("__id")) \
-                 .drop("__id")
+        by_row = index.rows.select(F.col("id").alias("__id"), "vh").join(materialize(out), "vh").drop("vh")
+        return df.join(by_row, F.col(self.id_col).cast("bigint") == F.col("__id")).drop("__id")
+
+    def fit(self, df: DataFrame) -> "DBSCANModel":
+        """The model is its parameters: clusters belong to the rows they are found in."""
+        return DBSCANModel({"eps": self.eps, "min_samples": self.min_samples, "id_col": self.id_col}, None, self.features_col)
+
+
+class DBSCANModel(DetectorModel):
+    """Saved DBSCAN parameters; ``transform`` clusters the rows it is given."""
+
+    name = "dbscan"
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        p = self.params
+        return DBSCAN(p["eps"], p["min_samples"], self.features_col, p["id_col"]).fit_predict(df)
+
+    @classmethod
+    def load(cls, spark, path: str) -> "DBSCANModel":
+        meta = DetectorModel.read_meta(spark, path)
+        return cls(meta["params"], meta["threshold"], meta["features_col"])

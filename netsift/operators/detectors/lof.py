@@ -1,6 +1,6 @@
 """Local outlier factor (novelty mode), exact.
 
-fit: k+1 nearest neighbours of every training point (grid rings, ``neighbors.knn``);
+fit: k+1 nearest neighbours of every training point (pivot partitions, ``neighbors.knn``);
 dropping the point itself gives its k neighbours, its k-distance and its local
 reachability density lrd = 1 / (mean reach-dist + 1e-10), reach-dist(p, o) =
 max(k-dist(o), d(p, o)). The training LOF (mean lrd of neighbours / own lrd) sets the
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ...schema import DEFAULT_CONTAMINATION, LOF_NEIGHBORS
 from ..joins import materialize
 from .base import DetectorModel, as_array, fit_threshold
-from .neighbors import Projection, knn
+from .neighbors import knn
 
 
 def _lof_from_edges(edges: DataFrame, train: DataFrame) -> DataFrame:
@@ -43,8 +43,7 @@ class LocalOutlierFactor:
         k = self.k
         pts = materialize(df.select(F.col(self.id_col).cast("bigint").alias("id"),
                                     as_array(df, self.features_col).alias("x")))
-        proj = Projection.fit(pts)
-        nn = knn(pts.withColumnRenamed("id", "qid").withColumnRenamed("qid", "id"), pts, k + 1, proj)
+        nn = materialize(knn(pts, pts, k + 1))
         # drop the point itself (keep k others)
         excl = nn.select("qid", F.slice(F.filter("nbrs", lambda s: s["id"] != F.col("qid")), 1, k).alias("nb"))
         edges = excl.select("qid", F.inline("nb"))
@@ -55,8 +54,7 @@ class LocalOutlierFactor:
         train = materialize(pts.join(kd, "id").join(lrd, "id"))
         lof_train = _lof_from_edges(edges, train)
         thr = fit_threshold(lof_train, "lof", 100.0 * (1.0 - self.contamination))
-        model = LOFModel({"n_neighbors": k, "contamination": self.contamination, "id_col": self.id_col,
-                          "mean": proj.mean.tolist(), "comps": proj.comps.tolist()}, train, thr,
+        model = LOFModel({"n_neighbors": k, "contamination": self.contamination, "id_col": self.id_col}, train, thr,
                          self.features_col, self.id_col)
         model._train_nbrs = nn
         return model
@@ -82,10 +80,8 @@ class LOFModel(DetectorModel):
         self.train, self.id_col = train, id_col
 
     def score(self, df: DataFrame) -> DataFrame:
-        import numpy as np
-        proj = Projection(np.array(self.params["mean"]), np.array(self.params["comps"]))
         q = df.select(F.col(self.id_col).cast("bigint").alias("id"), as_array(df, self.features_col).alias("x"))
-        nn = knn(q, self.train.select("id", "x"), self.params["n_neighbors"], proj)
+        nn = knn(q, self.train.select("id", "x"), self.params["n_neighbors"])
         edges = nn.select("qid", F.inline("nbrs"))
         lof = _lof_from_edges(edges, self.train).select(F.col("qid").alias("__qid"),
                                                          F.col("lof").alias("anomaly_score"))

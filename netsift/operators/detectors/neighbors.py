@@ -1,237 +1,251 @@
-"""Exact neighbour joins without all-pairs: a grid on a 2-D orthonormal projection.
-
-An orthonormal projection never lengthens a distance, so
-
-* **ε-join**: two points within ε lie in the same or adjacent projected cells of side
-  ε — every query cell is paired with its 3×3 block of data cells;
-* **k nearest neighbours**: square annuli of cells around each query cell are visited
-  round by round (covered Chebyshev radius R = 1, 3, 7, 15, …); every unseen point is
-  farther than R·s in projection, so a query whose current k-th distance is ≤ R·s is
-  final. Rounds continue until every query is final (the grid extent bounds them) —
-  no cap on candidates.
-
-Work is done per **block pair**: queries of a cell are split by a hashed salt into
-blocks of ≤ ``block`` rows, data points of a cell likewise; each (query block, data
-block) pair is one ``cogroup(...).applyInPandas`` group where NumPy computes the
-distance block, so no group exceeds block × block whatever the cell occupancy. kNN
-keeps ≤ k rows per query per block and merges them with the best-so-far by a window
-per query. Round state is a reliable checkpoint (shared folder), never a local one.
+"""Exact neighbour joins by pivot partitions and the triangle inequality.
+
+Rows are dealt to the nearest of about n / block pivots (data rows chosen by a hash, at most
+``MAX_PIVOTS``; only pivots, radii and counts reach the driver). A cell B with pivot p and
+radius R holds nothing within t of a query q when d(q, p) - R > t:
+
+* **k nearest neighbours** take two passes. The first visits the nearest cells that hold
+  k rows and gives each query an upper bound on its k-th distance; the second visits the
+  other cells that the bound does not exclude. The bound works in all dimensions, on
+  collinear data and with far outliers; where distances are nearly equal (isotropic
+  data of many dimensions) it excludes little, as any exact method.
+* **ranges** (DBSCAN) visit the cells not excluded at radius eps. A task sends back degree
+  sums, spanning links or least labels, never pairs.
+
+Equal vectors are one query, and at most k of them (the smallest ids) are data of a kNN
+search; in range searches they are one point with a weight. Work is done per pair of
+blocks: rows of a cell are split by a hash into blocks of ``block`` rows on average, and
+each pair of a query block and a data block is one cogroup, so no group grows with a cell.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..joins import materialize
 
 QUERY_BLOCK = 256
+MAX_PIVOTS = 1024
 _CHUNK = 4_000_000  # doubles per distance chunk inside a task
+_SLACK = 1e-9       # rounding of a distance, relative: bounds give way by it
+GROUP = ["qcell", "qsalt", "dcell", "dsalt"]
 
 
-class Projection:
-    """Centred 2-D PCA projection (fitted with Spark ML, applied as expressions)."""
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = np.empty((len(a), len(b)))
+    step = max(1, _CHUNK // max(1, b.size))
+    for s in range(0, len(a), step):
+        diff = a[s:s + step, None, :] - b[None, :, :]
+        out[s:s + step] = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+    return out
 
-    def __init__(self, mean: np.ndarray, comps: np.ndarray):
-        self.mean, self.comps = np.asarray(mean, float), np.asarray(comps, float)  # comps: d × 2
-
-    @classmethod
-    def fit(cls, df: DataFrame, xcol: str = "x") -> "Projection":
-        v = df.select(array_to_vector(xcol).alias("v"))
-        sc = StandardScaler(withMean=True, withStd=False, inputCol="v", outputCol="c").fit(v)
-        k = min(2, len(sc.mean))
-        pca = PCA(k=k, inputCol="c", outputCol="p").fit(sc.transform(v))
-        comps = pca.pc.toArray()
-        if comps.shape[1] < 2:
-            comps = np.hstack([comps, np.zeros((comps.shape[0], 1))])
-        return cls(sc.mean.toArray(), comps)
-
-    def columns(self, xcol: str = "x") -> list[Column]:
-        out = []
-        m = F.array(*[F.lit(float(c)) for c in self.mean])
-        for j in range(2):
-            w = F.array(*[F.lit(float(c)) for c in self.comps[:, j]])
-            centred = F.zip_with(F.col(xcol), m, lambda a, b: a - b)
-            out.append(F.aggregate(F.zip_with(centred, w, lambda a, b: a * b), F.lit(0.0),
-                                   lambda acc, v: acc + v).alias(f"p{j}"))
-        return out
-
-
-def with_cells(df: DataFrame, proj: Projection, side: float, xcol: str = "x") -> DataFrame:
-    p0, p1 = proj.columns(xcol)
-    d = df.select("*", p0, p1)
-    return d.withColumn("cx", F.floor(F.col("p0") / side).cast("long")) \
-            .withColumn("cy", F.floor(F.col("p1") / side).cast("long")).drop("p0", "p1")
-
-
-def _radius(r: int) -> int:
-    """Chebyshev radius covered after round r: 1, 3, 7, 15, … (geometric growth keeps
-    the number of rounds logarithmic in the grid extent; the own cell alone can never
-    finish a query, so the first round already covers the 3×3 block)."""
-    return (1 << (r + 1)) - 1
-
-
-def _ring(r: int) -> list[tuple[int, int]]:
-    """Cells with Chebyshev distance in (radius(r-1), radius(r)]."""
-    lo, hi = (_radius(r - 1) if r > 0 else -1), _radius(r)
-    return [(dx, dy) for dx in range(-hi, hi + 1) for dy in range(-hi, hi + 1) if lo < max(abs(dx), abs(dy))]
-
-
-def _offsets_col(offs: list[tuple[int, int]]) -> Column:
-    return F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in offs]))
 
+def _matrix(col) -> np.ndarray:
+    return np.array(col.tolist(), dtype=float)
 
-def _salted(queries: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
-    """Adds ``salt`` to queries; returns (queries, per-(cell, salt) request keys)."""
-    counts = queries.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn("_s", F.greatest(F.lit(1), F.ceil(F.col("_n") / block)).cast("int"))
-    q = queries.join(counts.select("cx", "cy", "_s"), ["cx", "cy"])
-    q = q.withColumn("salt", F.pmod(F.xxhash64(F.col("qid")), F.col("_s")).cast("int")).drop("_s")
-    keys = counts.select("cx", "cy", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("salt"))
-    return q, keys
 
+class Pivots:
+    """Pivot vectors with the radius and the number of rows of each cell."""
 
-def salt_cells(cells: DataFrame, block: int) -> DataFrame:
-    """Data points get ``dsalt`` so that one (cell, dsalt) block holds ≤ ``block`` points;
-    ``ns`` = number of data salts of the cell."""
-    n = cells.groupBy("cx", "cy").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block)).cast("int")
-                                      .alias("ns"))
-    c = cells.join(n, ["cx", "cy"])
-    return c.withColumn("dsalt", F.pmod(F.xxhash64(F.col("id")), F.col("ns")).cast("int"))
+    def __init__(self, points: np.ndarray):
+        self.points = points
+        self.radius = np.zeros(len(points))
+        self.count = np.zeros(len(points), np.int64)
 
-
-GROUP = ["qcx", "qcy", "salt", "dcx", "dcy", "dsalt"]
-
-
-def _block_pairs(active: DataFrame, cells: DataFrame, offs: list[tuple[int, int]], block: int):
-    """Co-groupable sides: each group = ≤ block queries × ≤ block data points.
-
-    ``active``: (qid, qx, cx, cy); ``cells``: salted data (id, x, cx, cy, dsalt, ns).
-    """
-    qs, keys = _salted(active, block)
-    occupied = cells.select("cx", "cy", "ns").distinct()
-    req = keys.select("cx", "cy", "salt", _offsets_col(offs).alias("o")).select(
-        F.col("cx").alias("qcx"), F.col("cy").alias("qcy"), "salt",
-        (F.col("cx") + F.col("o.dx")).alias("dcx"), (F.col("cy") + F.col("o.dy")).alias("dcy"))
-    req = req.join(occupied.withColumnRenamed("cx", "dcx").withColumnRenamed("cy", "dcy"), ["dcx", "dcy"]) \
-        .select(*GROUP[:5], F.explode(F.sequence(F.lit(0), F.col("ns") - 1)).alias("dsalt"))
-    left = qs.withColumnRenamed("cx", "qcx").withColumnRenamed("cy", "qcy").join(req, ["qcx", "qcy", "salt"]) \
-        .select(*GROUP, "qid", "qx")
-    right = cells.withColumnRenamed("cx", "dcx").withColumnRenamed("cy", "dcy") \
-        .join(req, ["dcx", "dcy", "dsalt"]).select(*GROUP, "id", "x")
-    return left, right
-
-
-def _block_distances(Q: np.ndarray, Cx: np.ndarray):
-    """Yields (row slice, distance block) for the queries × candidates matrix in chunks."""
-    step = max(1, _CHUNK // max(1, Cx.shape[0] * max(1, Cx.shape[1])))
-    for s in range(0, len(Q), step):
-        diff = Q[s:s + step, None, :] - Cx[None, :, :]
-        yield s, np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-
-
-NBR_ROWS = "qid long, dist double, id long"
-
-
-def knn(queries: DataFrame, data: DataFrame, k: int, proj: Projection | None = None, side: float | None = None,
-        xcol: str = "x", idcol: str = "id", block: int = QUERY_BLOCK) -> DataFrame:
+    @classmethod
+    def choose(cls, data: DataFrame, n: int, block: int, seed: int = 7) -> "Pivots":
+        m = min(MAX_PIVOTS, max(1, -(-n // block)))
+        rows = data.select("x").orderBy(F.xxhash64(F.lit(seed), "x")).limit(m).toPandas()
+        return cls(np.unique(_matrix(rows["x"]), axis=0) if len(rows) else np.zeros((0, 1)))
+
+    def assign(self, df: DataFrame, block: int) -> DataFrame:
+        """``df`` with ``cell`` (nearest pivot), ``away`` (distance to it) and ``salt``."""
+        points, cols = self.points, df.columns
+
+        def go(batches):
+            for pdf in batches:
+                d = _distances(_matrix(pdf["x"]), points) if len(pdf) else np.zeros((0, len(points)))
+                cell = d.argmin(axis=1) if len(pdf) else np.zeros(0, int)
+                yield pdf[cols].assign(cell=cell.astype("int32"), away=d[np.arange(len(pdf)), cell])
+
+        fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+        out = materialize(df.mapInPandas(go, f"{fields}, cell int, away double"))
+        sizes = out.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("r")).toPandas()
+        self.count[sizes["cell"]], self.radius[sizes["cell"]] = sizes["n"], sizes["r"]
+        blocks = F.array(*(F.lit(int(-(-c // block)) or 1) for c in self.count))
+        return out.withColumn("salt", F.pmod(F.xxhash64(F.col("id"), F.lit(3)), F.get(blocks, F.col("cell"))).cast("int"))
+
+
+def _join_blocks(queries: DataFrame, data: DataFrame, need: DataFrame, body: Callable, schema: str) -> DataFrame:
+    """Run ``body(query block, data block)`` for every needed (qcell, qsalt, dcell)."""
+    blocks = data.select(F.col("cell").alias("dcell"), F.col("salt").alias("dsalt")).distinct()
+    req = materialize(need.join(blocks, "dcell").select(*GROUP))
+    # columns under new ids: both sides may come from one table
+    fresh = lambda df, names: df.select(*(F.col(c).alias(names.get(c, c)) for c in df.columns))
+    left = fresh(queries, {"cell": "qcell", "salt": "qsalt"}).join(fresh(req, {}), ["qcell", "qsalt"])
+    right = fresh(data, {"cell": "dcell", "salt": "dsalt"}).join(fresh(req, {}), ["dcell", "dsalt"])
+    return left.groupBy(*GROUP).cogroup(right.groupBy(*GROUP)).applyInPandas(body, schema)
+
+
+def pairs_visited(queries: DataFrame, data: DataFrame, need: DataFrame) -> int:
+    """Rows compared by ``_join_blocks``: the sum over needed block pairs (for tests and tuning)."""
+    q = queries.groupBy(F.col("cell").alias("qcell"), F.col("salt").alias("qsalt")).agg(F.count(F.lit(1)).alias("nq"))
+    d = data.groupBy(F.col("cell").alias("dcell")).agg(F.count(F.lit(1)).alias("nd"))
+    return need.join(q, ["qcell", "qsalt"]).join(d, "dcell").agg(F.sum(F.col("nq") * F.col("nd"))).first()[0] or 0
+
+
+def _needed(queries: DataFrame, pivots: Pivots, reach: str | float, skip: list[list[int]] | None = None) -> DataFrame:
+    """(qcell, qsalt, dcell): cells that may hold a row within ``reach`` of a query of the block."""
+    points, radius, used = pivots.points, pivots.radius, pivots.count > 0
+    cols = ["x", "cell", "salt"] + ([reach] if isinstance(reach, str) else [])
+
+    def go(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            d = _distances(_matrix(pdf["x"]), points)
+            t = pdf[reach].to_numpy(float)[:, None] if isinstance(reach, str) else reach
+            hit = (d - radius <= t + _SLACK * (1 + d)) & used
+            if skip is not None:
+                for r, c in enumerate(pdf["cell"]):
+                    hit[r, skip[c]] = False
+            i, j = np.nonzero(hit)
+            yield pd.DataFrame({"qcell": pdf["cell"].to_numpy()[i], "qsalt": pdf["salt"].to_numpy()[i],
+                                "dcell": j.astype("int32")}).drop_duplicates()
+
+    return queries.select(*cols).mapInPandas(go, "qcell int, qsalt int, dcell int").distinct()
+
+
+def _top(k: int):
+    def body(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(c):
+            return pd.DataFrame({"qid": pd.Series(dtype="int64"), "dist": pd.Series(dtype=float), "id": pd.Series(dtype="int64")})
+        d, ids, qid = _distances(_matrix(q["x"]), _matrix(c["x"])), c["id"].to_numpy(np.int64), q["id"].to_numpy(np.int64)
+        best = [np.lexsort((ids, row))[:k] for row in d]
+        return pd.DataFrame({"qid": np.repeat(qid, [len(b) for b in best]), "dist": np.concatenate([row[b] for row, b in zip(d, best)]),
+                             "id": ids[np.concatenate(best)]})
+    return body
+
+
+def _smallest(df: DataFrame, keys: list[str], order: list[str], k: int, salt: str) -> DataFrame:
+    """The first ``k`` rows of each key; a hot key is cut to k a part before it meets in one task."""
+    part = Window.partitionBy(*keys, F.pmod(F.xxhash64(salt), F.lit(32))).orderBy(*order)
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    return (df.withColumn("r_", F.row_number().over(part)).filter(F.col("r_") <= k)
+            .withColumn("r_", F.row_number().over(whole)).filter(F.col("r_") <= k).drop("r_"))
+
+
+def _vectors(df: DataFrame, idcol: str, xcol: str) -> DataFrame:
+    x = F.col(xcol).cast("array<double>")
+    return df.select(F.col(idcol).cast("long").alias("id"), x.alias("x"), F.xxhash64(x).alias("vh"))
+
+
+def knn(queries: DataFrame, data: DataFrame, k: int, xcol: str = "x", idcol: str = "id",
+        block: int = QUERY_BLOCK) -> DataFrame:
     """Exact k nearest ``data`` points for every query: (qid, nbrs array<struct<dist,id>>)
     sorted by (dist, id). A query that is also a data point finds itself at distance 0."""
-    proj = proj or Projection.fit(data, xcol)
-    dp = data.select(F.col(idcol).cast("long").alias("id"), F.col(xcol).cast("array<double>").alias("x"))
-    # one pass: projected extent → cell side (≈ k points per cell) and grid span
-    ext = dp.select(*proj.columns("x")).agg(F.count(F.lit(1)), F.min("p0"), F.max("p0"),
-                                            F.min("p1"), F.max("p1")).first()
-    if side is None:
-        area = max((ext[2] - ext[1]) * (ext[4] - ext[3]), 1e-12)
-        side = math.sqrt(area * k / max(ext[0], 1)) or 1.0
-    cells = materialize(salt_cells(with_cells(dp, proj, side), block))
-    max_r = int(max(math.floor(ext[2] / side) - math.floor(ext[1] / side),
-                    math.floor(ext[4] / side) - math.floor(ext[3] / side))) + 1
-    q = with_cells(queries.select(F.col(idcol).cast("long").alias("qid"),
-                                  F.col(xcol).cast("array<double>").alias("x")), proj, side)
-    active = materialize(q.select("qid", F.col("x").alias("qx"), "cx", "cy"))
-    state = None  # (qid, dist, id) rows: the best k found so far per query
-
-    def topk_block(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        if len(qpdf) == 0 or len(cpdf) == 0:
-            return pd.DataFrame({"qid": pd.Series(dtype="int64"), "dist": pd.Series(dtype=float),
-                                 "id": pd.Series(dtype="int64")})
-        Q = np.array(qpdf["qx"].tolist(), dtype=float)
-        Cx = np.array(cpdf["x"].tolist(), dtype=float)
-        qid = qpdf["qid"].to_numpy(dtype=np.int64)
-        cid = cpdf["id"].to_numpy(dtype=np.int64)
-        out_q, out_d, out_i = [], [], []
-        for s, D in _block_distances(Q, Cx):
-            for i in range(D.shape[0]):
-                o = np.lexsort((cid, D[i]))[:k]
-                out_q.append(np.full(len(o), qid[s + i]))
-                out_d.append(D[i, o])
-                out_i.append(cid[o])
-        return pd.DataFrame({"qid": np.concatenate(out_q), "dist": np.concatenate(out_d),
-                             "id": np.concatenate(out_i)})
-
-    done_parts = []
-    r = 0
-    while True:
-        left, right = _block_pairs(active, cells, _ring(r), block)
-        found = left.groupBy(*GROUP).cogroup(right.groupBy(*GROUP)).applyInPandas(topk_block, NBR_ROWS)
-        rows = found if state is None else state.unionByName(found)
-        # per query: the k smallest (dist, id) among ≤ k per block plus the previous best k
-        rk = F.row_number().over(Window.partitionBy("qid").orderBy("dist", "id"))
-        best = rows.withColumn("_rk", rk).where(F.col("_rk") <= k).drop("_rk")
-        summary = best.groupBy("qid").agg(F.count(F.lit(1)).alias("_m"), F.max("dist").alias("_kd"))
-        fin_q = active.select("qid").join(summary, "qid", "left").select(
-            "qid", (F.lit(_radius(r) >= max_r) | ((F.coalesce("_m", F.lit(0)) >= k)
-                                                   & (F.col("_kd") <= F.lit(_radius(r) * side)))).alias("_fin"))
-        best = materialize(best.join(fin_q, "qid", "right").select("qid", "dist", "id", "_fin"))
-        done_parts.append(best.where("_fin AND dist IS NOT NULL").select("qid", "dist", "id"))
-        unfinished = best.where(~F.col("_fin")).select("qid").distinct()
-        state = best.where(~F.col("_fin") & F.col("dist").isNotNull()).select("qid", "dist", "id")
-        active = active.join(unfinished, "qid")  # lineage: a few rounds over checkpointed state
-        if active.isEmpty():
-            break
-        r += 1
-    rows = done_parts[0]
-    for p in done_parts[1:]:
-        rows = rows.unionByName(p)
-    nb = rows.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("dist", "id"))).alias("nbrs"))
-    # queries that found nothing (empty data) still get a row
-    return q.select("qid").join(nb, "qid", "left").select(
-        "qid", F.coalesce("nbrs", F.array().cast("array<struct<dist:double,id:bigint>>")).alias("nbrs"))
-
-
-def eps_pairs(points: DataFrame, eps: float, proj: Projection | None = None, xcol: str = "x",
-              idcol: str = "id", block: int = QUERY_BLOCK) -> DataFrame:
-    """All (a, b, dist) with dist ≤ eps, both directions, self pairs included."""
-    proj = proj or Projection.fit(points, xcol)
-    g = materialize(salt_cells(with_cells(points.select(F.col(idcol).cast("long").alias("id"),
-                                                        F.col(xcol).cast("array<double>").alias("x")), proj, eps),
-                               block))
-    q = g.select(F.col("id").alias("qid"), F.col("x").alias("qx"), "cx", "cy")
-    left, right = _block_pairs(q, g, [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)], block)
-
-    def pairs(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        if len(qpdf) == 0 or len(cpdf) == 0:
-            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64"),
-                                 "dist": pd.Series(dtype=float)})
-        Q = np.array(qpdf["qx"].tolist(), dtype=float)
-        Cx = np.array(cpdf["x"].tolist(), dtype=float)
-        qid = qpdf["qid"].to_numpy(dtype=np.int64)
-        cid = cpdf["id"].to_numpy(dtype=np.int64)
-        out_a, out_b, out_d = [], [], []
-        for s, D in _block_distances(Q, Cx):
-            ii, jj = np.nonzero(D <= eps)
-            out_a.append(qid[s + ii])
-            out_b.append(cid[jj])
-            out_d.append(D[ii, jj])
-        return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b), "dist": np.concatenate(out_d)})
-
-    return left.groupBy(*GROUP).cogroup(right.groupBy(*GROUP)).applyInPandas(pairs, "a long, b long, dist double")
+    none = F.array().cast("array<struct<dist:double,id:bigint>>")
+    every = materialize(_vectors(queries, idcol, xcol))
+    points = materialize(_smallest(_vectors(data, idcol, xcol), ["vh"], ["id"], k, "id"))
+    n = points.count()
+    if not n:
+        return every.select(F.col("id").alias("qid"), none.alias("nbrs"))
+    pivots = Pivots.choose(points, n, block)
+    cells = pivots.assign(points, block)
+    one = every.groupBy("vh").agg(F.min("id").alias("id"), F.min("x").alias("x"))
+    count, radius = pivots.count.copy(), pivots.radius.copy()
+    asked = pivots.assign(one.select("id", "x"), block)
+    pivots.count, pivots.radius = count, radius  # cells are those of the data
+    # the nearest cells that hold k rows together, for each query cell
+    seeds = []
+    for row in _distances(pivots.points, pivots.points):
+        order = [int(c) for c in np.argsort(row, kind="stable") if count[c]]
+        upto = int(np.searchsorted(np.cumsum(count[order]), k)) + 1
+        seeds.append(order[:upto])
+    pairs = pd.DataFrame([(c, s) for c, row in enumerate(seeds) for s in row], columns=["qcell", "dcell"]).astype("int32")
+    seed_table = data.sparkSession.createDataFrame(pairs, "qcell int, dcell int")
+    qblocks = asked.select(F.col("cell").alias("qcell"), F.col("salt").alias("qsalt")).distinct()
+    rows = "qid long, dist double, id long"
+    first = _join_blocks(asked, cells, qblocks.join(seed_table, "qcell"), _top(k), rows)
+    near = materialize(_smallest(first, ["qid"], ["dist", "id"], k, "id"))
+    bound = near.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("reach"))
+    asked = materialize(asked.join(bound, asked["id"] == bound["qid"]).drop("qid"))
+    more = _join_blocks(asked.drop("reach"), cells, _needed(asked, pivots, "reach", seeds), _top(k), rows)
+    best = _smallest(near.unionByName(more), ["qid"], ["dist", "id"], k, "id")
+    lists = (best.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("dist", "id"))).alias("nbrs"))
+             .join(one.select(F.col("id").alias("qid"), "vh"), "qid").select("vh", "nbrs"))
+    return every.join(materialize(lists), "vh", "left").select(F.col("id").alias("qid"), F.coalesce("nbrs", none).alias("nbrs"))
+
+
+class RangeIndex:
+    """Distinct vectors of a table for range searches of one radius."""
+
+    def __init__(self, df: DataFrame, eps: float, idcol: str = "id", xcol: str = "x", block: int = QUERY_BLOCK):
+        self.eps, self.block = eps, block
+        self.rows = materialize(_vectors(df, idcol, xcol))
+        points = materialize(self.rows.groupBy("vh").agg(F.min("id").alias("id"), F.min("x").alias("x"),
+                                                         F.count(F.lit(1)).alias("weight")))
+        self.pivots = Pivots.choose(points, points.count(), block)
+        self.points = self.pivots.assign(points.select("id", "x", "vh", "weight"), block) if len(self.pivots.points) else None
+
+    def _run(self, queries: DataFrame, data: DataFrame, body: Callable, schema: str) -> DataFrame:
+        return _join_blocks(queries, data, _needed(queries, self.pivots, self.eps), body, schema)
+
+    def degrees(self) -> DataFrame:
+        """(id, degree): rows within eps of each distinct vector, itself included."""
+        eps = self.eps
+
+        def body(q, c):
+            if not len(q) or not len(c):
+                return pd.DataFrame({"id": pd.Series(dtype="int64"), "n": pd.Series(dtype="int64")})
+            hit = _distances(_matrix(q["x"]), _matrix(c["x"])) <= eps
+            return pd.DataFrame({"id": q["id"].to_numpy(np.int64), "n": hit @ c["weight"].to_numpy(np.int64)})
+
+        p = self.points.select("id", "x", "weight", "cell", "salt")
+        return self._run(p.drop("weight"), p, body, "id long, n long").groupBy("id").agg(F.sum("n").alias("degree"))
+
+    def links(self, core: DataFrame) -> DataFrame:
+        """(a, b): links that span the core vectors within eps of each other, block by block."""
+        eps = self.eps
+
+        def body(q, c):
+            a, b = q["id"].to_numpy(np.int64), c["id"].to_numpy(np.int64)
+            ids = np.unique(np.concatenate([a, b]))
+            label = np.arange(len(ids))
+            if len(a) and len(b):
+                i, j = np.nonzero(_distances(_matrix(q["x"]), _matrix(c["x"])) <= eps)
+                i, j = np.searchsorted(ids, a[i]), np.searchsorted(ids, b[j])
+                while True:
+                    x, y = label[i], label[j]
+                    if (x == y).all():
+                        break
+                    np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+                    while not np.array_equal(label[label], label):
+                        label = label[label]
+            own = label != np.arange(len(ids))
+            return pd.DataFrame({"a": ids[own], "b": ids[label[own]]})
+
+        p = materialize(self.points.join(core, "id", "left_semi").select("id", "x", "cell", "salt"))
+        return self._run(p, p, body, "a long, b long")
+
+    def least_label(self, rest: DataFrame, labels: DataFrame) -> DataFrame:
+        """(id, label): the least label of a core vector within eps of each vector of ``rest``."""
+        eps = self.eps
+
+        def body(q, c):
+            if not len(q) or not len(c):
+                return pd.DataFrame({"id": pd.Series(dtype="int64"), "l": pd.Series(dtype="int64")})
+            hit = _distances(_matrix(q["x"]), _matrix(c["x"])) <= eps
+            l = np.where(hit, c["label"].to_numpy(np.int64), np.iinfo(np.int64).max).min(axis=1)
+            some = hit.any(axis=1)
+            return pd.DataFrame({"id": q["id"].to_numpy(np.int64)[some], "l": l[some]})
+
+        q = self.points.join(rest, "id", "left_semi").select("id", "x", "cell", "salt")
+        c = self.points.join(labels, "id").select("id", "x", "label", "cell", "salt")
+        return self._run(materialize(q), materialize(c), body, "id long, l long").groupBy("id").agg(F.min("l").alias("label"))

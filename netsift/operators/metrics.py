@@ -165,6 +165,14 @@ def score_density(df: DataFrame, score: str = "score", label: str | None = None,
         F.round(F.coalesce(F.col("n"), F.lit(0)) / (F.col("tot") * w), 6).alias("density"))
 
 
+def score_density_with_threshold(df: DataFrame, score: str = "score", pct: float = 95.0, bins: int = 100) -> DataFrame:
+    """Density of all scores (``bins`` bins) with the ``pct``-th percentile as ``threshold`` on
+    every row and ``flagged`` for bins that begin above it."""
+    d = attach_scalars(score_density(df, score, bins=bins), percentile_threshold(df, score, pct))
+    return d.withColumn("threshold", F.round("threshold", 6)).withColumn(
+        "flagged", (F.col("bin_lo") > F.col("threshold")).cast("int"))
+
+
 def feature_contrast(df: DataFrame, cols: list[str], mask: str = "is_anomaly", top: int = 15) -> DataFrame:
     """Mean of each (scaled) feature among anomalies and among normal rows, absolute
     difference, the ``top`` largest differences. One conditional-average pass."""

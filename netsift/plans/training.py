@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import export as X
 from ..operators import metrics as M
-from ..operators.detectors import (DBSCAN, Autoencoder, AutoencoderModel, IsolationForest, IsolationForestModel,
+from ..operators.detectors import (DBSCAN, DBSCANModel, Autoencoder, AutoencoderModel, IsolationForest, IsolationForestModel,
                                    LocalOutlierFactor, LOFModel, OneClassSVM, OneClassSVMModel)
 from ..operators.features import FeatureLookups, engineer_features, fit_scaler
 from ..operators.sessions import drop_zero_duration, pair_sessions, prepare_events
@@ -28,7 +28,17 @@ from ..sources.files import write_csv
 from ..sources.syslog import parse_syslog
 
 LOADERS = {"isolation_forest": IsolationForestModel, "one_class_svm": OneClassSVMModel, "lof": LOFModel,
-           "autoencoder": AutoencoderModel}
+           "autoencoder": AutoencoderModel, "dbscan": DBSCANModel}
+
+
+def saved_models(spark: SparkSession, model_dir: str) -> list[str]:
+    """Names of the models under ``model_dir``, on any file system Spark reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(model_dir)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [d for d in LOADERS if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, d))]
+    if not found:
+        raise FileNotFoundError(f"no saved model under {model_dir}")
+    return found
 
 
 def sessions_from_log(spark: SparkSession, log_path: str, year: int) -> DataFrame:
@@ -58,15 +68,13 @@ def train(spark: SparkSession, log_path: str, out_dir: str, year: int,
         "one_class_svm": lambda: OneClassSVM(nu=contamination),
         "lof": lambda: LocalOutlierFactor(contamination=contamination, id_col="session_id"),
         "autoencoder": lambda: Autoencoder(contamination=contamination),
+        "dbscan": lambda: DBSCAN(id_col="session_id"),
     }
     results = []
     for name in detectors:
-        if name == "dbscan":
-            scored = DBSCAN(id_col="session_id").fit_predict(matrix)
-        else:
-            model = makers[name]().fit(matrix)
-            model.save(os.path.join(out_dir, "models", name))
-            scored = model.transform(matrix)
+        model = makers[name]().fit(matrix)
+        model.save(os.path.join(out_dir, "models", name))
+        scored = model.transform(matrix)
         scored = _stage(scored.drop("features"), os.path.join(out_dir, "stages", f"scored_{name}"))
         X.export_top_anomalies(scored, name, os.path.join(out_dir, "exports"), top_n)
         results.append(M.unsupervised_result(scored, name))
@@ -78,7 +86,7 @@ def train(spark: SparkSession, log_path: str, out_dir: str, year: int,
 def apply(spark: SparkSession, log_path: str, model_dir: str, out_dir: str, year: int,
           detectors: list[str] | None = None, top_n: int = TOP_EXPORT) -> dict[str, str]:
     """Score a new log with the saved standardiser and detectors; returns export paths."""
-    detectors = detectors or [d for d in LOADERS if os.path.exists(os.path.join(model_dir, d))]
+    detectors = detectors or saved_models(spark, model_dir)
     sessions = _stage(sessions_from_log(spark, log_path, year), os.path.join(out_dir, "stages", "sessions"))
     lookups = FeatureLookups.load(spark, os.path.join(model_dir, "lookups"))
     feats = engineer_features(sessions, year, materialize_input=False, lookups=lookups)
