@@ -21,12 +21,6 @@ def log1p0(c) -> Column:
     return F.when(x > -1.0, F.log1p(x))
 
 
-def finite_or_zero(c) -> Column:
-    """NULL, NaN and ±Infinity → 0.0 (the feature matrix cleaning rule)."""
-    x = _col(c).cast("double")
-    return F.when(x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), F.lit(0.0)).otherwise(x)
-
-
 def as_flag(cond: Column) -> Column:
     """Boolean → 0/1 INT, NULL → 0."""
     return F.coalesce(cond.cast("int"), F.lit(0))

@@ -36,14 +36,5 @@ def any_timestamp(ts, year: int) -> Column:
     return F.coalesce(syslog_timestamp(txt, year), generic)
 
 
-def hour_of(ts) -> Column:
-    return F.hour(_col(ts))
-
-
-def weekday_of(ts) -> Column:
-    """Monday = 0 … Sunday = 6."""
-    return F.weekday(_col(ts))
-
-
 def is_night(hour) -> Column:
     return F.coalesce(_col(hour).isin(NIGHT_HOURS).cast("int"), F.lit(0))

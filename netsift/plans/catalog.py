@@ -1,7 +1,8 @@
 """Table catalog: driver tables and the stages derived from them.
 
-Every stage is a lazy DataFrame over the parquet tables in ``sf_dir``; nothing is
-collected. The firewall log of the fixtures is rendered from ``events``, so all work
+Every stage is a DataFrame over the parquet tables in ``sf_dir``; no rows reach the driver.
+Stages that several passes read (pairing, feature lookups) are checkpointed as they are
+built. The firewall log of the fixtures is rendered from ``events``, so all work
 grows with the input tables.
 """
 
@@ -10,7 +11,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.timefn import any_timestamp
 from ..operators.features import engineer_features
 from ..operators.sessions import drop_zero_duration, pair_sessions, prepare_events
 from ..session import pin_sql_conf
@@ -55,3 +58,13 @@ def sessions_df(spark: SparkSession, sf_dir: str, drop_zero: bool = True) -> Dat
 
 def features_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     return engineer_features(sessions_df(spark, sf_dir), FIXTURE_YEAR)
+
+
+def timed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed sessions with typed time and calendar columns: all that profiles and threat
+    rules read, without the feature lookups."""
+    s = sessions_df(spark, sf_dir)
+    return (s.withColumn("timestamp", any_timestamp(F.col("timestamp"), FIXTURE_YEAR).cast("timestamp_ntz"))
+            .withColumn("hour", F.hour("timestamp")).withColumn("day_of_week", F.weekday("timestamp"))
+            .withColumn("bytes_total", F.col("bytes_sent") + F.col("bytes_rcvd"))
+            .withColumn("pkts_total", F.col("pkts_sent") + F.col("pkts_rcvd")))

@@ -31,7 +31,7 @@ SELECT count(*) AS n_sessions, min(ts) AS ts_min, max(ts) AS ts_max,
 FROM feat""")
 def q_basic_stats(spark, sf):
     """Dataset profile."""
-    return P.basic_stats(C.features_df(spark, sf))
+    return P.basic_stats(C.timed_sessions(spark, sf))
 
 
 def _census_sql() -> str:
@@ -54,7 +54,7 @@ SELECT protocol, count(*) AS n, round(count(*) * 100.0 / (SELECT count(*) FROM f
 FROM feat WHERE protocol IS NOT NULL GROUP BY protocol ORDER BY n DESC, protocol LIMIT 5""")
 def q_protocol_counts(spark, sf):
     """Top 5 protocols with percent of sessions."""
-    return P.value_counts(C.features_df(spark, sf), "protocol", top=5)
+    return P.value_counts(C.timed_sessions(spark, sf), "protocol", top=5)
 
 
 @register("action_counts", """
@@ -75,7 +75,7 @@ SELECT axis.bin, coalesce(sessions, 0) AS sessions, coalesce(bytes_sent, 0) AS b
 FROM axis LEFT JOIN b USING (bin)""")
 def q_traffic_hourly(spark, sf):
     """Sessions and bytes per hour, empty hours as 0."""
-    return P.traffic_timeline(C.features_df(spark, sf), "hour")
+    return P.traffic_timeline(C.timed_sessions(spark, sf), "hour")
 
 
 def _pivot_sql() -> str:
@@ -89,7 +89,7 @@ def _pivot_sql() -> str:
 @register("activity_pivot", _pivot_sql())
 def q_activity_pivot(spark, sf):
     """Sessions per weekday × hour."""
-    return P.activity_pivot(C.features_df(spark, sf))
+    return P.activity_pivot(C.timed_sessions(spark, sf))
 
 
 def _hist_sql(log: bool) -> str:
@@ -111,13 +111,13 @@ FROM axis LEFT JOIN cnt USING (feature, bin)"""
 @register("hist_50", _hist_sql(False))
 def q_hist_50(spark, sf):
     """50-bin histograms of bytes/pkts sent/rcvd."""
-    return P.histograms(C.features_df(spark, sf))
+    return P.histograms(C.timed_sessions(spark, sf))
 
 
 @register("hist_log_50", _hist_sql(True))
 def q_hist_log_50(spark, sf):
     """50-bin histograms of log1p(bytes/pkts sent/rcvd)."""
-    return P.histograms(C.features_df(spark, sf), log1p=True)
+    return P.histograms(C.timed_sessions(spark, sf), log1p=True)
 
 
 # Every numeric column of the feature table (``P.numeric_columns``; a test holds the two equal).
@@ -158,7 +158,7 @@ SELECT dimension, rank, value, n FROM tr WHERE rank <= {k}"""
 @register("top15", _top_sql("feat", ["src_ip", "dst_ip", "dst_port", "application"], 15))
 def q_top15(spark, sf):
     """Top 15 sources, destinations, ports, applications by sessions."""
-    return P.top_values(C.features_df(spark, sf))
+    return P.top_values(C.timed_sessions(spark, sf))
 
 
 def _iqr_sql() -> str:
@@ -180,7 +180,7 @@ def _iqr_sql() -> str:
 @register("iqr_outliers", _iqr_sql())
 def q_iqr_outliers(spark, sf):
     """Quartiles, IQR fences, whiskers and outlier counts of the traffic columns."""
-    return P.iqr_outliers(C.features_df(spark, sf))
+    return P.iqr_outliers(C.timed_sessions(spark, sf))
 
 
 @register("class_dist", """
@@ -455,7 +455,7 @@ SELECT {_bucket('ts', 3600)} AS window_start, src_ip, count(*) AS connections,
 FROM feat GROUP BY ALL HAVING count(*) >= 2 OR sum(pkts_sent + pkts_rcvd) >= 60""")
 def q_threat_ddos(spark, sf):
     """Connections / packets per source per tumbling hour."""
-    return TH.ddos(C.features_df(spark, sf), "1 hour", min_connections=2, min_packets=60)
+    return TH.ddos(C.timed_sessions(spark, sf), "1 hour", min_connections=2, min_packets=60)
 
 
 def _slide_sql(target: str, name: str, k: int) -> str:
@@ -470,13 +470,13 @@ FROM w GROUP BY ALL HAVING count(DISTINCT {target}) >= {k}"""
 @register("threat_port_scan", _slide_sql("dst_port", "distinct_ports", 4))
 def q_threat_port_scan(spark, sf):
     """Distinct destination ports per source, sliding 1 day / 12 h windows."""
-    return TH.port_scan(C.features_df(spark, sf), "1 day", "12 hours", min_ports=4)
+    return TH.port_scan(C.timed_sessions(spark, sf), "1 day", "12 hours", min_ports=4)
 
 
 @register("threat_network_scan", _slide_sql("dst_ip", "distinct_hosts", 4))
 def q_threat_network_scan(spark, sf):
     """D3: distinct destinations per source, sliding 1 day / 12 h windows."""
-    return TH.network_scan(C.features_df(spark, sf), "1 day", "12 hours", min_hosts=4)
+    return TH.network_scan(C.timed_sessions(spark, sf), "1 day", "12 hours", min_hosts=4)
 
 
 @register("threat_exfiltration", """
@@ -487,7 +487,7 @@ SELECT src_ip, bytes_out, bytes_in, sessions, out_in_ratio, round(threshold, 6)
 WHERE bytes_out > threshold AND out_in_ratio > 0.5""")
 def q_threat_exfiltration(spark, sf):
     """Sources above the 90th percentile of bytes out with out/in ratio > 0.5."""
-    return TH.exfiltration(C.features_df(spark, sf), pct=90.0, min_ratio=0.5)
+    return TH.exfiltration(C.timed_sessions(spark, sf), pct=90.0, min_ratio=0.5)
 
 
 @register("threat_brute_force", f"""
@@ -507,7 +507,7 @@ SELECT src_ip, dst_ip, connections, round(m, 6) AS mean_gap_s, round(sd, 6) AS s
 FROM a WHERE k > 0 AND connections >= 2 AND sd / m <= 1.0 AND m <= 2592000""")
 def q_threat_beaconing(spark, sf):
     """Regular connections to external destinations (gap coefficient of variation)."""
-    return TH.beaconing(C.features_df(spark, sf), min_connections=2, max_cv=1.0, max_mean_gap_s=2592000.0)
+    return TH.beaconing(C.timed_sessions(spark, sf), min_connections=2, max_cv=1.0, max_mean_gap_s=2592000.0)
 
 
 @register("threat_vote", SCORED_CTE + """

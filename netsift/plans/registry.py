@@ -1,6 +1,7 @@
 """Registered queries: name → (Spark builder, DuckDB oracle SQL or None).
 
-Spark builders take ``(spark, sf_dir)`` and return a lazy DataFrame. Column names
+Spark builders take ``(spark, sf_dir)`` and return a DataFrame (stages that several
+passes read are checkpointed as they are built). Column names
 and types line up with the oracle SQL; doubles are rounded to 6 decimals on both
 sides so the value hashes compare engines, not last-bit float noise.
 """
