@@ -23,7 +23,7 @@ from netsift.operators import export as X  # noqa: E402
 from netsift.operators import metrics as M  # noqa: E402
 from netsift.operators import profile as P  # noqa: E402
 from netsift.operators import threats as TH  # noqa: E402
-from netsift.operators.detectors import DBSCAN, IsolationForest, LocalOutlierFactor  # noqa: E402
+from netsift.operators.detectors import DBSCAN, Autoencoder, IsolationForest, LocalOutlierFactor, OneClassSVM  # noqa: E402
 from netsift.operators.features import engineer_features, fit_scaler  # noqa: E402
 from netsift.operators.sessions import drop_zero_duration, pair_sessions, prepare_events  # noqa: E402
 from netsift.plans import catalog as C  # noqa: E402
@@ -83,8 +83,7 @@ def main() -> None:
     timed("profile", lambda: [d.collect() for d in (
         P.basic_stats(feats), P.traffic_timeline(feats, "hour"), P.activity_pivot(feats), P.histograms(feats),
         P.histograms(feats, log1p=True), P.top_values(feats), P.iqr_outliers(feats),
-        P.corr_matrix(feats, ["bytes_sent", "bytes_rcvd", "pkts_sent", "pkts_rcvd", "duration", "bytes_ratio",
-                              "src_connection_count", "hour"]))])
+        P.corr_matrix(feats))])
 
     def metrics():
         lab = C.table(spark, sf_dir, "labels").join(C.table(spark, sf_dir, "documents")
@@ -107,6 +106,10 @@ def main() -> None:
         return X.top_anomalies(scored).collect(), X.anomaly_summary(scored).collect()
     timed("iforest_fit_score_export", iforest)
 
+    timed("autoencoder_fit_score", lambda: Autoencoder(contamination=0.05).fit(mat).transform(mat)
+          .agg(F.sum("is_anomaly")).collect())
+    timed("ocsvm_fit_score", lambda: OneClassSVM(nu=0.05).fit(mat).transform(mat).agg(F.sum("is_anomaly")).collect())
+
     emb = C.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"),
                                                      F.col("embedding").cast("array<double>").alias("features"))
     timed("lof_embeddings", lambda: LocalOutlierFactor(20, 0.05).fit_transform(emb)[1]

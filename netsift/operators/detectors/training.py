@@ -25,7 +25,7 @@ from ..joins import materialize
 ROUND_SCHEMA = "n long, wsum array<double>, vloss double, vn long"
 
 
-SHARD_ROWS = 20_000
+SHARD_ROWS = 12_800
 
 
 def shards(x: DataFrame, validation: float, seed: int) -> DataFrame:

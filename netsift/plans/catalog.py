@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.timefn import any_timestamp
 from ..operators.features import engineer_features
 from ..operators.sessions import drop_zero_duration, pair_sessions, prepare_events
+from ..schema import CREATE_EVENT
 from ..session import pin_sql_conf
 from ..sources.fixtures import flows, render_lines
 from ..sources.syslog import parse_lines
@@ -68,3 +69,9 @@ def timed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("hour", F.hour("timestamp")).withColumn("day_of_week", F.weekday("timestamp"))
             .withColumn("bytes_total", F.col("bytes_sent") + F.col("bytes_rcvd"))
             .withColumn("pkts_total", F.col("pkts_sent") + F.col("pkts_rcvd")))
+
+
+def ended_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CLOSE and DENY events with typed time: one row per attempt, blocked ones included."""
+    e = filtered_events(spark, sf_dir).where(F.col("event_type") != CREATE_EVENT)
+    return e.withColumn("timestamp", any_timestamp(F.col("timestamp"), FIXTURE_YEAR).cast("timestamp_ntz"))

@@ -449,20 +449,25 @@ def _bucket(expr: str, seconds: int) -> str:
     return f"make_timestamp(CAST(floor(epoch_us({expr}) / {seconds}e6) * {seconds}e6 AS BIGINT))"
 
 
-@register("threat_ddos", f"""
+# The rules read every ended attempt, so that scans and floods the firewall denied count too.
+ENDED_CTE = """
+, ended AS (SELECT *, ts_create + to_seconds(dur_s) AS ts FROM flows WHERE dst_port <> 53 AND protocol_num <> 1)"""
+
+
+@register("threat_ddos", ENDED_CTE + f"""
 SELECT {_bucket('ts', 3600)} AS window_start, src_ip, count(*) AS connections,
        CAST(sum(pkts_sent + pkts_rcvd) AS BIGINT) AS packets
-FROM feat GROUP BY ALL HAVING count(*) >= 2 OR sum(pkts_sent + pkts_rcvd) >= 60""")
+FROM ended GROUP BY ALL HAVING count(*) >= 2 OR sum(pkts_sent + pkts_rcvd) >= 60""")
 def q_threat_ddos(spark, sf):
     """Connections / packets per source per tumbling hour."""
-    return TH.ddos(C.timed_sessions(spark, sf), "1 hour", min_connections=2, min_packets=60)
+    return TH.ddos(C.ended_events(spark, sf), "1 hour", min_connections=2, min_packets=60)
 
 
 def _slide_sql(target: str, name: str, k: int) -> str:
     b = _bucket("ts", 43200)
-    return f"""
-, w AS (SELECT {b} AS window_start, src_ip, {target} FROM feat
-        UNION ALL SELECT {b} - INTERVAL 12 HOUR, src_ip, {target} FROM feat)
+    return ENDED_CTE + f""",
+w AS (SELECT {b} AS window_start, src_ip, {target} FROM ended
+        UNION ALL SELECT {b} - INTERVAL 12 HOUR, src_ip, {target} FROM ended)
 SELECT window_start, src_ip, count(DISTINCT {target}) AS {name}, count(*) AS connections
 FROM w GROUP BY ALL HAVING count(DISTINCT {target}) >= {k}"""
 
@@ -470,13 +475,13 @@ FROM w GROUP BY ALL HAVING count(DISTINCT {target}) >= {k}"""
 @register("threat_port_scan", _slide_sql("dst_port", "distinct_ports", 4))
 def q_threat_port_scan(spark, sf):
     """Distinct destination ports per source, sliding 1 day / 12 h windows."""
-    return TH.port_scan(C.timed_sessions(spark, sf), "1 day", "12 hours", min_ports=4)
+    return TH.port_scan(C.ended_events(spark, sf), "1 day", "12 hours", min_ports=4)
 
 
 @register("threat_network_scan", _slide_sql("dst_ip", "distinct_hosts", 4))
 def q_threat_network_scan(spark, sf):
     """D3: distinct destinations per source, sliding 1 day / 12 h windows."""
-    return TH.network_scan(C.timed_sessions(spark, sf), "1 day", "12 hours", min_hosts=4)
+    return TH.network_scan(C.ended_events(spark, sf), "1 day", "12 hours", min_hosts=4)
 
 
 @register("threat_exfiltration", """
