@@ -86,3 +86,13 @@ def test_autoencoder_threshold_and_roundtrip(spark, scratch):
     m.save(scratch + "/ae")
     m2 = AutoencoderModel.load(spark, scratch + "/ae")
     assert np.allclose(m.weights, m2.weights) and m2.threshold == m.threshold
+
+
+def test_models_do_not_hang_on_partitioning(spark):
+    from netsift.operators.detectors import Autoencoder, OneClassSVM
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"id": np.arange(400), "features": [list(map(float, r)) for r in rng.normal(size=(400, 4))]})
+    df = spark.createDataFrame(pdf, "id long, features array<double>")
+    for d in (IsolationForest(n_trees=20), Autoencoder(epochs=3), OneClassSVM(rounds=3)):
+        a, b = ({r.id: r.anomaly_score for r in d.fit(x).transform(x).collect()} for x in (df.coalesce(1), df.repartition(5, "id")))
+        assert max(abs(a[i] - b[i]) for i in a) < 1e-9, type(d).__name__

@@ -59,3 +59,31 @@ def test_knn_with_crowded_cell_and_duplicates(spark):
         order = np.lexsort((np.arange(len(X)), D[i]))[:k]
         assert [b for _, b in nn[i]] == list(order)
         assert np.allclose([a for a, _ in nn[i]], D[i, order])
+
+
+def test_pairing_join_splits_a_hot_session(spark):
+    """With a session id that holds two thirds of the CLOSE rows, the join's partition is split."""
+    from pyspark.sql import functions as F
+
+    from netsift.operators.sessions import pair_sessions
+    from netsift.schema import CLOSE_EVENT, CREATE_EVENT
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = spark.range(30000).repartition(8)
+        sid = F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+        text = F.concat(F.lit("Jan 12 10:00:"), F.lpad((F.col("id") % 60).cast("string"), 2, "0"))
+        closes = n.select(sid.alias("session_id"), text.alias("timestamp"), F.lit(CLOSE_EVENT).alias("event_type"),
+                          F.md5(F.col("id").cast("string")).alias("pad"), F.col("id").alias("ord"), F.lit(0.0).alias("duration"))
+        events = closes.unionByName(closes.withColumn("event_type", F.lit(CREATE_EVENT)).withColumn("ord", -F.col("ord")))
+        out = pair_sessions(events, 2024, materialize_join=False, median="approx")
+        assert out.count() == 30000
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
