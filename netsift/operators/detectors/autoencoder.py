@@ -14,11 +14,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ...schema import (AE_BATCH, AE_DROPOUT, AE_ENCODING, AE_EPOCHS, AE_HIDDEN, AE_PATIENCE, AE_VALIDATION,
                        DEFAULT_CONTAMINATION, SEED)
-from .base import DetectorModel, as_array, fit_threshold
+from .base import DetectorModel, as_array, fit_threshold, with_score
 from .training import run_round, shards
 
 
@@ -143,7 +142,7 @@ class Autoencoder:
         model = AutoencoderModel({"sizes": sizes, "threshold_percentile": self.threshold_percentile,
                                   "epochs_run": len(history), "val_loss": history}, best[:k],
                                  features_col=self.features_col)
-        model.threshold = fit_threshold(model.score(df), "anomaly_score", self.threshold_percentile)
+        model.threshold = fit_threshold(model.score(df.select(self.features_col)), "anomaly_score", self.threshold_percentile)
         return model
 
 
@@ -156,15 +155,7 @@ class AutoencoderModel(DetectorModel):
 
     def score(self, df: DataFrame) -> DataFrame:
         sizes, w = self.params["sizes"], self.weights
-        src = df.withColumn("__x", as_array(df, self.features_col))
-        schema = T.StructType(list(src.schema.fields) + [T.StructField("anomaly_score", T.DoubleType())])
-
-        def run(batches):
-            for pdf in batches:
-                X = np.array(pdf["__x"].tolist(), dtype=float) if len(pdf) else np.zeros((0, sizes[0]))
-                yield pdf.assign(anomaly_score=recon_error(w, sizes, X))
-
-        return src.mapInPandas(run, schema).drop("__x")
+        return with_score(df, self.features_col, lambda x: recon_error(w, sizes, x))
 
     def _tables(self):
         return {"weights": self._spark().createDataFrame(pd.DataFrame({"w": [self.weights.tolist()]}))}

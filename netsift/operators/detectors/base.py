@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +24,21 @@ def as_array(df: DataFrame, features_col: str = "features") -> F.Column:
     return vector_to_array(F.col(features_col))
 
 
+def with_score(df: DataFrame, features_col: str, fn: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """``df`` with ``anomaly_score``: ``fn`` of the feature matrix of each Arrow batch. Only the
+    features are sent to Python; the other columns stay in the JVM. A null vector has no score."""
+    @F.pandas_udf("double")
+    def score(x: pd.Series) -> pd.Series:
+        known = x.notna().to_numpy()
+        out = np.full(len(x), np.nan)
+        if known.any():
+            out[known] = fn(np.array(x[known].tolist(), dtype=float))
+        return pd.Series(out).where(known, None)
+
+    # not deterministic for the optimiser: a filter on the score must not run it a second time
+    return df.withColumn("anomaly_score", score.asNondeterministic()(as_array(df, features_col)))
+
+
 def fit_threshold(scores: DataFrame, col: str, pct: float) -> float:
     """Exact ``pct``-th percentile of training scores (one scalar to the driver)."""
     row = exact_quantiles(scores, col, [pct / 100.0]).first()

@@ -1,13 +1,15 @@
 """Isolation forest.
 
-* **Subsampling** (seeded): a row-level Bernoulli keeps ≈ 2ψ·T rows in total whatever
-  the input size; each kept row joins tree ``t`` with the conditional probability, so
-  every (row, tree) pair is chosen with probability 2ψ/n. A tree keeps its ψ rows with
-  the smallest draw.
-* **Growing**: ``groupBy(tree).applyInPandas`` — one task per tree, ψ rows each.
+* **Subsampling** (seeded): every (row, tree) pair is chosen with probability 2ψ/n, so ≈ 2ψ·T
+  rows are kept in total whatever the input size. Draws are made on distinct vectors and
+  their counts: a vector of c rows comes to a tree with probability 1 − (1 − 2ψ/n)^c, and
+  the tree draws how many of its rows are meant. Equal rows so never meet in one task,
+  and the draws (hashes of vector and tree) do not hang on partitioning or retries.
+* **Growing**: ``groupBy(tree).applyInPandas`` — one task per tree, ≈ 2ψ rows each, of which
+  it keeps ψ.
   Random feature, uniform split in the node's [min, max], depth ≤ ⌈log2 ψ⌉.
-* **Scoring**: the forest (≤ T·2ψ nodes, independent of the data size) is shipped with
-  the ``mapInPandas`` closure; each Arrow batch walks all trees level by level in NumPy.
+* **Scoring**: the forest (≤ T·2ψ nodes, independent of the data size) is shipped with a
+  Pandas UDF over the feature column; each Arrow batch walks all trees level by level in NumPy.
   ``anomaly_score = 2^(−E[h(x)] / c(ψ))``; ``is_anomaly`` when the score exceeds the
   (1 − contamination) percentile of the training scores.
 """
@@ -21,11 +23,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T_
-from pyspark.sql import types as T
 
 from ...schema import DEFAULT_CONTAMINATION, IFOREST_MAX_SAMPLES, IFOREST_TREES, SEED
-from .base import DetectorModel, as_array, fit_threshold
+from ..joins import materialize
+from .base import DetectorModel, as_array, fit_threshold, with_score
 
 EULER = 0.5772156649015329
 
@@ -43,11 +44,28 @@ def c_factor(n):
 NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, size long"
 
 
-def _grow(pdf: pd.DataFrame, psi: int, max_depth: int, seed: int) -> pd.DataFrame:
+def _copies(c: int, p: float, u: float) -> int:
+    """How many of ``c`` equal rows are drawn, each with probability ``p``, given that one is."""
+    if c <= 1 or p >= 1.0:
+        return c
+    mass = (1.0 - p) ** c
+    target = mass + u * (1.0 - mass)
+    k, below = 0, mass
+    while below < target and k < c:
+        mass *= (c - k) / (k + 1) * p / (1.0 - p)
+        k += 1
+        below += mass
+    return max(k, 1)
+
+
+def _grow(pdf: pd.DataFrame, psi: int, p: float, max_depth: int, seed: int) -> pd.DataFrame:
     tree = int(pdf["tree"].iloc[0])
-    pdf = pdf.sort_values("u").head(psi)
-    X = np.array(pdf["x"].tolist(), dtype=float)
+    pdf = pdf.sort_values(["u", "h"])
     rng = np.random.default_rng([seed, tree])
+    draws = rng.random(len(pdf))
+    m = [_copies(int(c), p, float(u)) for c, u in zip(pdf["c"], draws)]
+    pick = rng.permutation(np.repeat(np.arange(len(pdf)), m))[:psi]
+    X = np.array(pdf["x"].tolist(), dtype=float)[pick]
     rows = []  # node, feature, split, left, right, size
 
     def build(idx: np.ndarray, depth: int) -> int:
@@ -89,25 +107,28 @@ class IsolationForest:
         self.seed, self.features_col = seed, features_col
 
     def fit(self, df: DataFrame) -> "IsolationForestModel":
-        key = [c.name for c in df.schema.fields if isinstance(c.dataType, (T_.NumericType, T_.StringType)) and c.name != "x"]
-        x = df.select(as_array(df, self.features_col).alias("x"), *key)
-        key = [*key, "x"]
-        n = x.count()
+        x = df.select(as_array(df, self.features_col).alias("x")).where(F.col("x").isNotNull())
+        x = x.withColumn("h", F.xxhash64("x"))
+        counts = materialize(x.groupBy("h").agg(F.count(F.lit(1)).alias("c")))  # hashes only are shuffled
+        n = counts.agg(F.sum("c")).first()[0] or 0
         psi = max(1, min(self.max_samples, n))
         T, seed = self.n_trees, self.seed
-        p = min(1.0, 2.0 * psi / max(n, 1))          # per (row, tree)
-        f = min(1.0, p * T)                            # per row, any tree
-        # draws are hashes of the row and the tree, so the forest does not hang on partitioning or retries
-        kept = x.where(_uniform(F.lit(seed), *key) < f)
-        pairs = kept.select("x", *key, F.explode(F.sequence(F.lit(0), F.lit(T - 1))).alias("tree")) \
-            .withColumn("u", _uniform(F.lit(seed + 1), F.col("tree"), *key)).where(F.col("u") < p / f) \
-            .select("x", "tree", "u")
+        p = min(1.0, 2.0 * psi / max(n, 1))                               # per (row, tree)
+        q = F.lit(1.0) - F.pow(F.lit(1.0 - p), F.col("c"))                # per (vector, tree)
+        f = F.least(F.lit(1.0), F.lit(float(T)) * q)                      # per vector, any tree
+        kept = counts.withColumn("q", q).withColumn("f", f).where(_uniform(F.lit(seed), F.col("h")) < F.col("f"))
+        pairs = materialize(kept.select("h", "c", "q", "f", F.explode(F.sequence(F.lit(0), F.lit(T - 1))).alias("tree"))
+                            .withColumn("u", _uniform(F.lit(seed + 1), F.col("tree"), F.col("h")))
+                            .where(F.col("u") < F.col("q") / F.col("f")).select("h", "c", "tree", "u"))
+        # about 2ψT drawn pairs in all, so their hashes can be broadcast
+        vectors = x.join(F.broadcast(pairs.select("h").distinct()), "h", "left_semi").dropDuplicates(["h"])
         max_depth = int(math.ceil(math.log2(max(psi, 2))))
-        nodes = pairs.groupBy("tree").applyInPandas(lambda g: _grow(g, psi, max_depth, seed), NODE_SCHEMA)
+        nodes = (pairs.join(vectors, "h").groupBy("tree")
+                 .applyInPandas(lambda g: _grow(g, psi, p, max_depth, seed), NODE_SCHEMA))
         forest = nodes.toPandas()
         model = IsolationForestModel({"n_trees": T, "max_samples": psi, "contamination": self.contamination,
                                       "seed": seed}, forest, features_col=self.features_col)
-        model.threshold = fit_threshold(model.score(df), "anomaly_score", 100.0 * (1.0 - self.contamination))
+        model.threshold = fit_threshold(model.score(df.select(self.features_col)), "anomaly_score", 100.0 * (1.0 - self.contamination))
         return model
 
 
@@ -143,37 +164,27 @@ class IsolationForestModel(DetectorModel):
         feat, split, left, right, size = self._arrays()
         leaf_adj = c_factor(size)
         cpsi = float(c_factor([self.params["max_samples"]])[0]) or 1.0
-        depth_cap = 64
-        xcol = "__x"
-        src = df.withColumn(xcol, as_array(df, self.features_col))
-        out_schema = T.StructType(list(src.schema.fields) + [T.StructField("anomaly_score", T.DoubleType())])
-
-        def run(batches):
-            for pdf in batches:
-                if len(pdf) == 0:
-                    yield pdf.assign(anomaly_score=pd.Series(dtype=float))
-                    continue
-                X = np.array(pdf[xcol].tolist(), dtype=float)
-                b = len(X)
-                total = np.zeros(b)
-                rows = np.arange(b)
-                for t in range(feat.shape[0]):
-                    node = np.zeros(b, dtype=np.int64)
-                    depth = np.zeros(b)
-                    for _ in range(depth_cap):
-                        f = feat[t, node]
-                        active = f >= 0
-                        if not active.any():
-                            break
-                        go_left = X[rows, np.where(active, f, 0)] < split[t, node]
-                        nxt = np.where(go_left, left[t, node], right[t, node])
-                        node = np.where(active, nxt, node)
-                        depth += active
-                    total += depth + leaf_adj[t, node]
-                h = total / feat.shape[0]
-                yield pdf.assign(anomaly_score=np.power(2.0, -h / cpsi))
-
-        return src.mapInPandas(run, out_schema).drop(xcol)
+
+        def run(X: np.ndarray) -> np.ndarray:
+            b = len(X)
+            total = np.zeros(b)
+            rows = np.arange(b)
+            for t in range(feat.shape[0]):
+                node = np.zeros(b, dtype=np.int64)
+                depth = np.zeros(b)
+                while True:
+                    f = feat[t, node]
+                    active = f >= 0
+                    if not active.any():
+                        break
+                    go_left = X[rows, np.where(active, f, 0)] < split[t, node]
+                    nxt = np.where(go_left, left[t, node], right[t, node])
+                    node = np.where(active, nxt, node)
+                    depth += active
+                total += depth + leaf_adj[t, node]
+            return np.power(2.0, -(total / feat.shape[0]) / cpsi)
+
+        return with_score(df, self.features_col, run)
 
     def _tables(self):
         return {"forest": self._spark().createDataFrame(self.forest)}

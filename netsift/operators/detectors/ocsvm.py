@@ -16,10 +16,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ...schema import DEFAULT_CONTAMINATION, SEED
-from .base import DetectorModel, as_array, fit_threshold
+from .base import DetectorModel, as_array, fit_threshold, with_score
 from .training import run_round, shards
 
 
@@ -79,7 +78,7 @@ class OneClassSVM:
         params = {"nu": nu, "gamma": gamma, "n_components": self.D}
         model = OneClassSVMModel(params, W, b, wr[:-1], float(wr[-1]), features_col=self.features_col)
         # ν-property: ρ is the ν-quantile of the training margins w·z (exact, distributed)
-        thr = fit_threshold(model.score(df), "anomaly_score", 100.0 * (1.0 - nu))
+        thr = fit_threshold(model.score(df.select(self.features_col)), "anomaly_score", 100.0 * (1.0 - nu))
         model.rho, model.threshold = -thr, thr
         return model
 
@@ -93,15 +92,7 @@ class OneClassSVMModel(DetectorModel):
 
     def score(self, df: DataFrame) -> DataFrame:
         W, b, w = self.W, self.b, self.w
-        src = df.withColumn("__x", as_array(df, self.features_col))
-        schema = T.StructType(list(src.schema.fields) + [T.StructField("anomaly_score", T.DoubleType())])
-
-        def run(batches):
-            for pdf in batches:
-                X = np.array(pdf["__x"].tolist(), dtype=float) if len(pdf) else np.zeros((0, W.shape[0]))
-                yield pdf.assign(anomaly_score=-(rff(X, W, b) @ w) if len(X) else np.zeros(0))
-
-        return src.mapInPandas(run, schema).drop("__x")
+        return with_score(df, self.features_col, lambda x: -(rff(x, W, b) @ w))
 
     def _tables(self):
         pdf = pd.DataFrame({"proj": [self.W.ravel().tolist()], "phase": [self.b.tolist()],

@@ -1,12 +1,14 @@
 """Data-parallel training rounds for small dense models (autoencoder, one-class SVM).
 
-Rows are dealt to shards by a hash of their values; the number of shards follows from the
-number of rows (about ``SHARD_ROWS`` each), and rows are ordered within a shard. The
-sharded table is checkpointed once. One round = one Spark job: the current state (weights,
+Equal rows are counted first and dealt to shards in lots of at most ``LOT`` copies by a hash of
+their values and the lot's number, so that a vector that holds a third of all rows is spread
+over the shards like any other. The number of shards follows from the number of rows (about
+``SHARD_ROWS`` each), and rows are ordered within a shard. The sharded table is checkpointed once. One round = one Spark job: the current state (weights,
 and the optimiser's moments) travels in the task closure, every shard runs one local
 epoch of mini-batch updates, and the states are averaged, weighted by rows. A fitted model so depends on
 the rows only, not on how the input was split. A task holds one shard at a time; the
-driver receives one vector per round. Validation rows are chosen by the same hash.
+driver receives one vector per round, summed in two levels. Validation lots are chosen by the
+same hash.
 """
 
 from __future__ import annotations
@@ -26,17 +28,22 @@ ROUND_SCHEMA = "n long, wsum array<double>, vloss double, vn long"
 
 
 SHARD_ROWS = 12_800
+LOT = 1_600
+SUM_GROUPS = 32
 
 
 def shards(x: DataFrame, validation: float, seed: int) -> DataFrame:
-    """(shard, is_val, x): rows of array column ``x`` dealt and ordered by a hash of their values."""
-    h = F.xxhash64(F.lit(seed), F.col("x"))
-    x = materialize(x.select("x"))
-    k = max(1, -(-x.count() // SHARD_ROWS))
-    rows = x.select(F.pmod(F.xxhash64(h), F.lit(k)).cast("int").alias("shard"), h.alias("h"),
-                    (F.pmod(h, F.lit(1_000_000)) < int(validation * 1_000_000)).alias("is_val"), "x")
+    """(shard, is_val, x, m): lots of ``m`` equal rows of array column ``x``, dealt and ordered by a hash."""
+    x = materialize(x.groupBy("x").agg(F.count(F.lit(1)).alias("c")))
+    k = max(1, -(-(x.agg(F.sum("c")).first()[0] or 0) // SHARD_ROWS))
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("c") - 1, F.lit(LOT).cast("long"))).alias("lot")
+    lots = x.select("x", "c", first).withColumn("m", F.least(F.lit(LOT).cast("long"), F.col("c") - F.col("lot")))
+    h = F.xxhash64(F.lit(seed), F.col("x"), F.col("lot"))
+    rows = lots.select(F.pmod(F.xxhash64(h), F.lit(k)).cast("int").alias("shard"), h.alias("h"),
+                       (F.pmod(h, F.lit(1_000_000)) < int(validation * 1_000_000)).alias("is_val"), "m", "x")
     n = min(k, int(x.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return materialize(rows.repartition(n, "shard").sortWithinPartitions("shard", "h", "x").drop("h"))
+    return materialize(rows.repartition(n, "shard").sortWithinPartitions("shard", "h", "x")
+                       .select("shard", "is_val", "x", "m"))
 
 
 def run_round(data: DataFrame, state: np.ndarray,
@@ -47,8 +54,9 @@ def run_round(data: DataFrame, state: np.ndarray,
 
     def shard(rows: list[pd.DataFrame]) -> pd.DataFrame:
         pdf = pd.concat(rows)
-        X = np.array(pdf["x"].tolist(), dtype=float)
-        val = pdf["is_val"].to_numpy(dtype=bool)
+        m = pdf["m"].to_numpy()
+        X = np.repeat(np.array(pdf["x"].tolist(), dtype=float), m, axis=0)
+        val = np.repeat(pdf["is_val"].to_numpy(dtype=bool), m)
         tr, va = X[~val], X[val]
         w = local_epoch(s0.copy(), tr, round_no) if len(tr) else s0
         vl = float(loss(s0, va).sum()) if len(va) else 0.0
@@ -67,10 +75,12 @@ def run_round(data: DataFrame, state: np.ndarray,
             yield shard(held)
 
     r = data.mapInPandas(part, ROUND_SCHEMA)
-    agg = r.select(array_to_vector("wsum").alias("w"), "n", "vloss", "vn").agg(
-        Summarizer.sum(F.col("w")).alias("w"), F.sum("n").alias("n"), F.sum("vloss").alias("vl"),
-        F.sum("vn").alias("vn")).first()
+    sums = [Summarizer.sum(F.col("w")).alias("w"), *(F.sum(c).alias(c) for c in ("n", "vloss", "vn"))]
+    parts = r.select(array_to_vector("wsum").alias("w"), "n", "vloss", "vn",
+                     (F.spark_partition_id() % SUM_GROUPS).alias("g"))
+    # two levels: the last task adds SUM_GROUPS vectors, however many tasks there are
+    agg = parts.groupBy("g").agg(*sums).agg(*sums).first()
     n = int(agg["n"] or 0)
     new = (agg["w"].toArray() / n) if n else state
-    vl = (agg["vl"] / agg["vn"]) if agg["vn"] else float("nan")
+    vl = (agg["vloss"] / agg["vn"]) if agg["vn"] else float("nan")
     return new, vl, n

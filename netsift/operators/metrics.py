@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .joins import attach_scalars
+from .joins import attach_lookup, attach_scalars, materialize
 from .quantiles import exact_quantiles
 
 EPS = 1e-9
@@ -52,14 +52,15 @@ def score_table(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    g = g.repartitionByRange(parts, F.desc("s")).withColumn("pid", F.spark_partition_id())
+    # checkpointed: the offsets must come from the very ranges they are added to
+    g = materialize(g.repartitionByRange(parts, F.desc("s")).withColumn("pid", F.spark_partition_id()))
     tot = g.groupBy("pid").agg(F.sum("pos").alias("pp"), F.sum("neg").alias("pn"))
     prev = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select("pid", F.coalesce(F.sum("pp").over(prev), F.lit(0)).alias("op"),
                       F.coalesce(F.sum("pn").over(prev), F.lit(0)).alias("on"),
                       F.sum("pp").over(Window.partitionBy()).alias("P"),
                       F.sum("pn").over(Window.partitionBy()).alias("N"))
-    g = g.join(F.broadcast(offs), "pid")
+    g = g.join(F.broadcast(offs), "pid")  # a row per partition
     w = Window.partitionBy("pid").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, -1)
     return g.select("s", "pos", "neg",
                     (F.col("op") + F.coalesce(F.sum("pos").over(w), F.lit(0))).alias("pos_above"),
@@ -153,7 +154,7 @@ def score_density(df: DataFrame, score: str = "score", label: str | None = None,
     rng = rng.select("grp", "tot",
                      F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
                      F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"))
-    b = x.join(F.broadcast(rng), "grp").select(
+    b = attach_lookup(x, rng, "grp", "inner").select(
         "grp", F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins).cast("int"),
                        F.lit(bins - 1)).alias("bin"))
     cnt = b.groupBy("grp", "bin").agg(F.count(F.lit(1)).alias("n"))

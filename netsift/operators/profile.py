@@ -73,9 +73,17 @@ def value_counts(df: DataFrame, col: str, top: int | None = None) -> DataFrame:
     return vc
 
 
-def _dense_axis(lo_hi: DataFrame, step: str, name: str) -> DataFrame:
-    """One row per time bin between the first and last bin (bounded by the time span)."""
-    return lo_hi.select(F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {step}"))).alias(name))
+AXIS_RUN = 1024
+
+
+def _dense_axis(lo_hi: DataFrame, unit: str, name: str) -> DataFrame:
+    """One row per time bin between the first and last bin (bounded by the time span), made as
+    runs of bins, so that no row ever holds the whole axis."""
+    n = lo_hi.select("_lo", F.timestamp_diff(unit.upper(), F.col("_lo"), F.col("_hi")).alias("_n")).where("_n >= 0")
+    runs = n.select("_lo", "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n"), F.lit(AXIS_RUN).cast("long"))).alias("_k"))
+    last = F.least(F.col("_n"), F.col("_k") + (AXIS_RUN - 1))
+    at = runs.select("_lo", F.explode(F.sequence(F.col("_k"), last)).alias("_i"))
+    return at.select(F.timestamp_add(unit.upper(), F.col("_i").cast("int"), F.col("_lo")).alias(name))
 
 
 def traffic_timeline(df: DataFrame, unit: str = "hour", ts: str = "timestamp",
@@ -93,7 +101,7 @@ def traffic_timeline(df: DataFrame, unit: str = "hour", ts: str = "timestamp",
     if flag:
         aggs.append(F.count_if(F.col(flag) == 1).alias("anomalies"))
     per_bin = rows.groupBy("bin").agg(*aggs)
-    axis = _dense_axis(per_bin.agg(F.min("bin").alias("_lo"), F.max("bin").alias("_hi")), f"1 {unit}", "bin")
+    axis = _dense_axis(per_bin.agg(F.min("bin").alias("_lo"), F.max("bin").alias("_hi")), unit, "bin")
     out = axis.join(per_bin, "bin", "left")
     fills = {c: 0 for c in out.columns if c != "bin"}
     out = out.na.fill(fills)

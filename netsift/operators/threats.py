@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .joins import attach_scalars
+from .joins import attach_scalars, materialize
 from .quantiles import exact_quantiles
 
 
@@ -100,8 +100,9 @@ def beaconing(df: DataFrame, min_connections: int = 10, max_cv: float = 0.2, max
         d = d.where(is_private_ip("dst_ip") == 0)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     t = F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
-    d = d.select("src_ip", "dst_ip", t.alias("t")).repartitionByRange(parts, "src_ip", "dst_ip", "t") \
-        .withColumn("pid", F.spark_partition_id())
+    # checkpointed: inner gaps and boundary gaps must come from the same ranges
+    d = materialize(d.select("src_ip", "dst_ip", t.alias("t")).repartitionByRange(parts, "src_ip", "dst_ip", "t")
+                    .withColumn("pid", F.spark_partition_id()))
     w = Window.partitionBy("pid", "src_ip", "dst_ip").orderBy("t")
     inner = d.withColumn("g", F.col("t") - F.lag("t").over(w)).where(F.col("g").isNotNull())
     inner = inner.groupBy("src_ip", "dst_ip").agg(F.count(F.lit(1)).alias("k"), F.sum("g").alias("sg"),

@@ -2,9 +2,10 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from netsift.operators import profile as P
 from netsift.operators.features import engineer_features
-from netsift.operators.quantiles import exact_quantiles
 from netsift.plans import catalog as C
 from netsift.sources.syslog import parse_lines
 
@@ -38,10 +39,18 @@ def test_top_k_reads_one_column_per_branch(spark, scratch):
     assert all(ln.split("[", 1)[1].split("]", 1)[0].count(",") == 0 for ln in scans)
 
 
-def test_exact_quantile_has_no_single_partition_value_map(spark):
+def test_exact_quantile_has_no_single_partition_value_map(spark, monkeypatch):
+    from netsift.operators import quantiles
+    ranged = []
+    keep = quantiles.materialize
+    monkeypatch.setattr(quantiles, "materialize", lambda df: ranged.append(keep(df)) or ranged[-1])
     df = C.table(spark, SF, "lineitem")
-    plan = _plan(exact_quantiles(df, "l_extendedprice", [0.5]))
-    assert "percentile(" not in plan and "rangepartitioning" in plan.lower()
+    q = quantiles.exact_quantiles(df, "l_extendedprice", [0.5])
+    assert "percentile(" not in _plan(q)
+    # totals and ranks read one checkpointed table, cut into ranges that do not overlap
+    assert _plan(q).count("Scan ExistingRDD") == 2 and len(ranged) == 1
+    parts = ranged[0].groupBy("pid").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("lo").collect()
+    assert len(parts) > 1 and all(x.hi < y.lo for x, y in zip(parts, parts[1:]))
 
 
 def test_correlation_covers_every_numeric_column(spark):

@@ -87,3 +87,41 @@ def test_pairing_join_splits_a_hot_session(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_equal_rows_are_spread_over_training_shards(spark):
+    """A vector that holds most rows is dealt in lots, not to one shard."""
+    from netsift.operators.detectors.training import LOT, SHARD_ROWS, shards
+    hot = spark.range(4 * SHARD_ROWS).select(F.array(F.lit(1.0), F.lit(2.0)).alias("x"))
+    rest = spark.range(100).select(F.array(F.rand(1), F.rand(2)).alias("x"))
+    dealt = shards(hot.unionByName(rest), 0.1, 3)
+    per = {r.shard: r.n for r in dealt.groupBy("shard").agg(F.sum("m").alias("n")).collect()}
+    assert sum(per.values()) == 4 * SHARD_ROWS + 100
+    assert len(per) > 1 and max(per.values()) < 4 * SHARD_ROWS
+    assert dealt.agg(F.max("m")).first()[0] <= LOT
+    assert 0 < dealt.where("is_val").agg(F.sum("m")).first()[0] < 4 * SHARD_ROWS
+
+
+def test_equal_rows_do_not_meet_in_one_tree(spark):
+    """Equal vectors are drawn by their count: a tree of a hot vector stays within its sample size."""
+    from netsift.operators.detectors import IsolationForest
+    from netsift.operators.detectors.iforest import _copies
+    hot = spark.range(30_000).select(F.array(F.lit(0.0), F.lit(0.0)).alias("features"))
+    rest = spark.range(3_000).select(F.array(F.randn(1), F.randn(2)).alias("features"))
+    m = IsolationForest(n_trees=20, max_samples=64).fit(hot.unionByName(rest))
+    roots = m.forest[m.forest["node"] == 0]
+    assert len(roots) == 20 and (roots["size"] == 64).all()
+    s = m.transform(spark.createDataFrame([([0.0, 0.0],), ([9.0, 9.0],)], "features array<double>"))
+    low, high = (r.anomaly_score for r in s.collect())
+    assert high > low
+    # about n * p copies, given one at least
+    assert _copies(1, 0.1, 0.3) == 1 and _copies(10_000, 0.01, 0.5) in range(95, 105) and _copies(50, 1.0, 0.2) == 50
+
+
+def test_time_axis_is_made_in_runs(spark):
+    from netsift.operators.profile import traffic_timeline
+    rows = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:30' AS timestamp UNION ALL "
+                     "SELECT timestamp_ntz'2024-01-04 05:06:07'")
+    got = traffic_timeline(rows, "minute").orderBy("bin").collect()
+    assert len(got) == 3 * 1440 + 5 * 60 + 7 and [got[0].sessions, got[1].sessions, got[-1].sessions] == [1, 0, 1]
+    assert traffic_timeline(rows.limit(0), "minute").count() == 0
