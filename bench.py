@@ -101,14 +101,14 @@ def main() -> None:
         TH.beaconing(feats, 2, 1.0, 2592000.0))])
 
     def iforest():
-        m = IsolationForest(contamination=0.05).fit(mat)
-        scored = m.transform(mat).join(feats, "session_id")
+        _, flagged = IsolationForest(contamination=0.05).fit_transform(mat)
+        scored = flagged.join(feats, "session_id")
         return X.top_anomalies(scored).collect(), X.anomaly_summary(scored).collect()
     timed("iforest_fit_score_export", iforest)
 
-    timed("autoencoder_fit_score", lambda: Autoencoder(contamination=0.05).fit(mat).transform(mat)
+    timed("autoencoder_fit_score", lambda: Autoencoder(contamination=0.05).fit_transform(mat)[1]
           .agg(F.sum("is_anomaly")).collect())
-    timed("ocsvm_fit_score", lambda: OneClassSVM(nu=0.05).fit(mat).transform(mat).agg(F.sum("is_anomaly")).collect())
+    timed("ocsvm_fit_score", lambda: OneClassSVM(nu=0.05).fit_transform(mat)[1].agg(F.sum("is_anomaly")).collect())
 
     emb = C.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"),
                                                      F.col("embedding").cast("array<double>").alias("features"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ...schema import (AE_BATCH, AE_DROPOUT, AE_ENCODING, AE_EPOCHS, AE_HIDDEN, AE_PATIENCE, AE_VALIDATION,
                        DEFAULT_CONTAMINATION, SEED)
-from .base import DetectorModel, as_array, fit_threshold, with_score
+from .base import Detector, DetectorModel, as_array, with_score
 from .training import run_round, shards
 
 
@@ -104,7 +104,7 @@ def local_epoch_fn(sizes, batch, p, seed, lr=1e-3):
     return run
 
 
-class Autoencoder:
+class Autoencoder(Detector):
     def __init__(self, encoding_dim: int = AE_ENCODING, threshold_percentile: float | None = None,
                  contamination: float = DEFAULT_CONTAMINATION, epochs: int = AE_EPOCHS, batch_size: int = AE_BATCH,
                  validation_split: float = AE_VALIDATION, patience: int = AE_PATIENCE, dropout: float = AE_DROPOUT,
@@ -115,7 +115,10 @@ class Autoencoder:
         self.epochs, self.batch, self.val, self.patience = epochs, batch_size, validation_split, patience
         self.dropout, self.seed, self.features_col = dropout, seed, features_col
 
-    def fit(self, df: DataFrame) -> "AutoencoderModel":
+    def _percentile(self) -> float:
+        return self.threshold_percentile
+
+    def _train(self, df: DataFrame) -> "AutoencoderModel":
         x = df.select(as_array(df, self.features_col).alias("x")).where(F.col("x").isNotNull())
         d = len(x.first()["x"])
         sizes = layer_sizes(d, AE_HIDDEN, self.encoding_dim)
@@ -139,11 +142,9 @@ class Autoencoder:
             if epoch == self.epochs:
                 break
             w = new
-        model = AutoencoderModel({"sizes": sizes, "threshold_percentile": self.threshold_percentile,
-                                  "epochs_run": len(history), "val_loss": history}, best[:k],
-                                 features_col=self.features_col)
-        model.threshold = fit_threshold(model.score(df.select(self.features_col)), "anomaly_score", self.threshold_percentile)
-        return model
+        return AutoencoderModel({"sizes": sizes, "threshold_percentile": self.threshold_percentile,
+                                 "epochs_run": len(history), "val_loss": history}, best[:k],
+                                features_col=self.features_col)
 
 
 class AutoencoderModel(DetectorModel):

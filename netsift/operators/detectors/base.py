@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..joins import materialize
 from ..quantiles import exact_quantiles
 
 
@@ -59,8 +60,14 @@ class DetectorModel:
     def score(self, df: DataFrame) -> DataFrame:  # pragma: no cover - abstract
         raise NotImplementedError
 
+    def set_threshold(self, threshold: float) -> None:
+        self.threshold = threshold
+
     def transform(self, df: DataFrame) -> DataFrame:
-        s = self.score(df)
+        return self.flag(self.score(df))
+
+    def flag(self, s: DataFrame) -> DataFrame:
+        """``is_anomaly`` for scored rows."""
         flag = F.col("anomaly_score") > F.lit(self.threshold)
         return s.withColumn("is_anomaly", F.coalesce(flag.cast("int"), F.lit(0)))
 
@@ -87,3 +94,28 @@ class DetectorModel:
     def _spark(self):
         from pyspark.sql import SparkSession
         return SparkSession.getActiveSession()
+
+
+class Detector:
+    """Base of detectors whose threshold is a percentile of the training scores; subclasses
+    implement ``_train`` (a model without threshold) and ``_percentile``."""
+
+    features_col = "features"
+
+    def _train(self, df: DataFrame) -> DetectorModel:  # pragma: no cover - abstract
+        raise NotImplementedError
+
+    def _percentile(self) -> float:  # pragma: no cover - abstract
+        raise NotImplementedError
+
+    def fit(self, df: DataFrame) -> DetectorModel:
+        model = self._train(df)
+        model.set_threshold(fit_threshold(model.score(df.select(self.features_col)), "anomaly_score", self._percentile()))
+        return model
+
+    def fit_transform(self, df: DataFrame) -> tuple[DetectorModel, DataFrame]:
+        """The model and the flagged training rows, scored once (checkpointed)."""
+        model = self._train(df)
+        scored = materialize(model.score(df))
+        model.set_threshold(fit_threshold(scored, "anomaly_score", self._percentile()))
+        return model, model.flag(scored)

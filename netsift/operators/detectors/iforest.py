@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ...schema import DEFAULT_CONTAMINATION, IFOREST_MAX_SAMPLES, IFOREST_TREES, SEED
 from ..joins import materialize
-from .base import DetectorModel, as_array, fit_threshold, with_score
+from .base import Detector, DetectorModel, as_array, with_score
 
 EULER = 0.5772156649015329
 
@@ -100,13 +100,16 @@ def _uniform(*cols):
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 40)).cast("double") / float(1 << 40)
 
 
-class IsolationForest:
+class IsolationForest(Detector):
     def __init__(self, n_trees: int = IFOREST_TREES, max_samples: int = IFOREST_MAX_SAMPLES,
                  contamination: float = DEFAULT_CONTAMINATION, seed: int = SEED, features_col: str = "features"):
         self.n_trees, self.max_samples, self.contamination = n_trees, max_samples, contamination
         self.seed, self.features_col = seed, features_col
 
-    def fit(self, df: DataFrame) -> "IsolationForestModel":
+    def _percentile(self) -> float:
+        return 100.0 * (1.0 - self.contamination)
+
+    def _train(self, df: DataFrame) -> "IsolationForestModel":
         x = df.select(as_array(df, self.features_col).alias("x")).where(F.col("x").isNotNull())
         x = x.withColumn("h", F.xxhash64("x"))
         counts = materialize(x.groupBy("h").agg(F.count(F.lit(1)).alias("c")))  # hashes only are shuffled
@@ -126,10 +129,8 @@ class IsolationForest:
         nodes = (pairs.join(vectors, "h").groupBy("tree")
                  .applyInPandas(lambda g: _grow(g, psi, p, max_depth, seed), NODE_SCHEMA))
         forest = nodes.toPandas()
-        model = IsolationForestModel({"n_trees": T, "max_samples": psi, "contamination": self.contamination,
-                                      "seed": seed}, forest, features_col=self.features_col)
-        model.threshold = fit_threshold(model.score(df.select(self.features_col)), "anomaly_score", 100.0 * (1.0 - self.contamination))
-        return model
+        return IsolationForestModel({"n_trees": T, "max_samples": psi, "contamination": self.contamination,
+                                     "seed": seed}, forest, features_col=self.features_col)
 
 
 class IsolationForestModel(DetectorModel):

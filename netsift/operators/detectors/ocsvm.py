@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...schema import DEFAULT_CONTAMINATION, SEED
-from .base import DetectorModel, as_array, fit_threshold, with_score
+from .base import Detector, DetectorModel, as_array, with_score
 from .training import run_round, shards
 
 
@@ -26,7 +26,7 @@ def rff(X, W, b):
     return np.sqrt(2.0 / W.shape[1]) * np.cos(X @ W + b)
 
 
-class OneClassSVM:
+class OneClassSVM(Detector):
     def __init__(self, nu: float = DEFAULT_CONTAMINATION, n_components: int = 300, gamma: float | None = None,
                  rounds: int = 30, batch: int = 256, lr: float = 0.05, min_steps: int = 50, seed: int = SEED,
                  features_col: str = "features"):
@@ -34,7 +34,10 @@ class OneClassSVM:
         self.min_steps = min_steps
         self.seed, self.features_col = seed, features_col
 
-    def fit(self, df: DataFrame) -> "OneClassSVMModel":
+    def _percentile(self) -> float:
+        return 100.0 * (1.0 - self.nu)
+
+    def _train(self, df: DataFrame) -> "OneClassSVMModel":
         x = df.select(as_array(df, self.features_col).alias("x")).where(F.col("x").isNotNull())
         d = len(x.first()["x"])
         if self.gamma is None:
@@ -76,11 +79,7 @@ class OneClassSVM:
         for rnd in range(self.rounds):
             wr, _, _ = run_round(data, wr, local, loss, rnd)
         params = {"nu": nu, "gamma": gamma, "n_components": self.D}
-        model = OneClassSVMModel(params, W, b, wr[:-1], float(wr[-1]), features_col=self.features_col)
-        # ν-property: ρ is the ν-quantile of the training margins w·z (exact, distributed)
-        thr = fit_threshold(model.score(df.select(self.features_col)), "anomaly_score", 100.0 * (1.0 - nu))
-        model.rho, model.threshold = -thr, thr
-        return model
+        return OneClassSVMModel(params, W, b, wr[:-1], float(wr[-1]), features_col=self.features_col)
 
 
 class OneClassSVMModel(DetectorModel):
@@ -90,6 +89,10 @@ class OneClassSVMModel(DetectorModel):
         super().__init__(params, -rho, features_col)
         self.W, self.b, self.w, self.rho = np.asarray(W), np.asarray(b), np.asarray(w), float(rho)
 
+    def set_threshold(self, threshold: float) -> None:
+        # ν-property: ρ is the ν-quantile of the training margins w·z (exact, distributed)
+        self.rho, self.threshold = -threshold, threshold
+
     def score(self, df: DataFrame) -> DataFrame:
         W, b, w = self.W, self.b, self.w
         return with_score(df, self.features_col, lambda x: -(rff(x, W, b) @ w))

@@ -88,24 +88,24 @@ def _session_matrix(spark, sf):
 def q_iforest_scores(spark, sf):
     """Isolation forest scores and flags per session (contamination 0.05)."""
     x = _session_matrix(spark, sf)
-    m = IsolationForest(contamination=0.05).fit(x)
-    return m.transform(x).select("session_id", r6("anomaly_score"), "is_anomaly")
+    _, s = IsolationForest(contamination=0.05).fit_transform(x)
+    return s.select("session_id", r6("anomaly_score"), "is_anomaly")
 
 
 @register("ocsvm_scores", None)
 def q_ocsvm_scores(spark, sf):
     """M5: one-class SVM (random Fourier features) scores and flags per session."""
     x = _session_matrix(spark, sf)
-    m = OneClassSVM(nu=0.05).fit(x)
-    return m.transform(x).select("session_id", r6("anomaly_score"), "is_anomaly")
+    _, s = OneClassSVM(nu=0.05).fit_transform(x)
+    return s.select("session_id", r6("anomaly_score"), "is_anomaly")
 
 
 @register("autoencoder_scores", None)
 def q_autoencoder_scores(spark, sf):
     """Autoencoder reconstruction error and p95 flag per session."""
     x = _session_matrix(spark, sf)
-    m = Autoencoder(contamination=0.05).fit(x)
-    return m.transform(x).select("session_id", r6("anomaly_score"), "is_anomaly")
+    _, s = Autoencoder(contamination=0.05).fit_transform(x)
+    return s.select("session_id", r6("anomaly_score"), "is_anomaly")
 
 
 @register("pca_2d", None)
@@ -137,14 +137,14 @@ def q_detector_flag_counts(spark, sf):
     """Rows flagged at contamination 0.05 are those above the exact 95th percentile."""
     x, out = _embeddings(spark, sf), None
     for name, d in _detectors().items():
-        part = d.fit(x).transform(x).select(F.lit(name).alias("model"), "is_anomaly")
+        part = d.fit_transform(x)[1].select(F.lit(name).alias("model"), "is_anomaly")
         out = part if out is None else out.unionByName(part)
     return out.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.sum("is_anomaly").cast("long").alias("n_flagged"))
 
 
 def _planted_first(spark, sf, name: str):
     x = _planted(spark, sf)
-    scored = _detectors()[name].fit(x).transform(x)
+    scored = _detectors()[name].fit_transform(x)[1]
     k = x.filter(F.col("id") % 100 == 7).count()
     return scored.orderBy(F.desc("anomaly_score"), "id").limit(k).select(F.col("id").alias("vec_id"), F.col("is_anomaly").cast("int"))
 

@@ -72,9 +72,13 @@ def train(spark: SparkSession, log_path: str, out_dir: str, year: int,
     }
     results = []
     for name in detectors:
-        model = makers[name]().fit(matrix)
+        detector = makers[name]()
+        if hasattr(detector, "fit_transform"):  # training rows are scored once
+            model, scored = detector.fit_transform(matrix)
+        else:
+            model = detector.fit(matrix)
+            scored = model.transform(matrix)
         model.save(os.path.join(out_dir, "models", name))
-        scored = model.transform(matrix)
         scored = _stage(scored.drop("features"), os.path.join(out_dir, "stages", f"scored_{name}"))
         X.export_top_anomalies(scored, name, os.path.join(out_dir, "exports"), top_n)
         results.append(M.unsupervised_result(scored, name))

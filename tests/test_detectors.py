@@ -96,3 +96,12 @@ def test_models_do_not_hang_on_partitioning(spark):
     for d in (IsolationForest(n_trees=20), Autoencoder(epochs=3), OneClassSVM(rounds=3)):
         a, b = ({r.id: r.anomaly_score for r in d.fit(x).transform(x).collect()} for x in (df.coalesce(1), df.repartition(5, "id")))
         assert max(abs(a[i] - b[i]) for i in a) < 1e-9, type(d).__name__
+
+
+def test_fit_transform_flags_as_fit_then_transform(spark):
+    df, _ = _blob(spark, n=200, d=3, outliers=3, seed=8)
+    for d in (IsolationForest(n_trees=20), Autoencoder(epochs=2), OneClassSVM(rounds=2)):
+        m, s = d.fit_transform(df)
+        again = d.fit(df)
+        a, b = ({r.id: (round(r.anomaly_score, 9), r.is_anomaly) for r in x.collect()} for x in (s, again.transform(df)))
+        assert a == b and abs(m.threshold - again.threshold) < 1e-9, type(d).__name__
