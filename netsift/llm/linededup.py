@@ -1,10 +1,12 @@
 """Line dedup by a deletion-neighbourhood join.
 
-The unit is a line of at least ``min_chars`` characters (outer blanks and tabs dropped).
-Equal lines are one class; its first occurrence, by (doc_id, line number), is kept. A
-class is also dropped when an earlier class lies within one edit (a character
-substituted, inserted or deleted); "earlier" compares first occurrences. Shorter lines
-stay as they are: a few common words are no passage.
+The unit is a line of at least ``exact_min_chars`` characters (outer blanks and tabs
+dropped). Equal lines are one class; its first occurrence, by (doc_id, line number), is
+kept. A class of at least ``min_chars`` characters is also dropped when an earlier such
+class lies within one edit (a character substituted, inserted or deleted); "earlier"
+compares first occurrences. Shorter lines have no one-edit variants: among a few characters
+different words lie one edit apart. ``dedup_documents`` compares every line that is not
+blank; ``dedup_lines`` compares lines from ``min_chars`` on unless told otherwise.
 
 *Neighbourhoods.* Lines one substitution apart become equal when the character at the
 same place is deleted from both; lines one insertion apart when it is deleted from the
@@ -55,16 +57,16 @@ def lines_of(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFra
             .withColumn("n", F.length("line")).filter(F.col("n") >= min_chars))
 
 
-def _half_keys() -> list[Column]:
+def _half_keys(min_chars: int) -> list[Column]:
     """Keys of the unchanged half: for the shorter length m of a pair, the first m // 2
     characters or the last m - m // 2. A line is the shorter (m = n) or the longer (m = n - 1);
-    columns k00, k01 (shorter: first, last half), k10, k11 (longer)."""
+    columns k00, k01 (shorter: first, last half), k10, k11 (longer); null under ``min_chars``."""
     n, out = F.col("n"), []
     for d in (0, 1):
         m = n - d
         h = F.floor(m / 2).cast("int")
-        out.append(F.xxhash64(F.lit(0), m, F.substring("line", F.lit(1), h)).alias(f"k{d}0"))
-        out.append(F.xxhash64(F.lit(1), m, F.right(F.col("line"), m - h)).alias(f"k{d}1"))
+        out.append(F.when(n >= min_chars, F.xxhash64(F.lit(0), m, F.substring("line", F.lit(1), h))).alias(f"k{d}0"))
+        out.append(F.when(n >= min_chars, F.xxhash64(F.lit(1), m, F.right(F.col("line"), m - h))).alias(f"k{d}1"))
     return out
 
 
@@ -136,16 +138,21 @@ def _earliest_partner(variants: DataFrame) -> DataFrame:
             .filter(F.col("p.first") < F.col("first")).select("lh", F.col("p.lh").alias("plh")).distinct())
 
 
-def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
+             exact_min_chars: int | None = None) -> DataFrame:
     """(doc_id, th, pos, near): every line occurrence to remove; ``near`` tells that its class
-    has an earlier class within one edit, else it repeats its own class."""
-    lines = lines_of(docs, doc_id, text, min_chars).withColumn("lh", F.xxhash64("line"))
+    has an earlier class within one edit, else it repeats its own class.
+
+    ``min_chars`` bounds the one-edit search, ``exact_min_chars`` (``min_chars`` if None) the
+    exact repeats."""
+    least = min_chars if exact_min_chars is None else min(min_chars, exact_min_chars)
+    lines = lines_of(docs, doc_id, text, least).withColumn("lh", F.xxhash64("line"))
     place = F.struct("doc_id", "pos", "th")
     keys = [f"k{d}{k}" for d in (0, 1) for k in (0, 1)]
-    classes = persisted(lines.select("lh", place.alias("place"), *_half_keys()).groupBy("lh")
+    classes = persisted(lines.select("lh", place.alias("place"), *_half_keys(min_chars)).groupBy("lh")
                         .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n_lines"),
                              *(F.max(k).alias(k) for k in keys)))
-    wanted = persisted(_may_pair(classes))
+    wanted = persisted(_may_pair(classes.filter(F.col("k00").isNotNull())))
     need = persisted(wanted.select("lh").distinct())
     texts = persisted(bucket_filter(lines.select("lh", "line", "n"), "lh", need).join(need, "lh", "left_semi")
                       .dropDuplicates(["lh"]))
@@ -167,9 +174,10 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_ch
             .filter(F.col("near") | ~place.eqNullSafe(F.col("first"))).select("doc_id", "th", "pos", "near"))
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
+                exact_min_chars: int | None = None) -> DataFrame:
     """``docs`` with ``__text`` (lines removed), ``__n_lines``, ``__n_exact`` and ``__n_near``."""
-    gone = (removals(docs, doc_id, text, min_chars).groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th"))
+    gone = (removals(docs, doc_id, text, min_chars, exact_min_chars).groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th"))
             .agg(F.collect_set(F.struct("pos", "near")).alias("__gone")))
     src = docs.withColumn("__h", F.xxhash64(F.col(text)))
     out = src.join(gone, src[doc_id].eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__th")), "left")
@@ -187,12 +195,12 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
 
 
 def dedup_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
-                    n_chars: str | None = "n_chars") -> DataFrame:
-    """``docs`` with repeated lines removed; documents of which only white space is left go.
+                    n_chars: str | None = "n_chars", exact_min_chars: int = 1) -> DataFrame:
+    """``docs`` with repeated lines of every non-blank length removed; documents of which only white space is left go.
 
     Columns stay as they are; ``n_chars`` (if there) is counted anew for changed texts.
     """
-    d = dedup_lines(docs, doc_id, text, min_chars)
+    d = dedup_lines(docs, doc_id, text, min_chars, exact_min_chars)
     changed = F.col("__n_exact") + F.col("__n_near") > 0
     d = d.filter(~changed | F.col("__text").rlike(r"\S"))
     cols = []

@@ -231,6 +231,15 @@ def test_line_dedup_documents_keep_columns(edge, empty):
     assert {r.doc_id for r in got.collect() if r.text is None} >= {0}
 
 
+def test_line_dedup_documents_removes_short_repeats(spark):
+    long_a, long_b = "a line that is long enough to be compared by edits", "another line, long enough as well, of this text"
+    docs = [(1, f"Title\n{long_a}\n\nshort end"), (2, f"Title\n{long_a}\n\nshort end"),  # a whole copy goes
+            (3, f" short end\t\nshort ens\n{long_b}"),  # one edit apart, but short: stays
+            (4, f"{long_b}x\n\nTitle\nnew"), (5, "x\nx\n\n x"), (6, " \n\n"), (7, None)]
+    got = {r.doc_id: r.text for r in linededup.dedup_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: docs[0][1], 3: f"short ens\n{long_b}", 4: "\nnew", 5: "x\n", 6: " \n\n", 7: None}
+
+
 def test_long_lines(spark):
     rng = random.Random(8)
     a = words(rng, 20000)
