@@ -4,8 +4,13 @@ Patterns find assigned credentials, access key ids and long hex runs (the base k
 The token-efficiency test adds strings that look random: natural words and identifiers
 take few tokens of a trained byte-pair vocabulary, random ones many, so a candidate
 string whose characters per token fall below ``max_ratio`` is a span of kind ``random``.
-Known digests (hex of a digest's length) and identifiers (UUIDs, numbers, dotted numbers,
-paths of plain words) are left out before the test.
+Known digests (hex of a digest's length) and identifiers (UUIDs, numbers, one character
+repeated) are left out before the test; letters of one case are tested like any others.
+
+A run of candidate characters is tested whole. Where the whole is not random, plain words
+may hide a secret beside them: its parts between ``_ - =`` and between ``/ + _ - =`` are tested,
+and within a part every stretch of tokens whose own ratio falls below the limit. Parts and
+stretches have the length of a candidate (16) at least.
 
 A vectorised pass over each chunk's bytes marks the texts that can hold a match; only
 these become Python strings, and each is searched whole. Spans are code points.
@@ -45,7 +50,9 @@ HEX = re.compile(r"[0-9a-f]+")
 MIN_SECRET, MIN_ACCESS, MIN_HEX = 6, 20, 24
 KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 
+MIN_CANDIDATE = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+PARTS = (re.compile(r"[A-Za-z0-9+/]{16,}"), re.compile(r"[A-Za-z0-9]{16,}"))
 HEX_ONLY = re.compile(r"[0-9a-fA-F]+\Z")
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)  # hex digits of MD5, SHA-1, Tiger, SHA-2
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
@@ -54,9 +61,7 @@ RULE = re.compile(r"(.)\1*\Z")
 
 _ALNUM_ISH = byte_class([(48, 57), (65, 90), (97, 122)] + [(ord(c), ord(c)) for c in "+/_=-"])
 _HEX = byte_class([(48, 57), (97, 102)])
-_DIGIT = byte_class([(48, 57)])
-_UPPER = byte_class([(65, 90)])
-_LOWER = byte_class([(97, 122)])
+_LETTER = byte_class([(65, 90), (97, 122)])
 
 _encodings: dict[str, object] = {}
 
@@ -71,21 +76,48 @@ def encoding(path: str):
     return _encodings[path]
 
 
-def _mixed(s: str) -> bool:
-    """Letters and digits together, or several changes from lower to upper case."""
-    letters = any("A" <= c <= "Z" or "a" <= c <= "z" for c in s)
-    if any("0" <= c <= "9" for c in s):
-        return letters
-    return sum("a" <= x <= "z" and "A" <= y <= "Z" for x, y in zip(s, s[1:])) > 2
+def _identifier(s: str) -> bool:
+    """Whether a candidate is a number, a rule, a UUID or hex of a digest's length."""
+    return bool(NUMBER.match(s) or RULE.match(s) or UUID.match(s) or HEX_ONLY.match(s) and len(s) in DIGEST_LENGTHS)
 
 
 def is_random(s: str, enc, max_ratio: float) -> bool:
     """Whether a candidate is no known digest or identifier and tokenises badly."""
-    if NUMBER.match(s) or RULE.match(s) or UUID.match(s) or not _mixed(s):
-        return False
-    if HEX_ONLY.match(s) and len(s) in DIGEST_LENGTHS:
-        return False
-    return len(s) < max_ratio * len(enc.encode_ordinary(s))
+    return not _identifier(s) and len(s) < max_ratio * len(enc.encode_ordinary(s))
+
+
+def _stretches(s: str, enc, max_ratio: float) -> Iterator[tuple[int, int]]:
+    """(start, end) of the disjoint stretches of tokens, each the most random of its surroundings."""
+    total = best = 0.0
+    at = start = stop = 0
+    for n in [*(len(enc.decode_single_token_bytes(t)) for t in enc.encode_ordinary(s)), len(s) * (1 + max_ratio)]:
+        total += max_ratio - n
+        at += n
+        if total > best:
+            best, stop = total, at
+        elif total <= 0:
+            if stop - start >= MIN_CANDIDATE and not _identifier(s[start:stop]):
+                yield start, stop
+            total, best, start, stop = 0.0, 0.0, at, at
+
+
+def _random_parts(s: str, enc, max_ratio: float) -> list[tuple[int, int]]:
+    """(start, end) of what is random in a run: the run, else its parts and their stretches."""
+    if _identifier(s):
+        return []
+    if is_random(s, enc, max_ratio):
+        return [(0, len(s))]
+    out: list[tuple[int, int]] = []
+    for kind in PARTS:
+        for m in kind.finditer(s):
+            if _identifier(m[0]):
+                continue
+            new = [(0, len(m[0]))] if is_random(m[0], enc, max_ratio) else _stretches(m[0], enc, max_ratio)
+            for a, b in new:
+                a, b = a + m.start(), b + m.start()
+                if not any(x < b and a < y for x, y in out):
+                    out.append((a, b))
+    return out
 
 
 def find_spans(t: str, enc, max_ratio: float) -> list[tuple[str, int, int]]:
@@ -94,8 +126,10 @@ def find_spans(t: str, enc, max_ratio: float) -> list[tuple[str, int, int]]:
     out += [("access", m.start(), m.end()) for m in ACCESS.finditer(t) if len(m[0]) >= MIN_ACCESS]
     out += [("hex", m.start(), m.end()) for m in HEX.finditer(t) if len(m[0]) >= MIN_HEX]
     base = list(out)
-    out += [("random", m.start(), m.end()) for m in CANDIDATE.finditer(t)
-            if not any(s <= m.start() and m.end() <= e for _, s, e in base) and is_random(m[0], enc, max_ratio)]
+    for m in CANDIDATE.finditer(t):
+        if not any(s <= m.start() and m.end() <= e for _, s, e in base):
+            parts = ((a + m.start(), b + m.start()) for a, b in _random_parts(m[0], enc, max_ratio))
+            out += [("random", a, b) for a, b in parts if not any(s <= a and b <= e for _, s, e in base)]
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -114,17 +148,14 @@ def suspects(c: Chunk) -> np.ndarray:
             d = int(np.searchsorted(c.offs, at, "right")) - 1
             hit[d] = True
             at = low.find(k, max(at + 1, int(c.offs[d + 1]) - len(k) + 1))  # on to the next text
-    for member, least in ((_HEX, MIN_HEX), (_ALNUM_ISH, 16)):
+    for member, least in ((_HEX, MIN_HEX), (_ALNUM_ISH, MIN_CANDIDATE)):
         s, e = runs(c, member)
         keep = e - s >= least
         s, e = s[keep], e[keep]
-        if least == 16 and len(s):
-            kinds = 0
-            for cls in (_DIGIT, _UPPER, _LOWER):
-                n = np.zeros(len(c.buf) + 1, np.int32)
-                np.cumsum(cls[c.buf], out=n[1:])
-                kinds = kinds + (n[e] > n[s])
-            s = s[kinds >= 2]
+        if member is _ALNUM_ISH and len(s):  # without a letter it is a number
+            n = np.zeros(len(c.buf) + 1, np.int32)
+            np.cumsum(_LETTER[c.buf], out=n[1:])
+            s = s[n[e] > n[s]]
         mark(s)
     raw = c.buf.tobytes()
     at = raw.find(b"AKIA")

@@ -134,6 +134,26 @@ def test_secret_spans(spark):
     assert got[2] == got[3] == got[4] == got[None] == []
 
 
+def test_secret_random_strings_of_one_case_and_beside_words():
+    rng, enc = random.Random(12), secrets.encoding(secrets.VOCAB_PATH)
+    low, base62 = "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    for alphabet, before, least in ((low, "", 80), (low.upper(), "", 95), (base62, "access_key_for_storage_account=", 95),
+                                    (base62, "/service/internal/production/storage/", 95)):
+        hits = 0
+        for _ in range(100):
+            s = "".join(rng.choice(alphabet) for _ in range(20))
+            t = f"see {before}{s} there"
+            at = len("see " + before)
+            spans = [x for x in secrets.find_spans(t, enc, 2.0) if x[0] == "random"]
+            # the secret is covered, up to characters that join a token of their own
+            hits += any(a <= at + 4 and b >= at + 16 for _, a, b in spans)
+            assert not spans or all(secrets.suspects(c).all() for c in textops.text_chunks(pa.array([t])))
+        assert hits >= least, (before, alphabet[:3], hits)
+    plain = ("internationalization uncharacteristically /service/internal/production/storage/ getElementsByTagNameAndClass "
+             "INTERNATIONALIZATION zzzzzzzzzzzzzzzzzzzzzzzz 550e8400-e29b-41d4-a716-446655440000 2024-01-02-10-11-12-13")
+    assert secrets.find_spans(plain, enc, 2.0) == []
+
+
 def test_secret_prefilter_loses_nothing():
     rng, enc = random.Random(9), secrets.encoding(secrets.VOCAB_PATH)
     alphabet = "abcdef0123456789ABKIXYZ+/_=-. :'\"é\n"
