@@ -6,8 +6,14 @@ hash-joined to the digests of known licence texts: the whole text must agree, so
 no pattern is searched and a licence that is merely mentioned does not match.
 
 Three units of a document are looked up: the whole text, its paragraphs (between empty
-lines) and its lines. The known table holds full licences and the usual notices
-(``KNOWN``, a fixed table of a few dozen rows, so broadcasting it is bounded).
+lines) and its lines. ``KNOWN`` is a fixed table of the full MIT, ISC, BSD and Zlib texts
+and of usual notices; of Apache-2.0, GPL, MPL-2.0, Creative Commons and the Unlicense it
+holds notices only. ``known_from_folder`` reads full texts from a folder. Either is a table
+of some dozen rows, so broadcasting it is bounded.
+
+With ``embedded`` a fourth unit is looked up, runs of as many paragraphs as a known text
+has, and copyright lines inside code comments are dropped too. Runs begin only where a
+known text's first paragraph stands, so other documents hash nothing more.
 
 Canonicalising runs once per document and keeps line breaks, and units are cut from its
 result. A row per unit exists only until the join; what is shuffled are matches.
@@ -86,12 +92,19 @@ EQUIVALENT: list[tuple[str, str]] = [
 # A line that only states a copyright, after lower-casing and equivalents.
 COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright|\(c\)|all rights reserved)[^\n]*$"
 
+# Comment marks before a copyright notice.
+COMMENT_MARK = r"(?m)^[ \t]*(?:#+|//+|/?\*+|--+|;+|%+)(?=[ \t]*(?:copyright|\(c\)|all rights reserved))"
+BLANK_LINE = "\\n ?\\n"
+
 
-def canonical(c: Column) -> Column:
-    """Canonical text, line by line: line breaks stay, words of a line are single-spaced."""
+def canonical(c: Column, comments: bool = False) -> Column:
+    """Canonical text, line by line: line breaks stay, words of a line are single-spaced.
+    ``comments``: copyright lines behind a comment mark are dropped like others."""
     c = F.lower(c)
     for a, b in EQUIVALENT:
         c = F.replace(c, F.lit(a), F.lit(b))
+    if comments:
+        c = F.regexp_replace(c, COMMENT_MARK, "")
     c = F.regexp_replace(c, COPYRIGHT_LINE, "")
     return F.regexp_replace(c, "[\\x00-\\x09\\x0B-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", " ")
 
@@ -104,19 +117,51 @@ def _digest(c: Column) -> Column:
     return F.sha2(c, 256)
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
+def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN, comments: bool = False) -> DataFrame:
     """(digest, license_id) of the known texts; one row per text."""
     t = spark.createDataFrame(known, "license_id string, t string")
-    return t.select(_digest(_one_line(canonical(F.col("t")))).alias("digest"), "license_id").distinct()
+    return t.select(_digest(_one_line(canonical(F.col("t"), comments))).alias("digest"), "license_id").distinct()
+
+
+def known_from_folder(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(file name without ``.txt``, text) of each file of a folder of licence texts."""
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("f"), "value").collect()
+    return sorted((r.f.removesuffix(".txt"), r.value) for r in rows)
+
+
+def _paragraphs(c: Column) -> Column:
+    """The paragraphs of a canonical text that have words, each as one line."""
+    return F.filter(F.transform(F.split(c, BLANK_LINE), _one_line), lambda p: p != "")
+
+
+def _runs(ps: Column, spark: SparkSession, known: list[tuple[str, str]]) -> Column:
+    """Digests of the runs of paragraphs that begin like a known text and are as long."""
+    t = spark.createDataFrame(known, "license_id string, t string").select(_paragraphs(canonical(F.col("t"), True)).alias("p"))
+    heads: dict[str, set[int]] = {}
+    for r in t.select(_digest(F.get("p", F.lit(0))).alias("head"), F.size("p").alias("n")).filter("n > 1").collect():
+        heads.setdefault(r["head"], set()).add(r["n"])
+    if not heads:
+        return F.array().cast("array<string>")
+    lengths = F.create_map(*(x for h, ns in sorted(heads.items()) for x in (F.lit(h), F.array(*map(F.lit, sorted(ns))))))
+
+    def at(p: Column, i: Column) -> Column:
+        fits = F.filter(F.coalesce(F.try_element_at(lengths, _digest(p)), F.array().cast("array<int>")),
+                        lambda n: (i + n <= F.size(ps)) & (n < F.size(ps)))  # the whole text is the document
+        return F.transform(fits, lambda n: _digest(F.array_join(F.slice(ps, i + 1, n), " ")))
+
+    return F.flatten(F.transform(ps, at))
 
 
 def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                  known: list[tuple[str, str]] = KNOWN) -> DataFrame:
+                  known: list[tuple[str, str]] = KNOWN, embedded: bool = False) -> DataFrame:
     """One row per document, unit kind (document, paragraph, line) and licence found:
-    doc_id, unit, license_id, n (units of that kind with that licence)."""
+    doc_id, unit, license_id, n (units of that kind with that licence).
+
+    ``embedded`` adds the unit ``paragraphs``, a licence of several paragraphs inside a
+    longer text, and looks through code comments."""
     spark = docs.sparkSession
     canon = docs.filter(F.col(text).isNotNull()).select(
-        F.col(doc_id).alias("doc_id"), canonical(F.col(text)).alias("c"))
+        F.col(doc_id).alias("doc_id"), canonical(F.col(text), embedded).alias("c"))
 
     def units(kind: str, parts: Column) -> Column:
         return F.transform(parts, lambda p: F.struct(F.lit(kind).alias("unit"), _digest(_one_line(p)).alias("digest")))
@@ -124,6 +169,10 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     paragraphs = F.when(F.regexp_like("c", F.lit("\\n ?\\n")), F.split("c", "\\n ?\\n")).otherwise(F.array())
     lines = F.when(F.instr("c", "\n") > 0, F.split("c", "\n")).otherwise(F.array("c"))
     all_units = F.concat(units("document", F.array("c")), units("paragraph", paragraphs), units("line", lines))
-    table = F.broadcast(known_digests(spark, known))  # a row per known text
+    if embedded:
+        canon = canon.withColumn("ps", _paragraphs(F.col("c")))
+        runs = F.transform(_runs(F.col("ps"), spark, known), lambda h: F.struct(F.lit("paragraphs").alias("unit"), h.alias("digest")))
+        all_units = F.concat(all_units, runs)
+    table = F.broadcast(known_digests(spark, known, embedded))  # a row per known text
     return (canon.select("doc_id", F.explode(all_units).alias("u")).select("doc_id", "u.unit", "u.digest")
             .join(table, "digest").groupBy("doc_id", "unit", "license_id").agg(F.count(F.lit(1)).alias("n")))

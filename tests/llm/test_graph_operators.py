@@ -147,6 +147,23 @@ def test_license_variants(spark, edge, empty):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_license_folder_comments_and_runs(spark, tmp_path):
+    full = "\n\n".join(f"{k}. Terms of the Example License, part {k}: you may\nuse, copy and share the work." for k in range(1, 8))
+    (tmp_path / "Example-1.0.txt").write_text(full)
+    known = licenses.KNOWN + licenses.known_from_folder(spark, str(tmp_path))
+    mit = licenses.KNOWN[0][1]
+    comment = "\n".join("# " + x for x in ("Copyright (c) 2020 Some One\n\n" + mit).split("\n"))
+    docs = [(1, full), (2, "Some words\n\n" + full + "\n\nmore words"), (3, comment), (4, comment + "\n\nimport os"),
+            (5, "Some words\n\n" + full.rsplit("\n\n", 1)[0]), (6, None), (7, f"a\n\n{mit}\n\nb\n\n{mit}")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    found = licenses.scan_licenses(d, known=known, embedded=True)
+    got = {(r.doc_id, r.unit, r.license_id): r.n for r in found.collect()}
+    assert got == {(1, "document", "Example-1.0"): 1, (2, "paragraphs", "Example-1.0"): 1, (3, "document", "MIT"): 1,
+                   (4, "paragraphs", "MIT"): 1, (7, "paragraphs", "MIT"): 2}
+    plan = found._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 # --- pipeline -----------------------------------------------------------------------------
 
 
