@@ -146,33 +146,35 @@ def line_profile(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ho
                               "line_words array<int>")
 
 
-def frequent_lines(profile: DataFrame, max_share: float, min_docs: int) -> DataFrame:
+def frequent_lines(profile: DataFrame, max_share: float, min_docs: int, max_docs: int | None = None) -> DataFrame:
     """(``line``) keys of (host, line) pairs held by more than ``max_share`` of the host's
-    distinct documents and by at least ``min_docs`` of them."""
+    distinct documents and by at least ``min_docs`` of them, or by more than ``max_docs``."""
     key = F.xxhash64("host", "hash").alias("line")
     held = (profile.select("host", "text_hash", F.explode("line_hash").alias("hash"))
             .select("host", key, "text_hash").distinct()
             .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")))
     size = (profile.select("host", "text_hash").distinct()
             .groupBy(F.col("host").alias("h")).agg(F.count(F.lit(1)).alias("of")))
-    return (held.filter(F.col("n") >= min_docs)
+    many = F.lit(False) if max_docs is None else F.col("n") > max_docs
+    return (held.filter((F.col("n") >= min_docs) | many)
             .join(size, F.col("host").eqNullSafe(F.col("h")))
-            .filter(F.col("n") > max_share * F.col("of")).select("line"))
+            .filter(many | (F.col("n") >= min_docs) & (F.col("n") > max_share * F.col("of"))).select("line"))
 
 
 def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source",
                   max_share: float = 0.1, min_docs: int = 20, min_left_words: int = 1,
-                  min_left_share: float = 0.3) -> DataFrame:
+                  min_left_share: float = 0.3, max_docs: int | None = None) -> DataFrame:
     """One row per row of ``docs``: base counts, ``base_failed``, words in removed lines
     (``n_removed_words``) and ``kept``.
 
     A line is removed when more than ``max_share`` of its host's distinct documents, and at
-    least ``min_docs``, hold it. A document is depleted when lines were removed and fewer
+    least ``min_docs``, hold it, or more than ``max_docs`` whatever their share (None: no
+    such limit). A document is depleted when lines were removed and fewer
     than ``min_left_words`` words, or ``min_left_share`` of its words, are left.
     """
     prof = persisted(line_profile(docs, doc_id, text, host)
                      .withColumn("row", F.monotonically_increasing_id()))
-    hot = persisted(frequent_lines(prof, max_share, min_docs))
+    hot = persisted(frequent_lines(prof, max_share, min_docs, max_docs))
     lines = (prof.select("row", "host", F.explode(F.arrays_zip("line_hash", "line_words")).alias("l"))
              .select("row", F.xxhash64("host", "l.line_hash").alias("line"), F.col("l.line_words").alias("w")))
     removed = (lines.join(hot, "line").groupBy("row").agg(F.sum("w").alias("n_removed_words")))

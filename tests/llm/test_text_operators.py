@@ -55,6 +55,17 @@ def test_quality_removes_frequent_lines_per_host_and_counts_copies_once(spark):
     assert got[200].n_removed_words == 3 and not got[200].kept
 
 
+def test_quality_either_limit_in_hot_and_small_hosts(spark):
+    rng = random.Random(15)
+    rows = [(i, ("Hot boilerplate\n" if i < 18 else "") + words(rng, 30), "hot") for i in range(300)]  # 6% of the host
+    rows += [(1000 + i, ("Small boilerplate\n" if i < 5 else "") + words(rng, 30), "small") for i in range(20)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.n_removed_words for r in quality.quality_rules(d, min_docs=5, max_docs=12).collect()}
+    assert {i for i, n in got.items() if n} == {*range(18), *range(1000, 1005)}
+    share = {r.doc_id: r.n_removed_words for r in quality.quality_rules(d, min_docs=5).collect()}
+    assert {i for i, n in share.items() if n} == set(range(1000, 1005))
+
+
 def test_language_rejects_letterless_and_learns(spark, edge):
     rng = random.Random(2)
     vocab = {"xx": "the and with for ing tion".split(), "yy": "der die und ung keit schen".split()}
