@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, licenses, linededup, mixing, quality, secrets, simhash, toxicity
+from . import (audit, chat, decontam, gam, langid, licenses, linededup, mixing, quality, ranked, secrets, simhash,
+               toxicity)
 from .common import fold_of, table
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -281,3 +282,72 @@ def op10(spark, sf):
     return done.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_exact").alias("n_exact"),
                        F.col("__n_near").alias("n_near"),
                        F.sha2(F.coalesce("__text", F.lit("")), 256).alias("text_sha256"))
+
+
+# --- 11: ranked lexical search ---------------------------------------------------------------
+
+_RX_RANKED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+OP11_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_RX_RANKED}') AS w FROM documents),
+st AS (SELECT count(*) AS n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+it AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all({_LOWER}, '{_RX_RANKED}') AS w
+       FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+qt AS (SELECT q, t, count(*) AS times FROM (SELECT q, unnest(w) AS t FROM it) GROUP BY q, t),
+wt AS (SELECT t, floor(1000 * ln((2 * (SELECT n FROM st) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+       FROM tf WHERE t IN (SELECT t FROM qt) GROUP BY t),
+m AS (SELECT r, doc_id, 100 - 75 + (75 * len(w)::BIGINT * (SELECT n FROM st)) // (SELECT l FROM st) AS m FROM d WHERE len(w) > 0),
+s AS (SELECT q, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM qt JOIN wt USING (t) JOIN tf USING (t) JOIN m USING (r) GROUP BY q, r, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k JOIN it USING (q) WHERE rank <= 10"""
+
+
+@register("op11_ranked_search", OP11_SQL)
+def op11(spark, sf):
+    return ranked.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+# --- 12: quality classifier ------------------------------------------------------------------
+
+
+@register("op12_quality_gam")
+def op12(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = gam.fit(docs, table(spark, sf, "labels"), fold_of("doc_id", 3) != 1)
+    return gam.score(docs, model).select(
+        "doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+# --- 13: filter interaction audit ------------------------------------------------------------
+
+_LETTERS = [f"substr(filter_order, {i}, 1)" for i in range(1, 6)]
+OP13_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                  regexp_extract_all(coalesce(text, ''), '{_RX_WORD}') AS w FROM documents),
+lb AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             MAP {{'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+                  'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+                  'D': regexp_matches(text, '[#$%&*|]'),
+                  'E': coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY text), false)}} AS fails
+      FROM d LEFT JOIN lb ON d.doc_id = lb.doc_id),
+l(a) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT p.a || q.a || r.a || s.a || t.a AS filter_order FROM l p, l q, l r, l s, l t
+      WHERE len(list_distinct([p.a, q.a, r.a, s.a, t.a])) = 5),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+g AS (SELECT *, coalesce(list_position([{', '.join(f'fails[{x}]' for x in _LETTERS)}], true), 6) AS goes FROM c, o),
+s AS (SELECT *, fails[substr(filter_order, step, 1)] AS hit FROM g, range(1, 6) AS x(step)),
+t AS (SELECT part, filter_order, step::INTEGER AS step, coalesce(sum(n) FILTER (WHERE goes > step), 0)::BIGINT AS kept,
+             coalesce(sum(n) FILTER (WHERE goes = step), 0)::BIGINT AS removed,
+             coalesce(sum(n) FILTER (WHERE hit AND goes < step), 0)::BIGINT AS redundant,
+             coalesce(sum(n) FILTER (WHERE hit AND len(list_filter(map_values(fails), lambda x: x)) = 1), 0)::BIGINT AS unique_fails,
+             coalesce(sum(good) FILTER (WHERE goes = step), 0)::BIGINT AS good_lost,
+             coalesce(sum(toxic) FILTER (WHERE goes = step), 0)::BIGINT AS toxic_lost
+      FROM s GROUP BY part, filter_order, step)
+SELECT *, sum(removed) OVER (PARTITION BY part, substr(filter_order, step, 1))::BIGINT AS shapley FROM t"""
+
+
+@register("op13_filter_audit", OP13_SQL)
+def op13(spark, sf):
+    return audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
