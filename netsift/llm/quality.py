@@ -1,19 +1,23 @@
 """Quality rules: cross-document line frequency beside per-document base counts.
 
 Lines are normalised (A-Z folded, outer white space dropped) and hashed. For every host
-the number of distinct documents that hold a line is counted over all rows; exact copies
-of a text are one document, so a group of copies does not turn its own lines into
-boilerplate. Lines above the limits are removed, and a document that keeps too few
-words is depleted.
+the number of distinct documents that hold a line is counted over all rows. A line above
+either limit is removed: a share of the host's documents (with a small floor, so that a line
+of a few documents of a small host stays), or an absolute number of them (so that a hot host,
+where a share is thousands of documents, loses its boilerplate too). A document that keeps
+too few words is depleted.
 
 One Arrow pass over the texts gives each document's base counts and its distinct line
 hashes; it is checkpointed (hashes only, no text), so texts are read once. Counting is
-two partial aggregations on (line, text) and line hashes, which collapse a hot line
-before the shuffle. The lines above the limits are then joined back on a checkpointed
+two aggregations, on (line, document) and on lines: the first spreads a hot line over all
+tasks, the second collapses it before the shuffle. The lines above the limits are then joined back on a checkpointed
 table, so that a hot line's rows can be split between tasks (AQE skew join).
 
 Edge cases: a null or empty text has no words (all counts 0, ``base_failed``); a null
-host is a host of its own; repeated rows count once per host and are each returned.
+host is a host of its own; a document is an id with a text, so repeated rows count once per
+host and are each returned, and copies under other ids count each; a text of any length is
+read whole; an empty table gives an empty result; only the named columns are read, so others
+may have any name.
 """
 
 from __future__ import annotations
@@ -146,31 +150,32 @@ def line_profile(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ho
                               "line_words array<int>")
 
 
-def frequent_lines(profile: DataFrame, max_share: float, min_docs: int, max_docs: int | None = None) -> DataFrame:
+def frequent_lines(profile: DataFrame, max_share: float, min_docs: int, max_docs: int) -> DataFrame:
     """(``line``) keys of (host, line) pairs held by more than ``max_share`` of the host's
     distinct documents and by at least ``min_docs`` of them, or by more than ``max_docs``."""
     key = F.xxhash64("host", "hash").alias("line")
-    held = (profile.select("host", "text_hash", F.explode("line_hash").alias("hash"))
-            .select("host", key, "text_hash").distinct()
+    docs = profile.withColumn("doc", F.xxhash64("doc_id", "text_hash"))
+    held = (docs.select("host", "doc", F.explode("line_hash").alias("hash"))
+            .select("host", key, "doc").distinct()
             .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")))
-    size = (profile.select("host", "text_hash").distinct()
+    size = (docs.select("host", "doc").distinct()
             .groupBy(F.col("host").alias("h")).agg(F.count(F.lit(1)).alias("of")))
-    many = F.lit(False) if max_docs is None else F.col("n") > max_docs
+    many = F.col("n") > max_docs
     return (held.filter((F.col("n") >= min_docs) | many)
             .join(size, F.col("host").eqNullSafe(F.col("h")))
             .filter(many | (F.col("n") >= min_docs) & (F.col("n") > max_share * F.col("of"))).select("line"))
 
 
 def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source",
-                  max_share: float = 0.1, min_docs: int = 20, min_left_words: int = 1,
-                  min_left_share: float = 0.3, max_docs: int | None = None) -> DataFrame:
+                  max_share: float = 0.05, min_docs: int = 5, max_docs: int = 50, min_left_words: int = MIN_WORDS,
+                  min_left_share: float = 0.5) -> DataFrame:
     """One row per row of ``docs``: base counts, ``base_failed``, words in removed lines
     (``n_removed_words``) and ``kept``.
 
     A line is removed when more than ``max_share`` of its host's distinct documents, and at
-    least ``min_docs``, hold it, or more than ``max_docs`` whatever their share (None: no
-    such limit). A document is depleted when lines were removed and fewer
-    than ``min_left_words`` words, or ``min_left_share`` of its words, are left.
+    least ``min_docs``, hold it, or more than ``max_docs`` whatever their share. A document is
+    depleted when lines were removed and fewer than ``min_left_words`` words, or
+    ``min_left_share`` of its words, are left.
     """
     prof = persisted(line_profile(docs, doc_id, text, host)
                      .withColumn("row", F.monotonically_increasing_id()))
