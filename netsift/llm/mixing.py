@@ -13,13 +13,18 @@ id), made of blocks: runs of the permutation of about ``block_tokens`` tokens. W
 epochs take every document; the last takes documents in the order of its permutation
 while the tokens before them are below what is left of the budget.
 
+*Schedule.* The blocks of all sources are one permutation: the j-th of a source's m blocks has its
+place at (2 j + 1) / (2 m) of the whole schedule (ties by a hash of seed, source, epoch and
+block), so any stretch of the schedule holds the sources in proportion to their budgets, and
+a source's epochs follow each other. ``turn`` is a block's number in that order.
+
 *Scale.* Tokens of a source are one aggregation; weights are computed on the driver for
 one row per source. Running sums over the permutation come from range partitions: sums
 within a partition, plus the totals of earlier partitions, so that a hot source is cut
 between tasks instead of being one window.
 
 Edge cases: a null or empty text has no tokens and is read in whole epochs, and in the
-last one if its place is within the budget; a null source is a source of its own; rows
+last one if its place is within the budget; a source without any token is read once; a null source is a source of its own; rows
 with the same id and source share their place in the permutation and are ordered by
 text; an empty table gives an empty result.
 """
@@ -125,7 +130,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> DataFrame:
     """One row per document and epoch in which it is read: doc_id, source, n_tokens, epoch,
     block (number of the run of the source's permutation), start (tokens of the source read
-    before it in its epoch) and weight (of the source).
+    before it in its epoch), weight (of the source) and turn (of the block in the schedule).
 
     The budget is ``budget_share`` of all tokens.
     """
@@ -144,6 +149,23 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
            .withColumn("key", F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("epoch").cast("string"),
                                                 F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))))
     out = _running(per.drop("s"), "g", ["key", "th"], "n_tokens", "start")
-    return (out.filter((F.col("epoch") < whole) | (F.col("start") < F.col("left")))
-            .select("doc_id", "source", "n_tokens", "epoch",
-                    F.floor(F.col("start") / block_tokens).cast("long").alias("block"), "start", "weight"))
+    read = persisted(out.filter((F.col("total") == 0) | (F.col("epoch") < whole) | (F.col("start") < F.col("left")))
+                     .select("doc_id", "source", "n_tokens", "epoch",
+                             F.floor(F.col("start") / block_tokens).cast("long").alias("block"), "start", "weight"))
+    turns = schedule(read, seed)
+    same = [F.col("source").eqNullSafe(F.col("t_source")), F.col("epoch") == F.col("t_epoch"), F.col("block") == F.col("t_block")]
+    return read.join(turns, same[0] & same[1] & same[2]).select(*read.columns, "turn")
+
+
+def schedule(read: DataFrame, seed: int = SEED) -> DataFrame:
+    """(t_source, t_epoch, t_block, turn): the blocks of all sources interleaved by their number."""
+    blocks = read.select("source", "epoch", "block").distinct()
+    numbered = _running(blocks.withColumn("one", F.lit(1).cast("long")).withColumn("g", F.coalesce("source", F.lit("\x01"))),
+                        "g", ["epoch", "block"], "one", "j")
+    of = numbered.groupBy(F.col("g").alias("h")).agg(F.count(F.lit(1)).alias("m"))
+    tie = F.md5(F.concat_ws("-", F.lit(str(seed)), F.coalesce("source", F.lit("")), F.col("epoch").cast("string"), F.col("block").cast("string")))
+    placed = (numbered.join(of, F.col("g") == F.col("h"))
+              .select("source", "epoch", "block", F.lit("").alias("all"), F.lit(1).cast("long").alias("one"),
+                      ((2 * F.col("j") + 1).cast("double") / (2 * F.col("m"))).alias("place"), tie.alias("tie")))
+    return _running(placed, "all", ["place", "tie", "source"], "one", "turn").select(
+        F.col("source").alias("t_source"), F.col("epoch").alias("t_epoch"), F.col("block").alias("t_block"), "turn")
