@@ -3,7 +3,7 @@
 *Index.* The training side is cut into segments: the documents of one Arrow batch piece,
 a bounded number of bytes. A segment stores, for each test term that occurs in it, the
 posting list of its word positions, with the word count of each of its documents. Only
-terms of the test vocabulary are ever looked up, so only they are stored. Segments are
+terms of the test vocabulary are ever looked up, so others are not stored. Segments are
 written to the shared folder (checkpoint); texts are read once, never shuffled,
 and a frequent term is spread over all segments instead of meeting in one task.
 
@@ -12,12 +12,16 @@ the terms of every test phrase from the rarest.
 
 *Search.* In each segment a phrase starts from the posting list of its rarest term,
 shifted by the term's offset, and intersects the shifted lists of the next rarer terms
-until it is empty or all terms agree: exact phrase matches. With ``slop`` > 0 the same
-intersection accepts a posting within ``slop`` words of its place: proximity matches.
+until it is empty or all terms agree: exact phrase matches. With ``slop`` > 0 there are
+proximity matches too: starts from which every term has a posting within ``slop`` words of
+its place, so that words may be inserted, left out or swapped. The same intersection finds
+them, from all starts within ``slop`` of those that the rarest term gives.
 
-The test side is a stated query set. It is searched in blocks of at most
-``block_phrases`` distinct phrases, so what is sent to the executors is bounded whatever
-the size of the benchmark; matches of all blocks are merged by document.
+The test side is a stated query set. The index is built once for all of it: it keeps the
+terms whose hash remainder occurs in the set (a bit map of fixed size), hence every term of
+it. It is searched in blocks of about ``block_phrases`` distinct phrases, so what is sent to
+the executors is bounded whatever the size of the benchmark; matches of all blocks are
+merged by document.
 
 Terms and phrases are compared by 64-bit hashes of their bytes.
 
@@ -40,8 +44,10 @@ from .textops import FOLD, byte_class, prefix_hash, runs, span_hash, text_chunks
 
 WORD = byte_class([(0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)])
 WINDOW = 13
+SLOP = 2
 SEGMENT_BYTES = 2 << 20
 BLOCK_PHRASES = 100_000
+REMAINDERS = 1 << 22
 
 _ITEM = "item string, terms array<long>"
 
@@ -83,33 +89,27 @@ def _one(values, kind=None) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(arr)], pa.int32()), arr)
 
 
-def build_index(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
-    """Positional segments of (doc_id, text) rows over the sorted term hashes ``vocabulary``."""
-    vocab = docs.sparkSession.sparkContext.broadcast(vocabulary)
+def build_index(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """Positional segments of (doc_id, text) rows; ``wanted``: bits of the term remainders to keep."""
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(wanted))
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocab.value
-        some = np.zeros(1 << 16, bool)  # by the low 16 bits: most words need no search
-        some[v & 0xFFFF] = True
+        bits = np.unpackbits(shared.value).astype(bool)
         for b in batches:
             for c in text_chunks(b.column(1), SEGMENT_BYTES):
                 starts, ends = runs(c, WORD)
                 s = prefix_hash(c.buf, FOLD)
                 words = span_hash(s, starts, ends).view(np.int64)
                 first = c.per_doc(starts)
-                pos = np.flatnonzero(some[words & 0xFFFF])
-                term = np.zeros(0, np.int64)
-                if len(v):
-                    k = np.minimum(np.searchsorted(v, words[pos]), len(v) - 1)
-                    hit = v[k] == words[pos]
-                    term, pos = k[hit], pos[hit]
+                pos = np.flatnonzero(bits[words & (REMAINDERS - 1)])
+                term = words[pos]
                 order = np.argsort(term, kind="stable")
                 term, pos = term[order], pos[order].astype(np.int32)
-                new = np.flatnonzero(np.diff(term, prepend=-1))
+                new = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])) if len(term) else np.zeros(0, np.int64)
                 th = span_hash(s, c.offs[:-1], c.offs[1:]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [_one(b.column(0).slice(c.lo, c.n_docs)), _one(th), _one(np.diff(first).astype(np.int32)),
-                     _one(v[term[new]]), _one(np.append(new, len(pos)).astype(np.int32)), _one(pos)],
+                     _one(term[new]), _one(np.append(new, len(pos)).astype(np.int32)), _one(pos)],
                     names=["ids", "text_hash", "n_words", "terms", "starts", "positions"])
 
     return docs.mapInArrow(go, _segment_schema(docs.schema["doc_id"].dataType.simpleString()))
@@ -144,6 +144,8 @@ class Block:
         for term in self.by_rarest.keys() & lists.keys():
             for p in self.by_rarest[term]:
                 cand = lists[term] - self.orders[p][0][1]
+                if slop:
+                    cand = np.unique(cand[:, None] + np.arange(-slop, slop + 1))
                 for t, j in self.orders[p][1:]:
                     if t not in lists:
                         cand = cand[:0]
@@ -184,7 +186,7 @@ def _search_segments(shared, slop: int):
                 if slop:
                     for p, cand in block.search(lists, slop):
                         # the start of a loose match may lie before its document
-                        for x in np.unique(np.searchsorted(begin, cand + slop + block.lengths[p], "right") - 1):
+                        for x in np.unique(np.searchsorted(begin, cand + slop, "right") - 1):
                             near[x].update(block.items[p])
                 covered = np.cumsum(step) > 0
                 edge = np.flatnonzero(np.diff(covered.astype(np.int8), prepend=0))
@@ -204,26 +206,30 @@ def _search_segments(shared, slop: int):
 
 
 def find_phrases(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                 item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, slop: int = 0,
+                 item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, slop: int = SLOP,
                  block_phrases: int = BLOCK_PHRASES) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit (words inside exact matches), items
-    (sorted ids with an exact match), near_items (sorted ids with a proximity match; empty at
-    ``slop`` 0) and spans of hit words (word positions: start, end, start, end, ...)."""
+    (sorted ids with an exact match), near_items (sorted ids with a proximity match, exact ones
+    included; empty at ``slop`` 0) and spans of hit words (word positions: start, end, start, end, ...)."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     ph = persisted(phrases(items, item_id, item_text, window).groupBy("terms")
                    .agg(F.sort_array(F.collect_set("item")).alias("items")))
     n_blocks = max(1, -(-ph.count() // block_phrases))
+    wanted = np.zeros(REMAINDERS, bool)  # at most REMAINDERS values reach the driver
+    terms = ph.select(F.explode("terms").alias("term"))
+    wanted[terms.select(F.pmod("term", F.lit(REMAINDERS)).alias("r")).distinct().toArrow()["r"].to_numpy()] = True
+    index = persisted(build_index(rows, wanted))
+    counts = persisted(term_counts(index))
     found = None
     for k in range(n_blocks):
         # one block of the query set: about block_phrases phrases, whatever the benchmark's size
-        block = ph.filter(F.pmod(F.xxhash64("terms"), F.lit(n_blocks)) == k).toArrow()
+        mine = ph.filter(F.pmod(F.xxhash64("terms"), F.lit(n_blocks)) == k)
+        block = mine.toArrow()
         pairs = sorted(zip(block["terms"].to_pylist(), block["items"].to_pylist()))
-        vocab = np.array(sorted({t for ts, _ in pairs for t in ts}), np.int64)
-        index = persisted(build_index(rows, vocab))
-        counts = term_counts(index).toArrow()  # at most the block's terms
-        count = dict(zip(counts["term"].to_pylist(), counts["n"].to_pylist()))
+        held = mine.select(F.explode("terms").alias("term")).distinct().join(counts, "term").toArrow()  # the block's terms
+        count = dict(zip(held["term"].to_pylist(), held["n"].to_pylist()))
         shared = spark.sparkContext.broadcast(Block(pairs, count))
         part = index.mapInArrow(_search_segments(shared, slop),
                                 f"doc_id {id_type}, text_hash long, n_words long, n_hit long, items array<string>, "
@@ -236,14 +242,19 @@ def find_phrases(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
 
 def _merge_blocks(found: DataFrame, n_blocks: int) -> DataFrame:
     """One row per document from its rows of all blocks (rows equal in id and text are alike)."""
-    def union_spans(spans: list) -> list:
-        out: list[int] = []
-        for a, b in sorted((a, b) for s in spans for a, b in zip(s[::2], s[1::2])):
-            if out and a <= out[-1]:
-                out[-1] = max(out[-1], b)
-            else:
-                out += [a, b]
-        return out
+    def pairs(spans):  # start, end, start, end, ... as (a, b)
+        at = F.filter(F.transform(spans, lambda x, i: F.struct(x.alias("a"), F.get(spans, i + 1).alias("b"), i.alias("i"))),
+                      lambda s: s["i"] % 2 == 0)
+        return F.transform(at, lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b")))
+
+    def grown(out, s):  # the next span begins inside the last one, or behind it
+        last = F.element_at(out, -1)
+        return (F.when((F.size(out) > 0) & (s["a"] <= last),
+                       F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.greatest(last, s["b"]))))
+                .otherwise(F.concat(out, F.array(s["a"], s["b"]))))
+
+    def union_spans(all_spans):
+        return F.aggregate(F.array_sort(F.flatten(F.transform(all_spans, pairs))), F.array().cast("array<int>"), grown)
 
     def united(c: str):
         return F.sort_array(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c)
@@ -251,7 +262,7 @@ def _merge_blocks(found: DataFrame, n_blocks: int) -> DataFrame:
     merged = (found.groupBy("doc_id", "text_hash", "n_words")
               .agg(united("items"), united("near_items"), F.collect_set("spans").alias("all"),
                    F.count(F.lit(1)).alias("n"))
-              .withColumn("spans", F.udf(union_spans, "array<int>")("all"))
+              .withColumn("spans", union_spans(F.col("all")))
               .withColumn("copy", F.explode(F.sequence(F.lit(1), (F.col("n") / n_blocks).cast("int")))))
     signed = F.transform("spans", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x).cast("long"))
     return merged.withColumn("n_hit", F.aggregate(signed, F.lit(0).cast("long"), lambda a, x: a + x))
