@@ -6,8 +6,8 @@ words, shares of capitals and all-capital words, punctuation, exclamation and
 obfuscation rates, length.
 
 *Lexicon*: words and word beginnings (3 to 8 bytes) of the training sample whose
-smoothed log-odds for toxic documents are highest, counted by document in one
-aggregation. Training features use the lexicon of the other half of the sample
+smoothed log-odds for toxic documents are above a limit, counted by document in one
+aggregation; every such entry is kept. Training features use the lexicon of the other half of the sample
 (cross-fitting), so that the trees see honest densities; the final lexicon uses all.
 
 *Model*: histogram gradient boosting on log loss in NumPy on the driver, then isotonic
@@ -51,7 +51,7 @@ SPACE = byte_class([(32, 32), (9, 13)])
 SECOND_PERSON = ["you", "your", "yours", "yourself", "u", "ur", "du", "dich", "dir", "dein", "deine", "euch", "tu",
                  "te", "toi", "ton", "ta", "vous", "votre", "vos", "usted", "ustedes", "ti", "tus", "vosotros"]
 STEMS = (3, 4, 5, 6, 7, 8)
-MAX_LEXICON = 1024
+MIN_ODDS = 2.0
 NEAR = 5
 
 FEATURES = ["hits_log", "hit_density", "max_odds", "odds_density", "stem_hits_log", "stem_density", "max_stem_odds",
@@ -308,7 +308,7 @@ def _lexicon(rows: list, pos: float, neg: float, fold: int | None, min_docs: int
         p, n = ((r["p0"] + r["p1"], r["n0"] + r["n1"]) if fold is None else (r[f"p{fold}"], r[f"n{fold}"]))
         if p >= min_docs:
             odds = float(np.log((p + 0.5) / (pos + 1)) - np.log((n + 0.5) / (neg + 1)))
-            if odds > 2.0 and p > 2 * n * (pos + 1) / (neg + 1):
+            if odds > MIN_ODDS and p > 2 * n * (pos + 1) / (neg + 1):
                 got[r["k"] == 0].append((np.uint64(r["h"] & ((1 << 64) - 1)), odds))
     out = []
     for whole in (True, False):
@@ -317,6 +317,12 @@ def _lexicon(rows: list, pos: float, neg: float, fold: int | None, min_docs: int
     return Lexicon(*out)
 
 
+def telling(p: Column, n: Column, pos: float, neg: float, min_docs: int) -> Column:
+    """The rule of ``_lexicon`` as a filter over entry counts."""
+    odds = F.log((p + 0.5) / (pos + 1)) - F.log((n + 0.5) / (neg + 1))
+    return (p >= min_docs) & (odds > MIN_ODDS - 1e-6) & (p > 2 * n * ((pos + 1) / (neg + 1)) - 1e-6)
+
+
 def fit(docs: DataFrame, labels: DataFrame, trainable: Column, doc_id: str = "doc_id", text: str = "text",
         label: str = "toxic", per_class: int = 3000, min_docs: int = 3, seed: int = 5) -> ToxicityModel:
     """Fit on labelled rows that ``trainable`` (over ``doc_id``) selects."""
@@ -340,14 +346,15 @@ def fit(docs: DataFrame, labels: DataFrame, trainable: Column, doc_id: str = "do
     def n(y: int, f: int) -> Column:
         return F.sum(F.when((F.col("y") == y) & (F.col("fold") == f), 1).otherwise(0))
 
+    half_docs = max(2, min_docs // 2)
     entries = (sample.select("t", "y", "fold").mapInArrow(_entries, "h long, k int, y int, fold int")
                .groupBy("h", "k").agg(n(1, 0).alias("p0"), n(1, 1).alias("p1"), n(0, 0).alias("n0"), n(0, 1).alias("n1"))
-               .filter(F.col("p0") + F.col("p1") >= min_docs)
-               .withColumn("rank", (F.col("p0") + F.col("p1") + 0.5) / (F.col("n0") + F.col("n1") + 0.5)
-                           * F.sqrt(F.col("p0") + F.col("p1")))
-               .orderBy(F.desc("rank"), "h", "k").limit(MAX_LEXICON).toArrow().to_pylist())
+               .filter(telling(F.col("p0") + F.col("p1"), F.col("n0") + F.col("n1"), sum(pos.values()), sum(neg.values()), min_docs)
+                       | telling(F.col("p0"), F.col("n0"), pos[0], neg[0], half_docs)
+                       | telling(F.col("p1"), F.col("n1"), pos[1], neg[1], half_docs))
+               .toArrow().to_pylist())  # what the bounded sample can tell
     whole = _lexicon(entries, sum(pos.values()), sum(neg.values()), None, min_docs)
-    halves = [_lexicon(entries, pos[f], neg[f], f, max(2, min_docs // 2)) for f in (0, 1)]
+    halves = [_lexicon(entries, pos[f], neg[f], f, half_docs) for f in (0, 1)]
     person = hash_words(SECOND_PERSON)
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,10 +393,10 @@ def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: s
     cols = list(dict.fromkeys([*(keep or [doc_id]), text]))
     src = docs.select(*cols)
     at, kept = cols.index(text), keep or [doc_id]
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_LEXICON entries and 60 small trees
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the lexicon of the bounded sample and 60 small trees
     person = hash_words(SECOND_PERSON)
     out_name = "score"
-    while out_name in kept:
+    while out_name in {c.lower() for c in cols}:
         out_name = "_" + out_name
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
