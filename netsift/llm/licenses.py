@@ -6,14 +6,15 @@ hash-joined to the digests of known licence texts: the whole text must agree, so
 no pattern is searched and a licence that is merely mentioned does not match.
 
 Three units of a document are looked up: the whole text, its paragraphs (between empty
-lines) and its lines. ``KNOWN`` is a fixed table of the full MIT, ISC, BSD and Zlib texts
-and of usual notices; of Apache-2.0, GPL, MPL-2.0, Creative Commons and the Unlicense it
-holds notices only. ``known_from_folder`` reads full texts from a folder. Either is a table
-of some dozen rows, so broadcasting it is bounded.
+lines) and its lines. A fourth unit is runs of as many paragraphs as a known text has (``embedded``), which
+finds a licence inside a longer text; runs begin only where a known text's first
+paragraph stands. Copyright lines inside code comments are dropped like others.
 
-With ``embedded`` a fourth unit is looked up, runs of as many paragraphs as a known text
-has, and copyright lines inside code comments are dropped too. Runs begin only where a
-known text's first paragraph stands, so other documents hash nothing more.
+``KNOWN`` is a fixed table of usual notices and of the full texts of MIT, ISC, BSD-2-Clause,
+BSD-3-Clause, Zlib and the licences in ``licence_texts`` (Apache-2.0, Artistic-1.0, CC0-1.0,
+GFDL-1.3, GPL-2.0, GPL-3.0, LGPL-2.1, LGPL-3.0, MPL-1.1, MPL-2.0, Unlicense); of the other
+Creative Commons licences it has notices only. ``known_from_folder`` reads further texts
+from a folder. Either is a table of some dozen rows, so broadcasting it is bounded.
 
 Canonicalising runs once per document and keeps line breaks, and units are cut from its
 result. A row per unit exists only until the join; what is shuffled are matches.
@@ -24,6 +25,8 @@ each count; several ids with the same text give a match each.
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +86,9 @@ KNOWN: list[tuple[str, str]] = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
+# The full texts kept as files, named by licence.
+KNOWN += sorted((f.name.removesuffix(".txt"), f.read_text()) for f in (files(__package__) / "licence_texts").iterdir())
+
 # Spellings taken as one, after lower-casing.
 EQUIVALENT: list[tuple[str, str]] = [
     ("licence", "license"), ("sub-license", "sublicense"), ("non-infringement", "noninfringement"),
@@ -153,11 +159,11 @@ def _runs(ps: Column, spark: SparkSession, known: list[tuple[str, str]]) -> Colu
 
 
 def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                  known: list[tuple[str, str]] = KNOWN, embedded: bool = False) -> DataFrame:
+                  known: list[tuple[str, str]] = KNOWN, embedded: bool = True) -> DataFrame:
     """One row per document, unit kind (document, paragraph, line) and licence found:
     doc_id, unit, license_id, n (units of that kind with that licence).
 
-    ``embedded`` adds the unit ``paragraphs``, a licence of several paragraphs inside a
+    ``embedded`` has the unit ``paragraphs``, a licence of several paragraphs inside a
     longer text, and looks through code comments."""
     spark = docs.sparkSession
     canon = docs.filter(F.col(text).isNotNull()).select(
