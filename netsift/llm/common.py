@@ -28,6 +28,11 @@ def persisted(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct: whatever their names, they meet no other column."""
+    return F.struct(*(df[f"`{c}`"].alias(c) for c in df.columns))
+
+
 def fold_of(doc_id: str, k: int) -> Column:
     """crc32 of the id as text, modulo k; a null id counts as the id text ''."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % k

@@ -5,8 +5,8 @@ dropped). Equal lines are one class; its first occurrence, by (doc_id, line numb
 kept. A class of at least ``min_chars`` characters is also dropped when an earlier such
 class lies within one edit (a character substituted, inserted or deleted); "earlier"
 compares first occurrences. Shorter lines have no one-edit variants: among a few characters
-different words lie one edit apart. ``dedup_documents`` compares every line that is not
-blank; ``dedup_lines`` compares lines from ``min_chars`` on unless told otherwise.
+different words lie one edit apart. Every line that is not blank is compared, unless
+``exact_min_chars`` says otherwise.
 
 *Neighbourhoods.* Lines one substitution apart become equal when the character at the
 same place is deleted from both; lines one insertion apart when it is deleted from the
@@ -19,12 +19,15 @@ each line and never all pairs. Edit distance is then verified on the texts.
 that share a half with another line of fitting length can have a partner; a count
 over half keys finds them without loss, and they emit variants of the other half only.
 
-Texts are not moved for this: hashes are. Only lines with a candidate pair are fetched
-again for verification, and one join brings line numbers to remove back to documents.
+Hashes are moved for this, not texts. Only lines with a candidate pair are fetched again
+for verification; the last join, which brings line numbers to remove back to documents, moves
+each text once.
 
 Edge cases: null texts pass unchanged; rows with equal id and text are one document and
-lose the same lines; a null id sorts first; documents left without any line are dropped by
-``dedup_documents`` unless they had none.
+lose the same lines; a null id sorts first; an empty table gives an empty result; the input's
+columns travel as one struct, so they may have any name. ``dedup_documents`` drops documents of
+which nothing is left, and those of which less than ``min_left_share`` of the characters
+is left: what remains of a near copy is a fragment, not a document.
 """
 
 from __future__ import annotations
@@ -36,10 +39,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_filter, persisted
+from .common import bucket_filter, packed, persisted
 from .textops import byte_class, mix64, powers, prefix_hash, span_hash, text_chunks
 
 MIN_CHARS = 40
+MIN_LEFT_SHARE = 0.2
 BLANKS = " \t\r"
 _LEAD = byte_class([(0, 0x7F), (0xC0, 0xFF)])  # bytes that start a code point
 
@@ -139,14 +143,12 @@ def _earliest_partner(variants: DataFrame) -> DataFrame:
 
 
 def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
-             exact_min_chars: int | None = None) -> DataFrame:
+             exact_min_chars: int = 1) -> DataFrame:
     """(doc_id, th, pos, near): every line occurrence to remove; ``near`` tells that its class
     has an earlier class within one edit, else it repeats its own class.
 
-    ``min_chars`` bounds the one-edit search, ``exact_min_chars`` (``min_chars`` if None) the
-    exact repeats."""
-    least = min_chars if exact_min_chars is None else min(min_chars, exact_min_chars)
-    lines = lines_of(docs, doc_id, text, least).withColumn("lh", F.xxhash64("line"))
+    ``min_chars`` bounds the one-edit search, ``exact_min_chars`` the exact repeats."""
+    lines = lines_of(docs, doc_id, text, min(min_chars, exact_min_chars)).withColumn("lh", F.xxhash64("line"))
     place = F.struct("doc_id", "pos", "th")
     keys = [f"k{d}{k}" for d in (0, 1) for k in (0, 1)]
     classes = persisted(lines.select("lh", place.alias("place"), *_half_keys(min_chars)).groupBy("lh")
@@ -175,41 +177,37 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_ch
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
-                exact_min_chars: int | None = None) -> DataFrame:
-    """``docs`` with ``__text`` (lines removed), ``__n_lines``, ``__n_exact`` and ``__n_near``."""
-    gone = (removals(docs, doc_id, text, min_chars, exact_min_chars).groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th"))
-            .agg(F.collect_set(F.struct("pos", "near")).alias("__gone")))
-    src = docs.withColumn("__h", F.xxhash64(F.col(text)))
-    out = src.join(gone, src[doc_id].eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__th")), "left")
-    all_lines = F.split(F.col(text), "\n", -1)
-    n = F.coalesce(F.size(all_lines), F.lit(0))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("__gone.pos"))
+                exact_min_chars: int = 1) -> DataFrame:
+    """(row, clean, n_lines, n_exact, n_near): the columns of ``docs`` as a struct, the text without
+    its repeated lines, its lines, and how many of them went as exact repeats and as one-edit variants."""
+    gone = (removals(docs, doc_id, text, min_chars, exact_min_chars).groupBy(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th"))
+            .agg(F.collect_set(F.struct("pos", "near")).alias("gone")))
+    src = docs.select(packed(docs).alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("body"),
+                      F.xxhash64(F.col(text)).alias("th"))
+    out = src.join(gone, F.col("id").eqNullSafe(F.col("g_id")) & (F.col("th") == F.col("g_th")), "left")
+    all_lines = F.split("body", "\n", -1)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("gone.pos"))
     cleaned = F.array_join(F.transform(kept, lambda i: F.get(all_lines, i)), "\n")
-    hit = F.col("__gone").isNotNull()
-    n_gone = F.when(hit, F.size("__gone")).otherwise(0).cast("long")
-    near = F.when(hit, F.size(F.filter("__gone", lambda x: x["near"]))).otherwise(0).cast("long")
-    return (out.withColumn("__text", F.when(hit, cleaned).otherwise(F.col(text)))
-            .withColumn("__n_lines", F.when(F.col(text).isNull(), 0).otherwise(n).cast("long"))
-            .withColumn("__n_exact", n_gone - near).withColumn("__n_near", near)
-            .drop("__id", "__th", "__gone", "__h"))
+    hit = F.col("gone").isNotNull()
+    n_gone = F.when(hit, F.size("gone")).otherwise(0).cast("long")
+    near = F.when(hit, F.size(F.filter("gone", lambda x: x["near"]))).otherwise(0).cast("long")
+    n = F.when(F.col("body").isNull(), 0).otherwise(F.size(all_lines)).cast("long")
+    return out.select("row", F.when(hit, cleaned).otherwise(F.col("body")).alias("clean"), n.alias("n_lines"),
+                      (n_gone - near).alias("n_exact"), near.alias("n_near"))
 
 
 def dedup_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
-                    n_chars: str | None = "n_chars", exact_min_chars: int = 1) -> DataFrame:
-    """``docs`` with repeated lines of every non-blank length removed; documents of which only white space is left go.
+                    n_chars: str | None = "n_chars", exact_min_chars: int = 1,
+                    min_left_share: float = MIN_LEFT_SHARE) -> DataFrame:
+    """``docs`` with repeated lines of every non-blank length removed, without the documents of which only
+    white space, or less than ``min_left_share`` of the characters, is left.
 
     Columns stay as they are; ``n_chars`` (if there) is counted anew for changed texts.
     """
     d = dedup_lines(docs, doc_id, text, min_chars, exact_min_chars)
-    changed = F.col("__n_exact") + F.col("__n_near") > 0
-    d = d.filter(~changed | F.col("__text").rlike(r"\S"))
-    cols = []
-    for c in docs.columns:
-        if c == text:
-            cols.append(F.col("__text").alias(c))
-        elif c == n_chars:
-            kind = docs.schema[c].dataType
-            cols.append(F.when(changed, F.length("__text").cast(kind)).otherwise(F.col(c)).alias(c))
-        else:
-            cols.append(F.col(c))
-    return d.select(*cols)
+    changed = F.col("n_exact") + F.col("n_near") > 0
+    enough = F.col("clean").rlike(r"\S") & (F.length("clean") >= min_left_share * F.length(F.col("row")[text]))
+    new = {text: F.col("clean")}
+    if n_chars in docs.columns:
+        new[n_chars] = F.when(changed, F.length("clean").cast(docs.schema[n_chars].dataType)).otherwise(F.col("row")[n_chars])
+    return d.filter(~changed | enough).select(*(new.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
