@@ -47,10 +47,10 @@ lw AS (SELECT *, len(regexp_extract_all(line, '{_RX_WORD}')) AS words,
                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
        FROM l WHERE regexp_matches(line, '{_RX_WORD}')),
 dup AS (SELECT r, sum(c - 1) AS n FROM (SELECT r, line, count(*) AS c FROM lw GROUP BY r, line) GROUP BY r),
-held AS (SELECT source, norm, count(DISTINCT th) AS n FROM lw GROUP BY source, norm),
-host AS (SELECT source, count(DISTINCT md5(text)) AS n FROM d GROUP BY source),
+held AS (SELECT source, norm, count(DISTINCT (doc_id, th)) AS n FROM lw GROUP BY source, norm),
+host AS (SELECT source, count(DISTINCT (doc_id, md5(text))) AS n FROM d GROUP BY source),
 hot AS (SELECT held.source, norm FROM held JOIN host ON held.source IS NOT DISTINCT FROM host.source
-        WHERE held.n >= 20 AND held.n > 0.1 * host.n),
+        WHERE held.n > 50 OR held.n >= 5 AND held.n > 0.05 * host.n),
 gone AS (SELECT r, sum(words) AS n FROM lw JOIN hot ON lw.source IS NOT DISTINCT FROM hot.source AND lw.norm = hot.norm
          GROUP BY r),
 b AS (SELECT d.doc_id, coalesce(n.n_words, 0)::BIGINT AS n_words, coalesce(n.word_chars, 0)::BIGINT AS word_chars,
@@ -61,7 +61,7 @@ b AS (SELECT d.doc_id, coalesce(n.n_words, 0)::BIGINT AS n_words, coalesce(n.wor
 f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, n_words - n_removed_words AS kept_words
       FROM b)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT (n_removed_words > 0 AND (kept_words < 1 OR kept_words < 0.3 * n_words)) AS kept,
+       NOT base_failed AND NOT (n_removed_words > 0 AND (kept_words < 10 OR kept_words < 0.5 * n_words)) AS kept,
        n_removed_words
 FROM f"""
 
@@ -103,13 +103,18 @@ w AS (SELECT source, total, round(pow(total::DOUBLE / (SELECT sum(total) FROM s)
              / (SELECT list_sum(list_transform(p, lambda x: CASE WHEN x > 0 THEN pow(x, a.a) ELSE 0 END)) FROM t), 9) AS weight
       FROM s, a),
 b AS (SELECT *, floor(weight * (SELECT sum(total) FROM s))::BIGINT AS budget FROM w),
-per AS (SELECT doc_id, d.source, n_tokens, weight, total, budget, unnest(range(0, budget // total + 1)) AS epoch
-        FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source WHERE total > 0),
+per AS (SELECT doc_id, d.source, n_tokens, weight, total, budget, unnest(range(0, coalesce(budget // nullif(total, 0), 0) + 1)) AS epoch
+        FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source),
 o AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY source, epoch
              ORDER BY md5('17-' || epoch || '-' || coalesce(doc_id::VARCHAR, ''))
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM per)
-SELECT doc_id, source, n_tokens, epoch, start // 65536 AS block, start, weight FROM o
-WHERE epoch < budget // total OR start < budget - (budget // total) * total"""
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM per),
+r AS (SELECT doc_id, source, n_tokens, epoch, start // 65536 AS block, start, weight FROM o
+      WHERE total = 0 OR epoch < budget // total OR start < budget - (budget // total) * total),
+k AS (SELECT DISTINCT source, epoch, block FROM r),
+n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY epoch, block) - 1 AS j, count(*) OVER (PARTITION BY source) AS m FROM k),
+u AS (SELECT source, epoch, block, row_number() OVER (ORDER BY (j * 2 + 1)::DOUBLE / (m * 2),
+             md5('17-' || coalesce(source, '') || '-' || epoch || '-' || block), source) - 1 AS turn FROM n)
+SELECT r.*, turn FROM r JOIN u ON r.source IS NOT DISTINCT FROM u.source AND r.epoch = u.epoch AND r.block = u.block"""
 
 
 @register("op3_mix_sources", OP3_SQL)
@@ -132,10 +137,22 @@ dw AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
        FROM (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
 m AS (SELECT r, dw.n, i, item FROM dw JOIN ph ON dw.g = ph.g AND dw.n = ph.n),
 hit AS (SELECT r, count(DISTINCT i + k) AS n_hit FROM (SELECT DISTINCT r, n, i FROM m), range(13) AS x(k) WHERE k < n GROUP BY r),
-it AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
+it AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM m) GROUP BY r),
+-- proximity: a start from which every term stands within 2 words of its place
+pg AS (SELECT row_number() OVER () AS p, g, n, string_split(g, ' ') AS ts FROM (SELECT DISTINCT g, n FROM ph)),
+pt AS (SELECT p, n, unnest(ts) AS t, generate_subscripts(ts, 1) AS j FROM pg),
+wp AS (SELECT r, unnest(w) AS t, generate_subscripts(w, 1) AS i FROM d),
+full_pairs AS (SELECT r, p FROM (SELECT DISTINCT r, t FROM wp) JOIN
+               (SELECT DISTINCT p, unnest(ts) AS t, len(list_distinct(ts)) AS k FROM pg) USING (t) GROUP BY r, p
+               HAVING count(*) = any_value(k)),
+st AS (SELECT DISTINCT f.r, f.p, n, j, i - j + x AS s FROM full_pairs f JOIN pt USING (p) JOIN wp ON wp.r = f.r AND wp.t = pt.t, range(-2, 3) AS y(x)),
+near_p AS (SELECT DISTINCT r, p FROM (SELECT r, p FROM st GROUP BY r, p, n, s HAVING count(*) = n)),
+ni AS (SELECT r, count(*) AS n_near, string_agg(item, ',' ORDER BY item) AS near_items
+       FROM (SELECT DISTINCT r, item FROM near_p JOIN pg USING (p) JOIN ph USING (g, n)) GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)"""
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+       coalesce(n_near, 0)::BIGINT AS n_near, sha256(coalesce(near_items, '')) AS near_sha256
+FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r) LEFT JOIN ni USING (r)"""
 
 
 def contaminated() -> Column:
@@ -146,7 +163,8 @@ def contaminated() -> Column:
 def op4(spark, sf):
     found = decontam.find_phrases(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                        F.sha2(joined(F.col("items")), 256).alias("items_sha256"), contaminated().alias("contaminated"))
+                        F.sha2(joined(F.col("items")), 256).alias("items_sha256"), contaminated().alias("contaminated"),
+                        F.size("near_items").cast("long").alias("n_near"), F.sha2(joined(F.col("near_items")), 256).alias("near_sha256"))
 
 
 # --- 5: secret scans -----------------------------------------------------------------------
@@ -226,18 +244,25 @@ def _canonical_sql(c: str) -> str:
     c = f"lower({c})"
     for a, b in licenses.EQUIVALENT:
         c = f"replace({c}, {_sql_text(a)}, {_sql_text(b)})"
+    c = rf"regexp_replace({c}, '(?m)^[ \t]*(?:#+|//+|/?\*+|--+|;+|%+)[ \t]*(copyright|\(c\)|all rights reserved)', '\1', 'g')"
     c = f"regexp_replace({c}, {_sql_text(licenses.COPYRIGHT_LINE)}, '', 'g')"
     return rf"regexp_replace({c}, '[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')"
 
 
 _ONE_LINE = r"trim(regexp_replace({0}, '[ \n]+', ' ', 'g'), ' ')"
+_PARAGRAPHS = rf"list_filter(list_transform(string_split_regex(c, '\n ?\n'), lambda x: {_ONE_LINE.format('x')}), lambda x: x <> '')"
 OP9_SQL = rf"""
 WITH k(license_id, t) AS (VALUES {', '.join(f'({_sql_text(i)}, {_sql_text(t)})' for i, t in licenses.KNOWN)}),
-known AS (SELECT DISTINCT license_id, {_ONE_LINE.format(_canonical_sql('t'))} AS t FROM k),
+kc AS (SELECT license_id, {_canonical_sql('t')} AS c FROM k),
+known AS (SELECT DISTINCT license_id, {_ONE_LINE.format('c')} AS t FROM kc),
+kp AS (SELECT DISTINCT ps[1] AS head, len(ps) AS n FROM (SELECT {_PARAGRAPHS} AS ps FROM kc) WHERE len(ps) > 1),
 c AS (SELECT doc_id, {_canonical_sql('text')} AS c FROM documents WHERE text IS NOT NULL),
 u AS (SELECT doc_id, 'document' AS unit, c AS t FROM c
       UNION ALL SELECT doc_id, 'paragraph', unnest(string_split_regex(c, '\n ?\n')) FROM c WHERE regexp_matches(c, '\n ?\n')
-      UNION ALL SELECT doc_id, 'line', unnest(string_split(c, chr(10))) FROM c)
+      UNION ALL SELECT doc_id, 'line', unnest(string_split(c, chr(10))) FROM c
+      UNION ALL SELECT doc_id, 'paragraphs', array_to_string(ps[i:i + n - 1], ' ')
+      FROM (SELECT doc_id, ps, unnest(range(1, len(ps) + 1)) AS i FROM (SELECT doc_id, {_PARAGRAPHS} AS ps FROM c)) p
+      JOIN kp ON ps[i] = head AND n < len(ps) AND i + n - 1 <= len(ps))
 SELECT doc_id, unit, license_id, count(*) AS n
 FROM u JOIN known ON {_ONE_LINE.format('u.t')} = known.t GROUP BY doc_id, unit, license_id"""
 
@@ -255,10 +280,10 @@ WITH d AS (SELECT doc_id, text, md5(text) AS th, string_split(text, chr(10)) AS
 l AS (SELECT doc_id, th, pos, line FROM (
         SELECT doc_id, th, pos - 1 AS pos, trim(ls[pos], ' ' || chr(9) || chr(13)) AS line
         FROM (SELECT doc_id, th, ls, unnest(range(1, len(ls) + 1)) AS pos FROM d WHERE text IS NOT NULL))
-      WHERE length(line) >= 40),
+      WHERE length(line) >= 1),
 cl AS (SELECT line, length(line) AS n, min({'a': doc_id, 'b': pos}) AS first FROM l GROUP BY line),
-h AS (SELECT line, n, first, n - k AS m, k, 0 AS kind, substr(line, 1, (n - k) // 2) AS half FROM cl, range(2) AS r(k)
-      UNION ALL SELECT line, n, first, n - k, k, 1, right(line, (n - k) - (n - k) // 2) FROM cl, range(2) AS r(k)),
+h AS (SELECT line, n, first, n - k AS m, k, 0 AS kind, substr(line, 1, (n - k) // 2) AS half FROM cl, range(2) AS r(k) WHERE n >= 40
+      UNION ALL SELECT line, n, first, n - k, k, 1, right(line, (n - k) - (n - k) // 2) FROM cl, range(2) AS r(k) WHERE n >= 40),
 p AS (SELECT DISTINCT a.line AS x, a.first AS xf, b.line AS y, b.first AS yf
       FROM h a JOIN h b ON a.m = b.m AND a.kind = b.kind AND a.half = b.half AND a.line <> b.line AND a.k = 0),
 one AS (SELECT * FROM p WHERE len(list_filter(range(0, length(x) + 1), lambda i: substr(x, 1, i) = substr(y, 1, i)
@@ -279,9 +304,8 @@ FROM d LEFT JOIN g ON d.doc_id = g.doc_id AND d.th = g.th"""
 @register("op10_line_dedup", OP10_SQL)
 def op10(spark, sf):
     done = linededup.dedup_lines(table(spark, sf, "documents"))
-    return done.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_exact").alias("n_exact"),
-                       F.col("__n_near").alias("n_near"),
-                       F.sha2(F.coalesce("__text", F.lit("")), 256).alias("text_sha256"))
+    return done.select("row.doc_id", "n_lines", "n_exact", "n_near",
+                       F.sha2(F.coalesce("clean", F.lit("")), 256).alias("text_sha256"))
 
 
 # --- 11: ranked lexical search ---------------------------------------------------------------

@@ -164,6 +164,19 @@ def test_license_folder_comments_and_runs(spark, tmp_path):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_full_licence_texts_are_known(spark):
+    full = {i: t for i, t in licenses.KNOWN if len(t) > 5000}
+    assert {"Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "MPL-2.0", "CC0-1.0"} <= set(full)
+    docs = [(k, t.replace("\n", "\n  ").upper()) for k, t in enumerate(full.values())]
+    docs += [(100 + k, "Our terms follow.\n\n" + t.strip() + "\n\nEnd of file.") for k, t in enumerate(full.values())]
+    docs += [(200 + k, t[:-200]) for k, t in enumerate(full.values())]
+    got = {(r.doc_id, r.unit): r.license_id for r in
+           licenses.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for k, i in enumerate(full):
+        assert got[k, "document"] == i and got[100 + k, "paragraphs"] == i
+    assert not any(d >= 200 and u == "document" for d, u in got)
+
+
 # --- pipeline -----------------------------------------------------------------------------
 
 

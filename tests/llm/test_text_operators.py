@@ -42,16 +42,19 @@ def test_quality_base_counts(edge, edge_rows):
     assert all(not r.kept for r in got if r.base_failed)
 
 
-def test_quality_removes_frequent_lines_per_host_and_counts_copies_once(spark):
+def test_quality_removes_frequent_lines_per_host_and_counts_documents(spark):
     rng = random.Random(1)
     rows = [(i, "Shared  boilerplate line\n" + words(rng, 30), "a") for i in range(30)]
     rows += [(100 + i, words(rng, 30), "b") for i in range(30)] + [(200, "shared  boilerplate line", "a")]
     copy = words(rng, 20)
-    rows += [(300 + i, copy, "a") for i in range(40)]  # copies of one text are one document
+    rows += [(300 + i, copy, "a") for i in range(40)]  # copies under other ids are documents too
+    rows += [rows[-1]] * 30 + [(400, "once only a line of eleven words for one single document", "b")] * 9  # repeated rows are not
     got = {r.doc_id: r for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string"),
-                                                      min_docs=20).collect()}
+                                                      min_docs=20, max_docs=25).collect()}
     assert all(got[i].n_removed_words == 3 and got[i].kept for i in range(30))
-    assert all(got[i].n_removed_words == 0 and got[i].kept for i in [*range(100, 130), *range(300, 340)])
+    assert all(got[i].n_removed_words == 0 and got[i].kept for i in range(100, 130))
+    assert all(got[i].n_removed_words == 20 and not got[i].kept for i in range(300, 340))
+    assert got[400].n_removed_words == 0 and got[400].kept
     assert got[200].n_removed_words == 3 and not got[200].kept
 
 
@@ -60,9 +63,9 @@ def test_quality_either_limit_in_hot_and_small_hosts(spark):
     rows = [(i, ("Hot boilerplate\n" if i < 18 else "") + words(rng, 30), "hot") for i in range(300)]  # 6% of the host
     rows += [(1000 + i, ("Small boilerplate\n" if i < 5 else "") + words(rng, 30), "small") for i in range(20)]
     d = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = {r.doc_id: r.n_removed_words for r in quality.quality_rules(d, min_docs=5, max_docs=12).collect()}
+    got = {r.doc_id: r.n_removed_words for r in quality.quality_rules(d, min_docs=5, max_share=0.1, max_docs=12).collect()}
     assert {i for i, n in got.items() if n} == {*range(18), *range(1000, 1005)}
-    share = {r.doc_id: r.n_removed_words for r in quality.quality_rules(d, min_docs=5).collect()}
+    share = {r.doc_id: r.n_removed_words for r in quality.quality_rules(d, min_docs=5, max_share=0.1).collect()}
     assert {i for i, n in share.items() if n} == set(range(1000, 1005))
 
 
@@ -126,6 +129,30 @@ def test_proximity_matches(spark):
     assert [got[i].near_items for i in range(1, 6)] == [["8"], ["8"], [], [], []]
 
 
+@pytest.mark.parametrize("block", [3, 100_000])
+def test_proximity_brute_force(spark, block):
+    rng = random.Random(21)
+    vocab = [words(rng, 1) for _ in range(9)]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(rng.randint(1, 6)))) for i in range(8)]
+    docs = [(i, " ".join(rng.choice(vocab) for _ in range(rng.randint(0, 14)))) for i in range(80)] + [(90, None), (91, items[0][1])]
+    for i, t in items:  # a word inserted, two swapped, one left out
+        w = t.split()
+        p = rng.randint(0, len(w))
+        docs += [(100 + i, " ".join(w[:p] + ["zz"] + w[p:])), (200 + i, " ".join(w[:p] + w[p:][:2][::-1] + w[p + 2:])), (300 + i, " ".join(w[1:]))]
+
+    def near(text, phrase, slop):
+        w, v = (text or "").split(), phrase.split()
+        return any(all(any(w[x] == t for x in range(max(0, s + j - slop), min(len(w), s + j + slop + 1))) for j, t in enumerate(v))
+                   for s in range(-slop, len(w) + slop))
+
+    d = spark.createDataFrame(docs, "doc_id long, text string").coalesce(2)
+    got = {r.doc_id: r for r in decontam.find_phrases(d, spark.createDataFrame(items, "item_id long, text string"), slop=2,
+                                                      block_phrases=block).collect()}
+    for i, t in docs:
+        assert got[i].near_items == sorted(str(k) for k, p in items if near(t, p, 2)), (t, got[i])
+        assert got[i]["items"] == brute_contamination(t, items)[2] and got[i].n_hit == brute_contamination(t, items)[1]
+
+
 def test_decontamination_empty_tables(edge, empty, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.find_phrases(empty, none).count() == 0
@@ -244,7 +271,7 @@ def test_line_dedup_brute_force(spark):
                 occ.setdefault(x, []).append((i is not None, i or 0, p))
     first = {x: min(o) for x, o in occ.items()}
     near = {x for x in first if any(first[y] < first[x] and one_edit(x, y) for y in first)}
-    got = linededup.dedup_lines(d, min_chars=4).collect()
+    got = linededup.dedup_lines(d, min_chars=4, exact_min_chars=4).select("*", "row.*").collect()
     assert len(got) == len(docs)
     for r in got:
         keep = []
@@ -252,8 +279,8 @@ def test_line_dedup_brute_force(spark):
             s = x.strip(" \t\r")
             if len(s) < 4 or (s not in near and first[s] == (r.doc_id is not None, r.doc_id or 0, p)):
                 keep.append(x)
-        assert r["__text"] == (None if r.text is None else "\n".join(keep)), r
-    assert near and any(r["__n_near"] for r in got)
+        assert r.clean == (None if r.text is None else "\n".join(keep)), r
+    assert near and any(r.n_near for r in got)
 
 
 def test_line_dedup_documents_keep_columns(edge, empty):
@@ -267,16 +294,41 @@ def test_line_dedup_documents_removes_short_repeats(spark):
     docs = [(1, f"Title\n{long_a}\n\nshort end"), (2, f"Title\n{long_a}\n\nshort end"),  # a whole copy goes
             (3, f" short end\t\nshort ens\n{long_b}"),  # one edit apart, but short: stays
             (4, f"{long_b}x\n\nTitle\nnew"), (5, "x\nx\n\n x"), (6, " \n\n"), (7, None)]
-    got = {r.doc_id: r.text for r in linededup.dedup_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in linededup.dedup_documents(frame, min_left_share=0).collect()}
     assert got == {1: docs[0][1], 3: f"short ens\n{long_b}", 4: "\nnew", 5: "x\n", 6: " \n\n", 7: None}
 
 
+def test_line_dedup_leaves_no_fragments_of_near_copies(spark):
+    rng = random.Random(12)
+    first = [[words(rng, 8) for _ in range(40)] for _ in range(10)]
+    docs = [(i, "\n".join(x)) for i, x in enumerate(first)]
+    docs += [(100 + i, "\n".join(x[:7] + [words(rng, 8)] + x[8:])) for i, x in enumerate(first)]  # one line of forty differs
+    docs += [(200 + i, "\n".join(x[:20] + [words(rng, 8) for _ in range(20)])) for i, x in enumerate(first)]  # half is new
+    got = {r.doc_id: r.text for r in linededup.dedup_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert set(got) == {*range(10), *range(200, 210)}
+    assert all(got[200 + i] == "\n".join(docs[20 + i][1].split("\n")[20:]) for i in range(10))
+
+
+def test_line_dedup_and_toxicity_columns_of_any_name(spark):
+    names = ["__h", "__id", "__th", "__gone", "__text", "__key", "clean", "gone", "Row", "Score", "key", "body", "th"]
+    docs = spark.createDataFrame([(1, "a line\nb line", *names), (2, "a line\nc line", *names)],
+                                 ["doc_id", "text", *names])
+    got = linededup.dedup_documents(docs)
+    assert got.columns == docs.columns
+    assert {r.doc_id: r.text for r in got.collect()} == {1: "a line\nb line", 2: "c line"}
+    model = toxicity.ToxicityModel(toxicity.Lexicon(*(np.zeros(0, t) for t in (np.uint64, float, np.uint64, float))), None,
+                                   np.zeros(1), np.zeros(1), 0.25)
+    scored = toxicity.score(docs, model, keep=docs.columns)
+    assert scored.columns == [*docs.columns, "_score"] and {r._score for r in scored.collect()} == {0.25}
+
+
 def test_long_lines(spark):
     rng = random.Random(8)
     a = words(rng, 20000)
     b = a[:70000] + "#" + a[70001:]
-    got = linededup.dedup_lines(spark.createDataFrame([(1, a), (2, b), (3, a[1:])], "doc_id long, text string")).collect()
-    assert {r.doc_id: (r["__n_exact"], r["__n_near"]) for r in got} == {1: (0, 0), 2: (0, 1), 3: (0, 1)}
+    got = linededup.dedup_lines(spark.createDataFrame([(1, a), (2, b), (3, a[1:])], "doc_id long, text string")).select("*", "row.*").collect()
+    assert {r.doc_id: (r.n_exact, r.n_near) for r in got} == {1: (0, 0), 2: (0, 1), 3: (0, 1)}
 
 
 def test_mixing_targets():
@@ -314,7 +366,21 @@ def test_mixing_brute_force(spark, edge, empty):
                 at += n[i]
             budget, e = budget - t, e + 1
     assert {(r.doc_id, r.source, r.epoch, r.block, r.start) for r in got} == want
+    blocks = sorted({(s, e, b) for _, s, e, b, _ in want})
+    m = Counter(s for s, _, _ in blocks)
+    seen, order = Counter(), []
+    for s, e, b in blocks:
+        tie = hashlib.md5(f"{mixing.SEED}-{s}-{e}-{b}".encode()).hexdigest()
+        order.append(((2 * seen[s] + 1) / (2 * m[s]), tie, (s, e, b)))
+        seen[s] += 1
+    turn = {x[2]: k for k, x in enumerate(sorted(order))}
+    assert {(r.source, r.epoch, r.block): r.turn for r in got} == turn
+    for upto in range(1, len(turn) + 1):  # every beginning of the schedule holds the sources by their budgets
+        c = Counter(s for (s, _, _), k in turn.items() if k < upto)
+        assert all(abs(c[s] - upto * m[s] / len(turn)) <= 2 for s in m)
     assert mixing.mix(empty).count() == 0
+    none = spark.createDataFrame([(1, "a b c", "full"), (2, None, "void"), (3, "", "void")], "doc_id long, text string, source string")
+    assert {(r.doc_id, r.epoch, r.n_tokens) for r in mixing.mix(none).collect()} == {(1, 0, 3), (2, 0, 0), (3, 0, 0)}
     assert mixing.mix(edge).filter(F.col("source").isNull()).count() > 0
 
 
