@@ -44,7 +44,6 @@ KINDS = ("assign", "access", "hex", "random")
 # fixed values: the base patterns
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
                     re.IGNORECASE | re.ASCII)
-ASSIGN_TAIL = re.compile(r"[A-Za-z0-9+/_.=-]+")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 MIN_SECRET, MIN_ACCESS, MIN_HEX = 6, 20, 24
