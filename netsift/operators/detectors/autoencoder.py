@@ -120,7 +120,11 @@ class Autoencoder(Detector):
 
     def _train(self, df: DataFrame) -> "AutoencoderModel":
         x = df.select(as_array(df, self.features_col).alias("x")).where(F.col("x").isNotNull())
-        d = len(x.first()["x"])
+        row = x.first()
+        if row is None:  # no training row: a model that scores nothing
+            return AutoencoderModel({"sizes": [], "threshold_percentile": self.threshold_percentile, "epochs_run": 0,
+                                     "val_loss": []}, np.zeros(0), features_col=self.features_col)
+        d = len(row["x"])
         sizes = layer_sizes(d, AE_HIDDEN, self.encoding_dim)
         data = shards(x, self.val, self.seed)
         w = init_weights(sizes, self.seed)
@@ -156,10 +160,10 @@ class AutoencoderModel(DetectorModel):
 
     def score(self, df: DataFrame) -> DataFrame:
         sizes, w = self.params["sizes"], self.weights
-        return with_score(df, self.features_col, lambda x: recon_error(w, sizes, x))
+        return with_score(df, self.features_col, (lambda x: recon_error(w, sizes, x)) if sizes else None)
 
     def _tables(self):
-        return {"weights": self._spark().createDataFrame(pd.DataFrame({"w": [self.weights.tolist()]}))}
+        return {"weights": self._spark().createDataFrame(pd.DataFrame({"w": [self.weights.tolist()]}), "w array<double>")}
 
     @classmethod
     def load(cls, spark, path: str) -> "AutoencoderModel":

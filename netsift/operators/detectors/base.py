@@ -25,9 +25,13 @@ def as_array(df: DataFrame, features_col: str = "features") -> F.Column:
     return vector_to_array(F.col(features_col))
 
 
-def with_score(df: DataFrame, features_col: str, fn: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+def with_score(df: DataFrame, features_col: str, fn: Callable[[np.ndarray], np.ndarray] | None) -> DataFrame:
     """``df`` with ``anomaly_score``: ``fn`` of the feature matrix of each Arrow batch. Only the
-    features are sent to Python; the other columns stay in the JVM. A null vector has no score."""
+    features are sent to Python; the other columns stay in the JVM. A null vector has no score,
+    and a model that saw no training row (``fn`` is None) scores none."""
+    if fn is None:
+        return df.withColumn("anomaly_score", F.lit(None).cast("double"))
+
     @F.pandas_udf("double")
     def score(x: pd.Series) -> pd.Series:
         known = x.notna().to_numpy()

@@ -162,6 +162,8 @@ class IsolationForestModel(DetectorModel):
         return feat, split, left, right, size
 
     def score(self, df: DataFrame) -> DataFrame:
+        if not len(self.forest):  # no training row
+            return with_score(df, self.features_col, None)
         feat, split, left, right, size = self._arrays()
         leaf_adj = c_factor(size)
         cpsi = float(c_factor([self.params["max_samples"]])[0]) or 1.0
@@ -188,7 +190,7 @@ class IsolationForestModel(DetectorModel):
         return with_score(df, self.features_col, run)
 
     def _tables(self):
-        return {"forest": self._spark().createDataFrame(self.forest)}
+        return {"forest": self._spark().createDataFrame(self.forest, NODE_SCHEMA)}
 
     @classmethod
     def load(cls, spark, path: str) -> "IsolationForestModel":

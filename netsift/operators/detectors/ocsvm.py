@@ -39,7 +39,11 @@ class OneClassSVM(Detector):
 
     def _train(self, df: DataFrame) -> "OneClassSVMModel":
         x = df.select(as_array(df, self.features_col).alias("x")).where(F.col("x").isNotNull())
-        d = len(x.first()["x"])
+        row = x.first()
+        if row is None:  # no training row: a model that scores nothing
+            return OneClassSVMModel({"nu": self.nu, "gamma": self.gamma, "n_components": self.D}, np.zeros((0, self.D)),
+                                    np.zeros(self.D), np.zeros(self.D), float("-inf"), features_col=self.features_col)
+        d = len(row["x"])
         if self.gamma is None:
             per = [(F.sum(F.get("x", i)), F.sum(F.get("x", i) * F.get("x", i))) for i in range(d)]
             row = x.agg(F.count(F.lit(1)), *(c for pair in per for c in pair)).first()
@@ -95,19 +99,20 @@ class OneClassSVMModel(DetectorModel):
 
     def score(self, df: DataFrame) -> DataFrame:
         W, b, w = self.W, self.b, self.w
-        return with_score(df, self.features_col, lambda x: -(rff(x, W, b) @ w))
+        return with_score(df, self.features_col, (lambda x: -(rff(x, W, b) @ w)) if len(W) else None)
 
     def _tables(self):
         pdf = pd.DataFrame({"proj": [self.W.ravel().tolist()], "phase": [self.b.tolist()],
                             "weights": [self.w.tolist()], "d": [self.W.shape[0]], "rho": [self.rho]})
-        return {"state": self._spark().createDataFrame(pdf)}
+        return {"state": self._spark().createDataFrame(
+            pdf, "proj array<double>, phase array<double>, weights array<double>, d long, rho double")}
 
     @classmethod
     def load(cls, spark, path: str) -> "OneClassSVMModel":
         meta = DetectorModel.read_meta(spark, path)
         r = spark.read.parquet(os.path.join(path, "state")).first()
         d = int(r["d"])
-        W = np.array(r["proj"]).reshape(d, -1)
+        W = np.array(r["proj"], float).reshape(d, len(r["phase"]))
         m = cls(meta["params"], W, np.array(r["phase"]), np.array(r["weights"]), float(r["rho"]), meta["features_col"])
         m.threshold = meta["threshold"]
         return m

@@ -16,7 +16,11 @@ from pyspark.sql import functions as F
 
 
 def pca_2d(df: DataFrame, features_col: str = "features", k: int = 2, keep: list[str] | None = None):
-    """Returns (projected DataFrame with ``pc1..pck``, explained-variance ratios)."""
+    """Returns (projected DataFrame with ``pc1..pck``, explained-variance ratios); without a row, null
+    components and no ratio."""
+    keep = keep if keep is not None else [c for c in df.columns if c != features_col]
+    if df.isEmpty():
+        return df.select(*keep, *(F.lit(None).cast("double").alias(f"pc{i + 1}") for i in range(k))), []
     pipe = Pipeline(stages=[StandardScaler(withMean=True, withStd=False, inputCol=features_col,
                                            outputCol="_centred"),
                             PCA(k=k, inputCol="_centred", outputCol="_pcs")])
@@ -27,5 +31,4 @@ def pca_2d(df: DataFrame, features_col: str = "features", k: int = 2, keep: list
     signs[signs == 0] = 1.0
     out = model.transform(df).withColumn("_a", vector_to_array("_pcs"))
     cols = [(F.col("_a")[i] * float(signs[i])).alias(f"pc{i + 1}") for i in range(k)]
-    keep = keep if keep is not None else [c for c in df.columns if c != features_col]
     return out.select(*keep, *cols), [float(v) for v in pca.explainedVariance.toArray()]

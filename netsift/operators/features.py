@@ -9,8 +9,8 @@ features need data-wide context and are computed as small aggregates joined back
   map-side);
 * protocol code — the index of the protocol name among the sorted distinct names.
 
-Each lookup is checkpointed and broadcast only after its row count is checked
-(``joins.attach_lookup``).
+Each lookup is an aggregate of the checkpointed sessions, is checkpointed itself, and is
+broadcast only after its bytes are checked (``joins.attach_lookup``).
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ RARE_PORT_QUANTILE = 0.10
 
 
 def _coerce(df: DataFrame) -> DataFrame:
-    """Numeric coercion: unparsable / NULL → 0 for the eight traffic columns."""
+    """Numeric coercion: unparsable / NULL / out of range → 0 for the eight traffic columns."""
     out = []
     for f in df.schema.fields:
         if f.name in _NUMERIC:
@@ -43,7 +43,7 @@ def _coerce(df: DataFrame) -> DataFrame:
             c = F.col(f.name)
             if isinstance(f.dataType, T.StringType):
                 c = c.try_cast("double")
-            out.append(F.coalesce(c.cast(typ), F.lit(0).cast(typ)).alias(f.name))
+            out.append(F.coalesce(c.try_cast(typ), F.lit(0).cast(typ)).alias(f.name))
         else:
             out.append(F.col(f.name))
     df = df.select(*out)
@@ -128,6 +128,7 @@ def engineer_features(sessions: DataFrame, year: int, approx_distinct: bool = Fa
     if materialize_input:
         sessions = materialize(sessions)
     df = _coerce(sessions)
+    base_rows = df  # the lookups are aggregates of the rows before any lookup is joined
     bs, br = F.coalesce(F.col("bytes_sent"), F.lit(0)), F.coalesce(F.col("bytes_rcvd"), F.lit(0))
     ps, pr = F.coalesce(F.col("pkts_sent"), F.lit(0)), F.coalesce(F.col("pkts_rcvd"), F.lit(0))
     dur = F.coalesce(F.col("duration"), F.lit(0.0))
@@ -144,8 +145,8 @@ def engineer_features(sessions: DataFrame, year: int, approx_distinct: bool = Fa
 
     # rare destination port: per-port count vs the 10 % quantile of counts
     if lookups is None:
-        counts = port_counts(df)
-        df = attach_lookup(df, counts, "dst_port")
+        counts = materialize(port_counts(base_rows))  # read for the quantile and for the join
+        df = attach_lookup(df, counts, "dst_port", stored=True)
         df = attach_scalars(df, rare_port_threshold(counts))
     else:  # training definitions; an unseen port counts 0
         df = attach_lookup(df, lookups.ports, "dst_port")
@@ -158,11 +159,11 @@ def engineer_features(sessions: DataFrame, year: int, approx_distinct: bool = Fa
           .withColumn("is_inbound", ((F.col("src_is_private") == 0) & (F.col("dst_is_private") == 1)).cast("int"))
           .withColumn("is_internal", ((F.col("src_is_private") == 1) & (F.col("dst_is_private") == 1)).cast("int")))
 
-    df = attach_lookup(df, source_stats(df, approx_distinct), "src_ip")
+    df = attach_lookup(df, source_stats(base_rows, approx_distinct), "src_ip")
 
     df = df.withColumn("_proto", F.coalesce(F.col("protocol"), F.lit("UNKNOWN")))
     if lookups is None:
-        df = attach_lookup(df, protocol_index(df), "_proto")
+        df = attach_lookup(df, protocol_index(base_rows), "_proto")
     else:  # an unseen protocol gets the next free code
         known = lookups.protocols.agg(F.count(F.lit(1)).cast("int").alias("_n_known"))
         df = attach_lookup(df, lookups.protocols, "_proto")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, shared_path
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -14,6 +16,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as parquet in the shared folder and read again: passes over it read
+    only their columns, and it survives lost executors."""
+    path = shared_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _bytes_of(df: DataFrame) -> int:
     """Bytes of the rows of a checkpointed table: 8 a field, and the lengths of its strings."""
     strings = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
@@ -23,15 +33,15 @@ def _bytes_of(df: DataFrame) -> int:
     return df.agg(F.sum(row)).first()[0] or 0
 
 
-def attach_lookup(big: DataFrame, small: DataFrame, on, how: str = "left") -> DataFrame:
+def attach_lookup(big: DataFrame, small: DataFrame, on, how: str = "left", stored: bool = False) -> DataFrame:
     """Join a derived lookup table onto ``big``.
 
     The lookup (an aggregate of ``big``) is checkpointed and its bytes are summed: within
     ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast, so ``big`` is not shuffled at
     all. Beyond that a shuffle join is planned, whose hot keys AQE can split; the rows are
-    the same either way.
+    the same either way. ``stored``: the lookup is checkpointed already.
     """
-    small = materialize(small)
+    small = small if stored else materialize(small)
     conf = small.sparkSession._jsparkSession.sessionState().conf()
     side = F.broadcast(small) if _bytes_of(small) <= conf.autoBroadcastJoinThreshold() else small
     return big.join(side, on, how)

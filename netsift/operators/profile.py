@@ -155,14 +155,18 @@ def numeric_columns(df: DataFrame, exclude=ID_COLUMNS) -> list[str]:
             if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
 
 
+SHIFT_ROWS = 1000
+
+
 def corr_matrix(df: DataFrame, cols=None) -> DataFrame:
     """Pearson correlation with pairwise deletion, strict lower triangle (i > j) as
     (col_a, col_b, corr); zero variance → NULL.
 
     One pass of Arrow batches: each partition turns its block into moment matrices with
     BLAS products over the non-null masks (pair counts, sums, cross-products of values
-    shifted by the column means, which avoids cancellation); a distributed sum merges
-    them. Output and state are bounded by columns², not rows.
+    shifted by the column means of the first rows, which avoids cancellation and changes no
+    result); a distributed sum merges them. Output and state are bounded by columns², not
+    rows. Without a row every correlation is NULL.
     """
     import numpy as np
     import pandas as pd
@@ -170,9 +174,9 @@ def corr_matrix(df: DataFrame, cols=None) -> DataFrame:
     cols = cols or numeric_columns(df)
     c = len(cols)
     x = df.select(*[F.col(k).cast("double").alias(f"c{i}") for i, k in enumerate(cols)])
-    means = x.agg(*[F.avg(f"c{i}").alias(f"c{i}") for i in range(c)]).first()
-    shift = np.array([means[i] if means[i] is not None else 0.0 for i in range(c)])
     names = [f"c{i}" for i in range(c)]
+    head = x.limit(SHIFT_ROWS).toPandas()[names].astype(float)
+    shift = np.nan_to_num(head.replace([np.inf, -np.inf], np.nan).mean().to_numpy())
 
     def moments(batches):
         acc = None
@@ -188,11 +192,10 @@ def corr_matrix(df: DataFrame, cols=None) -> DataFrame:
 
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
-    parts = x.mapInPandas(moments, "m array<double>")
-    tot = parts.select(array_to_vector("m").alias("m")).agg(Summarizer.sum(F.col("m")).alias("m")).first()
     spark = df.sparkSession
-    if tot is None or tot["m"] is None:
-        return spark.createDataFrame([], "col_a string, col_b string, corr double")
+    zero = spark.range(1).select(F.array_repeat(F.lit(0.0), 4 * c * c).alias("m"))  # a sum needs one row
+    parts = x.mapInPandas(moments, "m array<double>").unionByName(zero)
+    tot = parts.select(array_to_vector("m").alias("m")).agg(Summarizer.sum(F.col("m")).alias("m")).first()
     m = tot["m"].toArray().reshape(4, c, c)
     n, sa, sab, saa = m[0], m[1], m[2], m[3]   # sa[i, j] = Σ x_i over rows where x_i, x_j present
     rows = []

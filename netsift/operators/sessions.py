@@ -9,17 +9,19 @@ Plan shape (one shuffle per side, skew-safe):
   and otherwise splits the CLOSE partitions of a hot session id (an aggregate directly
   below the join would keep it from splitting).
 * Median of paired durations: ``exact_quantiles`` (range partitions of value counts, no
-  task holds all values), attached to every row by a one-row broadcast. The joined rows
-  are checkpointed first so the median and the output share one parse and one join.
+  task holds all values), attached to every row by a one-row broadcast.
+* The log is read and parsed once: CREATE and CLOSE events are written as one parquet stage
+  (shared folder); the CREATE table, the median and the output read the columns they need
+  from it. The median's pass joins three narrow columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefn import syslog_timestamp
-from .joins import materialize
+from .joins import materialize, stage
 from .quantiles import exact_quantiles
 from ..schema import CLOSE_EVENT, CREATE_EVENT
 
@@ -36,14 +38,12 @@ def prepare_events(events: DataFrame, drop_dns: bool = True, drop_icmp: bool = T
     return df
 
 
-def _ord_col(df: DataFrame) -> Column:
-    return F.col("ord") if "ord" in df.columns else F.col("ts")
-
-
 def pair_sessions(events: DataFrame, year: int, median: str = "exact",
-                  with_flags: bool = False, materialize_join: bool = True) -> DataFrame:
+                  with_flags: bool = False) -> DataFrame:
     """CLOSE rows with ``duration`` (seconds, 0.1 s) from the first CREATE of the same session.
 
+    * the first CREATE is the one with the least ``ord`` (place in the log); events without that
+      column, such as those of a CSV file, are ordered by their time, unknown times last;
     * negative duration (CREATE after CLOSE in the log) gets +86400 s once;
     * CLOSE without CREATE gets the median of the paired durations (``median`` =
       ``exact`` or ``approx``);
@@ -51,24 +51,17 @@ def pair_sessions(events: DataFrame, year: int, median: str = "exact",
       ``was_negative`` and ``median_filled`` (for the pairing report).
     """
     ts = syslog_timestamp(F.col("timestamp"), year)
-    ordc = _ord_col(events)
-    creates = (events.where(F.col("event_type") == CREATE_EVENT)
-               .select("session_id", ts.alias("_ts"), ordc.alias("_ord"))
-               .groupBy("session_id")
-               .agg(F.min_by("_ts", "_ord").alias("ts_create")))
-    creates = materialize(creates)
-    closes = events.where(F.col("event_type") == CLOSE_EVENT)
-    keep = [c for c in closes.columns if c not in ("ord", "duration")]
-    closes = closes.select(*keep, ts.alias("ts_close"))
-    j = closes.join(creates, "session_id", "left")
+    first = F.col("ord") if "ord" in events.columns else F.struct(ts.isNull().alias("late"), ts.alias("t"))
+    keep = [c for c in events.columns if c not in ("ord", "duration")]
+    both = stage(events.where(F.col("event_type").isin(CREATE_EVENT, CLOSE_EVENT))
+                 .select(*keep, ts.alias("ts_close"), first.alias("_ord")), "events")
+    creates = materialize(both.where(F.col("event_type") == CREATE_EVENT).groupBy("session_id")
+                          .agg(F.min_by("ts_close", "_ord").alias("ts_create")))
+    j = both.where(F.col("event_type") == CLOSE_EVENT).drop("_ord").join(creates, "session_id", "left")
     raw = F.round(F.timestamp_diff("SECOND", F.col("ts_create"), F.col("ts_close")).cast("double"), 1)
     j = j.withColumn("_d0", raw)
     j = j.withColumn("_neg", F.coalesce(F.col("_d0") < 0, F.lit(False)))
     j = j.withColumn("_d1", F.when(F.col("_neg"), F.col("_d0") + SECONDS_PER_DAY).otherwise(F.col("_d0")))
-    if materialize_join:
-        # the median needs a second pass over the paired rows: checkpoint the join once so
-        # the log is parsed and joined a single time (shared folder, survives executor loss)
-        j = materialize(j)
     if median == "exact":
         med = exact_quantiles(j, "_d1", [0.5], prefix="_m").select(F.col("_m0").alias("_median"))
     else:

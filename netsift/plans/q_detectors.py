@@ -186,4 +186,4 @@ def q_pca_variances(spark, sf):
     p, ratios = pca_2d(f, keep=[])
     return p.agg(r6(F.var_samp("pc1"), "var_1"), r6(F.var_samp("pc2"), "var_2"),
                  F.abs(r6(F.covar_samp("pc1", "pc2"), "x")).alias("covariance"),
-                 F.round(F.lit(ratios[0]), 6).alias("explained_1"))
+                 F.round(F.lit(ratios[0] if ratios else None).cast("double"), 6).alias("explained_1"))

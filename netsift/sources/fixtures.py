@@ -94,62 +94,3 @@ def render_lines(f: DataFrame, host: str = "FW1") -> DataFrame:
         F.struct(F.col("l.t").alias("t"), F.col("session_id").cast("bigint").alias("sid"),
                  F.col("l.kind").alias("kind")).alias("ord"),
     )
-
-
-def labelled_flows(events: DataFrame, anomaly_ratio: float = 0.05, seed: int = 42) -> DataFrame:
-    """Labelled synthetic flows with the normal / anomalous distributions of the generator.
-
-    One row per ``events`` row, so the size grows with the input; each row is anomalous
-    with probability ``anomaly_ratio`` (a Bernoulli split instead of an exact
-    ``n·(1-ratio)`` cut, which would need a global count). Draws are seeded per row
-    (``hash(seed, event_id, stream)``) so the result does not depend on partitioning.
-    Distribution parity only: the draws differ from any NumPy stream.
-    """
-    e = events.select("event_id")
-
-    def u(stream: int) -> Column:  # uniform [0, 1) from a hash of (seed, id, stream)
-        h = F.xxhash64(F.lit(seed), F.col("event_id"), F.lit(stream))
-        return (F.pmod(h, F.lit(1 << 30)).cast("double") / float(1 << 30))
-
-    def randint(stream: int, lo: int, hi: int) -> Column:  # [lo, hi)
-        return (F.lit(lo) + F.floor(u(stream) * (hi - lo))).cast("bigint")
-
-    def normal(stream: int) -> Column:  # Box-Muller
-        return F.sqrt(-2.0 * F.log(1.0 - u(stream))) * F.cos(2.0 * 3.141592653589793 * u(stream + 100))
-
-    def choice(stream: int, values, probs) -> Column:
-        x = u(stream)
-        acc, expr = 0.0, None
-        for v, p in zip(values[:-1], probs[:-1]):
-            acc += p
-            expr = (F.when(x < acc, F.lit(v)) if expr is None else expr.when(x < acc, F.lit(v)))
-        return expr.otherwise(F.lit(values[-1]))
-
-    # the anomaly flag is drawn per row with the given ratio
-    is_anom = (u(0) < anomaly_ratio).cast("int")
-    a = is_anom == 1
-    ip = lambda s, lo, hi: randint(s, lo, hi).cast("string")
-    src_n = F.concat(F.lit("10."), ip(1, 0, 255), F.lit("."), ip(2, 0, 255), F.lit("."), ip(3, 1, 254))
-    src_a = F.concat(F.lit("192.168."), ip(1, 0, 10), F.lit("."), ip(2, 1, 10))
-    dst_n = F.concat(F.lit("172.16."), ip(4, 0, 255), F.lit("."), ip(5, 1, 254))
-    dst_a = F.concat(F.lit("8.8."), ip(4, 0, 255), F.lit("."), ip(5, 1, 254))
-    return e.select(
-        F.when(a, src_a).otherwise(src_n).alias("src_ip"),
-        F.when(a, dst_a).otherwise(dst_n).alias("dst_ip"),
-        randint(6, 1024, 65535).cast("int").alias("src_port"),
-        F.when(a, randint(7, 1, 65535)).otherwise(
-            choice(7, [80, 443, 22, 53, 8080, 3306], [0.35, 0.40, 0.10, 0.08, 0.04, 0.03])).cast("int").alias("dst_port"),
-        F.when(a, choice(8, ["TCP", "UDP", "ICMP"], [0.5, 0.3, 0.2]))
-        .otherwise(choice(8, ["TCP", "UDP"], [0.85, 0.15])).alias("protocol"),
-        F.when(a, F.exp(12 + 2 * normal(9))).otherwise(F.exp(7 + 1.5 * normal(9))).cast("bigint").alias("bytes_sent"),
-        F.when(a, randint(10, 0, 100)).otherwise(F.exp(8 + 2 * normal(10)).cast("bigint")).alias("bytes_rcvd"),
-        F.when(a, randint(11, 500, 10000)).otherwise(randint(11, 1, 100)).alias("pkts_sent"),
-        F.when(a, randint(12, 0, 10)).otherwise(randint(12, 1, 150)).alias("pkts_rcvd"),
-        F.when(a, choice(13, ["deny", "close"], [0.7, 0.3]))
-        .otherwise(choice(13, ["close", "create"], [0.98, 0.02])).alias("action"),
-        F.when(a, choice(14, ["UNKNOWN", "junos-https"], [0.8, 0.2]))
-        .otherwise(choice(14, ["junos-https", "junos-http", "junos-ssh", "UNKNOWN"],
-                          [0.50, 0.25, 0.15, 0.10])).alias("application"),
-        F.lit("internet_offload2").alias("policy"),
-        is_anom.alias("is_anomaly"),
-    )

@@ -6,7 +6,6 @@ from netsift.operators.features import fit_scaler
 from netsift.plans import catalog as C
 from netsift.plans import training
 from netsift.sources.files import read_sessions_csv, read_stage, write_csv, write_stage
-from netsift.sources.fixtures import labelled_flows
 from netsift.streaming import parse_stream, pair_stream, score_batches
 
 SF = "/root/testdata/sf0.001"
@@ -35,16 +34,6 @@ def test_scaler_pipeline_persists(spark, scratch):
     assert abs(z[0]) < 1e-9 and abs(z[1] - 1) < 1e-9
 
 
-def test_labelled_flows_distributions(spark):
-    lf = labelled_flows(C.table(spark, "/root/testdata/sf0.01", "events"))
-    r = {x.is_anomaly: x for x in lf.groupBy("is_anomaly").agg(
-        F.count(F.lit(1)).alias("n"), F.avg(F.log("bytes_sent")).alias("mu"),
-        F.avg((F.col("action") == "deny").cast("double")).alias("deny")).collect()}
-    n = r[0].n + r[1].n
-    assert n == 10000 and abs(r[1].n / n - 0.05) < 0.01
-    assert abs(r[0].mu - 7) < 0.2 and abs(r[1].mu - 12) < 0.6 and abs(r[1].deny - 0.7) < 0.1
-
-
 def test_train_then_apply_on_new_log(spark, scratch):
     log = os.path.join(scratch, "log")
     C.log_lines(spark, SF).orderBy("ord").select("value").coalesce(2).write.text(log)

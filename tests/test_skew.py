@@ -80,7 +80,7 @@ def test_pairing_join_splits_a_hot_session(spark):
         closes = n.select(sid.alias("session_id"), text.alias("timestamp"), F.lit(CLOSE_EVENT).alias("event_type"),
                           F.md5(F.col("id").cast("string")).alias("pad"), F.col("id").alias("ord"), F.lit(0.0).alias("duration"))
         events = closes.unionByName(closes.withColumn("event_type", F.lit(CREATE_EVENT)).withColumn("ord", -F.col("ord")))
-        out = pair_sessions(events, 2024, materialize_join=False, median="approx")
+        out = pair_sessions(events, 2024, median="approx")
         assert out.count() == 30000
         out.collect()
         assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
