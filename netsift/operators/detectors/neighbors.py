@@ -1,21 +1,27 @@
-"""Exact neighbour joins by pivot partitions and the triangle inequality.
+"""Exact neighbour joins by pivot cells, the triangle inequality and balls inside a cell.
 
 Rows are dealt to the nearest of about n / block pivots (data rows chosen by a hash, at most
-``MAX_PIVOTS``; only pivots, radii and counts reach the driver). A cell B with pivot p and
-radius R holds nothing within t of a query q when d(q, p) - R > t:
-
-* **k nearest neighbours** take two passes. The first visits the nearest cells that hold
-  k rows and gives each query an upper bound on its k-th distance; the second visits the
-  other cells that the bound does not exclude. The bound works in all dimensions, on
-  collinear data and with far outliers; where distances are nearly equal (isotropic
-  data of many dimensions) it excludes little, as any exact method.
-* **ranges** (DBSCAN) visit the cells not excluded at radius eps. A task sends back degree
-  sums, spanning links or least labels, never pairs.
-
+``MAX_PIVOTS``; only pivots, radii and counts reach the driver). A cell with pivot p and
+radius R holds nothing within t of a query q when d(q, p) - R > t, so a query is sent, as one
+row, to the cells that may hold a row it needs and to no other. Data rows are sent once for
+every ``QUERY_ROWS`` queries of their cell; a cell of more than ``CELL_ROWS`` rows is split by
+a hash and its queries go to each part, so no group grows with the data.
+
+*Inside a cell* the data rows of a task are cut into balls of about ``LEAF`` rows (splits
+along the widest axis), and a query visits balls from the nearest on:
+
+* **k nearest neighbours** stop at the first ball that lies beyond the running k-th distance.
+  They take two passes over cells: the first visits the nearest cells that hold k rows and
+  so bounds the k-th distance; the second visits the other cells that the bound does not
+  exclude.
+* **ranges** (DBSCAN) skip balls beyond eps, and take a ball that lies wholly within eps
+  without a distance, so the work in a dense cell is linear in its queries and balls. A task
+  sends back degree sums, spanning links or least labels, never pairs.
+
+Bounds work in all dimensions, on collinear data and with far outliers; where distances are
+nearly equal (isotropic data of many dimensions) they exclude little, as in any exact method.
 Equal vectors are one query, and at most k of them (the smallest ids) are data of a kNN
-search; in range searches they are one point with a weight. Work is done per pair of
-blocks: rows of a cell are split by a hash into blocks of ``block`` rows on average, and
-each pair of a query block and a data block is one cogroup, so no group grows with a cell.
+search; in range searches they are one point with a weight.
 """
 
 from __future__ import annotations
@@ -24,17 +30,21 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..joins import materialize
 
-QUERY_BLOCK = 256
-MAX_PIVOTS = 1024
+CELL_BLOCK = 1024   # rows of a cell, on average, as long as there are at most MAX_PIVOTS cells
+MAX_PIVOTS = 4096
+CELL_ROWS = 16_384  # rows of a cell in one task
+QUERY_ROWS = 16_384  # queries of a cell in one task
+LEAF = 64
+MIDDLE_SPLITS = 24
 _CHUNK = 4_000_000  # doubles per distance chunk inside a task
 _SLACK = 1e-9       # rounding of a distance, relative: bounds give way by it
-GROUP = ["qcell", "qsalt", "dcell", "dsalt"]
+GROUP = ["dcell", "dsalt", "qsalt"]
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -64,8 +74,8 @@ class Pivots:
         rows = data.select("x").orderBy(F.xxhash64(F.lit(seed), "x")).limit(m).toPandas()
         return cls(np.unique(_matrix(rows["x"]), axis=0) if len(rows) else np.zeros((0, 1)))
 
-    def assign(self, df: DataFrame, block: int) -> DataFrame:
-        """``df`` with ``cell`` (nearest pivot), ``away`` (distance to it) and ``salt``."""
+    def assign(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``cell`` (nearest pivot) and ``away`` (distance to it)."""
         points, cols = self.points, df.columns
 
         def go(batches):
@@ -75,61 +85,149 @@ class Pivots:
                 yield pdf[cols].assign(cell=cell.astype("int32"), away=d[np.arange(len(pdf)), cell])
 
         fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
-        out = materialize(df.mapInPandas(go, f"{fields}, cell int, away double"))
-        sizes = out.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("r")).toPandas()
-        self.count[sizes["cell"]], self.radius[sizes["cell"]] = sizes["n"], sizes["r"]
-        blocks = F.array(*(F.lit(int(-(-c // block)) or 1) for c in self.count))
-        return out.withColumn("salt", F.pmod(F.xxhash64(F.col("id"), F.lit(3)), F.get(blocks, F.col("cell"))).cast("int"))
-
-
-def _join_blocks(queries: DataFrame, data: DataFrame, need: DataFrame, body: Callable, schema: str) -> DataFrame:
-    """Run ``body(query block, data block)`` for every needed (qcell, qsalt, dcell)."""
-    blocks = data.select(F.col("cell").alias("dcell"), F.col("salt").alias("dsalt")).distinct()
-    req = materialize(need.join(blocks, "dcell").select(*GROUP))
-    # columns under new ids: both sides may come from one table
-    fresh = lambda df, names: df.select(*(F.col(c).alias(names.get(c, c)) for c in df.columns))
-    left = fresh(queries, {"cell": "qcell", "salt": "qsalt"}).join(fresh(req, {}), ["qcell", "qsalt"])
-    right = fresh(data, {"cell": "dcell", "salt": "dsalt"}).join(fresh(req, {}), ["dcell", "dsalt"])
-    return left.groupBy(*GROUP).cogroup(right.groupBy(*GROUP)).applyInPandas(body, schema)
+        return materialize(df.mapInPandas(go, f"{fields}, cell int, away double"))
 
+    def measure(self, cells: DataFrame) -> None:
+        """Take radius and number of rows of each cell from the assigned data."""
+        sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("r")).toPandas()
+        self.count[sizes["cell"]], self.radius[sizes["cell"]] = sizes["n"], sizes["r"]
 
-def pairs_visited(queries: DataFrame, data: DataFrame, need: DataFrame) -> int:
-    """Rows compared by ``_join_blocks``: the sum over needed block pairs (for tests and tuning)."""
-    q = queries.groupBy(F.col("cell").alias("qcell"), F.col("salt").alias("qsalt")).agg(F.count(F.lit(1)).alias("nq"))
-    d = data.groupBy(F.col("cell").alias("dcell")).agg(F.count(F.lit(1)).alias("nd"))
-    return need.join(q, ["qcell", "qsalt"]).join(d, "dcell").agg(F.sum(F.col("nq") * F.col("nd"))).first()[0] or 0
+    def hits(self, x: np.ndarray, reach) -> np.ndarray:
+        """Which cells may hold a row within ``reach`` of each row of ``x``."""
+        d = _distances(x, self.points)
+        return (d - self.radius <= reach + _SLACK * (1 + d)) & (self.count > 0)
 
 
-def _needed(queries: DataFrame, pivots: Pivots, reach: str | float, skip: list[list[int]] | None = None) -> DataFrame:
-    """(qcell, qsalt, dcell): cells that may hold a row within ``reach`` of a query of the block."""
-    points, radius, used = pivots.points, pivots.radius, pivots.count > 0
-    cols = ["x", "cell", "salt"] + ([reach] if isinstance(reach, str) else [])
+def _needed(queries: DataFrame, pivots: Pivots, reach: str | float, seeds: list[list[int]] | None = None,
+            only_seeds: bool = False, counts: bool = False) -> DataFrame:
+    """``queries`` with ``dcell``, a row per cell that may hold a row within ``reach``: all such cells, or
+    the ``seeds`` of the query's own cell, or all but those. ``counts``: (dcell, n) of these rows."""
+    cols = queries.columns
 
     def go(batches):
         for pdf in batches:
             if not len(pdf):
                 continue
-            d = _distances(_matrix(pdf["x"]), points)
-            t = pdf[reach].to_numpy(float)[:, None] if isinstance(reach, str) else reach
-            hit = (d - radius <= t + _SLACK * (1 + d)) & used
-            if skip is not None:
-                for r, c in enumerate(pdf["cell"]):
-                    hit[r, skip[c]] = False
-            i, j = np.nonzero(hit)
-            yield pd.DataFrame({"qcell": pdf["cell"].to_numpy()[i], "qsalt": pdf["salt"].to_numpy()[i],
-                                "dcell": j.astype("int32")}).drop_duplicates()
+            if only_seeds:
+                hit = np.zeros((len(pdf), len(pivots.points)), bool)
+            else:
+                hit = pivots.hits(_matrix(pdf["x"]), pdf[reach].to_numpy(float)[:, None] if isinstance(reach, str) else reach)
+            for r, c in enumerate(pdf["cell"] if seeds is not None else ()):
+                hit[r, seeds[c]] = only_seeds
+            if counts:
+                n = hit.sum(axis=0)
+                at = np.flatnonzero(n)
+                yield pd.DataFrame({"dcell": at.astype("int32"), "n": n[at]})
+            else:
+                i, j = np.nonzero(hit)
+                yield pdf[cols].iloc[i].assign(dcell=j.astype("int32"))
+
+    if counts:
+        return queries.mapInPandas(go, "dcell int, n long").groupBy("dcell").agg(F.sum("n").alias("n"))
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in queries.schema.fields)
+    return queries.mapInPandas(go, f"{fields}, dcell int")
+
+
+def pairs_visited(queries: DataFrame, pivots: Pivots, reach: str | float) -> tuple[int, int]:
+    """Query rows sent to cells, and pairs of a query and a row of such a cell (for tests and tuning)."""
+    n = _needed(queries, pivots, reach, counts=True).toPandas()  # at most MAX_PIVOTS rows
+    return int(n["n"].sum()), int((n["n"].to_numpy() * pivots.count[n["dcell"]]).sum())
+
+
+def _join_cells(queries: DataFrame, cells: DataFrame, pivots: Pivots, body: Callable, schema: str, cell_rows: int = CELL_ROWS,
+                query_rows: int = QUERY_ROWS, **need) -> DataFrame:
+    """Run ``body(queries, data)`` for every cell and the queries that need it."""
+    n = _needed(queries, pivots, counts=True, **need).toPandas()  # at most MAX_PIVOTS rows
+    asked = np.zeros(len(pivots.points), np.int64)
+    asked[n["dcell"]] = n["n"]
+
+    def parts(rows: np.ndarray, most: int) -> Column:
+        return F.get(F.array(*(F.lit(int(-(-c // most))) for c in rows)), F.col("dcell"))
+
+    n_d, n_q = parts(pivots.count, cell_rows), parts(asked, query_rows)
+    part = lambda k, seed: F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), k).cast("int")
+    every = lambda k: F.explode(F.sequence(F.lit(0), k - 1))
+    left = _needed(queries, pivots, **need).withColumn("qsalt", part(n_q, 5)).withColumn("dsalt", every(n_d))
+    data = cells.withColumnRenamed("cell", "dcell").where(n_q > 0)
+    right = data.withColumn("dsalt", part(n_d, 3)).withColumn("qsalt", every(n_q))
+    # columns under new ids: both sides may come from one table
+    fresh = lambda df: df.select(*(F.col(c).alias(c) for c in df.columns))
+    return fresh(left).groupBy(*GROUP).cogroup(fresh(right).groupBy(*GROUP)).applyInPandas(body, schema)
 
-    return queries.select(*cols).mapInPandas(go, "qcell int, qsalt int, dcell int").distinct()
+
+class Balls:
+    """The rows of a task, cut into balls: centre, radius and the rows of each."""
+
+    def __init__(self, x: np.ndarray, leaf: int = LEAF):
+        todo, self.rows = [(np.arange(len(x)), 0)], []
+        while todo:
+            r, depth = todo.pop()
+            lo, hi = x[r].min(axis=0), x[r].max(axis=0)
+            axis = int((hi - lo).argmax())
+            if len(r) <= leaf or hi[axis] == lo[axis]:
+                self.rows.append(r)
+                continue
+            v = x[r, axis]
+            if depth < MIDDLE_SPLITS:  # in the middle of the range: dense parts and outliers part early
+                left = v <= (lo[axis] + hi[axis]) / 2
+            else:                      # at the median
+                left = np.zeros(len(r), bool)
+                left[np.argsort(v, kind="stable")[:len(r) // 2]] = True
+            todo += [(r[left], depth + 1), (r[~left], depth + 1)]
+        self.x = x
+        self.centre = np.array([x[r].mean(axis=0) for r in self.rows])
+        self.radius = np.array([_distances(x[r], c[None, :]).max() for r, c in zip(self.rows, self.centre)])
+        self.radius *= 1 + _SLACK
+
+    def away(self, q: np.ndarray) -> np.ndarray:
+        return _distances(q, self.centre)
+
+    def least(self, away: np.ndarray) -> np.ndarray:
+        """Lower bound of the distance to each ball's rows."""
+        return np.maximum(away - self.radius - _SLACK * (1 + away), 0)
+
+    def nearest(self, q: np.ndarray, k: int, ids: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distances and ids of the k nearest rows within ``reach`` of each query, ties by id (inf: none)."""
+        low = self.least(self.away(q))
+        order = np.argsort(low, axis=1, kind="stable")
+        dist, near = np.full((len(q), k), np.inf), np.full((len(q), k), np.iinfo(np.int64).max)
+        bound, open_ = reach.astype(float).copy(), np.arange(len(q))
+        for step in range(len(self.rows)):
+            ball = order[open_, step]
+            stay = low[open_, ball] <= bound[open_]
+            open_, ball = open_[stay], ball[stay]
+            if not len(open_):
+                break
+            by = np.argsort(ball, kind="stable")
+            for part in np.split(by, np.flatnonzero(np.diff(ball[by])) + 1):
+                at, r = open_[part], self.rows[ball[part[0]]]
+                d = np.concatenate([dist[at], _distances(q[at], self.x[r])], axis=1)
+                i = np.concatenate([near[at], np.broadcast_to(ids[r], (len(at), len(r)))], axis=1)
+                best = np.lexsort((i, d), axis=1)[:, :k]
+                dist[at], near[at] = np.take_along_axis(d, best, 1), np.take_along_axis(i, best, 1)
+                bound[at] = np.minimum(bound[at], dist[at, -1])
+        return dist, near
+
+    def within(self, q: np.ndarray, eps: float):
+        """For each ball: its rows, the queries that hold all of it within eps, the queries that hold
+        some of it, and for these which rows they hold."""
+        away = self.away(q)
+        low, high = self.least(away), (away + self.radius) * (1 + _SLACK)
+        for b, r in enumerate(self.rows):
+            whole = high[:, b] <= eps
+            some = np.flatnonzero((low[:, b] <= eps) & ~whole)
+            hit = _distances(q[some], self.x[r]) <= eps if len(some) else np.zeros((0, len(r)), bool)
+            yield r, np.flatnonzero(whole), some, hit
 
 
 def _top(k: int):
     def body(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
             return pd.DataFrame({"qid": pd.Series(dtype="int64"), "dist": pd.Series(dtype=float), "id": pd.Series(dtype="int64")})
-        d, ids, qid = _distances(_matrix(q["x"]), _matrix(c["x"])), c["id"].to_numpy(np.int64), q["id"].to_numpy(np.int64)
-        best = [np.lexsort((ids, row))[:k] for row in d]
-        return pd.DataFrame({"qid": np.repeat(qid, [len(b) for b in best]), "dist": np.concatenate([row[b] for row, b in zip(d, best)]),
-                             "id": ids[np.concatenate(best)]})
+        reach = q["reach"].to_numpy(float) if "reach" in q else np.full(len(q), np.inf)
+        dist, near = Balls(_matrix(c["x"])).nearest(_matrix(q["x"]), k, c["id"].to_numpy(np.int64), reach)
+        i, j = np.nonzero(np.isfinite(dist))
+        return pd.DataFrame({"qid": q["id"].to_numpy(np.int64)[i], "dist": dist[i, j], "id": near[i, j]})
     return body
 
 
@@ -147,7 +245,7 @@ def _vectors(df: DataFrame, idcol: str, xcol: str) -> DataFrame:
 
 
 def knn(queries: DataFrame, data: DataFrame, k: int, xcol: str = "x", idcol: str = "id",
-        block: int = QUERY_BLOCK) -> DataFrame:
+        block: int = CELL_BLOCK) -> DataFrame:
     """Exact k nearest ``data`` points for every query: (qid, nbrs array<struct<dist,id>>)
     sorted by (dist, id). A query that is also a data point finds itself at distance 0."""
     none = F.array().cast("array<struct<dist:double,id:bigint>>")
@@ -157,26 +255,22 @@ def knn(queries: DataFrame, data: DataFrame, k: int, xcol: str = "x", idcol: str
     if not n:
         return every.select(F.col("id").alias("qid"), none.alias("nbrs"))
     pivots = Pivots.choose(points, n, block)
-    cells = pivots.assign(points, block)
+    cells = pivots.assign(points.select("id", "x"))
+    pivots.measure(cells)
     one = every.groupBy("vh").agg(F.min("id").alias("id"), F.min("x").alias("x"))
-    count, radius = pivots.count.copy(), pivots.radius.copy()
-    asked = pivots.assign(one.select("id", "x"), block)
-    pivots.count, pivots.radius = count, radius  # cells are those of the data
+    asked = pivots.assign(one.select("id", "x"))
     # the nearest cells that hold k rows together, for each query cell
     seeds = []
     for row in _distances(pivots.points, pivots.points):
-        order = [int(c) for c in np.argsort(row, kind="stable") if count[c]]
-        upto = int(np.searchsorted(np.cumsum(count[order]), k)) + 1
-        seeds.append(order[:upto])
-    pairs = pd.DataFrame([(c, s) for c, row in enumerate(seeds) for s in row], columns=["qcell", "dcell"]).astype("int32")
-    seed_table = data.sparkSession.createDataFrame(pairs, "qcell int, dcell int")
-    qblocks = asked.select(F.col("cell").alias("qcell"), F.col("salt").alias("qsalt")).distinct()
+        order = [int(c) for c in np.argsort(row, kind="stable") if pivots.count[c]]
+        seeds.append(order[:int(np.searchsorted(np.cumsum(pivots.count[order]), k)) + 1])
     rows = "qid long, dist double, id long"
-    first = _join_blocks(asked, cells, qblocks.join(seed_table, "qcell"), _top(k), rows)
+    data_rows = cells.select("id", "x", "cell")
+    first = _join_cells(asked.select("id", "x", "cell"), data_rows, pivots, _top(k), rows, reach=0.0, seeds=seeds, only_seeds=True)
     near = materialize(_smallest(first, ["qid"], ["dist", "id"], k, "id"))
     bound = near.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("reach"))
-    asked = materialize(asked.join(bound, asked["id"] == bound["qid"]).drop("qid"))
-    more = _join_blocks(asked.drop("reach"), cells, _needed(asked, pivots, "reach", seeds), _top(k), rows)
+    asked = materialize(asked.join(bound, asked["id"] == bound["qid"]).select("id", "x", "cell", "reach"))
+    more = _join_cells(asked, data_rows, pivots, _top(k), rows, reach="reach", seeds=seeds)
     best = _smallest(near.unionByName(more), ["qid"], ["dist", "id"], k, "id")
     lists = (best.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("dist", "id"))).alias("nbrs"))
              .join(one.select(F.col("id").alias("qid"), "vh"), "qid").select("vh", "nbrs"))
@@ -186,66 +280,88 @@ def knn(queries: DataFrame, data: DataFrame, k: int, xcol: str = "x", idcol: str
 class RangeIndex:
     """Distinct vectors of a table for range searches of one radius."""
 
-    def __init__(self, df: DataFrame, eps: float, idcol: str = "id", xcol: str = "x", block: int = QUERY_BLOCK):
+    def __init__(self, df: DataFrame, eps: float, idcol: str = "id", xcol: str = "x", block: int = CELL_BLOCK):
         self.eps, self.block = eps, block
         self.rows = materialize(_vectors(df, idcol, xcol))
         points = materialize(self.rows.groupBy("vh").agg(F.min("id").alias("id"), F.min("x").alias("x"),
                                                          F.count(F.lit(1)).alias("weight")))
         self.pivots = Pivots.choose(points, points.count(), block)
-        self.points = self.pivots.assign(points.select("id", "x", "vh", "weight"), block) if len(self.pivots.points) else None
+        self.points = None
+        if len(self.pivots.points):
+            self.points = self.pivots.assign(points.select("id", "x", "vh", "weight"))
+            self.pivots.measure(self.points)
 
     def _run(self, queries: DataFrame, data: DataFrame, body: Callable, schema: str) -> DataFrame:
-        return _join_blocks(queries, data, _needed(queries, self.pivots, self.eps), body, schema)
+        return _join_cells(queries, data, self.pivots, body, schema, reach=self.eps)
 
     def degrees(self) -> DataFrame:
         """(id, degree): rows within eps of each distinct vector, itself included."""
         eps = self.eps
 
         def body(q, c):
-            if not len(q) or not len(c):
-                return pd.DataFrame({"id": pd.Series(dtype="int64"), "n": pd.Series(dtype="int64")})
-            hit = _distances(_matrix(q["x"]), _matrix(c["x"])) <= eps
-            return pd.DataFrame({"id": q["id"].to_numpy(np.int64), "n": hit @ c["weight"].to_numpy(np.int64)})
-
-        p = self.points.select("id", "x", "weight", "cell", "salt")
+            n = np.zeros(len(q), np.int64)
+            if len(q) and len(c):
+                weight = c["weight"].to_numpy(np.int64)
+                for r, whole, some, hit in Balls(_matrix(c["x"])).within(_matrix(q["x"]), eps):
+                    n[whole] += weight[r].sum()
+                    n[some] += hit @ weight[r]
+            return pd.DataFrame({"id": q["id"].to_numpy(np.int64) if len(q) else np.zeros(0, np.int64), "n": n})
+
+        p = self.points.select("id", "x", "weight", "cell")
         return self._run(p.drop("weight"), p, body, "id long, n long").groupBy("id").agg(F.sum("n").alias("degree"))
 
     def links(self, core: DataFrame) -> DataFrame:
-        """(a, b): links that span the core vectors within eps of each other, block by block."""
+        """(a, b): links that span the core vectors within eps of each other, task by task."""
         eps = self.eps
 
         def body(q, c):
-            a, b = q["id"].to_numpy(np.int64), c["id"].to_numpy(np.int64)
+            a = q["id"].to_numpy(np.int64) if len(q) else np.zeros(0, np.int64)
+            b = c["id"].to_numpy(np.int64) if len(c) else np.zeros(0, np.int64)
             ids = np.unique(np.concatenate([a, b]))
             label = np.arange(len(ids))
-            if len(a) and len(b):
-                i, j = np.nonzero(_distances(_matrix(q["x"]), _matrix(c["x"])) <= eps)
-                i, j = np.searchsorted(ids, a[i]), np.searchsorted(ids, b[j])
+            at_a, at_b = np.searchsorted(ids, a), np.searchsorted(ids, b)
+
+            def join(i, j):
                 while True:
                     x, y = label[i], label[j]
                     if (x == y).all():
-                        break
+                        return
                     np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
                     while not np.array_equal(label[label], label):
-                        label = label[label]
+                        label[:] = label[label]
+
+            if len(a) and len(b):
+                balls = Balls(_matrix(c["x"]))
+                tight = 2 * balls.radius * (1 + _SLACK) <= eps  # any two rows of the ball are linked
+                for t, (r, whole, some, hit) in zip(tight, balls.within(_matrix(q["x"]), eps)):
+                    if t:
+                        join(at_b[r], np.full(len(r), at_b[r[0]]))
+                        join(at_a[whole], np.full(len(whole), at_b[r[0]]))
+                    else:
+                        i, j = np.repeat(whole, len(r)), np.tile(r, len(whole))
+                        join(at_a[i], at_b[j])
+                    i, j = np.nonzero(hit)
+                    join(at_a[some[i]], at_b[r[j]])
             own = label != np.arange(len(ids))
             return pd.DataFrame({"a": ids[own], "b": ids[label[own]]})
 
-        p = materialize(self.points.join(core, "id", "left_semi").select("id", "x", "cell", "salt"))
+        p = materialize(self.points.join(core, "id", "left_semi").select("id", "x", "cell"))
         return self._run(p, p, body, "a long, b long")
 
     def least_label(self, rest: DataFrame, labels: DataFrame) -> DataFrame:
         """(id, label): the least label of a core vector within eps of each vector of ``rest``."""
-        eps = self.eps
+        eps, none = self.eps, np.iinfo(np.int64).max
 
         def body(q, c):
-            if not len(q) or not len(c):
-                return pd.DataFrame({"id": pd.Series(dtype="int64"), "l": pd.Series(dtype="int64")})
-            hit = _distances(_matrix(q["x"]), _matrix(c["x"])) <= eps
-            l = np.where(hit, c["label"].to_numpy(np.int64), np.iinfo(np.int64).max).min(axis=1)
-            some = hit.any(axis=1)
-            return pd.DataFrame({"id": q["id"].to_numpy(np.int64)[some], "l": l[some]})
-
-        q = self.points.join(rest, "id", "left_semi").select("id", "x", "cell", "salt")
-        c = self.points.join(labels, "id").select("id", "x", "label", "cell", "salt")
+            least = np.full(len(q), none)
+            if len(q) and len(c):
+                label = c["label"].to_numpy(np.int64)
+                for r, whole, some, hit in Balls(_matrix(c["x"])).within(_matrix(q["x"]), eps):
+                    least[whole] = np.minimum(least[whole], label[r].min())
+                    least[some] = np.minimum(least[some], np.where(hit, label[r], none).min(axis=1, initial=none))
+            ids = q["id"].to_numpy(np.int64) if len(q) else np.zeros(0, np.int64)
+            return pd.DataFrame({"id": ids[least < none], "l": least[least < none]})
+
+        q = self.points.join(rest, "id", "left_semi").select("id", "x", "cell")
+        c = self.points.join(labels, "id").select("id", "x", "label", "cell")
         return self._run(materialize(q), materialize(c), body, "id long, l long").groupBy("id").agg(F.min("l").alias("label"))

@@ -1,26 +1,28 @@
 """Threat rules named by the detector's documentation, as batch Spark jobs.
 
 Thresholds are parameters. Windowed rules are ``groupBy(window(ts), keys)`` with
-partial aggregation; distinct counts are exact by default (``approx=True`` for
-``approx_count_distinct``, which is what the streaming versions use).
+partial aggregation. Sliding windows are made of panes (tumbling windows that divide both the
+window and its slide): rows are aggregated once per pane, and only pane aggregates are
+copied into the windows they lie in. Distinct counts are exact by default (a row per pane,
+source and target); ``approx=True`` keeps one mergeable sketch per pane and source instead,
+as the streaming versions do.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from math import gcd
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 from pyspark.sql.window import Window
 
 from .joins import attach_scalars, materialize
 from .quantiles import exact_quantiles
 
 
-def _dc(approx: bool):
-    return F.approx_count_distinct if approx else F.count_distinct
-
-
 def ddos(df: DataFrame, window: str = "5 minutes", min_connections: int = 100, min_packets: int = 100000,
          ts: str = "timestamp") -> DataFrame:
     """Connections and packets per source per tumbling window; alert when either is high."""
@@ -31,9 +33,24 @@ def ddos(df: DataFrame, window: str = "5 minutes", min_connections: int = 100, m
         F.col("w.start").alias("window_start"), "src_ip", "connections", "packets")
 
 
+def pane_length(window: str, slide: str) -> str:
+    """The longest tumbling window that divides ``window`` and ``slide``."""
+    return f"{gcd(*(int(pd.Timedelta(x).total_seconds()) for x in (window, slide)))} seconds"
+
+
 def _scan(df, target, window, slide, min_distinct, ts, approx, name):
-    g = df.where(F.col(ts).isNotNull()).groupBy(F.window(ts, window, slide).alias("w"), "src_ip").agg(
-        _dc(approx)(target).alias(name), F.count(F.lit(1)).alias("connections"))
+    pane = F.window(ts, pane_length(window, slide)).alias("p")
+    rows = df.where(F.col(ts).isNotNull())
+    if approx:  # a sketch takes numbers or texts; null targets are not counted
+        kind = "bigint" if isinstance(df.schema[target].dataType, IntegralType) else "string"
+        panes = rows.groupBy(pane, "src_ip").agg(F.hll_sketch_agg(F.col(target).cast(kind)).alias("held"),
+                                                 F.count(F.lit(1)).alias("n"))
+        distinct = F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("held")), F.lit(0))
+    else:
+        panes = rows.groupBy(pane, "src_ip", F.col(target).alias("held")).agg(F.count(F.lit(1)).alias("n"))
+        distinct = F.count_distinct("held")
+    g = (panes.withColumn("t", F.col("p.start")).groupBy(F.window("t", window, slide).alias("w"), "src_ip")
+         .agg(distinct.alias(name), F.sum("n").alias("connections")))
     return g.where(F.col(name) >= min_distinct).select(F.col("w.start").alias("window_start"), "src_ip", name,
                                                         "connections")
 

@@ -484,6 +484,18 @@ def q_threat_network_scan(spark, sf):
     return TH.network_scan(C.ended_events(spark, sf), "1 day", "12 hours", min_hosts=4)
 
 
+@register("threat_port_scan_sketch", _slide_sql("dst_port", "distinct_ports", 4))
+def q_threat_port_scan_sketch(spark, sf):
+    """Distinct destination ports from one mergeable sketch per source and pane."""
+    return TH.port_scan(C.ended_events(spark, sf), "1 day", "12 hours", min_ports=4, approx=True)
+
+
+@register("threat_network_scan_sketch", _slide_sql("dst_ip", "distinct_hosts", 4))
+def q_threat_network_scan_sketch(spark, sf):
+    """D3: distinct destinations from one mergeable sketch per source and pane."""
+    return TH.network_scan(C.ended_events(spark, sf), "1 day", "12 hours", min_hosts=4, approx=True)
+
+
 @register("threat_exfiltration", """
 , s AS (SELECT src_ip, CAST(sum(bytes_sent) AS BIGINT) AS bytes_out, CAST(sum(bytes_rcvd) AS BIGINT) AS bytes_in,
                count(*) AS sessions, round(sum(bytes_sent) / (sum(bytes_rcvd) + 1.0), 6) AS out_in_ratio FROM feat GROUP BY src_ip),

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 
 from netsift.operators.detectors import DBSCAN
-from netsift.operators.detectors.neighbors import RangeIndex, _needed, knn, pairs_visited
+from netsift.operators.detectors.neighbors import Balls, RangeIndex, _distances, _join_cells, knn, pairs_visited
 
 
 def _frame(spark, x):
@@ -41,12 +41,52 @@ def test_knn_without_data(spark):
     assert [r.nbrs for r in knn(df, df.limit(0), 2).collect()] == [[], [], []]
 
 
-def test_clustered_data_visit_few_pairs(spark):
+@pytest.mark.parametrize("clusters", [20, 60])
+def test_clustered_data_visit_few_pairs(spark, clusters):
+    """At two sizes: a query row is sent to few cells, and a cell is met by few queries."""
     rng = np.random.default_rng(2)
-    x = (rng.normal(size=(20, 1, 6)) * 100 + rng.normal(size=(20, 100, 6))).reshape(-1, 6)
+    x = (rng.normal(size=(clusters, 1, 6)) * 100 + rng.normal(size=(clusters, 100, 6))).reshape(-1, 6)
     ix = RangeIndex(_frame(spark, x), 3.0, block=50)
-    need = _needed(ix.points.select("x", "cell", "salt"), ix.pivots, 3.0)
-    assert pairs_visited(ix.points, ix.points, need) < 0.2 * len(x) ** 2
+    sent, pairs = pairs_visited(ix.points.select("x"), ix.pivots, 3.0)
+    assert sent < 5 * len(x) and pairs < 4 * len(x) ** 2 / clusters
+
+
+def test_groups_are_bounded(spark):
+    """A cell of many rows and many queries is split, and every pair still meets once."""
+    x = np.round(RNG.normal(size=(700, 2)), 3)
+    ix = RangeIndex(_frame(spark, x), 0.5, block=10 ** 6)  # one cell
+    sizes = "nq long, nd long"
+    body = lambda q, c: pd.DataFrame({"nq": [len(q)], "nd": [len(c)]})
+    p = ix.points.select("id", "x", "cell")
+    got = _join_cells(p, p, ix.pivots, body, sizes, cell_rows=100, query_rows=150, reach=0.5).collect()
+    assert max(r.nq for r in got) < 250 and max(r.nd for r in got) < 180
+    assert sum(r.nq * r.nd for r in got) == len(np.unique(x, axis=0)) ** 2
+
+
+@pytest.mark.parametrize("shape", sorted(SHAPES))
+def test_balls_against_all_pairs(shape):
+    x = np.round(SHAPES[shape], 3)
+    q = np.vstack([x[::3], x[:5] + 0.25])
+    d, ids = _distances(q, x), np.arange(len(x))[::-1].copy()
+    balls = Balls(x, leaf=8)
+    assert sorted(np.concatenate(balls.rows).tolist()) == list(range(len(x)))
+    dist, near = balls.nearest(q, 4, ids, np.full(len(q), np.inf))
+    for i, row in enumerate(d):
+        best = np.lexsort((ids, row))[:4]
+        assert near[i][:len(best)].tolist() == ids[best].tolist() and np.array_equal(dist[i][:len(best)], row[best])
+    for eps in (0.0, 0.3, 1.0):
+        held = np.zeros(d.shape, bool)
+        for r, whole, some, hit in balls.within(q, eps):
+            held[np.ix_(whole, r)] = True
+            held[np.ix_(some, r)] = hit
+        assert np.array_equal(held, d <= eps)
+
+
+def test_dense_balls_are_taken_without_distances():
+    x = np.vstack([RNG.normal(size=(5000, 3)) * 1e-3, RNG.normal(size=(200, 3)) * 50])
+    balls = Balls(x)
+    measured = sum(hit.size for _, _, _, hit in balls.within(x, 1.0))
+    assert measured < 0.1 * len(x) ** 2  # some balls hold outliers beside a few dense rows
 
 
 def test_dbscan_follows_a_long_chain(spark):
