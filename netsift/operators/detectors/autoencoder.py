@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ...schema import (AE_BATCH, AE_DROPOUT, AE_ENCODING, AE_EPOCHS, AE_HIDDEN, AE_PATIENCE, AE_VALIDATION,
                        DEFAULT_CONTAMINATION, SEED)
-from .base import Detector, DetectorModel, as_array, with_score
+from .base import Detector, DetectorModel, as_array
 from .training import run_round, shards
 
 
@@ -158,9 +158,9 @@ class AutoencoderModel(DetectorModel):
         super().__init__(params, threshold, features_col)
         self.weights = np.asarray(weights, dtype=float)
 
-    def score(self, df: DataFrame) -> DataFrame:
+    def matrix_scorer(self):
         sizes, w = self.params["sizes"], self.weights
-        return with_score(df, self.features_col, (lambda x: recon_error(w, sizes, x)) if sizes else None)
+        return (lambda x: recon_error(w, sizes, x)) if sizes else None
 
     def _tables(self):
         return {"weights": self._spark().createDataFrame(pd.DataFrame({"w": [self.weights.tolist()]}), "w array<double>")}

@@ -61,9 +61,13 @@ class DetectorModel:
         self.features_col = features_col
 
     # -- scoring ---------------------------------------------------------
-    def score(self, df: DataFrame) -> DataFrame:  # pragma: no cover - abstract
+    def matrix_scorer(self) -> Callable[[np.ndarray], np.ndarray] | None:
+        """Scores of a feature matrix, for models that score rows one by one (None: no training row)."""
         raise NotImplementedError
 
+    def score(self, df: DataFrame) -> DataFrame:
+        return with_score(df, self.features_col, self.matrix_scorer())
+
     def set_threshold(self, threshold: float) -> None:
         self.threshold = threshold
 

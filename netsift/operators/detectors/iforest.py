@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ...schema import DEFAULT_CONTAMINATION, IFOREST_MAX_SAMPLES, IFOREST_TREES, SEED
 from ..joins import materialize
-from .base import Detector, DetectorModel, as_array, with_score
+from .base import Detector, DetectorModel, as_array
 
 EULER = 0.5772156649015329
 
@@ -161,9 +161,9 @@ class IsolationForestModel(DetectorModel):
         size[ti, ni] = f["size"].to_numpy()
         return feat, split, left, right, size
 
-    def score(self, df: DataFrame) -> DataFrame:
-        if not len(self.forest):  # no training row
-            return with_score(df, self.features_col, None)
+    def matrix_scorer(self):
+        if not len(self.forest):
+            return None
         feat, split, left, right, size = self._arrays()
         leaf_adj = c_factor(size)
         cpsi = float(c_factor([self.params["max_samples"]])[0]) or 1.0
@@ -187,7 +187,7 @@ class IsolationForestModel(DetectorModel):
                 total += depth + leaf_adj[t, node]
             return np.power(2.0, -(total / feat.shape[0]) / cpsi)
 
-        return with_score(df, self.features_col, run)
+        return run
 
     def _tables(self):
         return {"forest": self._spark().createDataFrame(self.forest, NODE_SCHEMA)}

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...schema import DEFAULT_CONTAMINATION, SEED
-from .base import Detector, DetectorModel, as_array, with_score
+from .base import Detector, DetectorModel, as_array
 from .training import run_round, shards
 
 
@@ -97,9 +97,9 @@ class OneClassSVMModel(DetectorModel):
         # ν-property: ρ is the ν-quantile of the training margins w·z (exact, distributed)
         self.rho, self.threshold = -threshold, threshold
 
-    def score(self, df: DataFrame) -> DataFrame:
+    def matrix_scorer(self):
         W, b, w = self.W, self.b, self.w
-        return with_score(df, self.features_col, (lambda x: -(rff(x, W, b) @ w)) if len(W) else None)
+        return (lambda x: -(rff(x, W, b) @ w)) if len(W) else None
 
     def _tables(self):
         pdf = pd.DataFrame({"proj": [self.W.ravel().tolist()], "phase": [self.b.tolist()],

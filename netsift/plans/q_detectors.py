@@ -4,11 +4,18 @@ row counts here and by property tests."""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
-from ..operators.detectors import (Autoencoder, DBSCAN, IsolationForest, LocalOutlierFactor, OneClassSVM,
+from ..operators import ensemble
+from ..operators.detectors import (Autoencoder, DBSCAN, DetectorStage, ForestTable, IsolationForest, LocalOutlierFactor, OneClassSVM,
                                    pca_2d)
+from ..operators.detectors.base import fit_threshold
 from ..operators.features import fit_scaler
+from ..operators.joins import materialize
+from ..session import shared_path
 from . import catalog as C
 from .registry import r6, register
 
@@ -187,3 +194,117 @@ def q_pca_variances(spark, sf):
     return p.agg(r6(F.var_samp("pc1"), "var_1"), r6(F.var_samp("pc2"), "var_2"),
                  F.abs(r6(F.covar_samp("pc1", "pc2"), "x")).alias("covariance"),
                  F.round(F.lit(ratios[0] if ratios else None).cast("double"), 6).alias("explained_1"))
+
+
+# The relational forest: every draw is a hash of seed, tree and id or node, so SQL grows the same forest.
+FOREST = {"n_trees": 16, "max_samples": 64, "seed": 42}
+
+
+def _hash_unit(*parts: str) -> str:
+    return "(('0x' || substr(md5(" + " || '-' || ".join(parts) + "), 1, 8))::UBIGINT::DOUBLE / 4294967296.0)"
+
+
+def _forest_ctes() -> str:
+    """CTEs fs (vec_id, score): the forest grown on ``emb`` and walked, level by level."""
+    t, psi, seed = FOREST["n_trees"], FOREST["max_samples"], f"'{FOREST['seed']}'"
+    levels = (psi - 1).bit_length()
+    out = [f"fn AS (SELECT count(*) AS n, least(1.0, 4.0 * {psi} * {t} / greatest(count(*), 1)) AS f FROM emb)",
+           f"""m0 AS (SELECT tree, 1::BIGINT AS node, x FROM (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY u, vec_id::VARCHAR) AS k FROM (
+    SELECT tree, vec_id, x, f, n, {_hash_unit(seed, 'tree', 'vec_id')} AS u FROM emb, fn, range({t}) AS r(tree)
+    WHERE {_hash_unit(seed, "'*'", 'vec_id')} < f)
+  WHERE u < least(1.0, 4.0 * {psi} / greatest(n, 1)) / f) WHERE k <= {psi})"""]
+    for d in range(levels):
+        out.append(f"""s{d} AS (SELECT tree, node, b.f AS f, b.lo + {_hash_unit(seed, 'tree', 'node')} * (b.hi - b.lo) AS split FROM (
+  SELECT tree, node, arg_min({{'f': f, 'lo': lo, 'hi': hi}}, md5({seed} || '-' || tree || '-' || node || '-' || f)) AS b FROM (
+    SELECT tree, node, f, min(v) AS lo, max(v) AS hi FROM (
+      SELECT tree, node, unnest(x) AS v, generate_subscripts(x, 1) - 1 AS f FROM m{d}) GROUP BY tree, node, f HAVING max(v) > min(v))
+  GROUP BY tree, node))""")
+        out.append(f"""m{d + 1} AS (SELECT tree, CASE WHEN split IS NULL THEN node ELSE 2 * node + (x[f + 1] >= split)::INT END AS node, x
+  FROM m{d} LEFT JOIN s{d} USING (tree, node))""")
+    out.append(f"leaf AS (SELECT tree, node, count(*) AS size FROM m{levels} GROUP BY tree, node)")
+    out.append(f"w0 AS (SELECT vec_id, x, tree, 1::BIGINT AS node, 0 AS h FROM emb, range({t}) AS r(tree))")
+    for d in range(levels):
+        out.append(f"""w{d + 1} AS (SELECT vec_id, x, tree, CASE WHEN split IS NULL THEN node ELSE 2 * node + (x[f + 1] >= split)::INT END AS node,
+  h + (split IS NOT NULL)::INT AS h FROM w{d} LEFT JOIN s{d} USING (tree, node))""")
+
+    def c(n: str) -> str:
+        return f"CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1) + 0.5772156649015329) - 2 * ({n} - 1)::DOUBLE / {n} WHEN {n} = 2 THEN 1.0 ELSE 0.0 END"
+    out.append(f"""fs AS (SELECT vec_id, round(pow(2.0, -avg(h + {c('coalesce(size, 0)')}) / any_value({c(f'least({psi}, n)')})), 9) AS score
+  FROM w{levels} LEFT JOIN leaf USING (tree, node), fn GROUP BY vec_id)""")
+    return ",\n".join(out)
+
+
+def _forest(spark, sf):
+    """Scores of the embeddings, rounded so that both engines flag the same rows."""
+    m = ForestTable(contamination=0.05, **FOREST)._train(_embeddings(spark, sf))
+    scored = m.score(_embeddings(spark, sf)).withColumn("anomaly_score", F.round("anomaly_score", 9))
+    return m, scored
+
+
+@register("forest_table_scores", EMB_CTE + ",\n" + _forest_ctes() + """
+SELECT vec_id, round(score, 6) AS anomaly_score, (score > (SELECT quantile_cont(score, 0.95) FROM fs))::INTEGER AS is_anomaly FROM fs""")
+def q_forest_table_scores(spark, sf):
+    """Isolation forest as a relation, grown and scored in the JVM: score and flag of every row."""
+    m, scored = _forest(spark, sf)
+    scored = materialize(scored)
+    m.set_threshold(fit_threshold(scored, "anomaly_score", 95.0))
+    return m.flag(scored).select(F.col("id").alias("vec_id"), r6("anomaly_score"), "is_anomaly")
+
+
+ENSEMBLE_SQL = LOF_SQL[:LOF_SQL.index("SELECT id AS vec_id")].rstrip() + """,
+deg AS (SELECT a AS id, count(*) AS degree FROM d WHERE dist <= 1.2 GROUP BY a),
+reach AS (SELECT DISTINCT d.a AS id FROM d JOIN deg ON deg.id = d.b AND degree >= 10 WHERE d.dist <= 1.2),
+""" + _forest_ctes() + """,
+z AS (SELECT q.id AS vec_id, round(mean_lrd / lrd_q, 6) AS lof, (mean_lrd / lrd_q > t)::INTEGER AS f_lof,
+             (q.id NOT IN (SELECT id FROM reach))::INTEGER AS f_dbscan, fs.score AS forest,
+             (fs.score > (SELECT quantile_cont(score, 0.95) FROM fs))::INTEGER AS f_forest FROM q JOIN fs ON fs.vec_id = q.id, lthr),
+r AS (SELECT *, percent_rank() OVER (ORDER BY lof) AS a, percent_rank() OVER (ORDER BY f_dbscan) AS b,
+             percent_rank() OVER (ORDER BY forest) AS c FROM z)
+SELECT vec_id, f_dbscan AS flag_dbscan, f_forest AS flag_forest, f_lof AS flag_lof, f_dbscan + f_forest + f_lof AS n_votes,
+       (f_dbscan + f_forest + f_lof >= 2)::INTEGER AS is_anomaly, round((a + b + c) / 3, 6) AS mean_rank FROM r"""
+
+
+@register("ensemble_vote", ENSEMBLE_SQL)
+def q_ensemble_vote(spark, sf):
+    """Majority vote and mean rank of LOF, DBSCAN and the relational forest, by row id."""
+    e = _embeddings(spark, sf)
+    _, lof = LocalOutlierFactor(n_neighbors=20, contamination=0.05).fit_transform(e)
+    m, forest = _forest(spark, sf)
+    forest = materialize(forest)
+    m.set_threshold(fit_threshold(forest, "anomaly_score", 95.0))
+    got = ensemble.vote({"lof": lof.withColumn("anomaly_score", F.round("anomaly_score", 6)), "forest": m.flag(forest),
+                         "dbscan": DBSCAN(eps=1.2, min_samples=10).fit_predict(e)})
+    return got.withColumnRenamed("id", "vec_id").withColumn("mean_rank", r6("mean_rank"))
+
+
+ALL_FIVE = ["autoencoder", "dbscan", "isolation_forest", "lof", "one_class_svm"]
+
+
+@register("train_save_apply", f"""
+SELECT m.model, count(*) AS n, 0::BIGINT AS n_changed FROM closed, (VALUES {', '.join(f"('{m}')" for m in ALL_FIVE)}) AS m(model)
+WHERE CAST(session_id AS BIGINT) % 8 = 1 AND dur_s > 0 AND has_create = 1 GROUP BY m.model""")
+def q_train_save_apply(spark, sf):
+    """Every detector trained on one part of the log as an ML pipeline, saved, loaded and
+    applied to another part, where it scores every session as the unsaved one does."""
+    s = C.sessions_df(spark, sf)
+    part = F.col("session_id").cast("long") % 8
+    paired = C.flows_df(spark, sf).where("has_create = 1").select("session_id")
+    f = C.engineer_features(s.join(paired, "session_id", "left_semi"), C.FIXTURE_YEAR)
+    old, new = materialize(f.where(part == 0)), materialize(f.where(part == 1))
+    scaler = fit_scaler(old)
+    out = None
+    for name in ALL_FIVE:
+        options = '{"epochs": 10}' if name == "autoencoder" else '{"rounds": 6}' if name == "one_class_svm" else "{}"
+        stage = DetectorStage(detector=name, contamination=0.05, idCol="session_id", options=options)
+        model = Pipeline(stages=[*scaler.stages, stage]).fit(old)
+        path = shared_path(spark, f"pipeline-{name}-{uuid.uuid4().hex}")
+        model.write().save(path)
+        cols = ["session_id", "anomaly_score", "is_anomaly"]
+        again = PipelineModel.load(path).transform(new).select(F.col("session_id").alias("k"), F.col("anomaly_score").alias("s"),
+                                                               F.col("is_anomaly").alias("a"))
+        both = model.transform(new).select(*cols).join(again, F.col("session_id") == F.col("k"), "full")
+        same = F.col("anomaly_score").eqNullSafe(F.col("s")) & F.col("is_anomaly").eqNullSafe(F.col("a"))
+        got = both.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n"), F.sum((~same).cast("long")).alias("n_changed"))
+        out = got if out is None else out.unionByName(got)
+    return out
