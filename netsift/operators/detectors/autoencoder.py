@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ...schema import (AE_BATCH, AE_DROPOUT, AE_ENCODING, AE_EPOCHS, AE_HIDDEN, AE_PATIENCE, AE_VALIDATION,
                        DEFAULT_CONTAMINATION, SEED)
 from .base import Detector, DetectorModel, as_array
-from .training import run_round, shards
+from .training import pack, run_round, shards
 
 
 def layer_sizes(d: int, hidden=AE_HIDDEN, enc=AE_ENCODING) -> list[int]:
@@ -126,7 +126,7 @@ class Autoencoder(Detector):
                                      "val_loss": []}, np.zeros(0), features_col=self.features_col)
         d = len(row["x"])
         sizes = layer_sizes(d, AE_HIDDEN, self.encoding_dim)
-        data = shards(x, self.val, self.seed)
+        data = pack(shards(x, self.val, self.seed))
         w = init_weights(sizes, self.seed)
         k = len(w)
         w = np.concatenate([w, np.zeros(2 * k)])

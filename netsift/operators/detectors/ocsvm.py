@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ...schema import DEFAULT_CONTAMINATION, SEED
 from .base import Detector, DetectorModel, as_array
-from .training import run_round, shards
+from .training import pack, run_round, shards
 
 
 def rff(X, W, b):
@@ -60,7 +60,7 @@ class OneClassSVM(Detector):
         def local(wr, X, rnd):  # wr = [w..., rho]
             r = np.random.default_rng([seed, rnd, len(X)])
             w, rho = wr[:-1], wr[-1]
-            Z = rff(X, W, b)
+            Z = X  # the packed shards hold the Fourier features
             lr = lr0 / np.sqrt(1.0 + rnd)
             passes = max(1, -(-min_steps // max(1, -(-len(Z) // batch))))  # ≥ min_steps updates per round
             for _ in range(passes):
@@ -73,12 +73,12 @@ class OneClassSVM(Detector):
                     w, rho = w - lr * gw, rho - lr * grho
             return np.concatenate([w, [rho]])
 
-        def loss(wr, X):
-            if len(X) == 0:
+        def loss(wr, Z):
+            if len(Z) == 0:
                 return np.zeros(0)
-            return np.maximum(0.0, wr[-1] - rff(X, W, b) @ wr[:-1]) / nu - wr[-1]
+            return np.maximum(0.0, wr[-1] - Z @ wr[:-1]) / nu - wr[-1]
 
-        data = shards(x, 0.0, self.seed)
+        data = pack(shards(x, 0.0, self.seed), lambda m: rff(m, W, b))
         wr = np.concatenate([np.full(self.D, 1.0 / np.sqrt(self.D)), [0.0]])
         for rnd in range(self.rounds):
             wr, _, _ = run_round(data, wr, local, loss, rnd)

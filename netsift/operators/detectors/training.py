@@ -3,9 +3,12 @@
 Equal rows are counted first and dealt to shards in lots of at most ``LOT`` copies by a hash of
 their values and the lot's number, so that a vector that holds a third of all rows is spread
 over the shards like any other. The number of shards follows from the number of rows (about
-``SHARD_ROWS`` each), and rows are ordered within a shard. The sharded table is checkpointed once. One round = one Spark job: the current state (weights,
-and the optimiser's moments) travels in the task closure, every shard runs one local
-epoch of mini-batch updates, and the states are averaged, weighted by rows. A fitted model so depends on
+``SHARD_ROWS`` each), and rows are ordered within a shard. A shard is packed into one row: its
+matrix as bytes, after a fixed feature map (such as random Fourier features) where the model
+has one; the packed table is checkpointed once, so a round reads matrices and maps nothing
+again. One round = one Spark job: the current state (weights, and the optimiser's moments)
+travels in the task closure, every shard runs one local epoch of mini-batch updates, and the
+states are averaged, weighted by rows. A fitted model so depends on
 the rows only, not on how the input was split. A task holds one shard at a time; the
 driver receives one vector per round, summed in two levels. Validation lots are chosen by the
 same hash.
@@ -30,6 +33,7 @@ ROUND_SCHEMA = "n long, wsum array<double>, vloss double, vn long"
 SHARD_ROWS = 12_800
 LOT = 1_600
 SUM_GROUPS = 32
+BATCH_BYTES = "32m"
 
 
 def shards(x: DataFrame, validation: float, seed: int) -> DataFrame:
@@ -42,37 +46,54 @@ def shards(x: DataFrame, validation: float, seed: int) -> DataFrame:
     rows = lots.select(F.pmod(F.xxhash64(h), F.lit(k)).cast("int").alias("shard"), h.alias("h"),
                        (F.pmod(h, F.lit(1_000_000)) < int(validation * 1_000_000)).alias("is_val"), "m", "x")
     n = min(k, int(x.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return materialize(rows.repartition(n, "shard").sortWithinPartitions("shard", "h", "x")
-                       .select("shard", "is_val", "x", "m"))
+    return rows.repartition(n, "shard").sortWithinPartitions("shard", "h", "x").select("shard", "is_val", "x", "m")
+
+
+def pack(rows: DataFrame, feature_map: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    """(shard, d, x, m, is_val): one row per shard of ``shards``, its columns as bytes (checkpointed)."""
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)  # a few shards a batch
+
+    def one(key: int, parts: list[pd.DataFrame]) -> pd.DataFrame:
+        pdf = pd.concat(parts)
+        x = np.array(pdf["x"].tolist(), dtype=float)
+        x = x if feature_map is None else feature_map(x)
+        return pd.DataFrame({"shard": [key], "d": [x.shape[1]], "x": [np.ascontiguousarray(x).tobytes()],
+                             "m": [pdf["m"].to_numpy(np.int64).tobytes()], "is_val": [pdf["is_val"].to_numpy(bool).tobytes()]})
+
+    def go(batches):
+        held, at = [], None  # the rows of one shard; shards follow one another
+        for pdf in batches:
+            for key, part in pdf.groupby("shard", sort=True):
+                if held and key != at:
+                    yield one(at, held)
+                    held = []
+                at = key
+                held.append(part)
+        if held:
+            yield one(at, held)
+
+    return materialize(rows.mapInPandas(go, "shard int, d int, x binary, m binary, is_val binary"))
 
 
 def run_round(data: DataFrame, state: np.ndarray,
               local_epoch: Callable[[np.ndarray, np.ndarray, int], np.ndarray],
               loss: Callable[[np.ndarray, np.ndarray], np.ndarray], round_no: int) -> tuple[np.ndarray, float, int]:
-    """One synchronous round; returns (averaged state, validation loss of ``state``, train rows)."""
+    """One synchronous round over packed shards; returns (averaged state, validation loss of ``state``, train rows)."""
     s0 = state.copy()
 
-    def shard(rows: list[pd.DataFrame]) -> pd.DataFrame:
-        pdf = pd.concat(rows)
-        m = pdf["m"].to_numpy()
-        X = np.repeat(np.array(pdf["x"].tolist(), dtype=float), m, axis=0)
-        val = np.repeat(pdf["is_val"].to_numpy(dtype=bool), m)
+    def shard(row) -> pd.DataFrame:
+        m = np.frombuffer(row.m, np.int64)
+        X = np.repeat(np.frombuffer(row.x, float).reshape(-1, row.d), m, axis=0)
+        val = np.repeat(np.frombuffer(row.is_val, bool), m)
         tr, va = X[~val], X[val]
         w = local_epoch(s0.copy(), tr, round_no) if len(tr) else s0
         vl = float(loss(s0, va).sum()) if len(va) else 0.0
         return pd.DataFrame({"n": [len(tr)], "wsum": [(w * len(tr)).tolist()], "vloss": [vl], "vn": [len(va)]})
 
     def part(batches):
-        held, at = [], None  # the rows of one shard; shards follow one another
         for pdf in batches:
-            for key, rows in pdf.groupby("shard", sort=True):
-                if held and key != at:
-                    yield shard(held)
-                    held = []
-                at = key
-                held.append(rows)
-        if held:
-            yield shard(held)
+            for row in pdf.itertuples():
+                yield shard(row)
 
     r = data.mapInPandas(part, ROUND_SCHEMA)
     sums = [Summarizer.sum(F.col("w")).alias("w"), *(F.sum(c).alias(c) for c in ("n", "vloss", "vn"))]

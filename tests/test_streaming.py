@@ -98,3 +98,26 @@ def test_replayed_batch_writes_its_alerts_once(spark, scratch):
     for batch_id in (0, 1, 0):
         handle(spark.range(5), batch_id)
     assert spark.read.parquet(os.path.join(scratch, "alerts")).count() == 10
+
+
+def test_stream_pairing_stays_in_the_jvm(spark, scratch):
+    os.makedirs(os.path.join(scratch, "in"))
+    s = pair_stream(parse_stream(spark, os.path.join(scratch, "in")), C.FIXTURE_YEAR)
+    plan = s._jdf.queryExecution().analyzed().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Join LeftOuter" in plan and "DeduplicateWithinWatermark" in plan
+
+
+def test_late_and_repeated_events_are_dropped_and_counted(spark, scratch):
+    from netsift.streaming import closed_windows_stream, run_available
+    path, seen = os.path.join(scratch, "in"), []
+    os.makedirs(path)
+    batches = [[_line("10:00:00", "CLOSE", 1), _line("10:30:00", "CLOSE", 2), _line("12:00:00", "CLOSE", 3)],
+               [_line("10:40:00", "CLOSE", 4), _line("11:40:00", "CLOSE", 5), _line("12:00:00", "CLOSE", 3), _line("15:00:00", "CLOSE", 6)]]
+    dropped = []
+    for i, lines in enumerate(batches):
+        with open(os.path.join(path, f"{i}.txt"), "w") as f:
+            f.write("\n".join(lines) + "\n")
+        s = closed_windows_stream(closed_stream(parse_stream(spark, path), C.FIXTURE_YEAR, "30 minutes"))
+        dropped.append(run_available(s, os.path.join(scratch, "ck"), lambda b, k: seen.extend((r.window_start.hour, r.sessions) for r in b.collect())))
+    assert sorted(seen) == [(10, 2), (11, 1), (12, 1)]  # 4 came too late, 3 came twice, 6's window is open
+    assert dropped == [{"late": 0, "repeated": 0}, {"late": 1, "repeated": 1}]
