@@ -6,16 +6,18 @@ applies a linear softmax; both are trained by mini-batch stochastic gradient des
 NumPy on the driver, on a bounded sample: at most ``sample_per_lang`` labelled documents
 of each language, chosen by a hash of the id (a documented bound, whatever the input).
 Executors turn the sampled texts into n-gram counts, so the driver receives
-counts, never texts.
+sparse counts, never texts.
 
 A softmax of a mean is linear in the n-gram counts, so scoring reads one row of
 ``embeddings @ weights`` per n-gram of the whole text. Probabilities are calibrated by a
-temperature fitted on the sample's calibration part, and ``rejected`` marks scores below
+temperature fitted on a fifth of the sampled documents, chosen by a hash of the text and not
+trained on, and ``rejected`` marks scores below
 the lowest confidence at which that part is right at the target precision.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; an empty
 training set makes every document ``und``; null languages are never learned; repeated
-rows are each scored; column names other than the given ones are not read.
+rows are each scored; of several texts of one sampled id the least is learned; an empty table
+gives an empty result; column names other than the given ones are not read.
 """
 
 from __future__ import annotations
@@ -101,16 +103,28 @@ class LanguageModel:
         return self.probabilities(total, n)
 
 
-def train(counts: np.ndarray, y: np.ndarray, langs: list[str], dim: int = 16, epochs: int = 30,
+@dataclass
+class Counts:
+    """n-gram counts of pieces of text, as compressed rows: buckets and counts of each."""
+    cut: np.ndarray
+    ids: np.ndarray
+    ns: np.ndarray
+
+    def means(self, rows: np.ndarray) -> np.ndarray:
+        """The given rows as dense shares of BUCKETS."""
+        out = np.zeros((len(rows), BUCKETS), np.float32)
+        for at, r in enumerate(rows):
+            part = slice(self.cut[r], self.cut[r + 1])
+            out[at, self.ids[part]] = self.ns[part] / max(self.ns[part].sum(), 1)
+        return out
+
+
+def train(x: Counts, y: np.ndarray, cal: np.ndarray, langs: list[str], dim: int = 16, epochs: int = 30,
           rate: float = 0.5, batch: int = 64, seed: int = 7, target_precision: float = 0.99) -> LanguageModel:
-    """SGD on mean embeddings + softmax; one row in five calibrates and is not trained on."""
+    """SGD on mean embeddings + softmax; the rows marked ``cal`` calibrate and are not trained on."""
     rng = np.random.default_rng(seed)
     k = len(langs)
-    x = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
-    cal = np.arange(len(y)) % 5 == 0
-    if cal.all() or len(y) < 10:
-        cal = np.zeros(len(y), bool)
-    xt, yt = x[~cal], y[~cal]
+    rows, yt = np.flatnonzero(~cal), y[~cal]
     e = rng.normal(0, 0.1, (BUCKETS, dim)).astype(np.float32)
     w = np.zeros((dim, k), np.float32)
     bias = np.zeros(k, np.float32)
@@ -121,7 +135,10 @@ def train(counts: np.ndarray, y: np.ndarray, langs: list[str], dim: int = 16, ep
         order = rng.permutation(len(yt))
         for at in range(0, len(order), batch):
             i = order[at:at + batch]
-            h = scale * (xt[i] @ e)
+            xb = x.means(rows[i])
+            used = np.flatnonzero(xb.any(axis=0))  # buckets of the batch: the others do not change
+            xb = xb[:, used]
+            h = scale * (xb @ e[used])
             z = h @ w + bias
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
@@ -130,11 +147,12 @@ def train(counts: np.ndarray, y: np.ndarray, langs: list[str], dim: int = 16, ep
             gh = p @ w.T
             w -= step * (h.T @ p)
             bias -= step * p.sum(axis=0)
-            e -= step * scale * (xt[i].T @ gh)
+            e[used] -= step * scale * (xb.T @ gh)
     m = LanguageModel(langs, (scale * (e @ w)).astype(np.float64), bias.astype(np.float64), 1.0, 0.0)
     if cal.any():
-        z = x[cal] @ m.table + m.bias
-        yc = y[cal]
+        held = np.flatnonzero(cal)
+        mean = np.concatenate([x.means(held[a:a + batch]) @ m.table for a in range(0, len(held), batch)])
+        z, yc = mean + m.bias, y[cal]
 
         def loss(t: float) -> float:
             v = z / t
@@ -142,7 +160,7 @@ def train(counts: np.ndarray, y: np.ndarray, langs: list[str], dim: int = 16, ep
             return float(np.mean(np.log(np.exp(v).sum(axis=1)) - v[np.arange(len(yc)), yc]))
 
         m.temperature = min((0.25 * 1.15 ** j for j in range(31)), key=loss)
-        p = m.probabilities(x[cal] @ m.table, np.ones(len(yc), np.int64))
+        p = m.probabilities(mean, np.ones(len(yc), np.int64))
         conf, right = p.max(axis=1), p.argmax(axis=1) == yc
         order = np.argsort(-conf, kind="stable")
         good = np.cumsum(right[order]) / np.arange(1, len(order) + 1) >= target_precision
@@ -174,8 +192,8 @@ def _segments(raw: bytes) -> list[bytes]:
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        ids, ns, ys = [], [], []
-        for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        ids, ns, ys, keys = [], [], [], []
+        for t, y, key in zip(*(b.column(j).to_pylist() for j in range(3))):
             for seg in _segments((t or "").encode()):
                 v = text_counts(seg)
                 at = np.flatnonzero(v)
@@ -183,9 +201,10 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     ids.append(at.astype(np.int32))
                     ns.append(v[at])
                     ys.append(y)
+                    keys.append(key)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ys, pa.string()), pa.array(ids, pa.list_(pa.int32())), pa.array(ns, pa.list_(pa.float32()))],
-            names=["y", "ids", "ns"])
+            [pa.array(ys, pa.string()), pa.array(ids, pa.list_(pa.int32())), pa.array(ns, pa.list_(pa.float32())),
+             pa.array(keys, pa.int64())], names=["y", "ids", "ns", "key"])
 
 
 def fit(docs: DataFrame, trainable: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -195,8 +214,9 @@ def fit(docs: DataFrame, trainable: Column, doc_id: str = "doc_id", text: str =
     ids = persisted(sample_ids(rows, doc_id, lang, sample_per_lang, seed))
     # bounded by sample_per_lang rows for each language, so safe to broadcast
     picked = (rows.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("y"))
-              .join(F.broadcast(ids.select("id").distinct()), "id").dropDuplicates(["id"]))
-    got = picked.select("t", "y").mapInArrow(_sparse, "y string, ids array<int>, ns array<float>").toArrow()
+              .join(F.broadcast(ids.select("id").distinct()), "id").groupBy("id").agg(F.min(F.struct("t", "y")).alias("r")))
+    got = (picked.select("r.t", "r.y", F.xxhash64("r.t").alias("key"))
+           .mapInArrow(_sparse, "y string, ids array<int>, ns array<float>, key long").toArrow())
     if not len(got):
         return None
     got = got.combine_chunks()
@@ -207,11 +227,14 @@ def fit(docs: DataFrame, trainable: Column, doc_id: str = "doc_id", text: str =
     ids, ns = np.asarray(ids.values), np.asarray(ns.values)
     key = [(int(ids[a:b].sum()), int(b - a), float(ns[a:b].sum()), names[r], r) for r, (a, b) in enumerate(zip(cut, cut[1:]))]
     order = [k[-1] for k in sorted(key)]  # the same whatever the partitioning
-    x = np.zeros((len(order), BUCKETS), np.float32)
-    for at, r in enumerate(order):
-        x[at, ids[cut[r]:cut[r + 1]]] = ns[cut[r]:cut[r + 1]]
+    x = Counts(np.concatenate([[0], np.cumsum([cut[r + 1] - cut[r] for r in order])]),
+               np.concatenate([ids[cut[r]:cut[r + 1]] for r in order]), np.concatenate([ns[cut[r]:cut[r + 1]] for r in order]))
     y = np.array([langs.index(names[r]) for r in order])
-    return train(x, y, langs)
+    # every piece of a document lies on one side, and so do copies of it
+    cal = mix64(got["key"].to_numpy()[order].view(np.uint64)) % np.uint64(5) == 0
+    if cal.all() or len(y) < 10:
+        cal = np.zeros(len(y), bool)
+    return train(x, y, cal, langs)
 
 
 def has_letter(c: Chunk, texts: pa.Array) -> np.ndarray:
