@@ -6,6 +6,7 @@ from .base import DetectorModel
 from .dbscan import DBSCAN, DBSCANModel
 from .forest_table import ForestTable, ForestTableModel
 from .iforest import IsolationForest, IsolationForestModel
+from .ksvm import KernelOneClassSVM, KernelOneClassSVMModel
 from .lof import LocalOutlierFactor, LOFModel
 from .ml import DetectorStage, DetectorStageModel
 from .ocsvm import OneClassSVM, OneClassSVMModel
@@ -13,5 +14,5 @@ from .pca import pca_2d
 from .registry import all_detectors
 
 __all__ = ["Autoencoder", "AutoencoderModel", "DetectorModel", "DetectorStage", "DetectorStageModel", "DBSCAN", "DBSCANModel", "ForestTable", "ForestTableModel", "IsolationForest",
-           "IsolationForestModel", "LocalOutlierFactor", "LOFModel", "OneClassSVM", "OneClassSVMModel",
+           "IsolationForestModel", "KernelOneClassSVM", "KernelOneClassSVMModel", "LocalOutlierFactor", "LOFModel", "OneClassSVM", "OneClassSVMModel",
            "pca_2d", "all_detectors"]

@@ -24,6 +24,7 @@ from .base import DetectorModel
 from .dbscan import DBSCAN, DBSCANModel
 from .forest_table import ForestTable, ForestTableModel
 from .iforest import IsolationForest, IsolationForestModel
+from .ksvm import KernelOneClassSVM, KernelOneClassSVMModel
 from .lof import LocalOutlierFactor, LOFModel
 from .ocsvm import OneClassSVM, OneClassSVMModel
 
@@ -32,6 +33,7 @@ DETECTORS = {
     "isolation_forest": (lambda c, f, i, o: IsolationForest(contamination=c, features_col=f, **o), IsolationForestModel),
     "forest_table": (lambda c, f, i, o: ForestTable(contamination=c, features_col=f, id_col=i, **o), ForestTableModel),
     "one_class_svm": (lambda c, f, i, o: OneClassSVM(nu=c, features_col=f, **o), OneClassSVMModel),
+    "kernel_svm": (lambda c, f, i, o: KernelOneClassSVM(nu=c, features_col=f, **o), KernelOneClassSVMModel),
     "autoencoder": (lambda c, f, i, o: Autoencoder(contamination=c, features_col=f, **o), AutoencoderModel),
     "lof": (lambda c, f, i, o: LocalOutlierFactor(contamination=c, features_col=f, id_col=i, **o), LOFModel),
     "dbscan": (lambda c, f, i, o: DBSCAN(features_col=f, id_col=i, **o), DBSCANModel),

@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from ..operators import ensemble
-from ..operators.detectors import (Autoencoder, DBSCAN, DetectorStage, ForestTable, IsolationForest, LocalOutlierFactor, OneClassSVM,
+from ..operators.detectors import (Autoencoder, DBSCAN, DetectorStage, ForestTable, IsolationForest, KernelOneClassSVM, LocalOutlierFactor, OneClassSVM,
                                    pca_2d)
 from ..operators.detectors.base import fit_threshold
 from ..operators.features import fit_scaler
@@ -308,3 +308,20 @@ def q_train_save_apply(spark, sf):
         got = both.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n"), F.sum((~same).cast("long")).alias("n_changed"))
         out = got if out is None else out.unionByName(got)
     return out
+
+
+@register("kernel_svm_certificate", """
+SELECT count(*) AS n, (count(*) - 1 - floor((count(*) - 1) * 0.95))::BIGINT AS n_flagged, 1 AS within_gap, 1 AS feasible,
+       1 AS planted_first FROM embeddings""")
+def q_kernel_svm_certificate(spark, sf):
+    """M5: Nyström one-class SVM over embeddings with planted outliers: a duality gap within 1% of the squared norm, a
+    mixture of dual points no longer than the unit ball, the ν-property of its flags, and the planted rows in front."""
+    x = _planted(spark, sf)
+    model, scored = KernelOneClassSVM(nu=0.05).fit_transform(x)
+    p = model.params
+    far = F.col("id") % 100 == 7
+    got = scored.agg(F.count(F.lit(1)).alias("n"), F.sum("is_anomaly").cast("long").alias("n_flagged"),
+                     F.min(F.when(far, F.col("anomaly_score"))).alias("least"), F.max(F.when(~far, F.col("anomaly_score"))).alias("most"))
+    ok = lambda b: F.lit(int(b))
+    return got.select("n", "n_flagged", ok(p["gap"] <= 0.01 * p["norm2"]).alias("within_gap"), ok(0 < p["norm2"] <= 1).alias("feasible"),
+                      (F.col("least") > F.col("most")).cast("int").alias("planted_first"))

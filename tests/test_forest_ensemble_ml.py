@@ -11,7 +11,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from netsift.operators import ensemble
-from netsift.operators.detectors import (Autoencoder, DetectorStage, DetectorStageModel, ForestTable, ForestTableModel, IsolationForest,
+from netsift.operators.detectors import (Autoencoder, KernelOneClassSVM, KernelOneClassSVMModel, DetectorStage, DetectorStageModel, ForestTable, ForestTableModel, IsolationForest,
                                          OneClassSVM)
 from netsift.operators.detectors.iforest import c_factor
 from netsift.operators.threats import network_scan, pane_length, port_scan
@@ -142,3 +142,48 @@ def test_panes_give_the_windows_of_rows(spark, window, slide):
             got = {(r.window_start, r.src_ip): (r[name], r.connections) for r in fn(df, window, slide, 2, approx=approx).collect()}
             assert got == want
     assert pane_length("10 minutes", "4 minutes") == "120 seconds"
+
+
+def _exact_dual(k, nu, steps=200_000):
+    """Least a'Ka with 0 <= a <= 1 / (nu n) and sum 1, by pairwise steps on the whole kernel matrix."""
+    n = len(k)
+    top = 1 / (nu * n)
+    a = np.full(n, 1 / n)
+    g = k @ a
+    for _ in range(steps):
+        to = int(np.where(a < top - 1e-15, g, np.inf).argmin())
+        away = int(np.where(a > 1e-15, g, -np.inf).argmax())
+        if g[away] - g[to] < 1e-10:
+            break
+        step = min((g[away] - g[to]) / max(k[to, to] + k[away, away] - 2 * k[to, away], 1e-12), a[away], top - a[to])
+        a[to] += step
+        a[away] -= step
+        g += step * (k[:, to] - k[:, away])
+    return a
+
+
+def test_kernel_svm_against_the_exact_solution(spark, frame, scratch):
+    from netsift.operators.detectors.ksvm import rbf
+    m, scored = KernelOneClassSVM(nu=0.1, gamma=0.3, landmarks=len(X), tol=0.002, rounds=80).fit_transform(frame)
+    k = rbf(X, X, 0.3)
+    a = _exact_dual(k, 0.1)
+    best = float(a @ k @ a)
+    p = m.params
+    assert abs(p["approximation"]) < 1e-6 and 0 <= p["gap"] <= 0.002 * p["norm2"]
+    assert best - 1e-9 <= p["norm2"] <= best + 2 * p["gap"] + 1e-9
+    got = {r.id: (r.anomaly_score, r.is_anomaly) for r in scored.collect()}
+    bound = np.sqrt(2 * p["gap"]) + 1e-6  # |w - w*|, and |z| <= 1
+    assert all(abs(got[i][0] + (k @ a)[i]) <= bound for i in got)
+    assert sum(f for _, f in got.values()) <= 0.1 * len(X) + 1
+    m.save(os.path.join(scratch, "k"))
+    again = KernelOneClassSVMModel.load(spark, os.path.join(scratch, "k")).transform(frame)
+    assert {r.id: (r.anomaly_score, r.is_anomaly) for r in again.collect()} == got
+
+
+def test_kernel_svm_with_few_landmarks_and_no_rows(spark, frame):
+    m = KernelOneClassSVM(nu=0.1, landmarks=40).fit(frame.unionByName(spark.createDataFrame([(1000, None)], frame.schema)))
+    again = KernelOneClassSVM(nu=0.1, landmarks=40).fit(frame.repartition(7))
+    assert np.allclose(m.weights, again.weights) and 0 < m.params["approximation"] < 0.5
+    assert m.params["gap"] <= 0.01 * m.params["norm2"]
+    none = KernelOneClassSVM().fit(frame.limit(0)).transform(frame.limit(2)).collect()
+    assert [(r.anomaly_score, r.is_anomaly) for r in none] == [(None, 0)] * 2
