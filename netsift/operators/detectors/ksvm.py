@@ -96,7 +96,7 @@ class KernelOneClassSVM(Detector):
         x = df.select(as_array(df, self.features_col).alias("x")).where(F.col("x").isNotNull())
         sample = self._sample(x)
         if not len(sample):
-            return KernelOneClassSVMModel({"nu": self.nu}, np.zeros((0, 0)), np.zeros(0), features_col=self.features_col)
+            return KernelOneClassSVMModel({"nu": self.nu, "gap": 0.0, "norm2": 0.0, "approximation": 0.0}, np.zeros((0, 0)), np.zeros(0), features_col=self.features_col)
         gamma = self.gamma or 1.0 / (sample.shape[1] * (sample.var() or 1.0))
         rng = np.random.default_rng(self.seed)
         lev = ridge_leverage(rbf(sample, sample, gamma), len(sample) / (4 * self.landmarks))

@@ -39,8 +39,9 @@ def q_csv_roundtrip(spark, sf):
 def q_stage_roundtrip(spark, sf):
     """Closed sessions written as a stage, partitioned by protocol, and read again."""
     name = f"stage-{uuid.uuid4().hex}"
-    write_stage(C.sessions_df(spark, sf), name, partition_by=["protocol"])
-    return read_stage(spark, name).select(*[c if c != "duration" else r6("duration") for c in SESSION_OUT])
+    s = C.sessions_df(spark, sf)
+    write_stage(s, name, partition_by=["protocol"])
+    return read_stage(spark, name, schema=s.schema).select(*[c if c != "duration" else r6("duration") for c in SESSION_OUT])
 
 
 @register("model_roundtrip", "SELECT count(*) AS n, 0::BIGINT AS n_changed FROM embeddings")

@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.detectors import IsolationForest
+from ..operators.joins import materialize
+from ..schema import CLOSE_EVENT
 from ..session import shared_path
 from ..sources.fixtures import flows, render_lines
 from ..sources.syslog import parse_lines
@@ -153,3 +156,36 @@ def q_stream_pair_timeouts(spark, sf):
     """CLOSE events whose CREATE never came take the default once the watermark has passed."""
     got = _result(spark, pair_stream(_events_stream(spark, sf), C.FIXTURE_YEAR, default_duration=-1.0), "append")
     return got.where(F.col("duration") == -1.0).select("session_id", "src_ip", "dst_port", r6("duration"))
+
+
+@register("stream_scored_alerts", """
+SELECT 0::BIGINT AS n_missing, 0::BIGINT AS n_extra, 0::BIGINT AS n_twice, (count(*) > 0)::INTEGER AS has_alerts FROM closed""")
+def q_stream_scored_alerts(spark, sf):
+    """Alerts of a stream that stops, starts again from its checkpoint with more input, and replays its
+    batches, against one batch scoring with the same model."""
+    measures = ["bytes_sent", "bytes_rcvd", "pkts_sent", "pkts_rcvd"]
+
+    def featurize(df: DataFrame) -> DataFrame:
+        return df.select("session_id", F.array(*(F.log1p(F.col(c).cast("double")) for c in measures)).alias("features"))
+
+    closed = materialize(featurize(C.filtered_events(spark, sf).where(F.col("event_type") == CLOSE_EVENT)))
+    model = IsolationForest(n_trees=50, contamination=0.05).fit(closed)
+    base = shared_path(spark, f"stream-{uuid.uuid4().hex}")
+    lines = C.log_lines(spark, sf)
+    first = F.col("ord.t") < F.lit(CUT).cast("timestamp_ntz")
+    handle = score_batches(featurize, model, f"{base}/alerts", ["session_id", "anomaly_score"])
+
+    def twice(batch: DataFrame, batch_id: int) -> None:  # a replayed batch writes its own partition again
+        handle(batch, batch_id)
+        handle(batch, batch_id)
+
+    spark.createDataFrame([], "session_id string, anomaly_score double, batch_id int").write.partitionBy("batch_id").parquet(f"{base}/alerts")
+    for k, part in enumerate((lines.where(first), lines.where(~first))):
+        part.select("value").write.text(f"{base}/in/batch{k}")
+        run_available(closed_stream(parse_stream(spark, f"{base}/in/*"), C.FIXTURE_YEAR), f"{base}/checkpoint", twice)
+    got = (spark.read.schema("session_id string, anomaly_score double, batch_id int").parquet(f"{base}/alerts")
+           .groupBy(F.col("session_id").alias("k")).agg(F.count(F.lit(1)).alias("n")))
+    want = model.transform(closed).where("is_anomaly = 1").select("session_id")
+    both = want.join(got, F.col("session_id") == F.col("k"), "full")
+    return both.agg(F.count_if(F.col("k").isNull()).alias("n_missing"), F.count_if(F.col("session_id").isNull()).alias("n_extra"),
+                    F.count_if(F.col("n") > 1).alias("n_twice"), (F.count("k") > 0).cast("int").alias("has_alerts"))

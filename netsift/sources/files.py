@@ -42,5 +42,7 @@ def write_stage(df: DataFrame, name: str, path: str | None = None, partition_by:
     return target
 
 
-def read_stage(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
-    return spark.read.parquet(path or shared_path(spark, name))
+def read_stage(spark: SparkSession, name: str, path: str | None = None, schema=None) -> DataFrame:
+    """``schema`` is needed where a partitioned stage may have no row, and so no file."""
+    r = spark.read if schema is None else spark.read.schema(schema)
+    return r.parquet(path or shared_path(spark, name))
