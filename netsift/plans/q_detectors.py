@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import ensemble
 from ..operators.detectors import (Autoencoder, DBSCAN, DetectorStage, ForestTable, IsolationForest, KernelOneClassSVM, LocalOutlierFactor, OneClassSVM,
                                    pca_2d)
+from ..operators.detectors import descent
 from ..operators.detectors.base import fit_threshold
 from ..operators.features import fit_scaler
 from ..operators.joins import materialize
@@ -325,3 +326,15 @@ def q_kernel_svm_certificate(spark, sf):
     ok = lambda b: F.lit(int(b))
     return got.select("n", "n_flagged", ok(p["gap"] <= 0.01 * p["norm2"]).alias("within_gap"), ok(0 < p["norm2"] <= 1).alias("feasible"),
                       (F.col("least") > F.col("most")).cast("int").alias("planted_first"))
+
+
+@register("descent_recall", "SELECT count(*) AS n, 1 AS all_rows, 1 AS recall_reached FROM embeddings WHERE vec_id % 20 = 0")
+def q_descent_recall(spark, sf):
+    """Approximate neighbours by neighbour descent over all embeddings; for every twentieth row the exact 20
+    nearest are found with a recall of at least 0.9 (a law)."""
+    x = materialize(_embeddings(spark, sf).select("id", F.col("features").alias("x")))
+    got = materialize(descent.descent_knn(x, 20))
+    asked = x.where(F.col("id") % 20 == 0)
+    r = descent.recall(got, x, asked, 20)
+    whole = got.where(F.size("nbrs") > 0).count() == x.count()
+    return asked.agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(int(whole)).alias("all_rows"), F.lit(int(r >= 0.9)).alias("recall_reached"))

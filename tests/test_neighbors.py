@@ -102,3 +102,20 @@ def test_dbscan_counts_duplicates(spark):
     df = _frame(spark, x).withColumnRenamed("x", "features")
     got = {r.id: (r.degree, r.is_core, r.cluster) for r in DBSCAN(eps=1.0, min_samples=11).fit_predict(df).collect()}
     assert all(got[i] == (11, 1, 0) for i in range(11)) and got[11] == (1, 0, -1)
+
+
+def test_neighbour_descent_reaches_its_recall(spark):
+    from netsift.operators.detectors.descent import descent_knn, recall
+    rng = np.random.default_rng(6)
+    x = _frame(spark, rng.normal(size=(600, 16)))  # isotropic: bounds exclude nothing
+    got = descent_knn(x, 8, block=60)
+    rows = {r.qid: r.nbrs for r in got.collect()}
+    assert len(rows) == 600 and all(n[0].id == q and n[0].dist == 0 and len(n) == 8 and len({e.id for e in n}) == 8 for q, n in rows.items())
+    assert recall(got, x, x.where("id % 3 = 0"), 8) > 0.9
+    # a hub: one vector held by a third of all rows
+    hub = _frame(spark, np.vstack([np.zeros((100, 3)), rng.normal(size=(200, 3))]))
+    near = descent_knn(hub, 5, block=40, sample=12)
+    assert near.count() == 300 and recall(near, hub, hub.where("id >= 100"), 5) > 0.85
+    assert descent_knn(x.limit(0), 5).collect() == []
+    one = descent_knn(x.where("id = 3"), 5).collect()
+    assert [(r.qid, [e.id for e in r.nbrs]) for r in one] == [(3, [3])]
