@@ -27,7 +27,8 @@ Edge cases: null texts pass unchanged; rows with equal id and text are one docum
 lose the same lines; a null id sorts first; an empty table gives an empty result; the input's
 columns travel as one struct, so they may have any name. ``dedup_documents`` drops documents of
 which nothing is left, and those of which less than ``min_left_share`` of the characters
-is left: what remains of a near copy is a fragment, not a document.
+of their own distinct lines is left: what remains of a near copy is a fragment, not a
+document, while a document that only repeats itself keeps each of its lines once.
 """
 
 from __future__ import annotations
@@ -200,13 +201,17 @@ def dedup_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     n_chars: str | None = "n_chars", exact_min_chars: int = 1,
                     min_left_share: float = MIN_LEFT_SHARE) -> DataFrame:
     """``docs`` with repeated lines of every non-blank length removed, without the documents of which only
-    white space, or less than ``min_left_share`` of the characters, is left.
+    white space, or less than ``min_left_share`` of the characters of their distinct lines, is left.
 
     Columns stay as they are; ``n_chars`` (if there) is counted anew for changed texts.
     """
     d = dedup_lines(docs, doc_id, text, min_chars, exact_min_chars)
     changed = F.col("n_exact") + F.col("n_near") > 0
-    enough = F.col("clean").rlike(r"\S") & (F.length("clean") >= min_left_share * F.length(F.col("row")[text]))
+
+    def size(c: Column) -> Column:  # characters of the distinct lines
+        return F.length(F.array_join(F.array_distinct(F.transform(F.split(c, "\n", -1), _trimmed)), ""))
+
+    enough = F.col("clean").rlike(r"\S") & (size(F.col("clean")) >= min_left_share * size(F.col("row")[text]))
     new = {text: F.col("clean")}
     if n_chars in docs.columns:
         new[n_chars] = F.when(changed, F.length("clean").cast(docs.schema[n_chars].dataType)).otherwise(F.col("row")[n_chars])

@@ -456,8 +456,9 @@ def test_line_dedup_leaves_no_fragments_of_near_copies(spark):
     docs = [(i, "\n".join(x)) for i, x in enumerate(first)]
     docs += [(100 + i, "\n".join(x[:7] + [words(rng, 8)] + x[8:])) for i, x in enumerate(first)]  # one line of forty differs
     docs += [(200 + i, "\n".join(x[:20] + [words(rng, 8) for _ in range(20)])) for i, x in enumerate(first)]  # half is new
+    docs += [(300, "\n".join([words(rng, 8)] * 50))]  # repeats itself only
     got = {r.doc_id: r.text for r in linededup.dedup_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert set(got) == {*range(10), *range(200, 210)}
+    assert set(got) == {*range(10), *range(200, 210), 300} and got[300] == docs[-1][1].split("\n")[0]
     assert all(got[200 + i] == "\n".join(docs[20 + i][1].split("\n")[20:]) for i in range(10))
 
 
