@@ -27,8 +27,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that repeat an earlier line; documents left empty, or with less than
-    a fifth of their characters (what is left of a near copy is a fragment), go."""
+    """Texts without the lines that repeat an earlier line; documents left empty, or with less than a
+    fifth of the characters of their distinct lines (what is left of a near copy is a fragment), go."""
     return linededup.dedup_documents(docs)
 
 
