@@ -3,17 +3,21 @@
 Rows are dealt to the nearest of about n / block pivots (data rows chosen by a hash, at most
 ``MAX_PIVOTS``; only pivots, radii and counts reach the driver). A cell with pivot p and
 radius R holds nothing within t of a query q when d(q, p) - R > t, so a query is sent, as one
-row, to the cells that may hold a row it needs and to no other. Data rows are sent once for
-every ``QUERY_ROWS`` queries of their cell; a cell of more than ``CELL_ROWS`` rows is split by
-a hash and its queries go to each part, so no group grows with the data.
-
-*Inside a cell* the data rows of a task are cut into balls of about ``LEAF`` rows (splits
-along the widest axis), and a query visits balls from the nearest on:
-
-* **k nearest neighbours** stop at the first ball that lies beyond the running k-th distance.
-  They take two passes over cells: the first visits the nearest cells that hold k rows and
-  so bounds the k-th distance; the second visits the other cells that the bound does not
-  exclude.
+row, to the cells that may hold a row it needs and to no other. Where the bounds exclude little,
+a query would be sent to nearly every cell; cells near one another are then joined to bins of up
+to ``CELL_ROWS`` rows, as far as that at most doubles the pairs, and a query is sent once a bin.
+Data rows are sent once for every ``QUERY_ROWS`` queries of their bin; a cell of more than
+``CELL_ROWS`` rows is split by a hash and its queries go to each part, so no group grows with the
+data. Rows leave Python in frames of bounded size, however many cells a query needs.
+
+*Inside a task* the data rows are cut into balls of about ``LEAF`` rows (splits along the widest
+axis). Squared distances come from a matrix product with a bound of their rounding, which settles
+nearly all pairs; the others, and all distances returned, are computed from the differences:
+
+* **k nearest neighbours** take balls in order of their distance, and those beyond the running
+  k-th distance not at all. They take two passes over cells: the first visits the nearest cells
+  that hold k rows and so bounds the k-th distance; the second visits the other cells that the
+  bound does not exclude.
 * **ranges** (DBSCAN) skip balls beyond eps, and take a ball that lies wholly within eps
   without a distance, so the work in a dense cell is linear in its queries and balls. A task
   sends back degree sums, spanning links or least labels, never pairs.
@@ -42,6 +46,8 @@ CELL_ROWS = 16_384  # rows of a cell in one task
 QUERY_ROWS = 16_384  # queries of a cell in one task
 LEAF = 64
 MIDDLE_SPLITS = 24
+QUERY_STEP = 512    # queries of a task that visit balls together
+STEP_ROWS = 2048    # rows of the balls that they visit at once
 _CHUNK = 4_000_000  # doubles per distance chunk inside a task
 _SLACK = 1e-9       # rounding of a distance, relative: bounds give way by it
 GROUP = ["dcell", "dsalt", "qsalt"]
@@ -56,10 +62,51 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _pair_distances(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Distances of the pairs ``a[i]``, ``b[j]``."""
+    out = np.empty(len(i))
+    step = max(1, _CHUNK // max(1, a.shape[1]))
+    for s in range(0, len(i), step):
+        diff = (a[i[s:s + step]] - b[j[s:s + step]])[:, None, :]
+        out[s:s + step] = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))[:, 0]
+    return out
+
+
+class Squares:
+    """Bounds of the squared distances to the rows of ``x``, from one matrix product."""
+
+    def __init__(self, x: np.ndarray):
+        whole = x[np.isfinite(x).all(axis=1)]
+        self.mid = whole.mean(axis=0) if len(whole) else np.zeros(x.shape[1])
+        self.x = x - self.mid
+        self.norm = np.einsum("ij,ij->i", self.x, self.x)
+        self.unit = 4 * (x.shape[1] + 8) * np.finfo(float).eps  # rounding of the sums, relative to the norms
+
+    def bounds(self, q: np.ndarray, rows=slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        """(least, most) squared distance of each row of ``q`` to each of ``rows``."""
+        q = q - self.mid
+        norms = np.einsum("ij,ij->i", q, q)[:, None] + self.norm[rows]
+        square = norms - 2.0 * (q @ self.x[rows].T)
+        norms *= self.unit
+        return square - norms, square + norms
+
+    def distances(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(least, most) distance of each row of ``q`` to each row."""
+        least, most = self.bounds(q)
+        return np.sqrt(np.maximum(least, 0)), np.sqrt(np.maximum(most, 0))
+
+
 def _matrix(col) -> np.ndarray:
     return np.array(col.tolist(), dtype=float)
 
 
+def _frames(pdf: pd.DataFrame, width: int):
+    """``pdf`` in parts whose rows times ``width`` stay bounded."""
+    step = max(1, _CHUNK // max(1, width))
+    for s in range(0, len(pdf), step):
+        yield pdf.iloc[s:s + step]
+
+
 class Pivots:
     """Pivot vectors with the radius and the number of rows of each cell."""
 
@@ -79,10 +126,12 @@ class Pivots:
         points, cols = self.points, df.columns
 
         def go(batches):
-            for pdf in batches:
-                d = _distances(_matrix(pdf["x"]), points) if len(pdf) else np.zeros((0, len(points)))
-                cell = d.argmin(axis=1) if len(pdf) else np.zeros(0, int)
-                yield pdf[cols].assign(cell=cell.astype("int32"), away=d[np.arange(len(pdf)), cell])
+            squares = Squares(points)
+            for batch in batches:
+                for pdf in _frames(batch, len(points)):
+                    x = _matrix(pdf["x"])
+                    cell = squares.bounds(x)[0].argmin(axis=1)
+                    yield pdf[cols].assign(cell=cell.astype("int32"), away=_pair_distances(x, points, np.arange(len(x)), cell))
 
         fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
         return materialize(df.mapInPandas(go, f"{fields}, cell int, away double"))
@@ -94,61 +143,109 @@ class Pivots:
 
     def hits(self, x: np.ndarray, reach) -> np.ndarray:
         """Which cells may hold a row within ``reach`` of each row of ``x``."""
-        d = _distances(x, self.points)
+        d, _ = Squares(self.points).distances(x)
         return (d - self.radius <= reach + _SLACK * (1 + d)) & (self.count > 0)
 
-
-def _needed(queries: DataFrame, pivots: Pivots, reach: str | float, seeds: list[list[int]] | None = None,
-            only_seeds: bool = False, counts: bool = False) -> DataFrame:
-    """``queries`` with ``dcell``, a row per cell that may hold a row within ``reach``: all such cells, or
-    the ``seeds`` of the query's own cell, or all but those. ``counts``: (dcell, n) of these rows."""
-    cols = queries.columns
+    def levels(self, most: int) -> list[np.ndarray]:
+        """The bin of each cell, in several ways: bins of cells near one another with up to ``most`` rows, with
+        a quarter of that, and one cell a bin."""
+        order = np.concatenate(Balls(self.points, leaf=1).rows)
+        out = []
+        for rows in (most, most // 4):
+            bins, held, at = np.zeros(len(order), np.int64), 0, 0
+            for c in order:
+                if held and held + self.count[c] > rows:
+                    held, at = 0, at + 1
+                bins[c] = at
+                held += self.count[c]
+            out.append(bins)
+        return [*out, np.arange(len(order))]
+
+
+def _binned(hit: np.ndarray, bins: np.ndarray) -> np.ndarray:
+    """Which bins hold a cell that is hit, for each row of ``hit``."""
+    order = np.argsort(bins, kind="stable")
+    return np.logical_or.reduceat(hit[:, order], np.flatnonzero(np.diff(bins[order], prepend=-1)), axis=1)
+
+
+def _hits(pivots: Pivots, reach: str | float, seeds: list[list[int]] | None = None, only_seeds: bool = False):
+    """A function from batches of queries to (queries, which cells they need) in parts of bounded size: the cells
+    that may hold a row within ``reach``, or the ``seeds`` of the query's own cell, or all but those."""
+    def go(batches):
+        for batch in batches:
+            for pdf in _frames(batch, len(pivots.points)):
+                if only_seeds:
+                    hit = np.zeros((len(pdf), len(pivots.points)), bool)
+                else:
+                    hit = pivots.hits(_matrix(pdf["x"]), pdf[reach].to_numpy(float)[:, None] if isinstance(reach, str) else reach)
+                for r, c in enumerate(pdf["cell"] if seeds is not None else ()):
+                    hit[r, seeds[c]] = only_seeds
+                yield pdf, hit
+    return go
+
+
+def _needed(queries: DataFrame, pivots: Pivots, bins: np.ndarray, **need) -> DataFrame:
+    """``queries`` with ``dcell``, a row per bin of cells that a query needs."""
+    cols, hits = queries.columns, _hits(pivots, **need)
 
     def go(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            if only_seeds:
-                hit = np.zeros((len(pdf), len(pivots.points)), bool)
-            else:
-                hit = pivots.hits(_matrix(pdf["x"]), pdf[reach].to_numpy(float)[:, None] if isinstance(reach, str) else reach)
-            for r, c in enumerate(pdf["cell"] if seeds is not None else ()):
-                hit[r, seeds[c]] = only_seeds
-            if counts:
-                n = hit.sum(axis=0)
-                at = np.flatnonzero(n)
-                yield pd.DataFrame({"dcell": at.astype("int32"), "n": n[at]})
-            else:
-                i, j = np.nonzero(hit)
-                yield pdf[cols].iloc[i].assign(dcell=j.astype("int32"))
-
-    if counts:
-        return queries.mapInPandas(go, "dcell int, n long").groupBy("dcell").agg(F.sum("n").alias("n"))
+        for pdf, hit in hits(batches):
+            i, j = np.nonzero(_binned(hit, bins))
+            width = len(pdf["x"].iloc[0])
+            step = max(1, _CHUNK // 4 // max(1, width))
+            for s in range(0, len(i), step):
+                yield pdf[cols].iloc[i[s:s + step]].assign(dcell=j[s:s + step].astype("int32"))
+
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in queries.schema.fields)
     return queries.mapInPandas(go, f"{fields}, dcell int")
 
 
+def _asked(queries: DataFrame, pivots: Pivots, levels: list[np.ndarray], **need) -> list[np.ndarray]:
+    """For each level, how many queries need each of its bins."""
+    hits = _hits(pivots, **need)
+
+    def go(batches):
+        sums = [np.zeros(bins.max() + 1, np.int64) for bins in levels]
+        for _, hit in hits(batches):
+            for n, bins in zip(sums, levels):
+                n += _binned(hit, bins).sum(axis=0)
+        for level, n in enumerate(sums):
+            at = np.flatnonzero(n)
+            yield pd.DataFrame({"level": np.full(len(at), level, "int32"), "dcell": at.astype("int32"), "n": n[at]})
+
+    got = queries.mapInPandas(go, "level int, dcell int, n long").groupBy("level", "dcell").agg(F.sum("n").alias("n"))
+    out = [np.zeros(bins.max() + 1, np.int64) for bins in levels]
+    for level, part in got.toPandas().groupby("level"):  # at most MAX_PIVOTS rows a level
+        out[level][part["dcell"]] = part["n"]
+    return out
+
+
 def pairs_visited(queries: DataFrame, pivots: Pivots, reach: str | float) -> tuple[int, int]:
     """Query rows sent to cells, and pairs of a query and a row of such a cell (for tests and tuning)."""
-    n = _needed(queries, pivots, reach, counts=True).toPandas()  # at most MAX_PIVOTS rows
-    return int(n["n"].sum()), int((n["n"].to_numpy() * pivots.count[n["dcell"]]).sum())
+    n = _asked(queries, pivots, [np.arange(len(pivots.points))], reach=reach)[0]
+    return int(n.sum()), int((n * pivots.count).sum())
 
 
 def _join_cells(queries: DataFrame, cells: DataFrame, pivots: Pivots, body: Callable, schema: str, cell_rows: int = CELL_ROWS,
                 query_rows: int = QUERY_ROWS, **need) -> DataFrame:
-    """Run ``body(queries, data)`` for every cell and the queries that need it."""
-    n = _needed(queries, pivots, counts=True, **need).toPandas()  # at most MAX_PIVOTS rows
-    asked = np.zeros(len(pivots.points), np.int64)
-    asked[n["dcell"]] = n["n"]
+    """Run ``body(queries, data)`` for every bin of cells and the queries that need it. A bin may hold cells that a
+    query of it does not need."""
+    levels = pivots.levels(cell_rows)
+    asked = _asked(queries, pivots, levels, **need)
+    count = [np.bincount(bins, weights=pivots.count).astype(np.int64) for bins in levels]
+    pairs = [int((a * c).sum()) for a, c in zip(asked, count)]
+    best = next(i for i, p in enumerate(pairs) if p <= 2 * pairs[-1])
+    bins, asked, count = levels[best], asked[best], count[best]
 
     def parts(rows: np.ndarray, most: int) -> Column:
         return F.get(F.array(*(F.lit(int(-(-c // most))) for c in rows)), F.col("dcell"))
 
-    n_d, n_q = parts(pivots.count, cell_rows), parts(asked, query_rows)
+    n_d, n_q = parts(count, cell_rows), parts(asked, query_rows)
     part = lambda k, seed: F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), k).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), k - 1))
-    left = _needed(queries, pivots, **need).withColumn("qsalt", part(n_q, 5)).withColumn("dsalt", every(n_d))
-    data = cells.withColumnRenamed("cell", "dcell").where(n_q > 0)
+    left = _needed(queries, pivots, bins, **need).withColumn("qsalt", part(n_q, 5)).withColumn("dsalt", every(n_d))
+    bin_of = F.get(F.array(*(F.lit(int(b)) for b in bins)), F.col("cell"))
+    data = cells.withColumn("dcell", bin_of).drop("cell").where(n_q > 0)
     right = data.withColumn("dsalt", part(n_d, 3)).withColumn("qsalt", every(n_q))
     # columns under new ids: both sides may come from one table
     fresh = lambda df: df.select(*(F.col(c).alias(c) for c in df.columns))
@@ -178,45 +275,73 @@ class Balls:
         self.centre = np.array([x[r].mean(axis=0) for r in self.rows])
         self.radius = np.array([_distances(x[r], c[None, :]).max() for r, c in zip(self.rows, self.centre)])
         self.radius *= 1 + _SLACK
+        self.squares, self.centres = Squares(x), Squares(self.centre)
 
-    def away(self, q: np.ndarray) -> np.ndarray:
-        return _distances(q, self.centre)
-
-    def least(self, away: np.ndarray) -> np.ndarray:
-        """Lower bound of the distance to each ball's rows."""
-        return np.maximum(away - self.radius - _SLACK * (1 + away), 0)
+    def bounds(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bounds of the distances to each ball's rows: none is nearer, none is farther."""
+        least, most = self.centres.distances(q)
+        return np.maximum(least - self.radius - _SLACK * (1 + least), 0), (most + self.radius) * (1 + _SLACK)
 
     def nearest(self, q: np.ndarray, k: int, ids: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distances and ids of the k nearest rows within ``reach`` of each query, ties by id (inf: none)."""
-        low = self.least(self.away(q))
-        order = np.argsort(low, axis=1, kind="stable")
         dist, near = np.full((len(q), k), np.inf), np.full((len(q), k), np.iinfo(np.int64).max)
-        bound, open_ = reach.astype(float).copy(), np.arange(len(q))
-        for step in range(len(self.rows)):
-            ball = order[open_, step]
-            stay = low[open_, ball] <= bound[open_]
-            open_, ball = open_[stay], ball[stay]
-            if not len(open_):
-                break
-            by = np.argsort(ball, kind="stable")
-            for part in np.split(by, np.flatnonzero(np.diff(ball[by])) + 1):
-                at, r = open_[part], self.rows[ball[part[0]]]
-                d = np.concatenate([dist[at], _distances(q[at], self.x[r])], axis=1)
-                i = np.concatenate([near[at], np.broadcast_to(ids[r], (len(at), len(r)))], axis=1)
-                best = np.lexsort((i, d), axis=1)[:, :k]
-                dist[at], near[at] = np.take_along_axis(d, best, 1), np.take_along_axis(i, best, 1)
-                bound[at] = np.minimum(bound[at], dist[at, -1])
+        size = np.array([len(r) for r in self.rows])
+        for start in range(0, len(q), QUERY_STEP * 16):
+            some = np.arange(start, min(start + QUERY_STEP * 16, len(q)))
+            low, _ = self.bounds(q[some])
+            along = np.argsort(low.argmin(axis=1), kind="stable")  # queries of the same ball go together
+            for s in range(0, len(some), QUERY_STEP):
+                part = along[s:s + QUERY_STEP]
+                self._nearest(q, some[part], low[part], size, k, ids, reach, dist, near)
         return dist, near
 
+    def _nearest(self, q, at, low, size, k, ids, reach, dist, near) -> None:
+        bound = reach[at].astype(float)
+        first = low.min(axis=0)
+        order, s = np.argsort(first, kind="stable"), 0
+        while s < len(order):
+            take = int(np.searchsorted(np.cumsum(size[order[s:]]), STEP_ROWS)) + 1
+            step, s = order[s:s + take], s + take
+            if first[step[0]] > bound.max():
+                return
+            want = low[:, step] <= bound[:, None]
+            step, open_ = step[want.any(axis=0)], np.flatnonzero(want.any(axis=1))
+            if not len(open_):
+                continue
+            r = np.concatenate([self.rows[b] for b in step])
+            least, most = self.squares.bounds(q[at[open_]], r)
+            limit = bound[open_] ** 2 * (1 + _SLACK)
+            if len(r) > k and not np.isfinite(limit).all():  # no k rows yet: the k-th of these is a bound
+                limit = np.minimum(limit, np.partition(most, k - 1, axis=1)[:, k - 1])
+            i, j = np.nonzero(~(least > limit[:, None]))
+            if not len(i):
+                continue
+            d = _pair_distances(q, self.x, at[open_[i]], r[j])
+            held = np.unique(i)  # the queries that met a row: their k nearest so far, and the rows met
+            rows = at[open_[held]]
+            i = np.concatenate([np.repeat(held, k), i])
+            d = np.concatenate([dist[rows].ravel(), d])
+            n = np.concatenate([near[rows].ravel(), ids[r[j]]])
+            d[d > reach[at[open_[i]]]] = np.inf
+            n[~np.isfinite(d)] = np.iinfo(np.int64).max
+            by = np.lexsort((n, d, i))
+            ends = np.searchsorted(i[by], held)[:, None] + np.arange(k)
+            dist[rows], near[rows] = d[by[ends]], n[by[ends]]
+            bound[open_[held]] = np.minimum(bound[open_[held]], dist[rows, -1])
+
     def within(self, q: np.ndarray, eps: float):
         """For each ball: its rows, the queries that hold all of it within eps, the queries that hold
         some of it, and for these which rows they hold."""
-        away = self.away(q)
-        low, high = self.least(away), (away + self.radius) * (1 + _SLACK)
+        low, high = self.bounds(q)
         for b, r in enumerate(self.rows):
             whole = high[:, b] <= eps
             some = np.flatnonzero((low[:, b] <= eps) & ~whole)
-            hit = _distances(q[some], self.x[r]) <= eps if len(some) else np.zeros((0, len(r)), bool)
+            hit = np.zeros((len(some), len(r)), bool)
+            if len(some):
+                least, most = self.squares.bounds(q[some], r)
+                hit = most <= eps * eps * (1 - _SLACK)
+                i, j = np.nonzero(~(hit | (least > eps * eps * (1 + _SLACK))))
+                hit[i, j] = _pair_distances(q, self.x, some[i], r[j]) <= eps
             yield r, np.flatnonzero(whole), some, hit
 
 
@@ -271,7 +396,9 @@ def knn(queries: DataFrame, data: DataFrame, k: int, xcol: str = "x", idcol: str
     bound = near.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("reach"))
     asked = materialize(asked.join(bound, asked["id"] == bound["qid"]).select("id", "x", "cell", "reach"))
     more = _join_cells(asked, data_rows, pivots, _top(k), rows, reach="reach", seeds=seeds)
-    best = _smallest(near.unionByName(more), ["qid"], ["dist", "id"], k, "id")
+    # a bin of the second pass may hold cells of the first: a row met twice counts once
+    met = near.unionByName(more).groupBy("qid", "id").agg(F.min("dist").alias("dist"))
+    best = _smallest(met, ["qid"], ["dist", "id"], k, "id")
     lists = (best.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("dist", "id"))).alias("nbrs"))
              .join(one.select(F.col("id").alias("qid"), "vh"), "qid").select("vh", "nbrs"))
     return every.join(materialize(lists), "vh", "left").select(F.col("id").alias("qid"), F.coalesce("nbrs", none).alias("nbrs"))
@@ -304,7 +431,7 @@ class RangeIndex:
                 weight = c["weight"].to_numpy(np.int64)
                 for r, whole, some, hit in Balls(_matrix(c["x"])).within(_matrix(q["x"]), eps):
                     n[whole] += weight[r].sum()
-                    n[some] += hit @ weight[r]
+                    n[some] += (hit @ weight[r].astype(float)).astype(np.int64)
             return pd.DataFrame({"id": q["id"].to_numpy(np.int64) if len(q) else np.zeros(0, np.int64), "n": n})
 
         p = self.points.select("id", "x", "weight", "cell")

@@ -119,3 +119,52 @@ def test_neighbour_descent_reaches_its_recall(spark):
     assert descent_knn(x.limit(0), 5).collect() == []
     one = descent_knn(x.where("id = 3"), 5).collect()
     assert [(r.qid, [e.id for e in r.nbrs]) for r in one] == [(3, [3])]
+
+
+def test_queries_leave_python_in_bounded_frames():
+    """A query that needs every one of many cells: the frames of a batch do not grow with the cells."""
+    from netsift.operators.detectors import neighbors as N
+    x = RNG.normal(size=(3000, 8))
+    pivots = N.Pivots(RNG.normal(size=(4000, 8)))
+    pivots.count[:] = 1
+    parts = list(N._hits(pivots, reach=100.0)([pd.DataFrame({"id": np.arange(3000), "x": list(x)})]))
+    assert sum(len(p) for p, _ in parts) == 3000 and all(hit.all() for _, hit in parts)
+    assert max(hit.size for _, hit in parts) <= N._CHUNK
+
+
+def test_where_bounds_exclude_nothing_a_query_is_sent_once_a_bin(spark):
+    """Isotropic rows in 40 cells: all pairs meet once, and no query is copied to each cell."""
+    x = RNG.normal(size=(2000, 16))
+    ix = RangeIndex(_frame(spark, x), 50.0, block=50)
+    body = lambda q, c: pd.DataFrame({"nq": [len(q)], "nd": [len(c)]})
+    p = ix.points.select("id", "x", "cell")
+    got = _join_cells(p, p, ix.pivots, body, "nq long, nd long", cell_rows=1000, reach=50.0).collect()
+    assert sum(r.nq * r.nd for r in got) == 2000 ** 2 and sum(r.nq for r in got) <= 4 * 2000
+    assert max(r.nd for r in got) < 1100
+
+
+def test_squares_bound_the_distances():
+    """Far offsets, an outlier and a row that is not finite: bounds hold, and settle what they can."""
+    from netsift.operators.detectors.neighbors import Squares
+    x = RNG.normal(size=(60, 5)) + 1e5
+    x[3] = 1e9
+    d = _distances(x, x) ** 2
+    least, most = Squares(x).bounds(x)
+    assert (least <= d).all() and (d <= most).all()
+    near, far = Squares(x[4:]).bounds(x[4:])
+    assert (far - near).max() < 1e-6 * d[4:, 4:].max()
+    x[7] = np.nan
+    least, most = Squares(x).bounds(x)
+    keep = np.arange(60) != 7
+    assert np.isnan(least[7]).all() and (least <= _distances(x, x) ** 2)[np.ix_(keep, keep)].all()
+
+
+def test_local_joins_send_only_possible_links(spark):
+    from netsift.operators.detectors import descent
+    x = _frame(spark, RNG.normal(size=(300, 16)))
+    rows = x.selectExpr("cast(id as long) id", "x")
+    edges = descent._nearest_links(descent._first_graph(rows, 10, 50), 10).cache()
+    far = {r.a: r.d for r in edges.groupBy("a").agg({"d": "max"}).toDF("a", "d").collect()}
+    met = descent._local_joins(edges, rows, 10, 20, 0).collect()
+    assert met and all(r.d <= far[r.a] for r in met)
+    assert edges.groupBy("a", "b").count().where("count > 1").isEmpty() and edges.groupBy("a").count().where("count <> 10").isEmpty()
