@@ -105,8 +105,9 @@ def q_log_files_scan(spark, sf):
     second = second.select(F.concat(syslog_time_text(at), F.substring("value", 16, 1 << 30)).alias("value"),
                            F.struct(at.alias("t"), F.col("ord.sid").alias("sid"), F.col("ord.kind").alias("kind")).alias("ord"))
     path = shared_path(spark, f"log-{uuid.uuid4().hex}")
-    # range partitions become files in the order of the log
-    lines.unionByName(second).repartitionByRange(6, "ord").sortWithinPartitions("ord").select("value").write.text(path)
+    # range partitions become files in the order of the log; a task sorts one of them
+    files = max(6, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    lines.unionByName(second).repartitionByRange(files, "ord").sortWithinPartitions("ord").select("value").write.text(path)
     s = drop_zero_duration(pair_sessions(prepare_events(parse_syslog(spark, path)), C.FIXTURE_YEAR))
     return s.select(*[c if c != "duration" else r6("duration") for c in SESSION_OUT])
 

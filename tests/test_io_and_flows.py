@@ -86,3 +86,18 @@ def test_feature_lookups_reproduce_training_features(spark, scratch):
     r = engineer_features(new, C.FIXTURE_YEAR, lookups=lk2).select("protocol_enc", "is_rare_dst_port").collect()
     n_known = lk2.protocols.count()
     assert all(x.protocol_enc == n_known and x.is_rare_dst_port == 1 for x in r)
+
+
+def test_log_files_follow_the_shuffle_partitions(spark, monkeypatch):
+    """A task sorts one file of the log: more shuffle partitions make more and smaller files."""
+    from netsift.plans import q_io
+    seen = []
+    real = q_io.parse_syslog
+    monkeypatch.setattr(q_io, "parse_syslog", lambda s, path: seen.append(s.read.text(path).inputFiles()) or real(s, path))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        q_io.q_log_files_scan(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(seen[0]) > 6
