@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from ..schema import NIGHT_HOURS
 
 SYSLOG_FORMAT = "MMM d HH:mm:ss yyyy"
+MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
+# a time in the form that loggers write: its parts stand at fixed places
+_PLAIN = r"^(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) ( [1-9]|[12][0-9]|3[01]) ([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]\z"
 
 
 def _col(c) -> Column:
@@ -19,10 +22,18 @@ def _col(c) -> Column:
 
 
 def syslog_timestamp(ts_text, year: int) -> Column:
-    """'Jan  2 03:04:05' + year → TIMESTAMP_NTZ; unparsable (e.g. Feb 29 of 2025) → NULL."""
-    norm = F.regexp_replace(F.trim(_col(ts_text)), r"\s+", " ")
+    """'Jan  2 03:04:05' + year → TIMESTAMP_NTZ; unparsable (e.g. Feb 29 of 2025) → NULL.
+
+    The plain form is cut into its numbers; other spacing or case goes through the formatter, which
+    takes several times as long."""
+    txt = _col(ts_text).cast("string")
+    number = lambda at, n: F.ltrim(F.substring(txt, at, n)).try_cast("int")
+    month = ((F.instr(F.lit(MONTHS), F.substring(txt, 1, 3)) + 2) / 3).cast("int")
+    cut = F.try_make_timestamp_ntz(F.lit(int(year)), month, number(5, 2), number(8, 2), number(11, 2),
+                                   number(14, 2).cast("decimal(16,6)"))
+    norm = F.regexp_replace(F.trim(txt), r"\s+", " ")
     parsed = F.try_to_timestamp(F.concat(norm, F.lit(f" {int(year)}")), F.lit(SYSLOG_FORMAT))
-    return parsed.cast("timestamp_ntz")
+    return F.when(txt.rlike(_PLAIN), cut).otherwise(parsed.cast("timestamp_ntz"))
 
 
 def any_timestamp(ts, year: int) -> Column:

@@ -9,7 +9,7 @@ features need data-wide context and are computed as small aggregates joined back
   map-side);
 * protocol code — the index of the protocol name among the sorted distinct names.
 
-Each lookup is an aggregate of the checkpointed sessions, is checkpointed itself, and is
+Each lookup is an aggregate of the written sessions, is checkpointed itself, and is
 broadcast only after its bytes are checked (``joins.attach_lookup``).
 """
 
@@ -26,7 +26,7 @@ from ..functions.net import is_high_port, is_private_ip, is_privileged_port, is_
 from ..functions.numeric import as_flag, log1p0, safe_div
 from ..functions.timefn import any_timestamp, is_night
 from ..schema import FEATURE_COLUMNS, LOG_COLUMNS
-from .joins import attach_lookup, attach_scalars, materialize
+from .joins import attach_lookup, attach_scalars, materialize, stage
 
 _NUMERIC = {"src_port": "int", "dst_port": "int", "bytes_sent": "bigint", "bytes_rcvd": "bigint",
             "pkts_sent": "bigint", "pkts_rcvd": "bigint", "duration": "double", "protocol_num": "int"}
@@ -121,12 +121,12 @@ def engineer_features(sessions: DataFrame, year: int, approx_distinct: bool = Fa
                       materialize_input: bool = True, lookups: FeatureLookups | None = None) -> DataFrame:
     """Closed sessions → sessions plus all engineered columns (see ``schema.FEATURE_COLUMNS``).
 
-    With ``materialize_input`` the sessions are checkpointed once (shared folder), so the
-    three lookup aggregates and the main projection read the stage instead of re-running
-    parsing and pairing.
+    With ``materialize_input`` the sessions are written once as a stage (shared folder), so the
+    three lookup aggregates and the main projection read the columns they need from it instead
+    of re-running parsing and pairing.
     """
     if materialize_input:
-        sessions = materialize(sessions)
+        sessions = stage(sessions, "sessions")
     df = _coerce(sessions)
     base_rows = df  # the lookups are aggregates of the rows before any lookup is joined
     bs, br = F.coalesce(F.col("bytes_sent"), F.lit(0)), F.coalesce(F.col("bytes_rcvd"), F.lit(0))

@@ -38,8 +38,10 @@ def flows_df(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RT_FLOW lines rendered from the flows (``value``, ``ord``)."""
-    return render_lines(flows_df(spark, sf_dir))
+    """RT_FLOW lines rendered from the flows (``value``, ``ord``). A small event becomes up to two long lines, so
+    events in fewer splits than the cluster has cores are dealt out first."""
+    f, cores = flows_df(spark, sf_dir), spark.sparkContext.defaultParallelism
+    return render_lines(f if f.rdd.getNumPartitions() >= cores else f.repartition(cores))
 
 
 def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
