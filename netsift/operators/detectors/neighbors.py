@@ -245,7 +245,7 @@ def _join_cells(queries: DataFrame, cells: DataFrame, pivots: Pivots, body: Call
     every = lambda k: F.explode(F.sequence(F.lit(0), k - 1))
     left = _needed(queries, pivots, bins, **need).withColumn("qsalt", part(n_q, 5)).withColumn("dsalt", every(n_d))
     bin_of = F.get(F.array(*(F.lit(int(b)) for b in bins)), F.col("cell"))
-    data = cells.withColumn("dcell", bin_of).drop("cell").where(n_q > 0)
+    data = cells.withColumn("dcell", bin_of).where(n_q > 0)
     right = data.withColumn("dsalt", part(n_d, 3)).withColumn("qsalt", every(n_q))
     # columns under new ids: both sides may come from one table
     fresh = lambda df: df.select(*(F.col(c).alias(c) for c in df.columns))
@@ -345,14 +345,24 @@ class Balls:
             yield r, np.flatnonzero(whole), some, hit
 
 
-def _top(k: int):
+def _top(k: int, seeds: list[list[int]] | None = None):
+    """The ``k`` nearest rows of each query; with ``seeds``, without the rows of the seeds of its own cell."""
     def body(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"qid": pd.Series(dtype="int64"), "dist": pd.Series(dtype=float), "id": pd.Series(dtype="int64")})]
         if not len(q) or not len(c):
-            return pd.DataFrame({"qid": pd.Series(dtype="int64"), "dist": pd.Series(dtype=float), "id": pd.Series(dtype="int64")})
+            return out[0]
         reach = q["reach"].to_numpy(float) if "reach" in q else np.full(len(q), np.inf)
-        dist, near = Balls(_matrix(c["x"])).nearest(_matrix(q["x"]), k, c["id"].to_numpy(np.int64), reach)
-        i, j = np.nonzero(np.isfinite(dist))
-        return pd.DataFrame({"qid": q["id"].to_numpy(np.int64)[i], "dist": dist[i, j], "id": near[i, j]})
+        own, cell = q["cell"].to_numpy(), c["cell"].to_numpy()
+        held = set(cell.tolist())
+        apart = [o for o in np.unique(own) if held & set(seeds[o])] if seeds is not None else []
+        parts = [(~np.isin(own, apart), np.ones(len(c), bool)), *((own == o, ~np.isin(cell, seeds[o])) for o in apart)]
+        x, y, qid, ids = _matrix(q["x"]), _matrix(c["x"]), q["id"].to_numpy(np.int64), c["id"].to_numpy(np.int64)
+        for at, rows in parts:
+            if at.any() and rows.any():
+                dist, near = Balls(y[rows]).nearest(x[at], k, ids[rows], reach[at])
+                i, j = np.nonzero(np.isfinite(dist))
+                out.append(pd.DataFrame({"qid": qid[at][i], "dist": dist[i, j], "id": near[i, j]}))
+        return pd.concat(out[1:] or out)
     return body
 
 
@@ -395,10 +405,8 @@ def knn(queries: DataFrame, data: DataFrame, k: int, xcol: str = "x", idcol: str
     near = materialize(_smallest(first, ["qid"], ["dist", "id"], k, "id"))
     bound = near.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("reach"))
     asked = materialize(asked.join(bound, asked["id"] == bound["qid"]).select("id", "x", "cell", "reach"))
-    more = _join_cells(asked, data_rows, pivots, _top(k), rows, reach="reach", seeds=seeds)
-    # a bin of the second pass may hold cells of the first: a row met twice counts once
-    met = near.unionByName(more).groupBy("qid", "id").agg(F.min("dist").alias("dist"))
-    best = _smallest(met, ["qid"], ["dist", "id"], k, "id")
+    more = _join_cells(asked, data_rows, pivots, _top(k, seeds), rows, reach="reach", seeds=seeds)
+    best = _smallest(near.unionByName(more), ["qid"], ["dist", "id"], k, "id")
     lists = (best.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("dist", "id"))).alias("nbrs"))
              .join(one.select(F.col("id").alias("qid"), "vh"), "qid").select("vh", "nbrs"))
     return every.join(materialize(lists), "vh", "left").select(F.col("id").alias("qid"), F.coalesce("nbrs", none).alias("nbrs"))

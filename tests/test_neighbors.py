@@ -168,3 +168,15 @@ def test_local_joins_send_only_possible_links(spark):
     met = descent._local_joins(edges, rows, 10, 20, 0).collect()
     assert met and all(r.d <= far[r.a] for r in met)
     assert edges.groupBy("a", "b").count().where("count > 1").isEmpty() and edges.groupBy("a").count().where("count <> 10").isEmpty()
+
+
+def test_rows_of_one_id_keep_their_number(spark):
+    """A data row that comes twice is met twice, however the cells are joined to bins."""
+    x = RNG.normal(size=(120, 12))
+    x = np.vstack([x, x[:40]])
+    ids = np.concatenate([np.arange(120), np.arange(40)])
+    df = spark.createDataFrame(pd.DataFrame({"id": ids, "x": list(x)}))
+    d = _distances(x, x)
+    want = {int(ids[i]): [int(ids[j]) for j in np.lexsort((ids, d[i]))[:6]] for i in range(160)}
+    got = knn(df, df, 6, block=8).collect()
+    assert len(got) == 160 and all([e.id for e in r.nbrs] == want[r.qid] for r in got)
