@@ -267,6 +267,7 @@ class Balls:
             v = x[r, axis]
             if depth < MIDDLE_SPLITS:  # in the middle of the range: dense parts and outliers part early
                 left = v <= (lo[axis] + hi[axis]) / 2
+                left = left if not left.all() else v < hi[axis]  # the middle of neighbouring numbers is the upper one
             else:                      # at the median
                 left = np.zeros(len(r), bool)
                 left[np.argsort(v, kind="stable")[:len(r) // 2]] = True
