@@ -101,7 +101,7 @@ class DetectorModel:
 
     def _spark(self):
         from pyspark.sql import SparkSession
-        return SparkSession.getActiveSession()
+        return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()  # a thread may have none active
 
 
 class Detector:

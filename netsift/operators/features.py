@@ -214,17 +214,19 @@ def fit_scaler(df: DataFrame, names: list[str] | None = None, output_col: str =
     One aggregate pass computes mean and population std of the cleaned columns
     (NULL/NaN/±inf → 0); a zero-variance column scales by 1 (→ all zeros). The fitted
     constants live in a ``SQLTransformer`` stage, followed by a ``VectorAssembler``;
-    the result is a persistable ``PipelineModel``.
+    the result is a persistable ``PipelineModel``. A column is constant if its least value is
+    its largest: the merged variance of equal values may be a rounding error above zero.
     """
     names = names or feature_columns(df)
     cleaned = [F.expr(_clean_expr(c)).alias(c) for c in names]
     stats = df.select(*cleaned).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
-                                    *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(names)]).first()
+                                    *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(names)],
+                                    *[(F.min(c) == F.max(c)).alias(f"c{i}") for i, c in enumerate(names)]).first()
     exprs = []
     for i, c in enumerate(names):
         m = stats[f"m{i}"] or 0.0
         s = stats[f"s{i}"] or 0.0
-        s = s if s > 0 else 1.0
+        s = s if s > 0 and not stats[f"c{i}"] else 1.0
         exprs.append(f"(({_clean_expr(c)}) - ({m!r})) / ({s!r}) AS `z_{c}`")
     select = "SELECT *, " + ", ".join(exprs) + " FROM __THIS__"
     sql = SQLTransformer(statement=select)

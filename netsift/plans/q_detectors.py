@@ -5,8 +5,12 @@ row counts here and by property tests."""
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import ensemble
@@ -294,8 +298,8 @@ def q_train_save_apply(spark, sf):
     f = C.engineer_features(s.join(paired, "session_id", "left_semi"), C.FIXTURE_YEAR)
     old, new = materialize(f.where(part == 0)), materialize(f.where(part == 1))
     scaler = fit_scaler(old)
-    out = None
-    for name in ALL_FIVE:
+
+    def compared(name: str):
         options = '{"epochs": 10}' if name == "autoencoder" else '{"rounds": 6}' if name == "one_class_svm" else "{}"
         stage = DetectorStage(detector=name, contamination=0.05, idCol="session_id", options=options)
         model = Pipeline(stages=[*scaler.stages, stage]).fit(old)
@@ -306,9 +310,11 @@ def q_train_save_apply(spark, sf):
                                                                F.col("is_anomaly").alias("a"))
         both = model.transform(new).select(*cols).join(again, F.col("session_id") == F.col("k"), "full")
         same = F.col("anomaly_score").eqNullSafe(F.col("s")) & F.col("is_anomaly").eqNullSafe(F.col("a"))
-        got = both.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n"), F.sum((~same).cast("long")).alias("n_changed"))
-        out = got if out is None else out.unionByName(got)
-    return out
+        return both.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n"), F.sum((~same).cast("long")).alias("n_changed"))
+
+    # the detectors do not wait for one another: small jobs of one leave most cores to the others
+    with ThreadPoolExecutor(len(ALL_FIVE)) as pool:
+        return reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(spark)(compared), ALL_FIVE))
 
 
 @register("kernel_svm_certificate", """

@@ -187,3 +187,12 @@ def test_kernel_svm_with_few_landmarks_and_no_rows(spark, frame):
     assert m.params["gap"] <= 0.01 * m.params["norm2"]
     none = KernelOneClassSVM().fit(frame.limit(0)).transform(frame.limit(2)).collect()
     assert [(r.anomaly_score, r.is_anomaly) for r in none] == [(None, 0)] * 2
+
+
+def test_constant_column_is_not_scaled_by_a_rounding_error(spark):
+    """Merging the partitions of a constant column gives a variance above zero; a new value is not divided by it."""
+    from netsift.operators.features import fit_scaler
+    x = spark.range(0, 196, 1, 4).select(F.lit(1.0).alias("a"), F.col("id").cast("double").alias("b"))
+    m = fit_scaler(x, ["a", "b"])
+    got = m.transform(spark.createDataFrame([(0.0, 97.5), (1.0, 97.5)], "a double, b double")).orderBy("a")
+    assert [[round(v, 9) for v in r["features"]] for r in got.collect()] == [[-1.0, 0.0], [0.0, 0.0]]
