@@ -18,12 +18,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...schema import DEFAULT_CONTAMINATION, SEED
+from ..joins import materialize
 from .base import Detector, DetectorModel, as_array
 from .training import pack, run_round, shards
 
 
 def rff(X, W, b):
-    return np.sqrt(2.0 / W.shape[1]) * np.cos(X @ W + b)
+    z, scale = X @ W, np.sqrt(2.0 / W.shape[1])
+    for s in range(0, len(z), 256):  # in place, while a part is in the cache
+        part = z[s:s + 256]
+        part += b
+        np.cos(part, out=part)
+        part *= scale
+    return z
 
 
 class OneClassSVM(Detector):
@@ -38,7 +45,7 @@ class OneClassSVM(Detector):
         return 100.0 * (1.0 - self.nu)
 
     def _train(self, df: DataFrame) -> "OneClassSVMModel":
-        x = df.select(as_array(df, self.features_col).alias("x")).where(F.col("x").isNotNull())
+        x = materialize(df.select(as_array(df, self.features_col).alias("x")).where(F.col("x").isNotNull()))
         row = x.first()
         if row is None:  # no training row: a model that scores nothing
             return OneClassSVMModel({"nu": self.nu, "gamma": self.gamma, "n_components": self.D}, np.zeros((0, self.D)),
@@ -60,7 +67,7 @@ class OneClassSVM(Detector):
         def local(wr, X, rnd):  # wr = [w..., rho]
             r = np.random.default_rng([seed, rnd, len(X)])
             w, rho = wr[:-1], wr[-1]
-            Z = X  # the packed shards hold the Fourier features
+            Z = X  # Fourier features: the round maps the rows
             lr = lr0 / np.sqrt(1.0 + rnd)
             passes = max(1, -(-min_steps // max(1, -(-len(Z) // batch))))  # ≥ min_steps updates per round
             for _ in range(passes):
@@ -78,10 +85,10 @@ class OneClassSVM(Detector):
                 return np.zeros(0)
             return np.maximum(0.0, wr[-1] - Z @ wr[:-1]) / nu - wr[-1]
 
-        data = pack(shards(x, 0.0, self.seed), lambda m: rff(m, W, b))
+        data = pack(shards(x, 0.0, self.seed))  # the rows, ten times narrower than their Fourier features
         wr = np.concatenate([np.full(self.D, 1.0 / np.sqrt(self.D)), [0.0]])
         for rnd in range(self.rounds):
-            wr, _, _ = run_round(data, wr, local, loss, rnd)
+            wr, _, _ = run_round(data, wr, local, loss, rnd, lambda m: rff(m, W, b))
         params = {"nu": nu, "gamma": gamma, "n_components": self.D}
         return OneClassSVMModel(params, W, b, wr[:-1], float(wr[-1]), features_col=self.features_col)
 

@@ -3,10 +3,11 @@
 Equal rows are counted first and dealt to shards in lots of at most ``LOT`` copies by a hash of
 their values and the lot's number, so that a vector that holds a third of all rows is spread
 over the shards like any other. The number of shards follows from the number of rows (about
-``SHARD_ROWS`` each), and rows are ordered within a shard. A shard is packed into one row: its
-matrix as bytes, after a fixed feature map (such as random Fourier features) where the model
-has one; the packed table is checkpointed once, so a round reads matrices and maps nothing
-again. One round = one Spark job: the current state (weights, and the optimiser's moments)
+``SHARD_ROWS`` each), and rows are ordered within a shard. Shards are dealt to partitions by
+their numbers, so no partition holds more than one shard above another. A shard is packed into
+one row, its matrix as bytes; the packed table is checkpointed once. A fixed feature map may be
+applied before packing (rounds map nothing again) or in each round (``run_round``; a map that
+widens rows, such as random Fourier features, would be read back many times as wide). One round = one Spark job: the current state (weights, and the optimiser's moments)
 travels in the task closure, every shard runs one local epoch of mini-batch updates, and the
 states are averaged, weighted by rows. A fitted model so depends on
 the rows only, not on how the input was split. A task holds one shard at a time; the
@@ -46,7 +47,7 @@ def shards(x: DataFrame, validation: float, seed: int) -> DataFrame:
     rows = lots.select(F.pmod(F.xxhash64(h), F.lit(k)).cast("int").alias("shard"), h.alias("h"),
                        (F.pmod(h, F.lit(1_000_000)) < int(validation * 1_000_000)).alias("is_val"), "m", "x")
     n = min(k, int(x.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return rows.repartition(n, "shard").sortWithinPartitions("shard", "h", "x").select("shard", "is_val", "x", "m")
+    return rows.repartitionById(n, F.col("shard") % n).sortWithinPartitions("shard", "h", "x").select("shard", "is_val", "x", "m")
 
 
 def pack(rows: DataFrame, feature_map: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
@@ -77,15 +78,20 @@ def pack(rows: DataFrame, feature_map: Callable[[np.ndarray], np.ndarray] | None
 
 def run_round(data: DataFrame, state: np.ndarray,
               local_epoch: Callable[[np.ndarray, np.ndarray, int], np.ndarray],
-              loss: Callable[[np.ndarray, np.ndarray], np.ndarray], round_no: int) -> tuple[np.ndarray, float, int]:
-    """One synchronous round over packed shards; returns (averaged state, validation loss of ``state``, train rows)."""
+              loss: Callable[[np.ndarray, np.ndarray], np.ndarray], round_no: int,
+              feature_map: Callable[[np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, float, int]:
+    """One synchronous round over packed shards, whose distinct rows are mapped first; returns (averaged state,
+    validation loss of ``state``, train rows)."""
     s0 = state.copy()
 
     def shard(row) -> pd.DataFrame:
         m = np.frombuffer(row.m, np.int64)
-        X = np.repeat(np.frombuffer(row.x, float).reshape(-1, row.d), m, axis=0)
-        val = np.repeat(np.frombuffer(row.is_val, bool), m)
-        tr, va = X[~val], X[val]
+        val = np.frombuffer(row.is_val, bool)
+        X = np.frombuffer(row.x, float).reshape(-1, row.d)
+        X = X if feature_map is None else feature_map(X)
+        if (m > 1).any():
+            X, val = np.repeat(X, m, axis=0), np.repeat(val, m)
+        tr, va = (X[~val], X[val]) if val.any() else (X, X[:0])
         w = local_epoch(s0.copy(), tr, round_no) if len(tr) else s0
         vl = float(loss(s0, va).sum()) if len(va) else 0.0
         return pd.DataFrame({"n": [len(tr)], "wsum": [(w * len(tr)).tolist()], "vloss": [vl], "vn": [len(va)]})

@@ -93,7 +93,7 @@ def q_dbscan_clusters(spark, sf):
 
 def _session_matrix(spark, sf):
     f = C.features_df(spark, sf)
-    return fit_scaler(f).transform(f)
+    return fit_scaler(f).transform(f).select("session_id", "features")
 
 
 @register("iforest_scores", None)

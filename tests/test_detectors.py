@@ -105,3 +105,22 @@ def test_fit_transform_flags_as_fit_then_transform(spark):
         again = d.fit(df)
         a, b = ({r.id: (round(r.anomaly_score, 9), r.is_anomaly) for r in x.collect()} for x in (s, again.transform(df)))
         assert a == b and abs(m.threshold - again.threshold) < 1e-9, type(d).__name__
+
+
+def test_rounds_of_the_svm_read_rows_not_their_features(spark, monkeypatch):
+    """The packed shards are as wide as the rows; mapped in the rounds they give what mapped shards gave."""
+    from netsift.operators.detectors import ocsvm, training
+    x = spark.range(400).select(F.array(F.randn(1), F.randn(2), F.lit(0.5)).alias("features"))
+    x = x.unionByName(x.limit(30)).localCheckpoint()
+    packed, real = [], ocsvm.run_round
+    monkeypatch.setattr(ocsvm, "run_round", lambda data, *a, **k: packed.append(data) or real(data, *a, **k))
+    m = OneClassSVM(nu=0.1, n_components=40, rounds=3).fit(x)
+    assert {r.d for r in packed[0].select("d").collect()} == {3}
+    W, b = m.W, m.b
+    to = lambda z: np.sqrt(2.0 / 40) * np.cos(z @ W + b)
+    rows = training.shards(x.select(F.col("features").alias("x")), 0.2, 7)
+    step = lambda w, z, r: w + z.sum(axis=0)
+    loss = lambda w, z: z @ w
+    late = training.run_round(training.pack(rows), np.ones(40), step, loss, 0, to)
+    early = training.run_round(training.pack(rows, to), np.ones(40), step, loss, 0)
+    assert np.array_equal(late[0], early[0]) and late[1:] == early[1:] and 0 < late[2] < 430

@@ -125,3 +125,15 @@ def test_time_axis_is_made_in_runs(spark):
     got = traffic_timeline(rows, "minute").orderBy("bin").collect()
     assert len(got) == 3 * 1440 + 5 * 60 + 7 and [got[0].sessions, got[1].sessions, got[-1].sessions] == [1, 0, 1]
     assert traffic_timeline(rows.limit(0), "minute").count() == 0
+
+
+def test_training_shards_are_dealt_evenly(spark, monkeypatch):
+    """Partitions hold as many shards as one another, or one more; every row is in one shard."""
+    from netsift.operators.detectors import training
+    monkeypatch.setattr(training, "SHARD_ROWS", 50)
+    x = spark.range(2_000).select(F.array(F.col("id").cast("double")).alias("x"))
+    dealt = training.shards(x, 0.1, 3).withColumn("p", F.spark_partition_id())
+    assert dealt.agg(F.sum("m")).first()[0] == 2_000
+    per = [r.n for r in dealt.groupBy("p").agg(F.countDistinct("shard").alias("n")).collect()]
+    assert len(per) == 4 and max(per) - min(per) <= 1
+    assert dealt.groupBy("shard").agg(F.countDistinct("p").alias("n")).where("n > 1").isEmpty()
