@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ...schema import (AE_BATCH, AE_DROPOUT, AE_ENCODING, AE_EPOCHS, AE_HIDDEN, AE_PATIENCE, AE_VALIDATION,
                        DEFAULT_CONTAMINATION, SEED)
 from .base import Detector, DetectorModel, as_array
-from .training import pack, run_round, shards
+from .training import held, pack, run_round, shards
 
 
 def layer_sizes(d: int, hidden=AE_HIDDEN, enc=AE_ENCODING) -> list[int]:
@@ -74,32 +74,61 @@ def recon_error(w, sizes, X):
 
 
 def local_epoch_fn(sizes, batch, p, seed, lr=1e-3):
+    """One local epoch of Adam; its batches share one set of arrays."""
+    n_layers, drop = len(sizes) - 1, _dropout_after(len(sizes) - 1) if p > 0 else set()
+    up = 1.0 / (1.0 - p)
+
     def run(state, X, round_no):
         rng = np.random.default_rng([seed, round_no, len(X)])
         # one optimiser over all rounds: its moments travel with the weights
-        w, m, v = np.split(state, 3)
+        w, m, v = (part.copy() for part in np.split(state, 3))
+        g, a, c = np.empty_like(w), np.empty_like(w), np.empty_like(w)
+        layers, grads = unpack(w, sizes), unpack(g, sizes)  # views
         t = round_no * -(-len(X) // batch)
         order = rng.permutation(len(X))
-        layers_n = len(sizes) - 1
+        rows = min(batch, len(X))
+        space = [[np.empty((rows, k)) for k in sizes] for _ in range(2)]
+        draws = {li: np.empty((rows, sizes[li + 1])) for li in drop}
+        gates = {li: np.empty((rows, sizes[li + 1]), bool) for li in range(n_layers - 1)}
         for s in range(0, len(X), batch):
-            xb = X[order[s:s + batch]]
-            acts, masks = forward(w, sizes, xb, rng, p)
-            layers = unpack(w, sizes)
-            grad = []
-            delta = 2.0 * (acts[-1] - xb) / (xb.shape[0] * xb.shape[1])
-            for li in range(layers_n - 1, -1, -1):
-                W, _ = layers[li]
-                grad.append((acts[li].T @ delta, delta.sum(axis=0)))
+            n = min(batch, len(X) - s)
+            acts, deltas = ([part[:n] for part in parts] for parts in space)
+            np.take(X, order[s:s + n], axis=0, out=acts[0], mode="clip")
+            for li, (W, b) in enumerate(layers):
+                h = np.matmul(acts[li], W, out=acts[li + 1])
+                h += b
+                if li < n_layers - 1:
+                    np.maximum(h, 0.0, out=h)
+                if li in drop:
+                    keep = np.greater_equal(rng.random(out=draws[li][:n]), p, out=gates[li][:n])
+                    h *= keep
+                    h *= up
+            delta = np.subtract(acts[-1], acts[0], out=deltas[-1])
+            delta *= 2.0
+            delta /= n * sizes[-1]
+            for li in range(n_layers - 1, -1, -1):
+                gw, gb = grads[li]
+                np.matmul(acts[li].T, delta, out=gw)
+                np.sum(delta, axis=0, out=gb)
                 if li > 0:
-                    delta = delta @ W.T
-                    if masks[li - 1] is not None:
-                        delta = delta * masks[li - 1]
-                    delta = delta * (acts[li] > 0)
-            g = np.concatenate([np.concatenate([gw.ravel(), gb]) for gw, gb in reversed(grad)])
+                    delta = np.matmul(delta, layers[li][0].T, out=deltas[li])
+                    if li - 1 in drop:  # a dropped activation is 0, so the gate shuts it too
+                        delta *= up
+                    delta *= np.greater(acts[li], 0, out=gates[li - 1][:n])
             t += 1
-            m = 0.9 * m + 0.1 * g
-            v = 0.999 * v + 0.001 * g * g
-            w = w - lr * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-7)
+            # w -= lr * (m / (1 - 0.9 ** t)) / (sqrt(v / (1 - 0.999 ** t)) + 1e-7)
+            m *= 0.9
+            m += np.multiply(g, 0.1, out=a)
+            v *= 0.999
+            np.multiply(g, 0.001, out=a)
+            v += np.multiply(a, g, out=a)
+            np.divide(v, 1 - 0.999 ** t, out=c)
+            np.sqrt(c, out=c)
+            c += 1e-7
+            np.divide(m, 1 - 0.9 ** t, out=a)
+            a *= lr
+            a /= c
+            w -= a
         return np.concatenate([w, m, v])
     return run
 
@@ -133,19 +162,20 @@ class Autoencoder(Detector):
         step = local_epoch_fn(sizes, self.batch, self.dropout, self.seed)
         loss = lambda ww, X: recon_error(ww[:k], sizes, X)
         best, best_loss, bad, history = w, float("inf"), 0, []
-        for epoch in range(self.epochs + 1):
-            new, vl, _ = run_round(data, w, step, loss, epoch)  # vl = validation loss of `w`
-            if epoch > 0:
-                history.append(vl)
-                if vl < best_loss - 1e-12:
-                    best, best_loss, bad = w, vl, 0
-                else:
-                    bad += 1
-                    if bad >= self.patience:
-                        break
-            if epoch == self.epochs:
-                break
-            w = new
+        with held(data):
+            for epoch in range(self.epochs + 1):
+                new, vl, _ = run_round(data, w, step, loss, epoch)  # vl = validation loss of `w`
+                if epoch > 0:
+                    history.append(vl)
+                    if vl < best_loss - 1e-12:
+                        best, best_loss, bad = w, vl, 0
+                    else:
+                        bad += 1
+                        if bad >= self.patience:
+                            break
+                if epoch == self.epochs:
+                    break
+                w = new
         return AutoencoderModel({"sizes": sizes, "threshold_percentile": self.threshold_percentile,
                                  "epochs_run": len(history), "val_loss": history}, best[:k],
                                 features_col=self.features_col)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ...schema import DEFAULT_CONTAMINATION, SEED
 from ..joins import materialize
 from .base import Detector, DetectorModel, as_array
-from .training import pack, run_round, shards
+from .training import held, pack, run_round, shards
 
 
 def rff(X, W, b):
@@ -87,8 +87,9 @@ class OneClassSVM(Detector):
 
         data = pack(shards(x, 0.0, self.seed))  # the rows, ten times narrower than their Fourier features
         wr = np.concatenate([np.full(self.D, 1.0 / np.sqrt(self.D)), [0.0]])
-        for rnd in range(self.rounds):
-            wr, _, _ = run_round(data, wr, local, loss, rnd, lambda m: rff(m, W, b))
+        with held(data):
+            for rnd in range(self.rounds):
+                wr, _, _ = run_round(data, wr, local, loss, rnd, lambda m: rff(m, W, b))
         params = {"nu": nu, "gamma": gamma, "n_components": self.D}
         return OneClassSVMModel(params, W, b, wr[:-1], float(wr[-1]), features_col=self.features_col)
 

@@ -5,22 +5,26 @@ their values and the lot's number, so that a vector that holds a third of all ro
 over the shards like any other. The number of shards follows from the number of rows (about
 ``SHARD_ROWS`` each), and rows are ordered within a shard. Shards are dealt to partitions by
 their numbers, so no partition holds more than one shard above another. A shard is packed into
-one row, its matrix as bytes; the packed table is checkpointed once. A fixed feature map may be
+one row, its matrix as bytes, training rows first; the packed table is checkpointed once, and
+``held`` by the executors (in memory, else on their disks) while the rounds read it. A fixed feature map may be
 applied before packing (rounds map nothing again) or in each round (``run_round``; a map that
 widens rows, such as random Fourier features, would be read back many times as wide). One round = one Spark job: the current state (weights, and the optimiser's moments)
 travels in the task closure, every shard runs one local epoch of mini-batch updates, and the
 states are averaged, weighted by rows. A fitted model so depends on
-the rows only, not on how the input was split. A task holds one shard at a time; the
-driver receives one vector per round, summed in two levels. Validation lots are chosen by the
+the rows only, not on how the input was split. A task computes on one shard at a time and returns
+one vector; the driver receives one per round, summed in two levels. Validation lots are chosen by the
 same hash.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -34,7 +38,7 @@ ROUND_SCHEMA = "n long, wsum array<double>, vloss double, vn long"
 SHARD_ROWS = 12_800
 LOT = 1_600
 SUM_GROUPS = 32
-BATCH_BYTES = "32m"
+BATCH_BYTES = "4m"  # a shard or two: batches of 32m took about three times as long to reach Python
 
 
 def shards(x: DataFrame, validation: float, seed: int) -> DataFrame:
@@ -51,11 +55,12 @@ def shards(x: DataFrame, validation: float, seed: int) -> DataFrame:
 
 
 def pack(rows: DataFrame, feature_map: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
-    """(shard, d, x, m, is_val): one row per shard of ``shards``, its columns as bytes (checkpointed)."""
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)  # a few shards a batch
+    """(shard, d, x, m, is_val): one row per shard of ``shards``, its columns as bytes, the rows for
+    validation last (checkpointed)."""
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
     def one(key: int, parts: list[pd.DataFrame]) -> pd.DataFrame:
-        pdf = pd.concat(parts)
+        pdf = pd.concat(parts).sort_values("is_val", kind="stable")
         x = np.array(pdf["x"].tolist(), dtype=float)
         x = x if feature_map is None else feature_map(x)
         return pd.DataFrame({"shard": [key], "d": [x.shape[1]], "x": [np.ascontiguousarray(x).tobytes()],
@@ -76,6 +81,16 @@ def pack(rows: DataFrame, feature_map: Callable[[np.ndarray], np.ndarray] | None
     return materialize(rows.mapInPandas(go, "shard int, d int, x binary, m binary, is_val binary"))
 
 
+@contextmanager
+def held(data: DataFrame) -> Iterator[DataFrame]:
+    """``data`` kept by the executors; a lost part is read from the checkpoint again."""
+    data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield data
+    finally:
+        data.unpersist()
+
+
 def run_round(data: DataFrame, state: np.ndarray,
               local_epoch: Callable[[np.ndarray, np.ndarray, int], np.ndarray],
               loss: Callable[[np.ndarray, np.ndarray], np.ndarray], round_no: int,
@@ -84,24 +99,29 @@ def run_round(data: DataFrame, state: np.ndarray,
     validation loss of ``state``, train rows)."""
     s0 = state.copy()
 
-    def shard(row) -> pd.DataFrame:
-        m = np.frombuffer(row.m, np.int64)
-        val = np.frombuffer(row.is_val, bool)
-        X = np.frombuffer(row.x, float).reshape(-1, row.d)
+    def shard(d: int, x: pa.Buffer, m: pa.Buffer, is_val: pa.Buffer) -> tuple[np.ndarray, int, float, int]:
+        m = np.frombuffer(m, np.int64)
+        X = np.frombuffer(x, float).reshape(-1, d)
         X = X if feature_map is None else feature_map(X)
-        if (m > 1).any():
-            X, val = np.repeat(X, m, axis=0), np.repeat(val, m)
-        tr, va = (X[~val], X[val]) if val.any() else (X, X[:0])
+        k = len(m) - int(np.frombuffer(is_val, bool).sum())
+        parts = [(X[:k], m[:k]), (X[k:], m[k:])]
+        tr, va = (np.repeat(z, c, axis=0) if (c > 1).any() else z for z, c in parts)
         w = local_epoch(s0.copy(), tr, round_no) if len(tr) else s0
         vl = float(loss(s0, va).sum()) if len(va) else 0.0
-        return pd.DataFrame({"n": [len(tr)], "wsum": [(w * len(tr)).tolist()], "vloss": [vl], "vn": [len(va)]})
+        return w, len(tr), vl, len(va)
 
     def part(batches):
-        for pdf in batches:
-            for row in pdf.itertuples():
-                yield shard(row)
-
-    r = data.mapInPandas(part, ROUND_SCHEMA)
+        wsum, n, vloss, vn = np.zeros(len(s0)), 0, 0.0, 0
+        for b in batches:
+            for i in range(b.num_rows):
+                w, k, vl, v = shard(b.column("d")[i].as_py(), *(b.column(c)[i].as_buffer() for c in ("x", "m", "is_val")))
+                wsum += w * k
+                n, vloss, vn = n + k, vloss + vl, vn + v
+        if n or vn:
+            w = pa.ListArray.from_arrays(pa.array([0, len(wsum)], pa.int32()), pa.array(wsum))
+            yield pa.RecordBatch.from_arrays([pa.array([n]), w, pa.array([vloss]), pa.array([vn])], ["n", "wsum", "vloss", "vn"])
+
+    r = data.mapInArrow(part, ROUND_SCHEMA)
     sums = [Summarizer.sum(F.col("w")).alias("w"), *(F.sum(c).alias(c) for c in ("n", "vloss", "vn"))]
     parts = r.select(array_to_vector("wsum").alias("w"), "n", "vloss", "vn",
                      (F.spark_partition_id() % SUM_GROUPS).alias("g"))

@@ -124,3 +124,51 @@ def test_rounds_of_the_svm_read_rows_not_their_features(spark, monkeypatch):
     late = training.run_round(training.pack(rows), np.ones(40), step, loss, 0, to)
     early = training.run_round(training.pack(rows, to), np.ones(40), step, loss, 0)
     assert np.array_equal(late[0], early[0]) and late[1:] == early[1:] and 0 < late[2] < 430
+
+
+def test_rounds_read_held_shards_in_small_batches(spark, monkeypatch):
+    """The rounds read shards that executors hold, in batches of a shard or two, and free them; a task returns one vector."""
+    from netsift.operators.detectors import autoencoder, training
+    seen, real = [], autoencoder.run_round
+    monkeypatch.setattr(autoencoder, "run_round", lambda data, *a, **k: seen.append((data, data.storageLevel.useMemory)) or real(data, *a, **k))
+    df, _ = _blob(spark, n=300, d=4, outliers=3, seed=9)
+    Autoencoder(epochs=2).fit(df)
+    assert len(seen) == 3 and all(kept for _, kept in seen) and not seen[0][0].storageLevel.useMemory
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == training.BATCH_BYTES == "4m"
+    monkeypatch.setattr(training, "SHARD_ROWS", 50)
+    packed = training.pack(training.shards(df.select(F.col("features").alias("x")), 0.2, 7)).coalesce(1)
+    assert packed.count() == 6
+    for r in packed.collect():
+        val = np.frombuffer(r.is_val, bool)
+        assert (np.sort(val) == val).all()
+    vectors, summed = [], training.array_to_vector
+    monkeypatch.setattr(training, "array_to_vector", lambda c: vectors.append(c) or summed(F.transform(c, lambda v: F.lit(1.0))))
+    ones, _, n = training.run_round(packed, np.zeros(3), lambda w, z, r: w + len(z), lambda w, z: np.ones(len(z)), 0)
+    assert vectors and np.allclose(ones * n, 1.0)  # one vector of ones in all
+
+
+def test_a_local_epoch_is_plain_adam_on_shuffled_batches():
+    from netsift.operators.detectors import autoencoder as ae
+    sizes, batch, p, k = ae.layer_sizes(5), 32, 0.2, 3
+    X = np.random.default_rng(1).normal(size=(100, 5))
+    w = ae.init_weights(sizes, 4)
+    state = np.concatenate([w, np.full(len(w), 1e-3), np.full(len(w), 1e-4)])
+    given = state.copy()
+    got = ae.local_epoch_fn(sizes, batch, p, 7)(state, X, k)
+    assert np.array_equal(state, given)
+    rng, t = np.random.default_rng([7, k, len(X)]), k * 4
+    w, m, v = np.split(given, 3)
+    order = rng.permutation(len(X))
+    for s in range(0, len(X), batch):
+        xb, t = X[order[s:s + batch]], t + 1
+        acts, masks = ae.forward(w, sizes, xb, rng, p)
+        delta, grad = 2.0 * (acts[-1] - xb) / xb.size, []
+        for li in range(len(sizes) - 2, -1, -1):
+            grad = [(acts[li].T @ delta).ravel(), delta.sum(axis=0), *grad]
+            if li > 0:
+                delta = delta @ ae.unpack(w, sizes)[li][0].T * (acts[li] > 0)
+                delta = delta if masks[li - 1] is None else delta * masks[li - 1]
+        g = np.concatenate(grad)
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w = w - 1e-3 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-7)
+    assert np.allclose(got, np.concatenate([w, m, v]), rtol=1e-12, atol=1e-15)
