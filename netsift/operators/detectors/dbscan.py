@@ -1,7 +1,7 @@
 """DBSCAN, exact: degrees by range searches over pivot partitions, core = |N_ε| ≥
 min_samples (self included), clusters = connected components of the links that span
 core vectors block by block (minimum-label propagation with pointer jumping, run to
-convergence), border points take the smallest label among their core neighbours, the
+convergence; inside cells first, then between what is still apart), border points take the smallest label among their core neighbours, the
 rest is noise (label −1 → anomaly). The cluster label is the smallest core member id.
 Transductive like the original: it labels the rows it was fitted on.
 """
@@ -17,6 +17,27 @@ from .base import DetectorModel, as_array
 from .neighbors import RangeIndex
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, label): each label becomes the least of those that the links (a, b) connect it with."""
+    links = materialize(links.distinct())
+    if links.isEmpty():
+        return labels
+    both = materialize(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    least = materialize(both.select(F.col("a").alias("id")).distinct().withColumn("label", F.col("id")))
+    while True:  # to convergence: pointer jumping makes rounds logarithmic in a chain's length
+        nb = both.join(least.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b") \
+            .groupBy(F.col("a").alias("id")).agg(F.min("lb").alias("lb"))
+        new = materialize(least.join(nb, "id", "left").select("id", F.least("label", F.coalesce("lb", "label")).alias("label")))
+        up = new.select(F.col("id").alias("label"), F.col("label").alias("up"))
+        new = materialize(new.join(up, "label").select("id", F.col("up").alias("label")))
+        changed = not new.join(least.select("id", F.col("label").alias("old")), "id").where("label <> old").isEmpty()
+        least = new
+        if not changed:
+            break
+    least = least.select(F.col("id").alias("label"), F.col("label").alias("least"))
+    return materialize(labels.join(least, "label", "left").select("id", F.coalesce("least", "label").alias("label")))
+
+
 class DBSCAN:
     def __init__(self, eps: float = DBSCAN_EPS, min_samples: int = DBSCAN_MIN_SAMPLES,
                  features_col: str = "features", id_col: str = "id"):
@@ -31,19 +52,11 @@ class DBSCAN:
                 ("degree", "long"), ("is_core", "int"), ("cluster", "long"), ("is_anomaly", "int"), ("anomaly_score", "double"))))
         deg = materialize(index.degrees())
         core = deg.where(F.col("degree") >= self.min_samples).select("id")
-        links = index.links(core)
-        both = materialize(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
         labels = materialize(core.select("id", F.col("id").alias("label")))
-        while True:  # to convergence: pointer jumping makes rounds logarithmic in a chain's length
-            nb = both.join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b") \
-                .groupBy(F.col("a").alias("id")).agg(F.min("lb").alias("lb"))
-            new = materialize(labels.join(nb, "id", "left").select("id", F.least("label", F.coalesce("lb", "label")).alias("label")))
-            up = new.select(F.col("id").alias("label"), F.col("label").alias("up"))
-            new = materialize(new.join(up, "label").select("id", F.col("up").alias("label")))
-            changed = not new.join(labels.select("id", F.col("label").alias("old")), "id").where("label <> old").isEmpty()
-            labels = new
-            if not changed:
-                break
+        # inside cells, then from a few rows to all cells: what these join has no more links to be looked for
+        labels = _joined(labels, index.links(labels, own_cell=True))
+        labels = _joined(labels, index.links(labels, asked=F.pmod(F.xxhash64("id"), F.lit(64)) == 0))
+        labels = _joined(labels, index.links(labels))
         rest = deg.where(F.col("degree") < self.min_samples).select("id")
         border = index.least_label(rest, labels).select("id", F.col("label").alias("border_label"))
         out = index.points.select("id", "vh").join(deg, "id").join(labels, "id", "left").join(border, "id", "left")

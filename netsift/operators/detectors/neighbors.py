@@ -5,22 +5,26 @@ Rows are dealt to the nearest of about n / block pivots (data rows chosen by a h
 radius R holds nothing within t of a query q when d(q, p) - R > t, so a query is sent, as one
 row, to the cells that may hold a row it needs and to no other. Where the bounds exclude little,
 a query would be sent to nearly every cell; cells near one another are then joined to bins of up
-to ``CELL_ROWS`` rows, as far as that at most doubles the pairs, and a query is sent once a bin.
-Data rows are sent once for every ``QUERY_ROWS`` queries of their bin; a cell of more than
-``CELL_ROWS`` rows is split by a hash and its queries go to each part, so no group grows with the
-data. Rows leave Python in frames of bounded size, however many cells a query needs.
+to ``part_rows`` rows, as far as the rows sent less outweigh the pairs met more, and a query is sent once a bin.
+Data rows are sent once for every ``part_rows`` queries of their bin; a cell of more rows is split
+by a hash and its queries go to each part, so no group grows with the data: ``part_rows`` is an
+eighth of the data, at least ``CELL_ROWS`` and at most ``MOST_ROWS``, since all pairs of n rows copy
+each row n / ``part_rows`` times. Rows leave Python in frames of bounded size, however many cells a
+query needs.
 
 *Inside a task* the data rows are cut into balls of about ``LEAF`` rows (splits along the widest
-axis). Squared distances come from a matrix product with a bound of their rounding, which settles
-nearly all pairs; the others, and all distances returned, are computed from the differences:
+axis), and queries near one another visit them together. Squared distances come from a matrix
+product in single precision, around the middle of the queries, with a bound of its rounding, which
+settles nearly all pairs; the others, and all distances returned, are computed from the differences:
 
 * **k nearest neighbours** take balls in order of their distance, and those beyond the running
   k-th distance not at all. They take two passes over cells: the first visits the nearest cells
-  that hold k rows and so bounds the k-th distance; the second visits the other cells that the
-  bound does not exclude.
+  that hold k rows and so bounds the k-th distance; the second visits the cells that the bound
+  does not exclude.
 * **ranges** (DBSCAN) skip balls beyond eps, and take a ball that lies wholly within eps
   without a distance, so the work in a dense cell is linear in its queries and balls. A task
-  sends back degree sums, spanning links or least labels, never pairs.
+  sends back degree sums, spanning links or least labels, never pairs. Links are looked for between
+  rows of different labels only. Two bins meet once: what one holds of the other is counted on both sides.
 
 Bounds work in all dimensions, on collinear data and with far outliers; where distances are
 nearly equal (isotropic data of many dimensions) they exclude little, as in any exact method.
@@ -34,6 +38,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -42,14 +47,18 @@ from ..joins import materialize
 
 CELL_BLOCK = 1024   # rows of a cell, on average, as long as there are at most MAX_PIVOTS cells
 MAX_PIVOTS = 4096
-CELL_ROWS = 16_384  # rows of a cell in one task
-QUERY_ROWS = 16_384  # queries of a cell in one task
+CELL_ROWS = 16_384  # rows of a cell, or queries of it, in one task, as long as there are few
+MOST_ROWS = 65_536  # and at most
 LEAF = 64
 MIDDLE_SPLITS = 24
-QUERY_STEP = 512    # queries of a task that visit balls together
-STEP_ROWS = 2048    # rows of the balls that they visit at once
+QUERY_STEP = 1024   # queries of a task that visit balls together
+STEP_ROWS = 1024    # rows of the balls that they visit at once
+SENT = 4000         # pairs that take as long as sending a row to a task
+MOST_PARTITIONS = 512
 _CHUNK = 4_000_000  # doubles per distance chunk inside a task
 _SLACK = 1e-9       # rounding of a distance, relative: bounds give way by it
+_TINY = 1e-30       # what single precision may lose of a square below its range
+_HUGE = 1e36        # squares that single precision does not hold safely
 GROUP = ["dcell", "dsalt", "qsalt"]
 
 
@@ -96,10 +105,58 @@ class Squares:
         return np.sqrt(np.maximum(least, 0)), np.sqrt(np.maximum(most, 0))
 
 
+class Near:
+    """Least squared distances from queries near one another, in single precision: both sides are taken around
+    the middle of the queries, so that the rounding goes with their distances and not with their place."""
+
+    def __init__(self, q: np.ndarray):
+        whole = q[np.isfinite(q).all(axis=1)]
+        self.mid = np.median(whole, axis=0) if len(whole) else np.zeros(q.shape[1])
+        self.unit = 4 * (q.shape[1] + 8) * float(np.finfo(np.float32).eps)  # rounding of the sums, relative to the norms
+        z, self.norm = self._around(q)
+        self.q = np.column_stack([-2.0 * z, self.norm * (1 - self.unit), np.ones(len(q))]).astype(np.float32)
+
+    def _around(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        with np.errstate(over="ignore", invalid="ignore"):
+            z = x - self.mid
+            norm = np.einsum("ij,ij->i", z, z)
+            far = ~(norm < _HUGE)
+            z[far], norm[far] = 0.0, np.nan  # nothing is known: such rows are measured
+        return z, norm
+
+    def least(self, x: np.ndarray, rows=slice(None)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Least squared distance of each of ``rows`` of the queries to each row of ``x``, and what the largest
+        exceeds it by at most: a share of the query and one of the row."""
+        z, norm = self._around(x)
+        x32 = np.column_stack([z, np.ones(len(x)), norm * (1 - self.unit)]).astype(np.float32)
+        return self.q[rows] @ x32.T, 2 * self.unit * self.norm[rows], 2 * self.unit * norm
+
+
+def _above(limit: np.ndarray | float) -> np.ndarray:
+    """A single-precision limit above which a least square is larger than ``limit``."""
+    with np.errstate(over="ignore"):
+        return np.nextafter(np.asarray(np.asarray(limit) * (1 + _SLACK) + _TINY, np.float32), np.float32(np.inf))
+
+
 def _matrix(col) -> np.ndarray:
     return np.array(col.tolist(), dtype=float)
 
 
+def _columns(table: pa.Table) -> dict[str, np.ndarray]:
+    """The columns of a task's rows; vectors as one matrix."""
+    out = {}
+    for name in table.column_names:
+        col = table.column(name).combine_chunks()
+        if not pa.types.is_list(col.type):
+            out[name] = col.to_numpy(zero_copy_only=False)
+            continue
+        widths = np.unique(np.diff(col.offsets.to_numpy()))
+        if col.null_count or len(widths) > 1:
+            raise ValueError("vectors must have one length")
+        out[name] = col.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(len(col), widths[0] if len(widths) else 1)
+    return out
+
+
 def _frames(pdf: pd.DataFrame, width: int):
     """``pdf`` in parts whose rows times ``width`` stay bounded."""
     step = max(1, _CHUNK // max(1, width))
@@ -168,47 +225,59 @@ def _binned(hit: np.ndarray, bins: np.ndarray) -> np.ndarray:
     return np.logical_or.reduceat(hit[:, order], np.flatnonzero(np.diff(bins[order], prepend=-1)), axis=1)
 
 
-def _hits(pivots: Pivots, reach: str | float, seeds: list[list[int]] | None = None, only_seeds: bool = False):
+def _hits(pivots: Pivots, reach: str | float = 0.0, seeds: list[list[int]] | None = None,
+          labels: tuple[np.ndarray, np.ndarray] | None = None):
     """A function from batches of queries to (queries, which cells they need) in parts of bounded size: the cells
-    that may hold a row within ``reach``, or the ``seeds`` of the query's own cell, or all but those."""
+    that may hold a row within ``reach``, or the ``seeds`` of the query's own cell. With ``labels``, the least and
+    the largest label of each cell, a cell without any is not needed, nor one of a labelled query's label only."""
     def go(batches):
         for batch in batches:
             for pdf in _frames(batch, len(pivots.points)):
-                if only_seeds:
+                if seeds is not None:
                     hit = np.zeros((len(pdf), len(pivots.points)), bool)
+                    for r, c in enumerate(pdf["cell"]):
+                        hit[r, seeds[c]] = True
                 else:
                     hit = pivots.hits(_matrix(pdf["x"]), pdf[reach].to_numpy(float)[:, None] if isinstance(reach, str) else reach)
-                for r, c in enumerate(pdf["cell"] if seeds is not None else ()):
-                    hit[r, seeds[c]] = only_seeds
+                if labels is not None:
+                    low, high = labels
+                    hit &= low <= high
+                    if "label" in pdf:
+                        own = pdf["label"].to_numpy(np.int64)[:, None]
+                        hit &= ~((low == own) & (high == own))
                 yield pdf, hit
     return go
 
 
-def _needed(queries: DataFrame, pivots: Pivots, bins: np.ndarray, **need) -> DataFrame:
+def _bins_needed(pdf: pd.DataFrame, hit: np.ndarray, bins: np.ndarray, half: bool) -> np.ndarray:
+    """Which bins each query needs; ``half``: of two bins that need each other, the later one only."""
+    need = _binned(hit, bins)
+    return need & (np.arange(need.shape[1]) >= bins[pdf["cell"].to_numpy()][:, None]) if half else need
+
+
+def _needed(queries: DataFrame, pivots: Pivots, bins: np.ndarray, half: bool = False, **need) -> DataFrame:
     """``queries`` with ``dcell``, a row per bin of cells that a query needs."""
     cols, hits = queries.columns, _hits(pivots, **need)
 
     def go(batches):
         for pdf, hit in hits(batches):
-            i, j = np.nonzero(_binned(hit, bins))
-            width = len(pdf["x"].iloc[0])
-            step = max(1, _CHUNK // 4 // max(1, width))
-            for s in range(0, len(i), step):
-                yield pdf[cols].iloc[i[s:s + step]].assign(dcell=j[s:s + step].astype("int32"))
+            i, j = np.nonzero(_bins_needed(pdf, hit, bins, half))
+            yield pdf[cols].assign(dcell=np.split(j.astype("int32"), np.searchsorted(i, np.arange(1, len(pdf)))))
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in queries.schema.fields)
-    return queries.mapInPandas(go, f"{fields}, dcell int")
+    # the JVM copies the rows
+    return queries.mapInPandas(go, f"{fields}, dcell array<int>").withColumn("dcell", F.explode("dcell"))
 
 
-def _asked(queries: DataFrame, pivots: Pivots, levels: list[np.ndarray], **need) -> list[np.ndarray]:
+def _asked(queries: DataFrame, pivots: Pivots, levels: list[np.ndarray], half: bool = False, **need) -> list[np.ndarray]:
     """For each level, how many queries need each of its bins."""
     hits = _hits(pivots, **need)
 
     def go(batches):
         sums = [np.zeros(bins.max() + 1, np.int64) for bins in levels]
-        for _, hit in hits(batches):
+        for pdf, hit in hits(batches):
             for n, bins in zip(sums, levels):
-                n += _binned(hit, bins).sum(axis=0)
+                n += _bins_needed(pdf, hit, bins, half).sum(axis=0)
         for level, n in enumerate(sums):
             at = np.flatnonzero(n)
             yield pd.DataFrame({"level": np.full(len(at), level, "int32"), "dcell": at.astype("int32"), "n": n[at]})
@@ -226,147 +295,239 @@ def pairs_visited(queries: DataFrame, pivots: Pivots, reach: str | float) -> tup
     return int(n.sum()), int((n * pivots.count).sum())
 
 
-def _join_cells(queries: DataFrame, cells: DataFrame, pivots: Pivots, body: Callable, schema: str, cell_rows: int = CELL_ROWS,
-                query_rows: int = QUERY_ROWS, **need) -> DataFrame:
+def _join_cells(queries: DataFrame, cells: DataFrame, pivots: Pivots, body: Callable, schema: str, cell_rows: int | None = None,
+                query_rows: int | None = None, arrow: bool = False, **need) -> DataFrame:
     """Run ``body(queries, data)`` for every bin of cells and the queries that need it. A bin may hold cells that a
-    query of it does not need."""
+    query of it does not need. ``arrow``: the body takes and returns Arrow tables, else pandas frames."""
+    part_rows = min(MOST_ROWS, max(CELL_ROWS, -(-int(pivots.count.sum()) // 8)))
+    cell_rows, query_rows = cell_rows or part_rows, query_rows or part_rows
     levels = pivots.levels(cell_rows)
     asked = _asked(queries, pivots, levels, **need)
     count = [np.bincount(bins, weights=pivots.count).astype(np.int64) for bins in levels]
-    pairs = [int((a * c).sum()) for a, c in zip(asked, count)]
-    best = next(i for i, p in enumerate(pairs) if p <= 2 * pairs[-1])
+    most = lambda rows, size: -(-rows // size)
+    cost = [(a * c).sum() + SENT * (a * most(c, cell_rows) + c * most(a, query_rows)).sum() for a, c in zip(asked, count)]
+    best = int(np.argmin(cost))
     bins, asked, count = levels[best], asked[best], count[best]
 
-    def parts(rows: np.ndarray, most: int) -> Column:
-        return F.get(F.array(*(F.lit(int(-(-c // most))) for c in rows)), F.col("dcell"))
+    def parts(rows: np.ndarray, size: int) -> Column:
+        return F.get(F.array(*(F.lit(int(c)) for c in most(rows, size))), F.col("dcell"))
 
     n_d, n_q = parts(count, cell_rows), parts(asked, query_rows)
     part = lambda k, seed: F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), k).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), k - 1))
     left = _needed(queries, pivots, bins, **need).withColumn("qsalt", part(n_q, 5)).withColumn("dsalt", every(n_d))
     bin_of = F.get(F.array(*(F.lit(int(b)) for b in bins)), F.col("cell"))
+    if need.get("half"):  # where the bin's rows do not come as queries to the query's own
+        left = left.withColumn("other", F.col("dcell") != bin_of)
     data = cells.withColumn("dcell", bin_of).where(n_q > 0)
     right = data.withColumn("dsalt", part(n_d, 3)).withColumn("qsalt", every(n_q))
+    # where groups are few and large, in more partitions than groups, few of which hold two
+    groups = int((most(count, cell_rows) * most(asked, query_rows)).sum())
+    n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = n if groups > 8 * n else max(n, min(MOST_PARTITIONS, 4 * groups))
     # columns under new ids: both sides may come from one table
-    fresh = lambda df: df.select(*(F.col(c).alias(c) for c in df.columns))
-    return fresh(left).groupBy(*GROUP).cogroup(fresh(right).groupBy(*GROUP)).applyInPandas(body, schema)
+    fresh = lambda df: df.select(*(F.col(c).alias(c) for c in df.columns)).repartition(n, *GROUP)
+    both = fresh(left).groupBy(*GROUP).cogroup(fresh(right).groupBy(*GROUP))
+    return both.applyInArrow(body, schema) if arrow else both.applyInPandas(body, schema)
+
+
+def _leaves(x: np.ndarray, leaf: int) -> list[np.ndarray]:
+    """The rows of ``x`` in parts of about ``leaf`` rows near one another; parts that follow are near, too."""
+    whole = np.isfinite(x).all(axis=1)
+    odd = np.flatnonzero(~whole)  # near nothing
+    todo, rows = [(np.flatnonzero(whole), 0)] if whole.any() else [], [odd[s:s + leaf] for s in range(0, len(odd), leaf)]
+    while todo:
+        r, depth = todo.pop()
+        v = x[r]
+        lo, hi = v.min(axis=0), v.max(axis=0)
+        axis = int((hi - lo).argmax())
+        if len(r) <= leaf or hi[axis] == lo[axis]:
+            rows.append(r)
+            continue
+        v = v[:, axis]
+        if depth < MIDDLE_SPLITS:  # in the middle of the range: dense parts and outliers part early
+            left = v <= (lo[axis] + hi[axis]) / 2
+            left = left if not left.all() else v < hi[axis]  # the middle of neighbouring numbers is the upper one
+        else:                      # at the median
+            left = np.zeros(len(r), bool)
+            left[np.argsort(v, kind="stable")[:len(r) // 2]] = True
+        todo += [(r[left], depth + 1), (r[~left], depth + 1)]
+    return rows
+
+
+def _blocks(q: np.ndarray) -> list[np.ndarray]:
+    """The queries of a task in steps of ``QUERY_STEP`` near one another."""
+    order = np.concatenate(_leaves(q, LEAF)) if len(q) else np.zeros(0, int)
+    return [order[s:s + QUERY_STEP] for s in range(0, len(order), QUERY_STEP)]
+
+
+def _counts(hit: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """``hit @ weight``, most weights being 1."""
+    n = np.bitwise_count(np.packbits(hit, axis=1)).sum(axis=1, dtype=np.int64)
+    heavy = np.flatnonzero(weight != 1)
+    return n + (hit[:, heavy] @ (weight[heavy] - 1).astype(float)).astype(np.int64) if len(heavy) else n
+
+
+def _column_counts(hit: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """``weight @ hit``, most weights being 1."""
+    n = np.zeros(hit.shape[1], np.int64)
+    for s in range(0, len(hit), 255):  # sums of bytes that do not overflow
+        n += hit[s:s + 255].view(np.uint8).sum(axis=0, dtype=np.uint8)
+    heavy = np.flatnonzero(weight != 1)
+    return n + ((weight[heavy] - 1).astype(float) @ hit[heavy]).astype(np.int64) if len(heavy) else n
 
 
 class Balls:
     """The rows of a task, cut into balls: centre, radius and the rows of each."""
 
     def __init__(self, x: np.ndarray, leaf: int = LEAF):
-        todo, self.rows = [(np.arange(len(x)), 0)], []
-        while todo:
-            r, depth = todo.pop()
-            lo, hi = x[r].min(axis=0), x[r].max(axis=0)
-            axis = int((hi - lo).argmax())
-            if len(r) <= leaf or hi[axis] == lo[axis]:
-                self.rows.append(r)
-                continue
-            v = x[r, axis]
-            if depth < MIDDLE_SPLITS:  # in the middle of the range: dense parts and outliers part early
-                left = v <= (lo[axis] + hi[axis]) / 2
-                left = left if not left.all() else v < hi[axis]  # the middle of neighbouring numbers is the upper one
-            else:                      # at the median
-                left = np.zeros(len(r), bool)
-                left[np.argsort(v, kind="stable")[:len(r) // 2]] = True
-            todo += [(r[left], depth + 1), (r[~left], depth + 1)]
-        self.x = x
+        self.x, self.rows = x, _leaves(x, leaf)
+        self.size = np.array([len(r) for r in self.rows])
         self.centre = np.array([x[r].mean(axis=0) for r in self.rows])
         self.radius = np.array([_distances(x[r], c[None, :]).max() for r, c in zip(self.rows, self.centre)])
         self.radius *= 1 + _SLACK
-        self.squares, self.centres = Squares(x), Squares(self.centre)
+        self.centres = Squares(self.centre)
 
     def bounds(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bounds of the distances to each ball's rows: none is nearer, none is farther."""
         least, most = self.centres.distances(q)
         return np.maximum(least - self.radius - _SLACK * (1 + least), 0), (most + self.radius) * (1 + _SLACK)
 
+    def _steps(self, order: np.ndarray):
+        """Balls in the given order, as many at once as hold ``STEP_ROWS`` rows."""
+        ends, s = np.cumsum(self.size[order]), 0
+        while s < len(order):
+            e = int(np.searchsorted(ends, (ends[s - 1] if s else 0) + STEP_ROWS)) + 1
+            yield order[s:e]
+            s = e
+
+    def _rows(self, balls: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.rows[b] for b in balls])
+
     def nearest(self, q: np.ndarray, k: int, ids: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distances and ids of the k nearest rows within ``reach`` of each query, ties by id (inf: none)."""
         dist, near = np.full((len(q), k), np.inf), np.full((len(q), k), np.iinfo(np.int64).max)
-        size = np.array([len(r) for r in self.rows])
-        for start in range(0, len(q), QUERY_STEP * 16):
-            some = np.arange(start, min(start + QUERY_STEP * 16, len(q)))
-            low, _ = self.bounds(q[some])
-            along = np.argsort(low.argmin(axis=1), kind="stable")  # queries of the same ball go together
-            for s in range(0, len(some), QUERY_STEP):
-                part = along[s:s + QUERY_STEP]
-                self._nearest(q, some[part], low[part], size, k, ids, reach, dist, near)
+        for at in _blocks(q):
+            dist[at], near[at] = self._nearest(q[at], k, ids, reach[at].astype(float))
         return dist, near
 
-    def _nearest(self, q, at, low, size, k, ids, reach, dist, near) -> None:
-        bound = reach[at].astype(float)
-        first = low.min(axis=0)
-        order, s = np.argsort(first, kind="stable"), 0
-        while s < len(order):
-            take = int(np.searchsorted(np.cumsum(size[order[s:]]), STEP_ROWS)) + 1
-            step, s = order[s:s + take], s + take
+    def _nearest(self, q: np.ndarray, k: int, ids: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        dist, near = np.full((len(q), k), np.inf), np.full((len(q), k), np.iinfo(np.int64).max)
+        low, _ = self.bounds(q)
+        bound, first, single = reach.copy(), np.fmin.reduce(low, axis=0), Near(q)
+        met, n_met = [], 0  # pairs since the last merge
+
+        def merge():
+            i, d, n = (np.concatenate(part) for part in zip(*met))
+            held = np.unique(i)  # the queries that met a row: their k nearest so far, and the rows met
+            i = np.concatenate([np.repeat(held, k), i])
+            d, n = np.concatenate([dist[held].ravel(), d]), np.concatenate([near[held].ravel(), n])
+            by = np.lexsort((n, d, i))
+            ends = np.searchsorted(i[by], held)[:, None] + np.arange(k)
+            dist[held], near[held] = d[by[ends]], n[by[ends]]
+            bound[held] = np.minimum(bound[held], dist[held, -1])
+            met.clear()
+
+        for step in self._steps(np.argsort(first, kind="stable")):
             if first[step[0]] > bound.max():
-                return
+                break
             want = low[:, step] <= bound[:, None]
             step, open_ = step[want.any(axis=0)], np.flatnonzero(want.any(axis=1))
             if not len(open_):
                 continue
-            r = np.concatenate([self.rows[b] for b in step])
-            least, most = self.squares.bounds(q[at[open_]], r)
-            limit = bound[open_] ** 2 * (1 + _SLACK)
-            if len(r) > k and not np.isfinite(limit).all():  # no k rows yet: the k-th of these is a bound
-                limit = np.minimum(limit, np.partition(most, k - 1, axis=1)[:, k - 1])
-            i, j = np.nonzero(~(least > limit[:, None]))
+            r = self._rows(step)
+            least, of_q, of_x = single.least(self.x[r], open_)
+            limit, unbound = bound[open_] ** 2, np.isinf(bound[open_])
+            if len(r) > k and unbound.any():  # no k rows yet: the k-th of these is a bound
+                most = least[unbound] + of_q[unbound, None] + of_x
+                limit[unbound] = np.fmin(limit[unbound], np.partition(most, k - 1, axis=1)[:, k - 1])
+            i, j = np.divmod(np.flatnonzero(~(least > _above(limit)[:, None])), len(r))
             if not len(i):
                 continue
-            d = _pair_distances(q, self.x, at[open_[i]], r[j])
-            held = np.unique(i)  # the queries that met a row: their k nearest so far, and the rows met
-            rows = at[open_[held]]
-            i = np.concatenate([np.repeat(held, k), i])
-            d = np.concatenate([dist[rows].ravel(), d])
-            n = np.concatenate([near[rows].ravel(), ids[r[j]]])
-            d[d > reach[at[open_[i]]]] = np.inf
-            n[~np.isfinite(d)] = np.iinfo(np.int64).max
-            by = np.lexsort((n, d, i))
-            ends = np.searchsorted(i[by], held)[:, None] + np.arange(k)
-            dist[rows], near[rows] = d[by[ends]], n[by[ends]]
-            bound[open_[held]] = np.minimum(bound[open_[held]], dist[rows, -1])
-
-    def within(self, q: np.ndarray, eps: float):
-        """For each ball: its rows, the queries that hold all of it within eps, the queries that hold
-        some of it, and for these which rows they hold."""
-        low, high = self.bounds(q)
-        for b, r in enumerate(self.rows):
-            whole = high[:, b] <= eps
-            some = np.flatnonzero((low[:, b] <= eps) & ~whole)
-            hit = np.zeros((len(some), len(r)), bool)
-            if len(some):
-                least, most = self.squares.bounds(q[some], r)
-                hit = most <= eps * eps * (1 - _SLACK)
-                i, j = np.nonzero(~(hit | (least > eps * eps * (1 + _SLACK))))
-                hit[i, j] = _pair_distances(q, self.x, some[i], r[j]) <= eps
-            yield r, np.flatnonzero(whole), some, hit
-
-
-def _top(k: int, seeds: list[list[int]] | None = None):
-    """The ``k`` nearest rows of each query; with ``seeds``, without the rows of the seeds of its own cell."""
-    def body(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"qid": pd.Series(dtype="int64"), "dist": pd.Series(dtype=float), "id": pd.Series(dtype="int64")})]
-        if not len(q) or not len(c):
-            return out[0]
-        reach = q["reach"].to_numpy(float) if "reach" in q else np.full(len(q), np.inf)
-        own, cell = q["cell"].to_numpy(), c["cell"].to_numpy()
-        held = set(cell.tolist())
-        apart = [o for o in np.unique(own) if held & set(seeds[o])] if seeds is not None else []
-        parts = [(~np.isin(own, apart), np.ones(len(c), bool)), *((own == o, ~np.isin(cell, seeds[o])) for o in apart)]
-        x, y, qid, ids = _matrix(q["x"]), _matrix(c["x"]), q["id"].to_numpy(np.int64), c["id"].to_numpy(np.int64)
-        for at, rows in parts:
-            if at.any() and rows.any():
-                dist, near = Balls(y[rows]).nearest(x[at], k, ids[rows], reach[at])
-                i, j = np.nonzero(np.isfinite(dist))
-                out.append(pd.DataFrame({"qid": qid[at][i], "dist": dist[i, j], "id": near[i, j]}))
-        return pd.concat(out[1:] or out)
+            i = open_[i]
+            d = _pair_distances(q, self.x, i, r[j])
+            in_reach = np.flatnonzero(d <= reach[i])
+            met.append((i[in_reach], d[in_reach], ids[r[j[in_reach]]]))
+            n_met += len(in_reach)
+            if n_met > k * len(q) or unbound.any():
+                merge()
+                n_met = 0
+        if met:
+            merge()
+        return dist, near
+
+    def within(self, q: np.ndarray, eps: float, apart: Callable | None = None):
+        """(rows, queries that hold all of them within eps, queries that hold some, and which): together all pairs
+        within eps. ``apart`` may leave out queries and rows whose pairs are not asked for."""
+        none = np.zeros(0, int)
+        for at in _blocks(q):
+            low, high = self.bounds(q[at])
+            want, whole = low <= eps, high <= eps
+            open_ = (want & ~whole).any(axis=0)
+            every = whole.all(axis=0)
+            if every.any():
+                r = self._rows(np.flatnonzero(every))
+                yield r, at, none, np.zeros((0, len(r)), bool)
+            for b in np.flatnonzero(whole.any(axis=0) & ~open_ & ~every):
+                yield self.rows[b], at[whole[:, b]], none, np.zeros((0, len(self.rows[b])), bool)
+            single = None
+            for step in self._steps(np.flatnonzero(open_)):
+                part, r = np.flatnonzero((want | whole)[:, step].any(axis=1)), self._rows(step)
+                if apart:
+                    few, r = apart(at[part], r)
+                    part = part[few]
+                    if not len(part) or not len(r):
+                        continue
+                single = single or Near(q[at])
+                yield r, none, at[part], self._hit(q, at[part], single.least(self.x[r], part), r, eps)
+
+    def _hit(self, q: np.ndarray, at: np.ndarray, bounds: tuple, r: np.ndarray, eps: float) -> np.ndarray:
+        """Which of the rows ``r`` each query holds within eps."""
+        least, of_q, of_x = bounds
+        hit = ~(least > _above(eps * eps))
+        sure = eps * eps * (1 - _SLACK) - _TINY
+        if np.count_nonzero(hit) * 10 < hit.size:
+            f = np.flatnonzero(hit)
+            i, j = np.divmod(f, len(r))
+            open_ = ~(least.ravel()[f] + of_q[i] + of_x[j] <= sure)
+            f, i, j = f[open_], i[open_], j[open_]
+        else:
+            f = np.flatnonzero(hit & ~((least + of_x) <= (sure - of_q)[:, None]))
+            i, j = np.divmod(f, len(r))
+        if len(f):
+            hit.ravel()[f] = _pair_distances(q, self.x, at[i], r[j]) <= eps
+        return hit
+
+
+NEAREST = "qid long, nbrs array<struct<dist:double,id:bigint>>"
+
+
+def _top(k: int):
+    """The ``k`` nearest rows of each query, as one row a query."""
+    def body(q: pa.Table, c: pa.Table) -> pa.Table:
+        q, c = _columns(q), _columns(c)
+        qid, ids = q["id"].astype(np.int64), c["id"].astype(np.int64)
+        n, d, near = np.zeros(len(qid), np.int64), np.zeros(0), np.zeros(0, np.int64)
+        if len(qid) and len(ids):
+            reach = q["reach"].astype(float) if "reach" in q else np.full(len(qid), np.inf)
+            dist, near = Balls(c["x"]).nearest(q["x"], k, ids, reach)
+            held = np.isfinite(dist)
+            n, d, near = held.sum(axis=1), dist[held], near[held]
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()),
+                                         pa.StructArray.from_arrays([pa.array(d), pa.array(near)], ["dist", "id"]))
+        return pa.Table.from_arrays([pa.array(qid), lists], ["qid", "nbrs"]).filter(pa.array(n > 0))
     return body
 
 
+def _merged(lists: DataFrame, k: int, hot: bool) -> DataFrame:
+    """The ``k`` nearest of all lists of each query; ``hot``: an id of very many queries is cut part by part first."""
+    top = F.slice(F.array_sort(F.flatten(F.collect_list("nbrs"))), 1, k).alias("nbrs")
+    if hot:
+        for parts in (4096, 64):
+            lists = lists.groupBy("qid", F.pmod(F.xxhash64("nbrs"), F.lit(parts)).alias("part")).agg(top)
+    return lists.groupBy("qid").agg(top)
+
+
 def _smallest(df: DataFrame, keys: list[str], order: list[str], k: int, salt: str) -> DataFrame:
     """The first ``k`` rows of each key; a hot key is cut to k a part before it meets in one task."""
     part = Window.partitionBy(*keys, F.pmod(F.xxhash64(salt), F.lit(32))).orderBy(*order)
@@ -400,16 +561,15 @@ def knn(queries: DataFrame, data: DataFrame, k: int, xcol: str = "x", idcol: str
     for row in _distances(pivots.points, pivots.points):
         order = [int(c) for c in np.argsort(row, kind="stable") if pivots.count[c]]
         seeds.append(order[:int(np.searchsorted(np.cumsum(pivots.count[order]), k)) + 1])
-    rows = "qid long, dist double, id long"
+    hot = bool(one.groupBy("id").count().where("count > 64").head(1))
     data_rows = cells.select("id", "x", "cell")
-    first = _join_cells(asked.select("id", "x", "cell"), data_rows, pivots, _top(k), rows, reach=0.0, seeds=seeds, only_seeds=True)
-    near = materialize(_smallest(first, ["qid"], ["dist", "id"], k, "id"))
-    bound = near.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("reach"))
+    first = _join_cells(asked.select("id", "x", "cell"), data_rows, pivots, _top(k), NEAREST, arrow=True, seeds=seeds)
+    # a hair more than the k-th distance, which is met again
+    kth = F.when(F.size("nbrs") >= k, F.element_at("nbrs", k)["dist"] * (1 + _SLACK)).otherwise(F.lit(float("inf")))
+    bound = _merged(first, k, hot).select("qid", kth.alias("reach"))
     asked = materialize(asked.join(bound, asked["id"] == bound["qid"]).select("id", "x", "cell", "reach"))
-    more = _join_cells(asked, data_rows, pivots, _top(k, seeds), rows, reach="reach", seeds=seeds)
-    best = _smallest(near.unionByName(more), ["qid"], ["dist", "id"], k, "id")
-    lists = (best.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("dist", "id"))).alias("nbrs"))
-             .join(one.select(F.col("id").alias("qid"), "vh"), "qid").select("vh", "nbrs"))
+    best = _merged(_join_cells(asked, data_rows, pivots, _top(k), NEAREST, arrow=True, reach="reach"), k, hot)
+    lists = best.join(one.select(F.col("id").alias("qid"), "vh"), "qid").select("vh", "nbrs")
     return every.join(materialize(lists), "vh", "left").select(F.col("id").alias("qid"), F.coalesce("nbrs", none).alias("nbrs"))
 
 
@@ -427,35 +587,44 @@ class RangeIndex:
             self.points = self.pivots.assign(points.select("id", "x", "vh", "weight"))
             self.pivots.measure(self.points)
 
-    def _run(self, queries: DataFrame, data: DataFrame, body: Callable, schema: str) -> DataFrame:
-        return _join_cells(queries, data, self.pivots, body, schema, reach=self.eps)
+    def _run(self, queries: DataFrame, data: DataFrame, body: Callable, schema: str, **need) -> DataFrame:
+        def run(q: pa.Table, c: pa.Table) -> pa.Table:
+            return pa.table(body(_columns(q), _columns(c)))
+
+        return _join_cells(queries, data, self.pivots, run, schema, arrow=True, **({"reach": self.eps} | need))
 
     def degrees(self) -> DataFrame:
         """(id, degree): rows within eps of each distinct vector, itself included."""
         eps = self.eps
 
         def body(q, c):
-            n = np.zeros(len(q), np.int64)
-            if len(q) and len(c):
-                weight = c["weight"].to_numpy(np.int64)
-                for r, whole, some, hit in Balls(_matrix(c["x"])).within(_matrix(q["x"]), eps):
-                    n[whole] += weight[r].sum()
-                    n[some] += (hit @ weight[r].astype(float)).astype(np.int64)
-            return pd.DataFrame({"id": q["id"].to_numpy(np.int64) if len(q) else np.zeros(0, np.int64), "n": n})
+            ids, met = q["id"].astype(np.int64), c["id"].astype(np.int64)
+            n, n_met = np.zeros(len(ids), np.int64), np.zeros(len(met), np.int64)
+            if len(ids) and len(met):
+                balls, weight, own, other = Balls(c["x"]), c["weight"].astype(np.int64), q["weight"].astype(np.int64), q["other"].astype(bool)
+                for back in (False, True):  # rows of another bin are met once, and count on both sides
+                    at = np.flatnonzero(other == back)
+                    for r, whole, some, hit in balls.within(q["x"][at], eps):
+                        n[at[whole]] += weight[r].sum()
+                        n[at[some]] += _counts(hit, weight[r])
+                        if back:
+                            n_met[r] += own[at[whole]].sum() + _column_counts(hit, own[at[some]])
+            held = n_met > 0
+            return {"id": np.concatenate([ids, met[held]]), "n": np.concatenate([n, n_met[held]])}
 
         p = self.points.select("id", "x", "weight", "cell")
-        return self._run(p.drop("weight"), p, body, "id long, n long").groupBy("id").agg(F.sum("n").alias("degree"))
+        return self._run(p, p, body, "id long, n long", half=True).groupBy("id").agg(F.sum("n").alias("degree"))
 
-    def links(self, core: DataFrame) -> DataFrame:
-        """(a, b): links that span the core vectors within eps of each other, task by task."""
+    def links(self, labels: DataFrame, asked: Column | None = None, own_cell: bool = False) -> DataFrame:
+        """(a, b): links that span the labels of the core vectors (id, label) within eps of each other, task by
+        task; with ``asked`` of the queries so chosen only, with ``own_cell`` inside cells only."""
         eps = self.eps
 
         def body(q, c):
-            a = q["id"].to_numpy(np.int64) if len(q) else np.zeros(0, np.int64)
-            b = c["id"].to_numpy(np.int64) if len(c) else np.zeros(0, np.int64)
-            ids = np.unique(np.concatenate([a, b]))
-            label = np.arange(len(ids))
-            at_a, at_b = np.searchsorted(ids, a), np.searchsorted(ids, b)
+            a, b = (t["label"].astype(np.int64) for t in (q, c))
+            names = np.unique(np.concatenate([a, b]))
+            label = np.arange(len(names))
+            at_a, at_b = np.searchsorted(names, a), np.searchsorted(names, b)
 
             def join(i, j):
                 while True:
@@ -466,38 +635,56 @@ class RangeIndex:
                     while not np.array_equal(label[label], label):
                         label[:] = label[label]
 
-            if len(a) and len(b):
-                balls = Balls(_matrix(c["x"]))
-                tight = 2 * balls.radius * (1 + _SLACK) <= eps  # any two rows of the ball are linked
-                for t, (r, whole, some, hit) in zip(tight, balls.within(_matrix(q["x"]), eps)):
-                    if t:
-                        join(at_b[r], np.full(len(r), at_b[r[0]]))
+            def apart(at, r):  # queries and rows under one label have no link to look for
+                x, y = label[at_a[at]], label[at_b[r]]
+                queries = np.arange(len(at))
+                if (x == x[0]).all():
+                    r = r[y != x[0]]
+                elif (y == y[0]).all():
+                    queries = np.flatnonzero(x != y[0])
+                return queries, r
+
+            if len(a) and len(b) and len(names) > 1:
+                for r, whole, some, hit in Balls(c["x"]).within(q["x"], eps, apart):
+                    if len(whole):
                         join(at_a[whole], np.full(len(whole), at_b[r[0]]))
-                    else:
-                        i, j = np.repeat(whole, len(r)), np.tile(r, len(whole))
-                        join(at_a[i], at_b[j])
-                    i, j = np.nonzero(hit)
-                    join(at_a[some[i]], at_b[r[j]])
-            own = label != np.arange(len(ids))
-            return pd.DataFrame({"a": ids[own], "b": ids[label[own]]})
-
-        p = materialize(self.points.join(core, "id", "left_semi").select("id", "x", "cell"))
-        return self._run(p, p, body, "a long, b long")
+                        join(at_b[r], np.full(len(r), at_a[whole[0]]))
+                    if len(some):
+                        i, j = np.divmod(np.flatnonzero(hit & (label[at_a[some]][:, None] != label[at_b[r]])), len(r))
+                        join(at_a[some[i]], at_b[r[j]])
+            own = label != np.arange(len(names))
+            return {"a": names[own], "b": names[label[own]]}
+
+        p = materialize(self.points.join(labels, "id").select("id", "x", "label", "cell"))
+        if own_cell:
+            return self._run(p, p, body, "a long, b long", seeds=[[c] for c in range(len(self.pivots.points))])
+        queries = p if asked is None else p.where(asked)
+        # what a query of one bin finds in another need not be found from there, unless not all are asked
+        return self._run(queries, p, body, "a long, b long", labels=self._labels_of_cells(p), half=asked is None)
+
+    def _labels_of_cells(self, labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """The least and the largest label in each cell; where there is none, the least is the larger one."""
+        held = labelled.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).toPandas()  # at most MAX_PIVOTS
+        low, high = np.ones(len(self.pivots.points), np.int64), np.zeros(len(self.pivots.points), np.int64)
+        low[held["cell"]], high[held["cell"]] = held["low"], held["high"]
+        return low, high
 
     def least_label(self, rest: DataFrame, labels: DataFrame) -> DataFrame:
         """(id, label): the least label of a core vector within eps of each vector of ``rest``."""
         eps, none = self.eps, np.iinfo(np.int64).max
 
         def body(q, c):
-            least = np.full(len(q), none)
-            if len(q) and len(c):
-                label = c["label"].to_numpy(np.int64)
-                for r, whole, some, hit in Balls(_matrix(c["x"])).within(_matrix(q["x"]), eps):
+            ids = q["id"].astype(np.int64)
+            least = np.full(len(ids), none)
+            if len(ids) and len(c["id"]):
+                label = c["label"].astype(np.int64)
+                for r, whole, some, hit in Balls(c["x"]).within(q["x"], eps):
                     least[whole] = np.minimum(least[whole], label[r].min())
-                    least[some] = np.minimum(least[some], np.where(hit, label[r], none).min(axis=1, initial=none))
-            ids = q["id"].to_numpy(np.int64) if len(q) else np.zeros(0, np.int64)
-            return pd.DataFrame({"id": ids[least < none], "l": least[least < none]})
+                    i, j = np.divmod(np.flatnonzero(hit), len(r))
+                    np.minimum.at(least, some[i], label[r[j]])
+            return {"id": ids[least < none], "l": least[least < none]}
 
         q = self.points.join(rest, "id", "left_semi").select("id", "x", "cell")
-        c = self.points.join(labels, "id").select("id", "x", "label", "cell")
-        return self._run(materialize(q), materialize(c), body, "id long, l long").groupBy("id").agg(F.min("l").alias("label"))
+        c = materialize(self.points.join(labels, "id").select("id", "x", "label", "cell"))
+        least = self._run(materialize(q), c, body, "id long, l long", labels=self._labels_of_cells(c))
+        return least.groupBy("id").agg(F.min("l").alias("label"))
