@@ -3,6 +3,7 @@ import random
 import pytest
 from llm_brute import words
 
+SF_SMALL = "/root/testdata/sf0.001"  # as in tests/conftest.py, whose module name this file takes in a whole run
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, lh string, fp long, n string"
 
 
